@@ -1 +1,467 @@
-"""placeholder"""
+"""Generators, clustering, gradient and model queries
+on whole driver tables."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import vectors as V
+from ..operators import clustering as C
+from ..operators import gradient as G
+from ..operators import models as M
+from ..operators.relational import reindex_labels
+from ..operators.sampling import hash_split
+from ..sources import generators as GEN
+from ..sources import text as T
+from ..sources.tables import table
+from .registry import register
+
+LINE_ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def _rows(spark: SparkSession, data: list[tuple], schema: str) -> DataFrame:
+    """Model-sized driver results (coefficients, metrics) as a DataFrame."""
+    return spark.createDataFrame(data, schema)
+
+
+# ================================================================ generators
+@register("random_normal")
+def q_random_normal(spark: SparkSession, sf: str) -> DataFrame:
+    return GEN.normal(table(spark, sf, "lineitem").select(*LINE_ID), seed=42)
+
+
+@register("random_normal_vectors")
+def q_random_normal_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    v = GEN.normal_vectors(table(spark, sf, "lineitem").select(*LINE_ID), dims=2, seed=42)
+    return v.select(*LINE_ID, F.col("v")[0].alias("v0"), F.col("v")[1].alias("v1"))
+
+
+@register("kv_uniform")
+def q_kv_uniform(spark: SparkSession, sf: str) -> DataFrame:
+    """One uniform key and a 100-byte payload per lineitem row."""
+    return GEN.kv_uniform(table(spark, sf, "lineitem").select(*LINE_ID), val_size=100, seed=42)
+
+
+MAPPERS = 8
+
+
+@register("kv_ramp_counts", sql=f"""
+WITH t AS (SELECT count(*) // {MAPPERS} AS pairs FROM lineitem)
+SELECT CAST(p AS INTEGER) AS mapper, CAST(floor((p + 1) / {float(MAPPERS)} * pairs) AS BIGINT) AS n
+FROM generate_series(0, {MAPPERS - 1}) g(p), t
+""")
+def q_kv_ramp_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Linearly skewed generator sized by the table: pairs = |lineitem| / 8."""
+    pairs = table(spark, sf, "lineitem").count() // MAPPERS
+    kv = GEN.kv_ramp(spark, MAPPERS, pairs, val_size=16, seed=42)
+    return kv.groupBy("mapper").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("kv_hotkey")
+def q_kv_hotkey(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratio-skewed keys for every lineitem row; rows per reducer (key mod 8)."""
+    kv = GEN.kv_hotkey(table(spark, sf, "lineitem").select(*LINE_ID), reducers=8, ratio=5.0, seed=42)
+    return kv.groupBy(F.pmod("key", F.lit(8)).alias("reducer")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ================================================================ K3
+@register("pi_random")
+def q_pi_random(spark: SparkSession, sf: str) -> DataFrame:
+    pts = table(spark, sf, "lineitem").select((F.rand(42) * 2 - 1).alias("x"), (F.rand(43) * 2 - 1).alias("y"))
+    return C.pi_estimate(pts)
+
+
+@register("pi_grid", sql="""
+WITH p AS (
+  SELECT ((l_orderkey * 31 + l_linenumber * 17 + l_partkey) % 2001) / 1000.0 - 1 AS x,
+         ((l_partkey * 13 + l_suppkey * 7 + l_orderkey) % 2001) / 1000.0 - 1 AS y
+  FROM lineitem)
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN x * x + y * y < 1 THEN 1 ELSE 0 END) AS BIGINT) AS inside,
+       round(4.0 * sum(CASE WHEN x * x + y * y < 1 THEN 1 ELSE 0 END) / count(*), 6) AS pi
+FROM p
+""")
+def q_pi_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Deterministic points from row keys (a fixed grid of 2001 x 2001)."""
+    li = table(spark, sf, "lineitem")
+    x = F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17 + F.col("l_partkey"), F.lit(2001)) / 1000.0 - 1
+    y = F.pmod(F.col("l_partkey") * 13 + F.col("l_suppkey") * 7 + F.col("l_orderkey"), F.lit(2001)) / 1000.0 - 1
+    r = C.pi_estimate(li.select(x.alias("x"), y.alias("y")))
+    return r.select("n", "inside", F.round("pi", 6).alias("pi"))
+
+
+# ================================================================ K4 / L8
+KM_K = 3
+KM_ITERS = 3
+
+
+def _kmeans_sql() -> str:
+    parts = ["""pts AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity AS x, l_extendedprice / 1000.0 AS y FROM lineitem
+)""", f"""c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber) - 1 AS INTEGER) AS k, x AS cx, y AS cy
+  FROM (SELECT * FROM pts ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT {KM_K})
+)"""]
+    for i in range(1, KM_ITERS + 1):
+        parts.append(f"""a{i} AS (
+  SELECT x, y, k FROM (
+    SELECT p.x, p.y, c.k, row_number() OVER (PARTITION BY p.l_orderkey, p.l_partkey, p.l_suppkey, p.l_linenumber
+                                               ORDER BY (p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy), c.k) AS rn
+    FROM pts p CROSS JOIN c{i-1} c) WHERE rn = 1
+), m{i} AS (SELECT k, avg(x) AS cx, avg(y) AS cy FROM a{i} GROUP BY k),
+c{i} AS (SELECT c.k, coalesce(m.cx, c.cx) AS cx, coalesce(m.cy, c.cy) AS cy FROM c{i-1} c LEFT JOIN m{i} m USING (k))""")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT k, round(cx, 6) AS cx, round(cy, 6) AS cy FROM c{KM_ITERS}"
+
+
+@register("kmeans_lloyd", sql=_kmeans_sql())
+def q_kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    pts = li.select(*LINE_ID, F.array("l_quantity", (F.col("l_extendedprice") / 1000.0)).alias("features"))
+    seeds = [list(r["features"]) for r in pts.orderBy(*LINE_ID).limit(KM_K).collect()]
+    centers, _ = C.kmeans_lloyd(pts, KM_K, converge_dist=0.0, initial_centers=seeds, max_iter=KM_ITERS)
+    return _rows(spark, [(i, round(c[0], 6), round(c[1], 6)) for i, c in enumerate(centers)],
+                 "k int, cx double, cy double")
+
+
+@register("kmeans_embeddings")
+def q_kmeans_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Lloyd k-means on the 64-d embeddings, K = 10, seeds sampled exactly
+    (10 rows by hash), until the centres move less than 0.001."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("features"))
+    centers, iters = C.kmeans_lloyd(e, 10, converge_dist=0.001, id_cols=["vec_id"], seed=42, max_iter=50)
+    cost = C.kmeans_cost(e, centers).first()["cost"]
+    return _rows(spark, [(i, float(np.linalg.norm(c)), iters, float(cost)) for i, c in enumerate(centers)],
+                 "k int, center_norm double, iterations int, cost double")
+
+
+@register("kmeans_fit")
+def q_kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings").select(F.col("embedding").alias("features"))
+    out = []
+    for mode in ("k-means||", "random"):
+        m = C.kmeans_ml(e, 10, max_iter=10, init_mode=mode)
+        out.append((mode, float(m.summary.trainingCost), int(m.summary.k)))
+    return _rows(spark, out, "init_mode string, cost double, k int")
+
+
+# ================================================================ L1 / L2
+LR_W0 = [0.2, -0.5, 0.8]   # fixed start weights (bias, discount*10, tax*10)
+LR_STEP = 1e-5
+LR_ITERS = 5
+
+
+def _logreg_sql() -> str:
+    parts = ["""d AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE -1.0 END::DOUBLE AS y,
+         1.0::DOUBLE AS x0, l_discount * 10 AS x1, l_tax * 10 AS x2 FROM lineitem
+)""", f"w0 AS (SELECT {LR_W0[0]}::DOUBLE AS w0, {LR_W0[1]}::DOUBLE AS w1, {LR_W0[2]}::DOUBLE AS w2)"]
+    for i in range(1, LR_ITERS + 1):
+        m = f"(1.0 / (1.0 + exp(-(d.y * (w.w0 * d.x0 + w.w1 * d.x1 + w.w2 * d.x2)))) - 1.0) * d.y"
+        parts.append(f"""w{i} AS (
+  SELECT any_value(w.w0) - {LR_STEP} * sum(d.x0 * {m}) AS w0,
+         any_value(w.w1) - {LR_STEP} * sum(d.x1 * {m}) AS w1,
+         any_value(w.w2) - {LR_STEP} * sum(d.x2 * {m}) AS w2
+  FROM d CROSS JOIN w{i-1} w)""")
+    return ("WITH " + ",\n".join(parts) +
+            f"\nSELECT round(w0, 6) AS w0, round(w1, 6) AS w1, round(w2, 6) AS w2 FROM w{LR_ITERS}")
+
+
+def _lr_points(li: DataFrame) -> DataFrame:
+    y = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(-1.0)
+    return li.select(y.alias("y"), F.array(F.lit(1.0), F.col("l_discount") * 10, F.col("l_tax") * 10).alias("x"))
+
+
+def _weights_row(spark, w) -> DataFrame:
+    return _rows(spark, [tuple(round(float(v), 6) for v in w)], "w0 double, w1 double, w2 double")
+
+
+@register("logreg_gd", sql=_logreg_sql())
+def q_logreg_gd(spark: SparkSession, sf: str) -> DataFrame:
+    w = G.logistic_sum_gd(_lr_points(table(spark, sf, "lineitem")), LR_W0, iterations=LR_ITERS, step=LR_STEP)
+    return _weights_row(spark, w)
+
+
+@register("logreg_gd_text", sql=_logreg_sql())
+def q_logreg_gd_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Same job from text lines ``"y 1.0 d t"`` through the labeled-point parser."""
+    pts = _lr_points(table(spark, sf, "lineitem"))
+    lines = pts.select(F.concat_ws(" ", F.col("y").cast("string"),
+                                   *[F.col("x")[i].cast("string") for i in range(3)]).alias("value"))
+    parsed = T.parse_labeled_points(lines, dims=3)
+    w = G.logistic_sum_gd(parsed, LR_W0, iterations=LR_ITERS, step=LR_STEP)
+    return _weights_row(spark, w)
+
+
+# ================================================================ L3 / L4
+def _binary_embeddings(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", (F.col("label") >= 5).cast("double").alias("label"),
+                    V.to_double_array("embedding").alias("x"))
+
+
+@register("binary_lr")
+def q_binary_lr(spark: SparkSession, sf: str) -> DataFrame:
+    """L-BFGS logistic regression with L1 and L2 (reg 0.1, 100 iterations),
+    scored on a 20% hash split by probability-free raw margins."""
+    d = hash_split(_binary_embeddings(spark, sf), [0.8, 0.2], ["vec_id"])
+    train, test = d.where("split = 0"), d.where("split = 1")
+    out = []
+    for pen in ("l1", "l2"):
+        m = M.fit_logistic(train, reg=0.1 if pen == "l2" else 0.01, penalty=pen, max_iter=100)
+        w = m.coefficients.toArray().tolist()
+        scored = G.predict_linear(test, w, "x", "score")
+        met = M.binary_metrics(scored, "score")
+        out.append((pen, met["auc_roc"], met["auc_pr"]))
+    return _rows(spark, out, "penalty string, auc_roc double, auc_pr double")
+
+
+@register("binary_svm")
+def q_binary_svm(spark: SparkSession, sf: str) -> DataFrame:
+    """Linear SVM: L2 via Spark ML LinearSVC, L1 via the shared gradient
+    trainer (hinge loss, soft-threshold updater, step 1.0, 100 iterations)."""
+    d = hash_split(_binary_embeddings(spark, sf), [0.8, 0.2], ["vec_id"])
+    train, test = d.where("split = 0"), d.where("split = 1")
+    out = []
+    m = M.fit_linear_svc(train, reg=0.01, max_iter=100)
+    met = M.binary_metrics(G.predict_linear(test, m.coefficients.toArray().tolist(), "x", "score"), "score")
+    out.append(("l2", met["auc_roc"], met["auc_pr"]))
+    w, _ = G.train_sgd(train, "hinge", 64, iterations=100, step=1.0, reg=0.001, updater="l1", x="x", y="label")
+    met = M.binary_metrics(G.predict_linear(test, w.tolist(), "x", "score"), "score")
+    out.append(("l1", met["auc_roc"], met["auc_pr"]))
+    return _rows(spark, out, "penalty string, auc_roc double, auc_pr double")
+
+
+# ================================================================ L5
+@register("linreg_ols", sql="""
+SELECT round(sum(l_quantity * l_extendedprice / 1000.0) / sum(l_quantity * l_quantity), 6) AS coefficient
+FROM lineitem
+""")
+def q_linreg_ols(spark: SparkSession, sf: str) -> DataFrame:
+    """Least squares without intercept or regularisation, one feature."""
+    li = table(spark, sf, "lineitem").select(F.array("l_quantity").alias("x"),
+                                             (F.col("l_extendedprice") / 1000.0).alias("label"))
+    m = M.fit_linear_regression(li, reg=0.0)
+    return _rows(spark, [(round(float(m.coefficients[0]), 6),)], "coefficient double")
+
+
+@register("linreg_sgd")
+def q_linreg_sgd(spark: SparkSession, sf: str) -> DataFrame:
+    """Full-batch SGD least squares with none / L1 / L2 updaters (100
+    iterations, step 1.0, reg 0.1); RMSE on a 20% hash split."""
+    li = table(spark, sf, "lineitem")
+    d = li.select(*LINE_ID, F.array(F.lit(1.0), F.col("l_discount") * 10, F.col("l_tax") * 10).alias("x"),
+                  (F.col("l_quantity") / 50.0).alias("label"))
+    d = hash_split(d, [0.8, 0.2], LINE_ID)
+    train, test = d.where("split = 0"), d.where("split = 1")
+    out = []
+    for upd in ("none", "l1", "l2"):
+        w, _ = G.train_sgd(train, "squared", 3, iterations=100, step=1.0, reg=0.1, updater=upd, x="x", y="label")
+        r = G.predict_linear(test, w.tolist(), "x").agg(
+            F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2)).alias("rmse")).first()["rmse"]
+        out.append((upd, *[float(v) for v in w], float(r)))
+    return _rows(spark, out, "updater string, w0 double, w1 double, w2 double, rmse double")
+
+
+# ================================================================ L6 / L7
+def pair_ratings(li: DataFrame) -> DataFrame:
+    """(supplier, part) ratings, stars = ceil(quantity/10), averaged per pair."""
+    return li.groupBy(F.col("l_suppkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")).agg(
+        F.avg(F.ceil(F.col("l_quantity") / 10)).alias("rating"))
+
+
+@register("als_fit")
+def q_als_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Spark ML ALS (rank 10, 20 iterations, lambda 1.0) explicit and
+    implicit; RMSE on a 20% hash split, cold-start pairs dropped."""
+    r = hash_split(pair_ratings(table(spark, sf, "lineitem")), [0.8, 0.2], ["user", "item"])
+    train, test = r.where("split = 0"), r.where("split = 1")
+    out = []
+    for implicit in (False, True):
+        tr = train.withColumn("rating", F.col("rating") - 2.5) if implicit else train
+        m = M.fit_als(tr, rank=10, max_iter=20, reg=1.0, implicit=implicit)
+        p = m.transform(test)
+        if implicit:
+            err = F.greatest(F.least(F.col("prediction"), F.lit(1.0)), F.lit(0.0)) - \
+                F.when(F.col("rating") - 2.5 > 0, 1.0).otherwise(0.0)
+        else:
+            err = F.col("prediction") - F.col("rating")
+        row = p.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(err * err)).alias("rmse")).first()
+        out.append(("implicit" if implicit else "explicit", int(row["n"]), float(row["rmse"])))
+    return _rows(spark, out, "mode string, n_test long, rmse double")
+
+
+def _dense_ratings(li: DataFrame) -> DataFrame:
+    r = pair_ratings(li)
+    return r.select(F.col("item").cast("long").alias("i"), F.col("user").cast("long").alias("j"), F.col("rating").alias("r"))
+
+
+@register("als_dense")
+def q_als_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Hand-written ALS by normal equations: rank 10, 5 iterations, lambda 0.01."""
+    _, _, hist = M.als_dense(_dense_ratings(table(spark, sf, "lineitem")), rank=10, iterations=5, lam=0.01)
+    return _rows(spark, [(i + 1, h) for i, h in enumerate(hist)], "iteration int, rmse double")
+
+
+ALS_LAMBDA = 0.01
+
+
+@register("als_step_f1", sql=f"""
+WITH r AS (
+  SELECT l_partkey AS i, l_suppkey AS j, avg(ceil(l_quantity / 10)) AS r FROM lineitem GROUP BY 1, 2
+), u AS (SELECT j, 0.5 + (j % 10) / 20.0 AS u FROM (SELECT DISTINCT j FROM r))
+SELECT r.i AS id, round(sum(r.r * u.u) / (sum(u.u * u.u) + {ALS_LAMBDA} * count(*)), 6) AS factor
+FROM r JOIN u USING (j) GROUP BY r.i
+""")
+def q_als_step_f1(spark: SparkSession, sf: str) -> DataFrame:
+    """One item half-step with rank 1: ``m_i = sum r u / (sum u^2 + lambda n_i)``."""
+    ratings = _dense_ratings(table(spark, sf, "lineitem"))
+    users = ratings.select("j").distinct().select(
+        F.col("j").alias("id"), F.array(F.lit(0.5) + F.pmod("j", F.lit(10)) / 20.0).alias("f"))
+    items = M.als_half_step(ratings, users, "i", "j", 1, ALS_LAMBDA)
+    return items.select("id", F.round(F.col("f")[0], 6).alias("factor"))
+
+
+# ================================================================ L9
+def _tree_split(d: DataFrame, ids):
+    d = hash_split(d, [0.8, 0.2], ids)
+    return d.where("split = 0"), d.where("split = 1")
+
+
+@register("tree_classify")
+def q_tree_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """Gini and entropy trees (depth 4, 100 bins) on the embeddings' 10
+    classes; test accuracy."""
+    e = table(spark, sf, "embeddings").select("vec_id", V.to_double_array("embedding").alias("x"),
+                                              F.col("label").cast("double").alias("label"))
+    train, test = _tree_split(e, ["vec_id"])
+    out = []
+    for imp in ("gini", "entropy"):
+        m = M.fit_decision_tree(train, "classification", imp)
+        acc = m.transform(M._vec(test, "x")).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+        out.append((imp, int(m.depth), int(m.numNodes), float(acc)))
+    return _rows(spark, out, "impurity string, depth int, num_nodes int, accuracy double")
+
+
+@register("tree_regress")
+def q_tree_regress(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select(*LINE_ID, F.array("l_quantity", "l_discount", "l_tax").alias("x"),
+                                             F.col("l_extendedprice").alias("label"))
+    train, test = _tree_split(li, LINE_ID)
+    m = M.fit_decision_tree(train, "regression", "variance")
+    mse = m.transform(M._vec(test, "x")).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
+    return _rows(spark, [(int(m.depth), int(m.numNodes), float(mse))], "depth int, num_nodes int, mse double")
+
+
+@register("tree_stump", sql="""
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem),
+v AS (SELECT x, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM d GROUP BY x),
+c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx,
+             sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl, sum(ss) OVER (ORDER BY x) AS ssl,
+             sum(n) OVER () AS nt, sum(s) OVER () AS st, sum(ss) OVER () AS sst FROM v),
+g AS (SELECT (x + nx) / 2 AS threshold, sl / nl AS lp, (st - sl) / (nt - nl) AS rp,
+             (ssl - sl * sl / nl) + ((sst - ssl) - (st - sl) * (st - sl) / (nt - nl)) AS impurity
+      FROM c WHERE nx IS NOT NULL)
+SELECT round(threshold, 4) AS threshold, round(lp, 4) AS left_prediction, round(rp, 4) AS right_prediction
+FROM g ORDER BY impurity, threshold LIMIT 1
+""")
+def q_tree_stump(spark: SparkSession, sf: str) -> DataFrame:
+    """Depth-1 regression tree of price on quantity: the chosen threshold and
+    the two leaf predictions, read from the model's debug dump."""
+    li = table(spark, sf, "lineitem").select(F.array("l_quantity").alias("x"), F.col("l_extendedprice").alias("label"))
+    m = M.fit_decision_tree(li, "regression", "variance", max_depth=1, max_bins=100)
+    dump = m.toDebugString
+    thr = float(re.search(r"feature 0 <= ([-0-9.Ee]+)", dump).group(1))
+    preds = [float(v) for v in re.findall(r"Predict: ([-0-9.Ee]+)", dump)]
+    return _rows(spark, [(round(thr, 4), round(preds[0], 4), round(preds[1], 4))],
+                 "threshold double, left_prediction double, right_prediction double")
+
+
+# ================================================================ L10
+@register("naive_bayes_params", sql="""
+WITH d AS (SELECT dense_rank() OVER (ORDER BY l_returnflag) - 1 AS c, l_quantity AS x0, l_discount AS x1, l_tax AS x2 FROM lineitem),
+k AS (SELECT count(DISTINCT c) AS k, count(*) AS n FROM d),
+s AS (SELECT c, count(*) AS nc, sum(x0) AS s0, sum(x1) AS s1, sum(x2) AS s2 FROM d GROUP BY c)
+SELECT CAST(c AS DOUBLE) AS label,
+       round(ln((nc + 1.0) / (k.n + k.k * 1.0)), 6) AS pi,
+       round(ln((s0 + 1.0) / (s0 + s1 + s2 + 3.0)), 6) AS theta0,
+       round(ln((s1 + 1.0) / (s0 + s1 + s2 + 3.0)), 6) AS theta1,
+       round(ln((s2 + 1.0) / (s0 + s1 + s2 + 3.0)), 6) AS theta2
+FROM s CROSS JOIN k
+""")
+def q_naive_bayes_params(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select("l_returnflag", F.array("l_quantity", "l_discount", "l_tax").alias("x"))
+    d = reindex_labels(li, "l_returnflag").select("x", F.col("label_idx").cast("double").alias("label"))
+    m = M.fit_naive_bayes(d, smoothing=1.0)
+    pi = m.pi.toArray()
+    th = m.theta.toArray()
+    return _rows(spark, [(float(c), round(float(pi[c]), 6), *[round(float(v), 6) for v in th[c]]) for c in range(len(pi))],
+                 "label double, pi double, theta0 double, theta1 double, theta2 double")
+
+
+@register("naive_bayes_accuracy")
+def q_naive_bayes_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select(*LINE_ID, "l_returnflag",
+                                             F.array("l_quantity", "l_discount", "l_tax").alias("x"))
+    d = reindex_labels(li, "l_returnflag").withColumn("label", F.col("label_idx").cast("double"))
+    train, test = _tree_split(d, LINE_ID)
+    m = M.fit_naive_bayes(train)
+    acc = m.transform(M._vec(test, "x")).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return _rows(spark, [(float(acc),)], "accuracy double")
+
+
+# ================================================================ L11 / L12
+_PCA_SQL = """
+WITH s AS (
+  SELECT var_samp(l_quantity) AS a, covar_samp(l_quantity, l_extendedprice / 1000.0) AS b,
+         var_samp(l_extendedprice / 1000.0) AS c FROM lineitem),
+e AS (SELECT a, b, c, (a + c) / 2 + sqrt(((a - c) / 2) ^ 2 + b * b) AS l1, (a + c) / 2 - sqrt(((a - c) / 2) ^ 2 + b * b) AS l2 FROM s),
+v AS (
+  SELECT 0 AS component, b AS v0, l1 - a AS v1, l1 / (l1 + l2) AS explained FROM e
+  UNION ALL SELECT 1, b, l2 - a, l2 / (l1 + l2) FROM e),
+n AS (SELECT component, v0 / sqrt(v0 * v0 + v1 * v1) AS v0, v1 / sqrt(v0 * v0 + v1 * v1) AS v1, explained FROM v)
+SELECT CAST(component AS INTEGER) AS component,
+       round(CASE WHEN (CASE WHEN abs(v0) >= abs(v1) THEN v0 ELSE v1 END) < 0 THEN -v0 ELSE v0 END, 6) AS v0,
+       round(CASE WHEN (CASE WHEN abs(v0) >= abs(v1) THEN v0 ELSE v1 END) < 0 THEN -v1 ELSE v1 END, 6) AS v1,
+       round(explained, 6) AS explained
+FROM n
+"""
+
+
+@register("pca_2d", sql=_PCA_SQL)
+def q_pca_2d(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select(F.array("l_quantity", F.col("l_extendedprice") / 1000.0).alias("x"))
+    m = M.fit_pca(li, 2)
+    pc = M.sign_normalise(m.pc.toArray())
+    ev = m.explainedVariance.toArray()
+    return _rows(spark, [(c, round(float(pc[0, c]), 6), round(float(pc[1, c]), 6), round(float(ev[c]), 6)) for c in range(2)],
+                 "component int, v0 double, v1 double, explained double")
+
+
+@register("pca_embeddings")
+def q_pca_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings").select(V.to_double_array("embedding").alias("x"))
+    m = M.fit_pca(e)
+    ev = m.explainedVariance.toArray()
+    return _rows(spark, [(i, float(v)) for i, v in enumerate(ev)], "component int, explained double")
+
+
+@register("svd_2d", sql="""
+WITH s AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_extendedprice / 1000.0) AS b,
+                  sum((l_extendedprice / 1000.0) * (l_extendedprice / 1000.0)) AS c FROM lineitem)
+SELECT 0 AS idx, round(sqrt((a + c) / 2 + sqrt(((a - c) / 2) ^ 2 + b * b)), 4) AS sigma FROM s
+UNION ALL SELECT 1, round(sqrt((a + c) / 2 - sqrt(((a - c) / 2) ^ 2 + b * b)), 4) FROM s
+""")
+def q_svd_2d(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select(F.array("l_quantity", F.col("l_extendedprice") / 1000.0).alias("x"))
+    sv = M.singular_values(li)
+    return _rows(spark, [(i, round(float(s), 4)) for i, s in enumerate(sv)], "idx int, sigma double")
+
+
+@register("svd_embeddings")
+def q_svd_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings").select(V.to_double_array("embedding").alias("x"))
+    sv = M.singular_values(e)
+    return _rows(spark, [(i, float(s)) for i, s in enumerate(sv)], "idx int, sigma double")

@@ -1 +1,89 @@
-"""placeholder"""
+"""Sampling and splitting queries (A1-A6) on whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import sampling as A
+from ..sources.tables import table
+from .registry import register
+
+LINE_ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def brand_fractions(spark: SparkSession, sf: str) -> dict[str, float]:
+    """Stratum fractions for ``part`` by brand: (1 + brand number mod 4) / 8,
+    i.e. 1/8 .. 4/8 (exact binary fractions).  One entry per brand."""
+    brands = [r[0] for r in table(spark, sf, "part").select("p_brand").distinct().collect()]
+    return {b: (1 + int(b.split("#")[1]) % 4) / 8.0 for b in brands}
+
+
+@register("sample_replace")
+def q_sample_replace(spark: SparkSession, sf: str) -> DataFrame:
+    return A.sample(table(spark, sf, "lineitem").select(*LINE_ID), True, 0.1, seed=42)
+
+
+@register("sample_exact")
+def q_sample_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return A.take_sample(table(spark, sf, "lineitem").select(*LINE_ID), 1000, LINE_ID, False, seed=42)
+
+
+@register("sample_exact_replace")
+def q_sample_exact_replace(spark: SparkSession, sf: str) -> DataFrame:
+    return A.take_sample(table(spark, sf, "lineitem").select(*LINE_ID), 1000, LINE_ID, True, seed=42)
+
+
+@register("stratified_approx")
+def q_stratified_approx(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    return A.sample_by_key(part, "p_brand", brand_fractions(spark, sf), True, ["p_partkey"], seed=42)
+
+
+_EXACT_SQL = """
+SELECT p_brand,
+       CAST(ceil(((1 + CAST(split_part(p_brand, '#', 2) AS INTEGER) % 4) / 8.0) * count(*)) AS BIGINT) AS n_exact,
+       CAST(ceil(((1 + CAST(split_part(p_brand, '#', 2) AS INTEGER) % 4) / 8.0) * count(*)) AS BIGINT) AS n_exact_replace
+FROM part GROUP BY p_brand
+"""
+
+
+@register("stratified_exact_counts", sql=_EXACT_SQL)
+def q_stratified_exact_counts(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    fr = brand_fractions(spark, sf)
+    a = A.sample_by_key_exact(part, "p_brand", fr, ["p_partkey"], False, seed=42)
+    b = A.sample_by_key_exact(part, "p_brand", fr, ["p_partkey"], True, seed=42)
+    ca = a.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_exact"))
+    cb = b.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_exact_replace"))
+    return ca.join(cb, "p_brand", "full").select(
+        "p_brand", F.coalesce("n_exact", F.lit(0)).cast("bigint").alias("n_exact"),
+        F.coalesce("n_exact_replace", F.lit(0)).cast("bigint").alias("n_exact_replace"))
+
+
+@register("sample_report")
+def q_sample_report(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    fr = brand_fractions(spark, sf)
+    approx = A.sample_by_key(part, "p_brand", fr, True, ["p_partkey"], seed=42)
+    exact = A.sample_by_key_exact(part, "p_brand", fr, ["p_partkey"], True, seed=42)
+    return A.sample_report(part, approx, exact, "p_brand")
+
+
+@register("split_hash")
+def q_split_hash(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem").select(*LINE_ID)
+    return A.hash_split(li, [0.8, 0.2], LINE_ID, seed=42)
+
+
+@register("split_mod", sql="""
+SELECT CASE WHEN l_orderkey % 10 < 8 THEN 'train' ELSE 'test' END AS split,
+       CAST(count(*) AS BIGINT) AS n, round(sum(l_extendedprice), 2) AS revenue
+FROM lineitem GROUP BY 1
+""")
+def q_split_mod(spark: SparkSession, sf: str) -> DataFrame:
+    """Deterministic 80/20 split by order key: every row lands in one part."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    part = F.when(F.pmod("l_orderkey", F.lit(10)) < 8, "train").otherwise("test")
+    return li.groupBy(part.alias("split")).agg(F.count(F.lit(1)).alias("n"),
+                                                F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
