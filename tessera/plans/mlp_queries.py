@@ -1 +1,121 @@
-"""placeholder"""
+"""Neural-network queries."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import vectors as V
+from ..operators import mlp as N
+from ..operators.sampling import hash_split
+from ..sources.tables import table
+from .registry import register
+
+LINE_ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+# fixed weights of the 2-1-1 check network, layout A: w11, w12, b1, w2, b2
+TINY_W = np.array([0.3, -0.2, 0.1, 0.7, -0.4])
+TINY_TOPOLOGY = [2, 1, 1]
+
+_TINY_SQL_BASE = """
+WITH d AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_discount * 10 AS x1, l_tax * 10 AS x2,
+                  l_quantity / 50.0 AS t FROM lineitem),
+h AS (SELECT *, 1.0 / (1.0 + exp(-(0.3 * x1 - 0.2 * x2 + 0.1))) AS h FROM d),
+o AS (SELECT *, 1.0 / (1.0 + exp(-(0.7 * h - 0.4))) AS o FROM h)
+"""
+
+
+def _tiny_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return li.select(*LINE_ID, F.array(F.col("l_discount") * 10, F.col("l_tax") * 10).alias("input"),
+                     F.array(F.col("l_quantity") / 50.0).alias("output"))
+
+
+@register("mlp_forward", sql=_TINY_SQL_BASE + """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(o, 6) AS o FROM o
+""")
+def q_mlp_forward(spark: SparkSession, sf: str) -> DataFrame:
+    model = N.MLPModel(TINY_TOPOLOGY, TINY_W)
+    p = model.predict(_tiny_inputs(spark, sf), "input", "pred")
+    return p.select(*LINE_ID, F.round(F.col("pred")[0], 6).alias("o"))
+
+
+@register("mlp_gradient", sql=_TINY_SQL_BASE + """,
+g AS (SELECT *, (o - t) * o * (1 - o) AS d2 FROM o),
+g1 AS (SELECT *, d2 * 0.7 * h * (1 - h) AS d1 FROM g)
+SELECT round(avg(d1 * x1), 8) AS g0, round(avg(d1 * x2), 8) AS g1, round(avg(d1), 8) AS g2,
+       round(avg(d2 * h), 8) AS g3, round(avg(d2), 8) AS g4, round(avg(0.5 * (t - o) * (t - o)), 8) AS loss
+FROM g1
+""")
+def q_mlp_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean loss and gradient of the fixed 2-1-1 network over all lineitem rows."""
+    loss, g, _ = N.gradient_job(_tiny_inputs(spark, sf).select("input", "output"), TINY_W, TINY_TOPOLOGY)
+    vals = [round(float(v), 8) for v in g] + [round(float(loss), 8)]
+    return spark.createDataFrame([tuple(vals)], "g0 double, g1 double, g2 double, g3 double, g4 double, loss double")
+
+
+def _embeddings(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", F.col("label").cast("double").alias("label"),
+                                                 V.to_double_array("embedding").alias("features"))
+
+
+@register("mlp_fit")
+def q_mlp_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Network A regression from the 64-d embedding to its 0.9/0.1 class
+    code (hidden 5), 20 L-BFGS iterations; the loss after each."""
+    e = _embeddings(spark, sf)
+    labels = N.distinct_labels(e, "label")
+    data = N.encode_labels(e.withColumnRenamed("features", "input"), "label", labels, 0.9, 0.1)
+    m = N.mlp_fit(data, [5], max_iter=20, tol=1e-6)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.history)], "iteration int, loss double")
+
+
+@register("mlp_classifier")
+def q_mlp_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Classifier A on the embeddings' 10 classes (default hidden layer,
+    30 iterations): training and 20% hold-out accuracy."""
+    e = hash_split(_embeddings(spark, sf), [0.8, 0.2], ["vec_id"])
+    train, test = e.where("split = 0"), e.where("split = 1")
+    m = N.mlp_classifier_fit(train, max_iter=30)
+    acc = lambda d: N.classify(m, d).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return spark.createDataFrame([(len(m.history) - 1, float(m.history[-1]), float(acc(train)), float(acc(test)))],
+                                 "iterations int, loss double, train_accuracy double, test_accuracy double")
+
+
+@register("mlp_gd")
+def q_mlp_gd(spark: SparkSession, sf: str) -> DataFrame:
+    """Classifier B (gradient descent, lr 0.3, 100 iterations) on the binary
+    target label >= 5: single output, rounded."""
+    e = _embeddings(spark, sf).withColumn("label", (F.col("label") >= 5).cast("double"))
+    m = N.mlp_gd_fit(e, iterations=100, lr=0.3)
+    acc = N.classify(m, e).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return spark.createDataFrame([(m.history[0], m.history[-1], float(acc))],
+                                 "first_loss double, last_loss double, train_accuracy double")
+
+
+@register("mlp_weights_bounds")
+def q_mlp_weights_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Random initial weights of classifier A's topology for the embeddings:
+    per layer the count, min, max and the bound 2.4 / (fan_in + 1)."""
+    e = table(spark, sf, "embeddings")
+    n_in = int(e.select(F.size("embedding")).first()[0])
+    n_out = e.select("label").distinct().count()
+    topo = [n_in, n_in // 2 + 1, n_out]
+    w = N.random_weights(topo, 42)
+    rows = []
+    for li in range(1, len(topo)):
+        m = N.weights_by_layer(w, topo, li)
+        rows.append((li, int(m.size), float(m.min()), float(m.max()), N.INIT_RANGE / (topo[li - 1] + 1)))
+    return spark.createDataFrame(rows, "layer int, n long, min double, max double, bound double")
+
+
+@register("mlp_layers")
+def q_mlp_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Activations of every layer (propagate) for every embedding under the
+    seeded random weights; one row per (vector, layer) with its mean."""
+    e = _embeddings(spark, sf)
+    topo = [int(e.select(F.size("features")).first()[0]), 8, 10]
+    model = N.MLPModel(topo, N.random_weights(topo, 7))
+    p = model.predict(e.select("vec_id", "features"), "features", "acts", layer="all")
+    return p.select("vec_id", F.posexplode("acts").alias("layer", "a")).select(
+        "vec_id", "layer", F.aggregate("a", F.lit(0.0), lambda s, x: s + x).alias("total"))
