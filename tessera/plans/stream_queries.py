@@ -1 +1,44 @@
-"""placeholder"""
+"""Streaming regression query."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.session import shared_path
+from ..sources.tables import table
+from ..streaming.linreg import StreamingLinearRegression, point_stream
+from .registry import register
+
+STREAM_FILES = 3
+
+
+def write_point_files(spark: SparkSession, sf: str, files: int = STREAM_FILES) -> str:
+    """Labeled points ``(q/50,[10*discount,10*tax,1.0])`` from every lineitem
+    row, written as ``files`` text files into a fresh shared folder."""
+    li = table(spark, sf, "lineitem")
+    s = lambda c: c.cast("string")
+    lines = li.select(F.concat(F.lit("("), s(F.col("l_quantity") / 50.0), F.lit(",["),
+                               s(F.col("l_discount") * 10), F.lit(","), s(F.col("l_tax") * 10), F.lit(",1.0])")).alias("value"),
+                      F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), F.lit(files)).alias("_f"))
+    path = shared_path(spark, "stream-points")
+    lines.repartitionByRange(files, "_f").select("value").write.mode("overwrite").text(path)
+    return path
+
+
+@register("stream_linreg")
+def q_stream_linreg(spark: SparkSession, sf: str) -> DataFrame:
+    """Train the streaming model over the point files (one file per
+    micro-batch, ``availableNow``), then score the same stream with the final
+    weights; one row per training batch with its weights and the test RMSE."""
+    src = write_point_files(spark, sf)
+    model = StreamingLinearRegression(spark, num_features=3)
+    q = model.train_on(point_stream(spark, src), available_now=True)
+    q.awaitTermination()
+    out = shared_path(spark, "stream-predictions")
+    p = model.predict_on_values(point_stream(spark, src, max_files_per_trigger=None), out, available_now=True)
+    p.awaitTermination()
+    preds = spark.read.parquet(out)
+    rmse = preds.agg(F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2)).alias("rmse")).first()["rmse"]
+    h = model.history()
+    return h.select("batch_id", "n", *[F.col("w")[i].alias(f"w{i}") for i in range(3)], F.lit(float(rmse)).alias("rmse"))
