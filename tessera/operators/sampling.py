@@ -25,7 +25,9 @@ def uniform_hash(cols: Sequence[str], seed: int) -> Column:
 
 def poisson_count(mean: Column, u: Column, max_k: int = 40) -> Column:
     """Inverse-CDF Poisson(mean) draw from a uniform ``u``: smallest k with
-    ``u <= CDF(k)`` (bounded at ``max_k``, far in the tail for mean <= 1)."""
+    ``u <= CDF(k)`` (bounded at ``max_k``, far in the tail for mean <= 1).
+    ``u`` must be deterministic per row (a row hash or a column holding one
+    draw): it is read once per CDF step."""
     init = F.struct(F.lit(0).alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("c"))
 
     def step(acc, j):
