@@ -99,16 +99,19 @@ KM_ITERS = 3
 
 
 def _kmeans_sql() -> str:
-    parts = ["""pts AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity AS x, l_extendedprice / 1000.0 AS y FROM lineitem
+    # pid: a per-row id (the 4-column line key is not unique in every table)
+    parts = ["""pts AS MATERIALIZED (
+  SELECT row_number() OVER () AS pid, l_orderkey, l_partkey, l_suppkey, l_linenumber,
+         l_quantity AS x, l_extendedprice / 1000.0 AS y FROM lineitem
 )""", f"""c0 AS (
-  SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber) - 1 AS INTEGER) AS k, x AS cx, y AS cy
-  FROM (SELECT * FROM pts ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT {KM_K})
+  SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, x, y) - 1 AS INTEGER) AS k,
+         x AS cx, y AS cy
+  FROM (SELECT * FROM pts ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, x, y LIMIT {KM_K})
 )"""]
     for i in range(1, KM_ITERS + 1):
         parts.append(f"""a{i} AS (
   SELECT x, y, k FROM (
-    SELECT p.x, p.y, c.k, row_number() OVER (PARTITION BY p.l_orderkey, p.l_partkey, p.l_suppkey, p.l_linenumber
+    SELECT p.x, p.y, c.k, row_number() OVER (PARTITION BY p.pid
                                                ORDER BY (p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy), c.k) AS rn
     FROM pts p CROSS JOIN c{i-1} c) WHERE rn = 1
 ), m{i} AS (SELECT k, avg(x) AS cx, avg(y) AS cy FROM a{i} GROUP BY k),
@@ -120,7 +123,9 @@ c{i} AS (SELECT c.k, coalesce(m.cx, c.cx) AS cx, coalesce(m.cy, c.cy) AS cy FROM
 def q_kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     pts = li.select(*LINE_ID, F.array("l_quantity", (F.col("l_extendedprice") / 1000.0)).alias("features"))
-    seeds = [list(r["features"]) for r in pts.orderBy(*LINE_ID).limit(KM_K).collect()]
+    # seeds: the first K rows in key order (a top-K: choosing K seeds is the feature)
+    seeds = [list(r["features"]) for r in
+             pts.orderBy(*LINE_ID, F.col("features")[0], F.col("features")[1]).limit(KM_K).collect()]
     centers, _ = C.kmeans_lloyd(pts, KM_K, converge_dist=0.0, initial_centers=seeds, max_iter=KM_ITERS)
     return _rows(spark, [(i, round(c[0], 6), round(c[1], 6)) for i, c in enumerate(centers)],
                  "k int, cx double, cy double")
