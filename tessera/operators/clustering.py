@@ -1,16 +1,18 @@
 """Monte Carlo Pi, Lloyd k-means and Spark ML k-means.
 
 Lloyd's loop keeps the K x D centres on the driver (model-sized).  Each
-iteration is ONE aggregation job: the nearest-centre assignment is a
-row-local expression (centres are literals), the update is a
-``groupBy(cluster)`` of D averages with partial aggregation, so no data row
-is shuffled, only K x D partial sums per partition.
+iteration is ONE job: every task assigns its Arrow batches to the nearest
+centre with numpy (strict ``<``: lowest index on ties) and emits its
+per-cluster counts and coordinate sums once; a grouped sum adds them.  No
+data row is shuffled, only K x (D + 1) partial sums per task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,21 +50,66 @@ def kmeans_lloyd(df: DataFrame, k: int, converge_dist: float = 0.001, features:
         centers = [list(map(float, c)) for c in initial_centers]
     k = len(centers)
     d = len(centers[0])
-    pts = pts.select("f")
+    pts = pts.select("f").cache()
     delta, it = 1.0, 0
-    while delta > converge_dist and it < max_iter:
-        assigned = pts.select(V.nearest_center("f", centers).alias("c"), "f")
-        rows = assigned.groupBy("c").agg(F.count(F.lit(1)).alias("n"),
-                                         *[F.avg(F.col("f")[i]).alias(f"m{i}") for i in range(d)]).collect()
-        new = [list(c) for c in centers]
-        for r in rows:
-            new[r["c"]] = [r[f"m{i}"] for i in range(d)]
-        delta = sum(sum((a - b) ** 2 for a, b in zip(centers[i], new[i])) for i in range(k))
-        centers = new
-        it += 1
+    try:
+        while delta > converge_dist and it < max_iter:
+            counts, sums = cluster_sums(pts, centers, "f")
+            new = [list(c) for c in centers]
+            for c in range(k):
+                if counts[c] > 0:                      # an empty cluster keeps its centre
+                    new[c] = (sums[c] / counts[c]).tolist()
+            delta = sum(sum((a - b) ** 2 for a, b in zip(centers[i], new[i])) for i in range(k))
+            centers = new
+            it += 1
+    finally:
+        pts.unpersist()
     return centers, it
 
 
+def assign_nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest centre (lowest on ties) and its squared distance,
+    one centre at a time so memory stays O(rows x D)."""
+    best = np.full(len(X), np.inf)
+    arg = np.zeros(len(X), dtype=np.int64)
+    for c in range(len(C)):
+        diff = X - C[c]
+        dist = (diff * diff).sum(axis=1)
+        better = dist < best
+        best[better] = dist[better]
+        arg[better] = c
+    return arg, best
+
+
+def cluster_sums(pts: DataFrame, centers: Sequence[Sequence[float]], features: str = "f") -> tuple[np.ndarray, np.ndarray]:
+    """Per-cluster point counts and coordinate sums for the nearest-centre
+    assignment: one Spark job of per-task numpy partials + a grouped sum."""
+    C = np.asarray(centers, dtype=float)
+    k, d = C.shape
+
+    def partial(it):
+        cnt, acc = np.zeros(k), np.zeros((k, d))
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = V.matrix(pdf, "f", d)
+            a, _ = assign_nearest(X, C)
+            cnt += np.bincount(a, minlength=k)
+            np.add.at(acc, a, X)
+        kk = np.repeat(np.arange(k, dtype="int32"), d + 1)
+        pos = np.tile(np.arange(-1, d, dtype="int32"), k)
+        yield pd.DataFrame({"k": kk, "pos": pos, "v": np.hstack([cnt[:, None], acc]).ravel()})
+
+    parts = pts.select(*V.spread(features, d, "f")).mapInPandas(partial, "k int, pos int, v double")
+    counts, sums = np.zeros(k), np.zeros((k, d))
+    for r in parts.groupBy("k", "pos").agg(F.sum("v").alias("v")).collect():
+        if r["pos"] < 0:
+            counts[r["k"]] = r["v"]
+        else:
+            sums[r["k"], r["pos"]] = r["v"]
+    return counts, sums
+
+
 def kmeans_cost(df: DataFrame, centers: Sequence[Sequence[float]], features: str = "features") -> DataFrame:
     """Sum over points of the squared distance to the nearest centre."""
     return df.agg(F.sum(V.nearest_center_dist(V.to_double_array(features), centers)).alias("cost"))

@@ -1,10 +1,10 @@
 """Distributed gradient trainers for linear models.
 
-A gradient evaluation is ONE Spark aggregation: the weights travel as
-literals, the margin ``w . x`` and the per-row gradient multiplier are
-column expressions, and the D gradient sums (plus the loss and the row
-count) are partial-aggregated per partition before a single tiny shuffle.
-Only D + 2 numbers come back to the driver, which applies the update rule.
+A gradient evaluation is ONE Spark job: each task multiplies its Arrow
+batches with numpy (vectorised margins and ``X^T g``), emits its D + 2
+partial sums once, and a grouped sum adds them (the DataFrame form of a
+tree aggregate).  Only D + 2 numbers come back to the driver, which applies
+the update rule.  The weights travel in the task closure (model-sized).
 
 Update rules (full batch):
   * ``none``: ``w -= step_i * g``
@@ -19,6 +19,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,36 +30,78 @@ def _margin(w: Sequence[float], x: str) -> Column:
     return V.dot(x, V.lit_vector(w))
 
 
-def loss_terms(kind: str, y: Column, m: Column) -> tuple[Column, Column]:
-    """``(multiplier, loss)`` so that the row gradient is ``multiplier * x``.
+def _row_terms(kind: str, m: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(multiplier, loss)`` per row so that the row gradient is
+    ``multiplier * x``.
 
     * ``logistic``: labels 0/1, loss log(1 + e^m) - y m
     * ``hinge``: labels 0/1 (mapped to -1/+1), loss max(0, 1 - s m)
     * ``squared``: least squares, loss (m - y)^2 / 2
+    * ``logistic_pm``: labels -1/+1, multiplier (sigma(y m) - 1) y (the raw
+      sum-gradient job), loss log(1 + e^(-y m))
     """
     if kind == "logistic":
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-m))
-        loss = F.when(m > 0, m + F.log1p(F.exp(-m))).otherwise(F.log1p(F.exp(m))) - y * m
-        return p - y, loss
+        return 1.0 / (1.0 + np.exp(-m)) - y, np.logaddexp(0.0, m) - y * m
     if kind == "hinge":
-        s = F.lit(2.0) * y - F.lit(1.0)
-        active = (s * m) < F.lit(1.0)
-        return F.when(active, -s).otherwise(F.lit(0.0)), F.greatest(F.lit(0.0), F.lit(1.0) - s * m)
+        s = 2.0 * y - 1.0
+        active = s * m < 1.0
+        return np.where(active, -s, 0.0), np.maximum(0.0, 1.0 - s * m)
     if kind == "squared":
-        return m - y, (m - y) * (m - y) / 2
+        return m - y, (m - y) ** 2 / 2
+    if kind == "logistic_pm":
+        return (1.0 / (1.0 + np.exp(-y * m)) - 1.0) * y, np.logaddexp(0.0, -y * m)
     raise ValueError(kind)
 
 
 def gradient_sum(df: DataFrame, w: Sequence[float], kind: str, x: str = "x", y: str = "y") -> tuple[np.ndarray, float, int]:
-    """Sum of row gradients, sum of losses and row count at weights ``w``."""
-    mult, loss = loss_terms(kind, F.col(y), _margin(w, x))
-    d = len(w)
-    staged = df.select(F.col(x).alias("_x"), mult.alias("_g"), loss.alias("_l"))
-    row = staged.agg(*[F.sum(F.col("_x")[i] * F.col("_g")).alias(f"g{i}") for i in range(d)],
-                     F.sum("_l").alias("loss"), F.count(F.lit(1)).alias("n")).first()
-    n = int(row["n"])
-    g = np.array([row[f"g{i}"] or 0.0 for i in range(d)], dtype=float)
-    return g, float(row["loss"] or 0.0), n
+    """Sum of row gradients, sum of losses and row count at weights ``w``.
+
+    One Spark job: every task turns its Arrow batches into numpy matrices
+    (``X w`` and ``X^T g`` are BLAS calls), emits its D + 2 partial sums
+    once, and a grouped ``sum`` adds the partials of all tasks."""
+    wv = np.asarray(w, dtype=float)
+    d = len(wv)
+
+    def partial(it):
+        acc, loss, n = np.zeros(d), 0.0, 0
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = V.matrix(pdf, "x", d)
+            yy = pdf["y"].to_numpy(dtype="float64")
+            mult, lo = _row_terms(kind, X @ wv, yy)
+            acc += X.T @ mult
+            loss += float(lo.sum())
+            n += len(pdf)
+        yield pd.DataFrame({"pos": np.arange(d + 2, dtype="int32"), "v": np.concatenate([acc, [loss, float(n)]])})
+
+    parts = df.select(*V.spread(x, d, "x"), F.col(y).alias("y")).mapInPandas(partial, "pos int, v double")
+    tot = {r["pos"]: r["v"] for r in parts.groupBy("pos").agg(F.sum("v").alias("v")).collect()}
+    return np.array([tot.get(i, 0.0) for i in range(d)]), float(tot.get(d, 0.0)), int(tot.get(d + 1, 0.0))
+
+
+def normal_statistics(df: DataFrame, d: int, x: str = "x", y: str = "y") -> tuple[np.ndarray, np.ndarray, float, int]:
+    """``X^T X``, ``X^T y``, ``y^T y`` and n of ``d`` features in one pass
+    (per-task numpy partials + grouped sum): everything least squares needs."""
+
+    def partial(it):
+        xtx, xty, yty, n = np.zeros((d, d)), np.zeros(d), 0.0, 0
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = V.matrix(pdf, "x", d)
+            yy = pdf["y"].to_numpy(dtype="float64")
+            xtx += X.T @ X
+            xty += X.T @ yy
+            yty += float(yy @ yy)
+            n += len(pdf)
+        vals = np.concatenate([xtx.ravel(), xty, [yty, float(n)]])
+        yield pd.DataFrame({"pos": np.arange(len(vals), dtype="int32"), "v": vals})
+
+    parts = df.select(*V.spread(x, d, "x"), F.col(y).alias("y")).mapInPandas(partial, "pos int, v double")
+    tot = {r["pos"]: r["v"] for r in parts.groupBy("pos").agg(F.sum("v").alias("v")).collect()}
+    vals = np.array([tot.get(i, 0.0) for i in range(d * d + d + 2)])
+    return vals[:d * d].reshape(d, d), vals[d * d:d * d + d], float(vals[-2]), int(vals[-1])
 
 
 def update(w: np.ndarray, g: np.ndarray, step_i: float, reg: float, updater: str) -> np.ndarray:
@@ -73,14 +116,33 @@ def update(w: np.ndarray, g: np.ndarray, step_i: float, reg: float, updater: str
     raise ValueError(updater)
 
 
+# least squares with at most this many features uses the one-pass normal statistics
+NORMAL_STATS_MAX_DIMS = 512
+
+
 def train_sgd(df: DataFrame, kind: str, dims: int, iterations: int = 100, step: float = 1.0,
               reg: float = 0.0, updater: str = "none", w0: Sequence[float] | None = None,
               x: str = "x", y: str = "y") -> tuple[np.ndarray, list[float]]:
     """Full-batch gradient descent with a decaying step; mean gradient.
-    Returns the weights and the mean loss before each step."""
+    Returns the weights and the mean loss before each step.
+
+    Least squares is exact from the normal statistics: the mean gradient is
+    ``(X^T X w - X^T y) / n``, so ONE pass over the data serves every
+    iteration (the update sequence is the same).  Other losses run one
+    gradient job per iteration over the cached input."""
     w = np.zeros(dims) if w0 is None else np.asarray(w0, dtype=float)
-    data = df.select(V.to_double_array(x).alias("x"), F.col(y).cast("double").alias("y")).cache()
-    losses = []
+    losses: list[float] = []
+    data = df.select(V.to_double_array(x).alias("x"), F.col(y).cast("double").alias("y"))
+    if kind == "squared" and dims <= NORMAL_STATS_MAX_DIMS:
+        xtx, xty, yty, n = normal_statistics(data, dims)
+        if n == 0:
+            return w, losses
+        for i in range(1, iterations + 1):
+            losses.append(float((w @ xtx @ w - 2 * w @ xty + yty) / (2 * n)))
+            g = (xtx @ w - xty) / n
+            w = update(w, g, step / math.sqrt(i), reg, updater)
+        return w, losses
+    data = data.cache()
     try:
         for i in range(1, iterations + 1):
             g, loss, n = gradient_sum(data, w.tolist(), kind)
@@ -99,14 +161,10 @@ def logistic_sum_gd(df: DataFrame, w0: Sequence[float], iterations: int = 5, ste
     intercept, no regularisation: ``w -= step * sum_i x_i (sigma(y_i w.x_i) - 1) y_i``
     (the SUM over rows, a constant step)."""
     w = np.asarray(w0, dtype=float)
-    d = len(w)
     data = df.select(V.to_double_array(x).alias("x"), F.col(y).cast("double").alias("y")).cache()
     try:
         for _ in range(iterations):
-            yy = F.col("y")
-            mult = (F.lit(1.0) / (F.lit(1.0) + F.exp(-(yy * _margin(w.tolist(), "x")))) - F.lit(1.0)) * yy
-            row = data.agg(*[F.sum(F.col("x")[i] * mult).alias(f"g{i}") for i in range(d)]).first()
-            g = np.array([row[f"g{i}"] or 0.0 for i in range(d)])
+            g, _, _ = gradient_sum(data, w.tolist(), "logistic_pm")
             w = w - step * g
     finally:
         data.unpersist()

@@ -135,7 +135,7 @@ def batch_gradient(layers, X: np.ndarray, T: np.ndarray, loss_scale: float, doub
 
 
 def _partial_fn(w: np.ndarray, topology, layout, loss_scale, batch_size, double_sigmoid):
-    n_in = topology[0]
+    n_in, n_out = topology[0], topology[-1]
 
     def fn(it):
         layers = unpack(w, topology, layout)
@@ -156,8 +156,8 @@ def _partial_fn(w: np.ndarray, topology, layout, loss_scale, batch_size, double_
         for pdf in it:
             if pdf.empty:
                 continue
-            X = np.stack(pdf["input"].to_numpy()).astype(float).reshape(-1, n_in)
-            T = np.stack(pdf["output"].to_numpy()).astype(float).reshape(len(pdf), -1)
+            X = V.matrix(pdf, "i", n_in)
+            T = V.matrix(pdf, "o", n_out)
             if batch_size and batch_size > 1:
                 carry_x.append(X)
                 carry_t.append(T)
@@ -187,7 +187,8 @@ def gradient_job(data: DataFrame, w: np.ndarray, topology, layout: str = "A", lo
     """Mean loss and mean gradient over ``data(input, output)`` at ``w``:
     one distributed pass (per-task partial sums + grouped sum)."""
     fn = _partial_fn(np.asarray(w, dtype=float), list(topology), layout, loss_scale, batch_size, double_sigmoid)
-    parts = data.mapInPandas(fn, "pos int, v double")
+    cols = V.spread("input", topology[0], "i") + V.spread("output", topology[-1], "o")
+    parts = data.select(*cols).mapInPandas(fn, "pos int, v double")
     rows = parts.groupBy("pos").agg(F.sum("v").alias("v")).collect()
     tot = {r["pos"]: r["v"] for r in rows}
     n_rows = int(tot.get(-2, 0.0))
@@ -239,7 +240,7 @@ def predict_df(model: MLPModel, df: DataFrame, input_col: str, out: str, layer)
         for pdf in it:
             if pdf.empty:
                 continue
-            X = np.stack(pdf[input_col].to_numpy()).astype(float).reshape(len(pdf), topo[0])
+            X = V.matrix(pdf, "_i", topo[0])
             acts = forward(layers, X)
             res = pdf[cols].copy()
             if all_layers:
@@ -248,7 +249,7 @@ def predict_df(model: MLPModel, df: DataFrame, input_col: str, out: str, layer)
                 a = acts[-1] if layer is None else acts[int(layer)]
                 res[out] = list(a)
             yield res
-    return df.mapInPandas(fn, schema)
+    return df.select("*", *V.spread(input_col, topo[0], "_i")).mapInPandas(fn, schema)
 
 
 def _prepare(data: DataFrame, input_col: str, output_col: str) -> DataFrame:

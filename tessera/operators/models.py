@@ -204,11 +204,11 @@ def gram_matrix(df: DataFrame, features: str = "x") -> np.ndarray:
         acc = np.zeros((d, d))
         for pdf in it:
             if len(pdf):
-                x = np.stack(pdf["x"].to_numpy()).astype(float)
+                x = V.matrix(pdf, "x", d)
                 acc += x.T @ x
         yield pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": acc[iu]})
 
-    parts = df.select(V.to_double_array(features).alias("x")).mapInPandas(partial, "i int, j int, v double")
+    parts = df.select(*V.spread(features, d, "x")).mapInPandas(partial, "i int, j int, v double")
     g = np.zeros((d, d))
     for r in parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
         g[r["i"], r["j"]] = r["v"]
