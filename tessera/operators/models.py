@@ -82,13 +82,14 @@ def _normal_equation_sums(ratings: DataFrame, factors: DataFrame, key: str, othe
     ratings joined with the opposite factors on ``other``.  A hot key is
     handled by partial aggregation; only (rank^2 + rank)/2 + rank sums per
     key and partition cross the shuffle."""
-    j = ratings.join(factors.withColumnRenamed("id", other), other)
+    j = ratings.join(factors.select(F.col("id").alias(other), "f"), other)
     f = F.col("f")
     tri = [(a, b) for a in range(rank) for b in range(a, rank)]
     return j.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(f[a] * f[b]) for a, b in tri]).alias("ata"),
-        F.array(*[F.sum(F.col("r") * f[a]) for a in range(rank)]).alias("atb"))
+        F.array(*[F.sum(F.col("r") * f[a]) for a in range(rank)]).alias("atb"),
+        F.sum(F.col("r") * F.col("r")).alias("rr"))
 
 
 def _solve_batches(rank: int, lam: float):
@@ -103,12 +104,16 @@ def _solve_batches(rank: int, lam: float):
             ata = np.stack(pdf["ata"].to_numpy())
             atb = np.stack(pdf["atb"].to_numpy())
             n = pdf["n"].to_numpy().astype(float)
-            A = np.zeros((len(pdf), rank, rank))
-            A[:, ia, ib] = ata
-            A[:, ib, ia] = ata
-            A += (lam * n)[:, None, None] * np.eye(rank)[None]
+            G = np.zeros((len(pdf), rank, rank))
+            G[:, ia, ib] = ata
+            G[:, ib, ia] = ata
+            A = G + (lam * n)[:, None, None] * np.eye(rank)[None]
             x = np.linalg.solve(A, atb[..., None])[..., 0]
-            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "f": list(x)})
+            # squared error of the new factor over the entity's ratings, from
+            # the same sums: x'Gx - 2 x'b + sum r^2
+            sse = np.einsum("ka,kab,kb->k", x, G, x) - 2 * np.einsum("ka,ka->k", x, atb) + pdf["rr"].to_numpy()
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "f": list(x), "n": n.astype("int64"),
+                                "sse": np.maximum(sse, 0.0)})
     return solve
 
 
@@ -116,9 +121,11 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, key: str, other: str, ra
     """Solve ``(F^T F + lam * n * I) x = F^T r`` for every ``key`` entity with
     the opposite factors ``fixed`` held constant.  The normal equations are
     built by aggregation; the K-sized solves run vectorised in numpy over
-    Arrow batches of the (one row per entity) sums."""
+    Arrow batches of the (one row per entity) sums.  Output ``(id, f, n,
+    sse)``: ``n`` ratings of the entity and their squared error under the
+    new factors, so the RMSE needs no further join."""
     sums = _normal_equation_sums(ratings, fixed, key, other, rank).withColumnRenamed(key, "id")
-    return sums.mapInPandas(_solve_batches(rank, lam), schema="id long, f array<double>")
+    return sums.mapInPandas(_solve_batches(rank, lam), schema="id long, f array<double>, n long, sse double")
 
 
 def init_factors(ids: DataFrame, id_col: str, rank: int, seed: int) -> DataFrame:
@@ -142,6 +149,9 @@ def als_dense(ratings: DataFrame, rank: int = 10, iterations: int = 5, lam: floa
     DataFrames (checkpointed each half-step), never on the driver.
     Returns ``(items, users, [rmse per iteration])``."""
     from ..plans.session import cut_lineage
+    # the ratings are read 3 times per iteration: materialise them once
+    ratings = cut_lineage(ratings.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"),
+                                         F.col("r").cast("double").alias("r")))
     users = init_factors(ratings.select("j").distinct(), "j", rank, seed)
     items = init_factors(ratings.select("i").distinct(), "i", rank, seed + 1)
     hist = []
@@ -152,7 +162,9 @@ def als_dense(ratings: DataFrame, rank: int = 10, iterations: int = 5, lam: floa
         users = als_half_step(ratings, items, "j", "i", rank, lam)
         if checkpoint:
             users = cut_lineage(users)
-        hist.append(float(als_rmse(ratings, items, users).first()["rmse"]))
+        # every rating belongs to exactly one user: the users' squared
+        # errors add up to the whole training error
+        hist.append(float(users.agg(F.sqrt(F.sum("sse") / F.sum("n")).alias("rmse")).first()["rmse"]))
     return items, users, hist
 
 

@@ -59,8 +59,10 @@ def test_lbfgs_quadratic():
 def test_als_dense_low_rank(spark):
     r = low_rank_ratings(spark, m=30, u=40, rank=3, seed=3).select(
         F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), "r")
-    _, _, hist = M.als_dense(r, rank=3, iterations=8, lam=0.0001)
+    items, users, hist = M.als_dense(r, rank=3, iterations=8, lam=0.0001)
     assert hist[-1] < 0.05 and hist[-1] <= hist[0]
+    # the RMSE from the normal-equation sums equals the join-based one
+    assert abs(hist[-1] - M.als_rmse(r, items, users).first()["rmse"]) < 1e-9
 
 
 def test_als_half_step_matches_numpy(spark):
