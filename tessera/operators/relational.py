@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..sources.text import parse_access_log
+from .stats import prefix_sums
 
 # Broadcast only sides proven small: a row-count bound checked at run time.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
@@ -96,9 +96,11 @@ def reindex_labels(df: DataFrame, label: str, out: str = "label_idx") -> DataFra
 
     The distinct label table is small by nature (one row per class) but it is
     still size-checked before it is broadcast."""
-    labels = df.select(label).distinct()
-    # one row per class: the un-partitioned window sorts a class list
-    idx = labels.select(label, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int").alias(out))
+    labels = df.select(label).distinct().withColumn("_one", F.lit(1))
+    # the rank of a distinct label = number of labels before it: a range-
+    # partitioned prefix sum, so even a huge label set is never sorted in
+    # one task
+    idx = prefix_sums(labels, label, ["_one"]).select(label, F.col("_one_before").cast("int").alias(out))
     return lookup_join(df, idx, label, max_rows=100_000)
 
 
