@@ -64,11 +64,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint folder and return a
-    DataFrame whose plan starts there (keeps its output partitioning)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    DataFrame whose plan starts there.
+
+    ``keep_partitioning``: the checkpointed scan reports the hash
+    partitioning ``df`` was written with, so later joins / aggregations on
+    those keys skip their exchange.  An adaptive plan reports no
+    partitioning to the checkpoint, so this one materialisation is planned
+    with AQE off (it is a plain repartition or aggregation; nothing for AQE
+    to re-plan)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    key = "spark.sql.adaptive.enabled"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(key, prev)
 
 
 def local_path(path: str) -> str:
