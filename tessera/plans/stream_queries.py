@@ -10,30 +10,47 @@ from ..sources.tables import table
 from ..streaming.linreg import StreamingLinearRegression, point_stream
 from .registry import register
 
-STREAM_FILES = 3
+STREAM_BATCHES = 3
+ROWS_PER_FILE = 1_000_000      # one writer task per file, so a batch is written by many tasks
 
 
-def write_point_files(spark: SparkSession, sf: str, files: int = STREAM_FILES) -> str:
+def write_point_files(spark: SparkSession, sf: str, batches: int = STREAM_BATCHES) -> tuple[str, int]:
     """Labeled points ``(q/50,[10*discount,10*tax,1.0])`` from every lineitem
-    row, written as ``files`` text files into a fresh shared folder."""
+    row, split by a row hash into ``batches`` arrivals.  Arrival b is written
+    by its own job after arrival b - 1 (so its files are newer, which is the
+    order the file stream source reads them in) as ``k`` files of at most
+    ``ROWS_PER_FILE`` rows each.  Returns the folder and ``k``: reading with
+    ``maxFilesPerTrigger = k`` makes each arrival one micro-batch."""
     li = table(spark, sf, "lineitem")
     s = lambda c: c.cast("string")
+    key = F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     lines = li.select(F.concat(F.lit("("), s(F.col("l_quantity") / 50.0), F.lit(",["),
                                s(F.col("l_discount") * 10), F.lit(","), s(F.col("l_tax") * 10), F.lit(",1.0])")).alias("value"),
-                      F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), F.lit(files)).alias("_f"))
+                      F.pmod(key, F.lit(batches)).alias("_f"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("_s"))
+    per_batch = -(-li.count() // batches)
+    k = max(1, -(-per_batch // ROWS_PER_FILE))
     path = shared_path(spark, "stream-points")
-    lines.repartitionByRange(files, "_f").select("value").write.mode("overwrite").text(path)
-    return path
+    for b in range(batches):
+        one = lines.where(F.col("_f") == b)
+        one = one.repartition(k, F.pmod("_s", F.lit(k))) if k > 1 else one.coalesce(1)
+        one.select("value").write.mode("append").text(path)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n_files = sum(1 for st in fs.listStatus(root) if not st.getPath().getName().startswith(("_", ".")))
+    if n_files != batches * k:
+        raise RuntimeError(f"expected {batches * k} point files, found {n_files}")
+    return path, k
 
 
 @register("stream_linreg")
 def q_stream_linreg(spark: SparkSession, sf: str) -> DataFrame:
-    """Train the streaming model over the point files (one file per
+    """Train the streaming model over the point files (one arrival per
     micro-batch, ``availableNow``), then score the same stream with the final
     weights; one row per training batch with its weights and the test RMSE."""
-    src = write_point_files(spark, sf)
+    src, files_per_batch = write_point_files(spark, sf)
     model = StreamingLinearRegression(spark, num_features=3)
-    q = model.train_on(point_stream(spark, src), available_now=True)
+    q = model.train_on(point_stream(spark, src, max_files_per_trigger=files_per_batch), available_now=True)
     q.awaitTermination()
     out = shared_path(spark, "stream-predictions")
     p = model.predict_on_values(point_stream(spark, src, max_files_per_trigger=None), out, available_now=True)
