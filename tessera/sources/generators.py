@@ -48,12 +48,24 @@ def ramp_counts(spark: SparkSession, mappers: int, pairs: int) -> DataFrame:
                                        F.floor((p + 1) / F.lit(float(mappers)) * F.lit(pairs)).cast("long").alias("n"))
 
 
+# rows one generating task produces at most
+RAMP_CHUNK_ROWS = 1_000_000
+
+
 def kv_ramp(spark: SparkSession, mappers: int, pairs: int, val_size: int = 100, seed: int = 42) -> DataFrame:
-    """Mapper p emits ``int((p+1)/mappers * pairs)`` uniform pairs.  One
-    task per mapper generates its own rows (the skew is the point)."""
-    counts = ramp_counts(spark, mappers, pairs).repartition(mappers, "mapper")
-    rows = counts.select("mapper", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i")).where(F.col("n") > 0)
-    key = F.floor(F.rand(seed) * INT_MAX).cast("int")
+    """Mapper p emits ``int((p+1)/mappers * pairs)`` uniform pairs.
+
+    The skew is in the ``mapper`` label, not in the tasks: each mapper's rows
+    are cut into chunks of at most ``RAMP_CHUNK_ROWS`` that are generated by
+    separate tasks.  Key and payload are hashes of ``(seed, mapper, i)``, so
+    a re-executed task produces the same rows."""
+    counts = ramp_counts(spark, mappers, pairs).where(F.col("n") > 0)
+    chunks = counts.select("mapper", "n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RAMP_CHUNK_ROWS).cast("long"))).alias("chunk"))
+    n_tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), mappers * (pairs // RAMP_CHUNK_ROWS + 1)))
+    rows = chunks.repartition(n_tasks, "mapper", "chunk").select("mapper", F.explode(F.sequence(
+        F.col("chunk") * RAMP_CHUNK_ROWS + 1, F.least(F.col("n"), (F.col("chunk") + 1) * RAMP_CHUNK_ROWS))).alias("i"))
+    key = F.pmod(F.xxhash64(F.lit(seed), F.col("mapper"), F.col("i"), F.lit("key")), F.lit(INT_MAX)).cast("int")
     return rows.select("mapper", key.alias("key"), random_bytes([F.col("mapper"), F.col("i"), F.lit(seed)], val_size).alias("payload"))
 
 
