@@ -9,6 +9,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .session import ship_package
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,7 +29,10 @@ def register(name: str, sql: str | None = None, note: str = ""):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql.strip() if sql else None, note)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        REGISTRY[name] = Query(name, build, sql.strip() if sql else None, note)
         return fn
     return deco
 

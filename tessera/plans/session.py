@@ -2,8 +2,9 @@
 
 Iterative jobs (PageRank, transitive closure, k-means, gradient training)
 cut their plan with ``DataFrame.checkpoint()`` into the reliable folder that
-the cluster names in ``spark.checkpoint.dir``.  Only when no such folder is
-configured (unit tests, a laptop) do we create one of our own.
+the cluster names in ``spark.checkpoint.dir``.  Only a single-JVM session
+(unit tests, a laptop) without one gets a folder of its own; on a cluster a
+missing setting is an error, because executors don't share local disks.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -87,13 +91,22 @@ def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
         spark.conf.set(key, prev)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file helpers used by tests."""
-    return path[5:] if path.startswith("file:") else path
+_SHIPPED: set[str] = set()
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; workers
+    on other machines, or started in another folder, import it from there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tessera-ship-"), "tessera.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
