@@ -10,41 +10,68 @@ from __future__ import annotations
 
 import re
 
-_TOUCHING = re.compile(r" \s|\s |\A | \Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: remembered pieces of a worker before it starts afresh, and their length
-CACHE_ENTRIES = 250_000
+#: remembered pieces of a worker before a new generation starts, and their length
+CACHE_ENTRIES = 300_000
 CACHE_LEN = 64
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at safe spaces, each space dropped; all pieces but the
-    first stand for a space and themselves."""
-    if _TOUCHING.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
+def unsafe(piece: str) -> bool:
+    """Whether white space may reach across an end of the piece."""
+    return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
 class Memo:
-    """piece -> ids as little-endian uint32 bytes; ``encode`` maps a list of
-    strings to such bytes."""
+    """piece -> ids as little-endian uint32 bytes, kept for two generations;
+    ``encode`` maps a list of strings to such bytes."""
 
     def __init__(self, encode):
-        self.encode, self.known = encode, {}
+        self.encode, self.known, self.older = encode, {}, {}
+        self.marks = dict(zip(",.", encode([",", "."])))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        parts = [pieces(t) if t else [] for t in texts]
-        firsts = self.encode([p[0] if p else "" for p in parts])
-        known = self.known
-        rest = [w for w in set().union(*(p[1:] for p in parts)) if w not in known] if parts else []
+    def learn(self, rest: list[str]) -> dict[str, bytes]:
+        """Remember unknown pieces; those too long to keep are returned.  A
+        comma or full stop after a letter is a pre-token of its own, so such a
+        piece is put together from the word and the mark."""
+        older, known, new, ended = self.older, self.known, [], []
+        for w in rest:
+            b = older.get(w)
+            if b is not None:
+                known[w] = b
+            elif w[-1] in self.marks and w[-2:-1].isalpha():
+                ended.append(w)
+            else:
+                new.append(w)
+        if ended:
+            new += {w[:-1] for w in ended}.difference(known, older, new)
         long_ = {}
-        for w, b in zip(rest, self.encode([" " + w for w in rest])):
+        for w, b in zip(new, self.encode([" " + w for w in new])):
             (known if len(w) <= CACHE_LEN else long_)[w] = b
+        for w in ended:
+            core = w[:-1]
+            b = known.get(core) or long_.get(core) or older[core]
+            (known if len(w) <= CACHE_LEN else long_)[w] = b + self.marks[w[-1]]
+        return long_
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        known = self.known
+        parts = [t.split(" ") for t in texts]
+        firsts = [p.pop(0) for p in parts]
+        rest = set().union(*parts).difference(known)
+        bad = {w for w in rest if unsafe(w)}
+        if bad or any(map(unsafe, firsts)):  # cut those texts with care
+            for i, t in enumerate(texts):
+                if unsafe(firsts[i]) or not bad.isdisjoint(parts[i]):
+                    parts[i] = _CUT.split(t)
+                    firsts[i] = parts[i].pop(0)
+            rest = set().union(*parts).difference(known)
+        long_ = self.learn(list(rest))
+        heads = self.encode(firsts)
         if long_:
-            out = [b"".join([f, *(known[w] if w in known else long_[w] for w in p[1:])]) for f, p in zip(firsts, parts)]
+            out = [b"".join([f, *(known[w] if w in known else long_[w] for w in p)]) for f, p in zip(heads, parts)]
         else:
             get = known.__getitem__
-            out = [b"".join([f, *map(get, p[1:])]) for f, p in zip(firsts, parts)]
+            out = [b"".join([f, *map(get, p)]) for f, p in zip(heads, parts)]
         if len(known) > CACHE_ENTRIES:
-            known.clear()
+            self.older, self.known = known, {}
         return out

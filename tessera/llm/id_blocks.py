@@ -118,33 +118,57 @@ def unpack_ids(data: bytes) -> np.ndarray:
 
 
 # -- tokens ------------------------------------------------------------------
-_STATE: dict[str, chunks.Memo] = {}
+_STATE: dict[str, "LibraryEncoder"] = {}
 
 
-def library_encoder(path: str) -> chunks.Memo:
+class LibraryEncoder:
     """The tokenizers library behind a memory of pieces; special strings in a
     text are handled as the library does by default."""
-    if path not in _STATE:
+
+    def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        tk = Tokenizer.from_file(path)
-
-        def encode(texts):
-            return [np.array(e.ids, "<u4").tobytes() for e in tk.encode_batch_fast(texts, add_special_tokens=False)]
-        special = [a.content for a in tk.get_added_tokens_decoder().values()]
-        _STATE[path] = memo = chunks.Memo(encode)
-        memo.whole = lambda t: any(s in t for s in special)  # a special string may hold any characters
-    return _STATE[path]
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tk = Tokenizer.from_file(path)
+        self.special = [a.content for a in self.tk.get_added_tokens_decoder().values()]
+        # a byte-level piece has one character for each byte
+        self.lens = np.zeros(self.tk.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in self.tk.get_vocab(with_added_tokens=False).items():
+            self.lens[i] = len(token)
+        self.byte_level = set("".join(self.tk.get_vocab(with_added_tokens=False))) <= set(pre_tokenizers.ByteLevel.alphabet())
+        self.memo = chunks.Memo(self.pieces)
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """ids of pieces that begin with a space and another character: many
+        go through the library as one text, and the bytes that each id stands
+        for tell where a piece ends."""
+        if not (self.byte_level and len(texts) > 8 and all(len(t) > 1 and t[0] == " " and not t[1].isspace() and not t[-1].isspace() for t in texts)):
+            return self.plain(texts)
+        ids = np.array(self.tk.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        want = np.cumsum([len(t.encode()) for t in texts])
+        ends = np.cumsum(self.lens[ids])
+        cut = np.searchsorted(ends, want) + 1
+        if ends[-1] != want[-1] or not np.array_equal(ends[cut - 1], want):
+            return self.plain(texts)
+        raw, cut = ids.tobytes(), (cut * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *cut[:-1]], cut)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        held = set(odd)
+        out = self.memo.ids(["" if i in held else t for i, t in enumerate(texts)] if odd else texts)
+        for i in odd:  # a special string may stand anywhere in the text
+            out[i] = self.plain([texts[i]])[0]
+        return out
 
 
 def encode_texts(path: str, texts: list[str]) -> list[bytes]:
-    memo = library_encoder(path)
-    out = memo.ids(["" if memo.whole(t) else t for t in texts])
-    for i, t in enumerate(texts):
-        if memo.whole(t):
-            out[i] = memo.encode([t])[0]
-    return out
+    if path not in _STATE:
+        _STATE[path] = LibraryEncoder(path)
+    return _STATE[path].encode(texts)
 
 
 # -- files -------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.session import ship_package
 from ..sources.tables import table
-from . import byte_bpe, id_blocks, token_counts
+from . import byte_bpe, decontaminate, id_blocks, near_dups, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -39,3 +39,21 @@ def op5_id_blocks(spark, sf):
 def op6_byte_bpe(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op7_toxicity(spark, sf):
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_near_duplicates(spark, sf):
+    return near_dups.near_duplicates(table(spark, sf, "documents"), width=2, percent=80)
+
+
+@query
+def op10_decontamination(spark, sf):
+    return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE_SQL["op10_decontamination"] = decontaminate.ORACLE_SQL

@@ -41,7 +41,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     k = 1
     while k < n:  # doubling: out[k:2k] = out[:k] * base^k
         m = min(k, n - k)
-        out[k:k + m] = out[:m] * (out[k - 1] * base)
+        out[k:k + m] = out[:m] * (out[k - 1:k] * base)
         k += m
     return out
 
@@ -71,15 +71,17 @@ def slices(offs: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         a = min(b, n)
 
 
-def words(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE) -> tuple[np.ndarray, ...]:
-    """Words of consecutive texts: (text index, start, end, 64-bit hash) arrays.
+def words(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Words of consecutive texts: (text index, start, end, 64-bit hash) arrays,
+    and a hash of the first k bytes of each word for every k in ``heads``.
 
     ``data`` must be lower-cased already; a word never crosses a text end.
     """
     n = len(data)
+    z = np.zeros(0, np.int64)
+    empty = (z, z, z, *[np.zeros(0, np.uint64)] * (1 + len(heads)))
     if n == 0:
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, np.uint64)
+        return empty
     inside = ~sep[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -88,14 +90,16 @@ def words(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE) -> tuple[
     pos = np.flatnonzero(inside)
     head = np.flatnonzero(first[pos])  # index into pos of each word's first byte
     if len(head) == 0:
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, np.uint64)
+        return empty
     lens = np.diff(np.append(head, len(pos)))
     start = pos[head]
     k = np.arange(len(pos)) - np.repeat(head, lens)
-    h = np.add.reduceat(_BYTE[data[pos]] * powers(_BASE, int(lens.max()))[k], head)
+    v = _BYTE[data[pos]] * powers(_BASE, int(lens.max()))[k]
     text = np.searchsorted(offs, start, side="right") - 1
-    return text, start, start + lens, mix(h ^ (lens.astype(np.uint64) * _GOLDEN))
+    out = [mix(np.add.reduceat(v, head) ^ (lens.astype(np.uint64) * _GOLDEN))]
+    for m in heads:
+        out.append(mix(np.add.reduceat(np.where(k < m, v, np.uint64(0)), head) ^ (np.minimum(lens, m).astype(np.uint64) * _GOLDEN)))
+    return text, start, start + lens, *out
 
 
 def shingles(text: np.ndarray, h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
