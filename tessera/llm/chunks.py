@@ -26,52 +26,69 @@ class Memo:
     ``encode`` maps a list of strings to such bytes."""
 
     def __init__(self, encode):
-        self.encode, self.known, self.older = encode, {}, {}
+        self.encode, self.known, self.older, self.breaks = encode, {}, {}, {}
         self.marks = dict(zip(",.", encode([",", "."])))
 
     def learn(self, rest: list[str]) -> dict[str, bytes]:
-        """Remember unknown pieces; those too long to keep are returned.  A
-        comma or full stop after a letter is a pre-token of its own, so such a
-        piece is put together from the word and the mark."""
-        older, known, new, ended = self.older, self.known, [], []
+        """ids of unknown pieces, remembered unless they are long.  A comma or
+        full stop after a letter is a pre-token of its own, and so is a newline
+        between two other characters; such pieces are put together from their
+        parts."""
+        older, known, breaks, marks = self.older, self.known, self.breaks, self.marks
+        out, new, ended, broken = {}, set(), [], []
         for w in rest:
             b = older.get(w)
             if b is not None:
-                known[w] = b
-            elif w[-1] in self.marks and w[-2:-1].isalpha():
+                out[w] = known[w] = b
+            elif w[-1] in marks and w[-2:-1].isalpha():
                 ended.append(w)
             else:
-                new.append(w)
-        if ended:
-            new += {w[:-1] for w in ended}.difference(known, older, new)
-        long_ = {}
-        for w, b in zip(new, self.encode([" " + w for w in new])):
-            (known if len(w) <= CACHE_LEN else long_)[w] = b
+                a, _, z = w.partition("\n")
+                if z and not a[-1].isspace() and not z[0].isspace():
+                    broken.append((w, a, "\n" + z))
+                else:
+                    new.add(w)
+        for w, a, z in broken:
+            if a[-1] in marks and a[-2:-1].isalpha():
+                ended.append(a)
+            elif a not in known and a not in older:
+                new.add(a)
+        new.update(c for c in (w[:-1] for w in ended) if c not in known and c not in older)
+        todo = list(new)
+        tails = list({z for _, _, z in broken if z not in breaks})
+        got = self.encode([" " + w for w in todo])
+        out.update(zip(todo, got))
+        part = out.get
         for w in ended:
-            core = w[:-1]
-            b = known.get(core) or long_.get(core) or older[core]
-            (known if len(w) <= CACHE_LEN else long_)[w] = b + self.marks[w[-1]]
-        return long_
+            c = w[:-1]
+            out[w] = (part(c) or known.get(c) or older[c]) + marks[w[-1]]
+        if broken:
+            fresh = dict(zip(tails, self.encode(tails)))
+            for w, a, z in broken:
+                out[w] = (part(a) or known.get(a) or older[a]) + (fresh.get(z) or breaks[z])
+            breaks.update((z, b) for z, b in fresh.items() if len(z) <= CACHE_LEN)
+        known.update((w, b) for w, b in out.items() if len(w) <= CACHE_LEN)
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        known = self.known
+        get = self.known.get
         parts = [t.split(" ") for t in texts]
         firsts = [p.pop(0) for p in parts]
-        rest = set().union(*parts).difference(known)
+        vals = [list(map(get, p)) for p in parts]
+        rest = {w for p, v in zip(parts, vals) if None in v for w, b in zip(p, v) if b is None}
         bad = {w for w in rest if unsafe(w)}
         if bad or any(map(unsafe, firsts)):  # cut those texts with care
             for i, t in enumerate(texts):
                 if unsafe(firsts[i]) or not bad.isdisjoint(parts[i]):
                     parts[i] = _CUT.split(t)
                     firsts[i] = parts[i].pop(0)
-            rest = set().union(*parts).difference(known)
-        long_ = self.learn(list(rest))
+                    vals[i] = list(map(get, parts[i]))
+            rest = {w for p, v in zip(parts, vals) if None in v for w, b in zip(p, v) if b is None}
+        new = self.learn(list(rest))
         heads = self.encode(firsts)
-        if long_:
-            out = [b"".join([f, *(known[w] if w in known else long_[w] for w in p)]) for f, p in zip(heads, parts)]
-        else:
-            get = known.__getitem__
-            out = [b"".join([f, *map(get, p)]) for f, p in zip(heads, parts)]
-        if len(known) > CACHE_ENTRIES:
-            self.older, self.known = known, {}
+        out = [b"".join([f, *(v if None not in v else [new[w] if b is None else b for w, b in zip(p, v)])]) for f, p, v in zip(heads, parts, vals)]
+        if len(self.known) > CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        if len(self.breaks) > CACHE_ENTRIES // 4:
+            self.breaks = {}
         return out

@@ -142,10 +142,10 @@ class LibraryEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, texts: list[str]) -> list[bytes]:
-        """ids of pieces that begin with a space and another character: many
+        """ids of pieces that begin with a space or newline and another character: many
         go through the library as one text, and the bytes that each id stands
         for tell where a piece ends."""
-        if not (self.byte_level and len(texts) > 8 and all(len(t) > 1 and t[0] == " " and not t[1].isspace() and not t[-1].isspace() for t in texts)):
+        if not (self.byte_level and len(texts) > 8 and all(len(t) > 1 and t[0] in " \n" and not t[1].isspace() and not t[-1].isspace() for t in texts)):
             return self.plain(texts)
         ids = np.array(self.tk.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
         want = np.cumsum([len(t.encode()) for t in texts])
@@ -197,8 +197,8 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None
                 pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))], SEGMENTS.names)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a in range(0, len(ids), 128):
-                for d, t in zip(ids[a:a + 128], encode_texts(tokenizer, ["" if t is None else t for t in texts[a:a + 128]])):
+            for a in range(0, len(ids), 256):
+                for d, t in zip(ids[a:a + 256], encode_texts(tokenizer, ["" if t is None else t for t in texts[a:a + 256]])):
                     docs.append(d)
                     parts.append(t + end)
                     held += len(t) // 4 + 1

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.session import ship_package
 from ..sources.tables import table
-from . import byte_bpe, decontaminate, id_blocks, near_dups, token_counts, toxicity
+from . import (byte_bpe, cap_filters, decontaminate, id_blocks, line_dedup, near_dups, suffix_dedup, token_counts, toxicity,
+               url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,6 +30,28 @@ def op1_token_counts(spark, sf):
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op2_suffix_dedup(spark, sf):
+    return suffix_dedup.strip_repeats(table(spark, sf, "documents"))
+
+
+#: the dealt rules: action, host, path
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query
+def op3_url_filter(spark, sf):
+    return url_filter.judge(table(spark, sf, "pages"), RULES)
+
+
+ORACLE_SQL["op3_url_filter"] = url_filter.oracle_sql(RULES)
+
+
+@query
+def op4_line_dedup(spark, sf):
+    return line_dedup.dedup_report(table(spark, sf, "documents"))
+
+
 @query
 def op5_id_blocks(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -51,6 +74,11 @@ def op8_near_duplicates(spark, sf):
     return near_dups.near_duplicates(table(spark, sf, "documents"), width=2, percent=80)
 
 
+@query
+def op9_cap_filters(spark, sf):
+    return cap_filters.near_vectors(table(spark, sf, "embeddings"), cosine=0.9)
+
+
 @query
 def op10_decontamination(spark, sf):
     return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
