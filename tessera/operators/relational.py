@@ -1,5 +1,4 @@
-"""Relational building blocks: roll-ups, skew-aware grouping, size-checked
-broadcast lookups, label re-indexing, class fractions.
+"""Relational building blocks: roll-ups, skew-aware grouping, lookups, label re-indexing, class fractions.
 
 All of them are declarative DataFrame plans: Catalyst pushes filters and
 column pruning into the scans and every aggregate gets a map-side partial
@@ -14,9 +13,6 @@ from pyspark.sql import functions as F
 from ..sources.text import parse_access_log
 from .stats import prefix_sums
 
-# Broadcast only sides proven small: a row-count bound checked at run time.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
 
 def log_rollup(lines: DataFrame, col: str = "value") -> DataFrame:
     """Access-log roll-up: per (ip, user, query) the number of requests and
@@ -72,36 +68,22 @@ def class_fractions(df: DataFrame, label: str) -> DataFrame:
             .select(label, "n", (F.col("n") / F.col("_total")).alias("fraction")))
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df, True)`` with a broadcast hint when ``small`` has at most
-    ``max_rows`` rows, else ``(df, False)`` unchanged so the join falls back
-    to a shuffle join.  The check is one count of the small side."""
-    n = small.count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    return small, False
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Map-side lookup of ``fact`` rows in ``dim``: broadcast when the
-    dimension side is within ``max_rows``, sort-merge/shuffle-hash otherwise."""
-    d, _ = checked_broadcast(dim, max_rows)
-    return fact.join(d, on, how)
+def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Lookup of ``fact`` rows in ``dim``.  No hint: Spark broadcasts a side whose
+    size in bytes is below its threshold, from the statistics of the plan or,
+    with adaptive execution, of the finished stage, and shuffles otherwise."""
+    return fact.join(dim, on, how)
 
 
 def reindex_labels(df: DataFrame, label: str, out: str = "label_idx") -> DataFrame:
-    """Map labels to dense 0-based indices in sorted label order (keeps
-    labels as they are when the label set is already {0, 1}).
-
-    The distinct label table is small by nature (one row per class) but it is
-    still size-checked before it is broadcast."""
+    """Map labels to dense 0-based indices in sorted label order, as a last
+    column; the others keep their order."""
     labels = df.select(label).distinct().withColumn("_one", F.lit(1))
     # the rank of a distinct label = number of labels before it: a range-
     # partitioned prefix sum, so even a huge label set is never sorted in
     # one task
     idx = prefix_sums(labels, label, ["_one"]).select(label, F.col("_one_before").cast("int").alias(out))
-    return lookup_join(df, idx, label, max_rows=100_000)
+    return lookup_join(df, idx, label).select(*df.columns, out)
 
 
 def cardinalities(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.session import cut_lineage
+
 
 def column_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """mean, sample variance, number of non-zeros, max and min of every
@@ -61,10 +63,14 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], partit
     """Exclusive running sums of ``value_cols`` in ``order_col`` order
     (``order_col`` unique), computed without a single-task global window:
     range-partition, sum each partition (one row per partition), turn those
-    few rows into offsets, then a window per range partition."""
+    few rows into offsets, then a window per range partition.
+
+    The range-partitioned rows are checkpointed with their partition number:
+    range bounds are sampled anew each time a plan is evaluated, so totals and
+    local sums must both read the one partitioning that was written."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id())
+    ranged = cut_lineage(df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id()))
     per_part = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     # one row per range partition: a bounded table, so a global window is fine
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -93,9 +99,24 @@ def auc_roc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
 
 
 def group_mean_vectors(df: DataFrame, key: str, vec: str, out: str = "mean") -> DataFrame:
-    """Element-wise mean vector per key: posexplode + ``groupBy(key, pos)``
-    (partial-aggregated), then the <= D means per key are put back in order."""
-    ex = df.select(key, F.posexplode(vec).alias("pos", "v"))
-    m = ex.groupBy(key, "pos").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    return (m.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_s"))
-            .select(key, F.transform("_s", lambda s: s["m"]).alias(out)))
+    """Element-wise mean vector per key: one pass with a vector accumulator per
+    key and task, merged after the shuffle; rows are never multiplied by D."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = df.select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    return v.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias("_m")).select(key, vector_to_array("_m").alias(out))
+
+
+def pr_area(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Exact area under the precision-recall curve: every distinct score is a
+    threshold, trapezoids between neighbouring points, and the curve starts at
+    recall 0 with the first point's precision.  Same plan as ``auc_roc``; a
+    point's predecessor follows from the running sums of its own row."""
+    pos = (F.col(label) > 0).cast("bigint")
+    g = df.groupBy((-F.col(score)).alias("s")).agg(F.sum(pos).alias("p"), F.sum(F.lit(1) - pos).alias("q"))
+    ps = prefix_sums(g, "s", ["p", "q"])
+    tp0, fp0, tp, fp = F.col("p_before"), F.col("q_before"), F.col("p_before") + F.col("p"), F.col("q_before") + F.col("q")
+    now = tp / (tp + fp)
+    before = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(now)
+    return ps.agg((F.sum(F.col("p") * (now + before) / 2) / F.sum("p")).alias("auc_pr"),
+                  F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))

@@ -69,7 +69,7 @@ SELECT c.c_custkey, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.
 def q_broadcast_lookup(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return R.lookup_join(c, n, "c_nationkey", max_rows=100_000).select("c_custkey", "n_name")
+    return R.lookup_join(c, n, "c_nationkey").select("c_custkey", "n_name")
 
 
 @register("broadcast_lookup_two", sql="""
@@ -82,7 +82,7 @@ def q_broadcast_lookup_two(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice")
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    j = R.lookup_join(R.lookup_join(li, s, "l_suppkey"), n, "s_nationkey", max_rows=100_000)
+    j = R.lookup_join(R.lookup_join(li, s, "l_suppkey"), n, "s_nationkey")
     return j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_lines"),
                                    F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
 
@@ -163,7 +163,7 @@ mv AS (SELECT label, list(m ORDER BY pos) AS mean FROM m GROUP BY label)
 def _with_label_means(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
     means = group_mean_vectors(e, "label", "embedding")
-    return R.lookup_join(e, means, "label", max_rows=100_000)
+    return R.lookup_join(e, means, "label")
 
 
 @register("vector_dot", sql=_MEANS_SQL + """

@@ -41,16 +41,16 @@ def q_label_feature_corr(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("accuracy", sql="""
-SELECT CAST(count(*) AS BIGINT) AS n,
-       CAST(sum(CASE WHEN list_position(embedding[1:10], list_max(embedding[1:10])) - 1 = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
-       round(avg(CASE WHEN list_position(embedding[1:10], list_max(embedding[1:10])) - 1 = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
-FROM embeddings
+WITH p AS (SELECT (list_position(embedding, list_max(embedding)) - 1) % 10 AS prediction, label FROM embeddings)
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+       round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM p
 """)
 def q_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    """Accuracy of a fixed rule: predicted class = argmax of the first ten
-    embedding dimensions."""
+    """Accuracy of a fixed rule over the whole vector: predicted class = position
+    of the largest component, modulo the ten classes."""
     e = table(spark, sf, "embeddings")
-    pred = e.select(V.argmax(F.slice("embedding", 1, 10)).alias("prediction"), F.col("label"))
+    pred = e.select((V.argmax("embedding") % 10).alias("prediction"), F.col("label"))
     a = S.accuracy(pred)
     return a.select("n", "correct", F.round("accuracy", 6).alias("accuracy"))
 
@@ -73,3 +73,26 @@ def q_auc_roc(spark: SparkSession, sf: str) -> DataFrame:
     a = S.auc_roc(d.join(lab, "doc_id"))
     return a.select(F.round("auc", 6).alias("auc"), F.col("n_pos").cast("bigint").alias("n_pos"),
                     F.col("n_neg").cast("bigint").alias("n_neg"))
+
+
+@register("auc_pr", sql="""
+WITH d AS (
+  SELECT CAST(d.n_chars AS DOUBLE) AS s, l.quality AS y FROM documents d JOIN labels l USING (doc_id)
+), g AS (
+  SELECT s, sum(CASE WHEN y > 0 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN y > 0 THEN 0 ELSE 1 END) AS q FROM d GROUP BY s
+), c AS (
+  SELECT s, p, sum(p) OVER w AS tp, sum(q) OVER w AS fp FROM g WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING)
+), r AS (
+  SELECT s, p, tp / (tp + fp) AS prec FROM c
+)
+SELECT round(sum(p * (prec + coalesce(before, prec)) / 2) / sum(p), 6) AS auc_pr,
+       CAST(sum(p) AS BIGINT) AS n_pos, (SELECT CAST(sum(q) AS BIGINT) FROM g) AS n_neg
+FROM (SELECT *, lag(prec) OVER (ORDER BY s DESC) AS before FROM r)
+""")
+def q_auc_pr(spark: SparkSession, sf: str) -> DataFrame:
+    """Area under the precision-recall curve of document length as a quality score."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double").alias("score"))
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    a = S.pr_area(d.join(lab, "doc_id"))
+    return a.select(F.round("auc_pr", 6).alias("auc_pr"), F.col("n_pos").cast("bigint").alias("n_pos"),
+                    F.col("n_neg").cast("bigint").alias("n_neg"))
