@@ -1,20 +1,23 @@
 """Sampling and splitting.
 
-Design rules: every random choice is a function of row content and a seed
-(``xxhash64``), so a re-executed task draws the same rows; no stratum is
-ever gathered into one task; only per-stratum counts (one row per stratum)
-and per-partition offsets (one row per partition) are small tables.
+Design rules: stratified and exact samples are functions of row content and a
+seed (``xxhash64``), so a re-executed task draws the same rows (``sample`` and
+``random_split`` are Spark's own seeded samplers); no stratum is ever gathered
+into one task; only the caller's strata and per-partition offsets (one row per
+partition) are small tables.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.session import cut_lineage
+
 _TWO53 = float(2 ** 53)
 
 
@@ -23,17 +26,26 @@ def uniform_hash(cols: Sequence[str], seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(2 ** 53)).cast("double") / F.lit(_TWO53)
 
 
-def poisson_count(mean: Column, u: Column, max_k: int = 40) -> Column:
-    """Inverse-CDF Poisson(mean) draw from a uniform ``u``: smallest k with
-    ``u <= CDF(k)`` (bounded at ``max_k``, far in the tail for mean <= 1).
-    ``u`` must be deterministic per row (a row hash or a column holding one
-    draw): it is read once per CDF step."""
-    init = F.struct(F.lit(0).alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("c"))
+#: a Poisson variable of this mean or less stays below POISSON_TERMS with
+#: probability 1 - 1e-30, beyond the resolution of a 53-bit uniform value
+POISSON_MEAN, POISSON_TERMS = 8.0, 64
+
+
+def poisson_count(mean: Column, uniform: Callable[[Column], Column]) -> Column:
+    """Poisson(mean) draw for any mean: the sum of ``ceil(mean / 8)`` draws of
+    mean 8 or less, each by inverse CDF (smallest k with ``u <= CDF(k)``).
+    ``uniform(i)`` gives the i-th deterministic uniform value of the row."""
+    parts = F.greatest(F.lit(1), F.ceil(mean / POISSON_MEAN).cast("int"))
+    m = mean / parts
+
+    def draw(i):
+        init = F.struct(F.lit(0).alias("k"), F.exp(-m).alias("p"), F.exp(-m).alias("c"), uniform(i).alias("u"))
 
-    def step(acc, j):
-        p = acc["p"] * mean / j.cast("double")
-        return F.when(u > acc["c"], F.struct(j.alias("k"), p.alias("p"), (acc["c"] + p).alias("c"))).otherwise(acc)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max_k)), init, step)["k"]
+        def step(a, j):
+            p = a["p"] * m / j.cast("double")
+            return F.when(a["u"] > a["c"], F.struct(j.alias("k"), p.alias("p"), (a["c"] + p).alias("c"), a["u"].alias("u"))).otherwise(a)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(POISSON_TERMS)), init, step)["k"]
+    return F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda acc, i: acc + draw(i))
 
 
 # ---------------------------------------------------------------- A1
@@ -46,8 +58,9 @@ def sample(df: DataFrame, with_replacement: bool, fraction: float, seed: int = 4
 def with_row_index(df: DataFrame, out: str = "_idx") -> DataFrame:
     """Dense 0-based row index without a single-task sort: per-partition row
     counts (one row per partition) give offsets that are added to the
-    partition-local position of ``monotonically_increasing_id``."""
-    m = df.withColumn("_mid", F.monotonically_increasing_id())
+    partition-local position of ``monotonically_increasing_id``.  The numbered
+    rows are checkpointed, so counts and positions read the same partitions."""
+    m = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id()))
     m = m.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = m.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
@@ -61,15 +74,16 @@ def with_row_index(df: DataFrame, out: str = "_idx") -> DataFrame:
 def take_sample(df: DataFrame, n: int, id_cols: Sequence[str], with_replacement: bool = False,
                 seed: int = 42) -> DataFrame:
     """Exactly ``min(n, N)`` rows without replacement (the ``n`` smallest row
-    hashes: a top-n, the sample size is the feature), or exactly ``n`` draws
-    with replacement (n uniform positions joined to a dense row index)."""
+    hashes, found by distributed bucketing), or exactly ``n`` draws with
+    replacement (n hashed positions joined to a dense row index)."""
     if not with_replacement:
-        return (df.withColumn("_u", uniform_hash(id_cols, seed))
-                .orderBy("_u", *id_cols).limit(n).drop("_u"))
-    idx = with_row_index(df)
+        one = df.withColumn("_all", F.lit(0))
+        return _smallest_hashes(one, "_all", [(0, int(n))], id_cols, seed).select(*df.columns)
+    idx = cut_lineage(with_row_index(df))
     total = idx.agg(F.count(F.lit(1)).alias("_n"))
+    u = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(2 ** 53)).cast("double") / F.lit(_TWO53)
     draws = (df.sparkSession.range(n).crossJoin(F.broadcast(total))        # one-row side
-             .select(F.floor(F.rand(seed) * F.col("_n")).cast("long").alias("_idx"))
+             .select(F.floor(u * F.col("_n")).cast("long").alias("_idx"))
              .groupBy("_idx").agg(F.count(F.lit(1)).alias("_times")))
     return (idx.join(draws, "_idx")
             .withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
@@ -78,30 +92,39 @@ def take_sample(df: DataFrame, n: int, id_cols: Sequence[str], with_replacement:
 
 # ---------------------------------------------------------------- A3
 def fraction_column(key: str, fractions: Mapping) -> Column:
-    """Per-stratum fraction as a literal map lookup (one entry per stratum)."""
-    m = F.create_map(*[x for k, f in fractions.items() for x in (F.lit(k), F.lit(float(f)))])
-    return F.coalesce(m[F.col(key)], F.lit(0.0))
+    """Per-stratum fraction as a literal lookup (one entry per stratum that the
+    caller names; a null stratum has the fraction of ``None``)."""
+    pairs = [x for k, f in fractions.items() if k is not None for x in (F.lit(k), F.lit(float(f)))]
+    named = F.coalesce(F.create_map(*pairs)[F.col(key)], F.lit(0.0)) if pairs else F.lit(0.0)
+    return F.when(F.col(key).isNull(), F.lit(float(fractions.get(None, 0.0)))).otherwise(named)
+
+
+def check_fractions(fractions: Mapping, with_replacement: bool) -> None:
+    for k, f in fractions.items():
+        if not 0 <= f or not with_replacement and f > 1:
+            raise ValueError(f"fraction {f} of stratum {k!r}: must be 0 or more" + ("" if with_replacement else ", and at most 1 without replacement"))
 
 
 def sample_by_key(df: DataFrame, key: str, fractions: Mapping, with_replacement: bool,
                   id_cols: Sequence[str], seed: int = 42) -> DataFrame:
     """Approximate stratified sample: each row is kept with its stratum's
     fraction (Bernoulli), or repeated Poisson(fraction) times."""
+    check_fractions(fractions, with_replacement)
     f = fraction_column(key, fractions)
-    u = uniform_hash(id_cols, seed)
     if not with_replacement:
-        return df.where(u < f)
-    k = poisson_count(f, u)
+        return df.where(uniform_hash(id_cols, seed) < f)
+    k = poisson_count(f, lambda i: F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols], i), F.lit(2 ** 53)).cast("double") / F.lit(_TWO53))
     return (df.withColumn("_k", k).where(F.col("_k") > 0)
             .withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_k")))).drop("_k", "_rep"))
 
 
 # ---------------------------------------------------------------- A4
 def stratum_targets(df: DataFrame, key: str, fractions: Mapping) -> DataFrame:
-    """One row per stratum: size and exact target ``ceil(f * n)``."""
+    """One row per sampled stratum (at most as many as ``fractions`` names):
+    size and exact target ``ceil(f * n)``."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
             .withColumn("_f", fraction_column(key, fractions))
-            .withColumn("_m", F.ceil(F.col("_f") * F.col("_n")).cast("long")))
+            .withColumn("_m", F.ceil(F.col("_f") * F.col("_n")).cast("long")).where("_m > 0"))
 
 
 def sample_by_key_exact(df: DataFrame, key: str, fractions: Mapping, id_cols: Sequence[str],
@@ -110,57 +133,68 @@ def sample_by_key_exact(df: DataFrame, key: str, fractions: Mapping, id_cols: Se
     """Exact stratified sample: exactly ``ceil(f_k * n_k)`` rows of stratum k.
 
     Without replacement: the rows with the smallest hashes of each stratum.
-    The k-th smallest hash is found by distributed bucketing, never by
-    sorting a stratum in one task: count rows per (stratum, hash bucket)
-    (partial aggregation), cumulate over the <= ``buckets`` buckets of each
-    stratum, keep buckets below the boundary whole and refine the boundary
-    bucket again until it holds at most ``final_max`` rows; only those are
-    ranked.  With replacement: ``m_k`` uniform draws of a per-stratum dense
-    row index."""
+    With replacement: ``m_k`` uniform draws of a per-stratum dense row index."""
+    check_fractions(fractions, with_replacement)
     if with_replacement:
         return _exact_with_replacement(df, key, fractions, id_cols, seed)
+    targets = stratum_targets(df, key, fractions).collect()          # one row per named stratum
+    return _smallest_hashes(df, key, [(r[key], int(r["_m"])) for r in targets], id_cols, seed, buckets, final_max)
+
+
+def _lookup(df: DataFrame, key: str, side: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on ``key`` where a null matches a null; ``side`` holds ``_key``."""
+    return df.join(side, df[key].eqNullSafe(side["_key"]), how).drop("_key")
+
+
+def _smallest_hashes(df: DataFrame, key: str, targets: Sequence[tuple[object, int]], id_cols: Sequence[str], seed: int,
+                     buckets: int = 1 << 16, final_max: int = 1 << 20) -> DataFrame:
+    """The ``m`` rows with the smallest hashes of each stratum of ``targets``.
+
+    The m-th smallest hash is found by distributed bucketing, never by sorting a
+    stratum in one task: count rows per (stratum, hash bucket) (partial
+    aggregation), cumulate over the <= ``buckets`` buckets of each stratum, keep
+    buckets below the boundary whole and refine the boundary bucket again until
+    it holds at most ``final_max`` rows; only those are ranked.  ``targets`` is
+    the caller's list, so the broadcast state is as small."""
     bits = int(math.log2(buckets))
     # integer hash in [0, 2^53): bucket boundaries are exact bit shifts
     base = df.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(2 ** 53)))
-    targets = stratum_targets(df, key, fractions).collect()          # one row per stratum
     ktype = df.schema[key].dataType.simpleString()
-    state_rows = [(r[key], 0, int(r["_m"])) for r in targets]          # (key, lo, still needed)
+    state_rows = [(k, 0, m) for k, m in targets]                      # (key, lo, still needed)
     span = 53                                                         # interval = [lo, lo + 2^span)
     spark = df.sparkSession
 
-    def state_df(rows, span_):
-        return spark.createDataFrame([(k, lo, need, span_) for k, lo, need in rows],
-                                     f"`{key}` {ktype}, _lo long, _need long, _span int")
+    def state_df():
+        return F.broadcast(spark.createDataFrame(state_rows, f"_key {ktype}, _lo long, _need long"))
 
-    def in_interval(span_):
-        return (F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_lo") + F.lit(1 << span_))
+    def in_interval():
+        return (F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_lo") + F.lit(1 << span))
 
-    while span > 0:
-        st = F.broadcast(state_df(state_rows, span))
-        in_iv = in_interval(span)
+    while span > 0 and state_rows:
         shift = max(span - bits, 0)
-        cand = base.join(st, key).where(in_iv & (F.col("_need") > 0))
+        cand = _lookup(base, key, state_df()).where(in_interval() & (F.col("_need") > 0))
         cnt = (cand.withColumn("_b", F.shiftright(F.col("_h") - F.col("_lo"), shift))
-               .groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_c")))
+               .groupBy(key, "_need", "_b").agg(F.count(F.lit(1)).alias("_c")))
         w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        cum = cnt.withColumn("_cum", F.sum("_c").over(w)).join(st.select(key, "_need"), key)
+        cum = cnt.withColumn("_cum", F.sum("_c").over(w))
         bnd = {r[key]: r["_x"] for r in cum.where(F.col("_cum") >= F.col("_need"))
                .groupBy(key).agg(F.min(F.struct("_b", "_cum", "_c")).alias("_x")).collect()}
         new_rows, widest = [], 0
         for k, lo, need in state_rows:
             x = bnd.get(k)
-            if x is None or need <= 0:
-                new_rows.append((k, lo, need))
+            if x is None or need <= 0:         # the whole interval is needed, or none of it
+                new_rows.append((k, lo, need) if need <= 0 else (k, lo + (1 << span), 0))
                 continue
             new_rows.append((k, lo + (x["_b"] << shift), need - (x["_cum"] - x["_c"])))
             widest = max(widest, x["_c"])
         state_rows, span = new_rows, shift
         if widest <= final_max:
             break
-    st = F.broadcast(state_df(state_rows, span))
-    joined = base.join(st, key)
+    if not state_rows:
+        return df.limit(0)
+    joined = _lookup(base, key, state_df())
     below = joined.where(F.col("_h") < F.col("_lo"))
-    edge = joined.where(in_interval(span) & (F.col("_need") > 0))
+    edge = joined.where(in_interval() & (F.col("_need") > 0))
     wr = Window.partitionBy(key).orderBy("_h", *id_cols)
     edge = edge.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= F.col("_need"))
     cols = df.columns
@@ -168,26 +202,27 @@ def sample_by_key_exact(df: DataFrame, key: str, fractions: Mapping, id_cols: Se
 
 
 def _exact_with_replacement(df, key, fractions, id_cols, seed):
-    m = df.withColumn("_mid", F.monotonically_increasing_id())
+    m = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id()))
     m = m.withColumn("_pid", F.shiftright("_mid", 33))
     # partition-local rank within a stratum: each window group is one input
     # partition's share of a stratum, bounded by the input split size
     m = m.withColumn("_lr", F.row_number().over(Window.partitionBy(key, "_pid").orderBy("_mid")) - 1)
     pc = m.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = pc.select(key, "_pid", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    idx = m.join(off, [key, "_pid"]).withColumn("_idx", F.col("_off") + F.col("_lr"))
-    targets = stratum_targets(df, key, fractions).where(F.col("_m") > 0)
+    off = pc.select(F.col(key).alias("_key"), F.col("_pid").alias("_p"), F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
+    idx = (m.join(off, m[key].eqNullSafe(off["_key"]) & (m["_pid"] == off["_p"])).drop("_key", "_p")
+           .withColumn("_idx", F.col("_off") + F.col("_lr")))
+    targets = stratum_targets(df, key, fractions)
     chunk = 100_000
     chunks = (targets.withColumn("_ch", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / chunk).cast("long"))))
               .repartition(key, "_ch"))
     draws = (chunks.withColumn("_j", F.explode(F.sequence(
                 F.col("_ch") * chunk, F.least(F.col("_m"), (F.col("_ch") + 1) * chunk) - 1)))
-             .withColumn("_idx", F.floor(
+             .withColumn("_at", F.floor(
                  F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_j")), F.lit(2 ** 53)).cast("double")
                  / F.lit(_TWO53) * F.col("_n")).cast("long"))
-             .groupBy(key, "_idx").agg(F.count(F.lit(1)).alias("_times")))
-    return (idx.join(draws, [key, "_idx"])
+             .groupBy(F.col(key).alias("_key"), "_at").agg(F.count(F.lit(1)).alias("_times")))
+    return (idx.join(draws, idx[key].eqNullSafe(draws["_key"]) & (idx["_idx"] == draws["_at"])).drop("_key")
             .withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
             .select(*df.columns))
 
@@ -226,7 +261,3 @@ def hash_split(df: DataFrame, weights: Sequence[float], id_cols: Sequence[str],
     for i in range(len(weights) - 2, -1, -1):
         expr = F.when(u < F.lit(bounds[i]), F.lit(i)).otherwise(expr)
     return df.withColumn(out, expr.cast("int"))
-
-
-def ceil_target(f: float, n: int) -> int:
-    return int(math.ceil(f * n))

@@ -24,14 +24,36 @@ def q_sample_replace(spark: SparkSession, sf: str) -> DataFrame:
     return A.sample(table(spark, sf, "lineitem").select(*LINE_ID), True, 0.1, seed=42)
 
 
-@register("sample_exact")
+_SAMPLE_N = 1000
+
+
+def _sample_facts(s: DataFrame, li: DataFrame) -> DataFrame:
+    """Size of a sample, its distinct rows, and whether all are rows of the table."""
+    known = s.join(li.distinct(), LINE_ID, "left_semi")
+    return (s.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*LINE_ID).alias("n_distinct"))
+            .crossJoin(known.agg(F.count(F.lit(1)).alias("n_known"))))          # one-row sides
+
+
+@register("sample_exact", sql=f"""
+SELECT CAST(least({_SAMPLE_N}, count(*)) AS BIGINT) AS n, CAST(least({_SAMPLE_N}, count(*)) AS BIGINT) AS n_distinct,
+       CAST(least({_SAMPLE_N}, count(*)) AS BIGINT) AS n_known
+FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem)
+""")
 def q_sample_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return A.take_sample(table(spark, sf, "lineitem").select(*LINE_ID), 1000, LINE_ID, False, seed=42)
+    """An exact sample without replacement of the distinct line keys."""
+    li = table(spark, sf, "lineitem").select(*LINE_ID).distinct()
+    return _sample_facts(A.take_sample(li, _SAMPLE_N, LINE_ID, False, seed=42), li)
 
 
-@register("sample_exact_replace")
+@register("sample_exact_replace", sql=f"""
+SELECT CAST({_SAMPLE_N} AS BIGINT) AS n, CAST({_SAMPLE_N} AS BIGINT) AS n_known, TRUE AS repeats FROM lineitem LIMIT 1
+""")
 def q_sample_exact_replace(spark: SparkSession, sf: str) -> DataFrame:
-    return A.take_sample(table(spark, sf, "lineitem").select(*LINE_ID), 1000, LINE_ID, True, seed=42)
+    """An exact sample with replacement: its size, the rows known to the table,
+    and that no more distinct rows than draws came out."""
+    li = table(spark, sf, "lineitem").select(*LINE_ID)
+    f = _sample_facts(A.take_sample(li, _SAMPLE_N, LINE_ID, True, seed=42), li)
+    return f.select("n", "n_known", (F.col("n_distinct") <= F.col("n")).alias("repeats"))
 
 
 @register("stratified_approx")
@@ -61,19 +83,37 @@ def q_stratified_exact_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce("n_exact_replace", F.lit(0)).cast("bigint").alias("n_exact_replace"))
 
 
-@register("sample_report")
+@register("sample_report", sql="""
+WITH p AS (SELECT p_brand, count(*) AS n, (1 + CAST(split_part(p_brand, '#', 2) AS INTEGER) % 4) / 8.0 AS f FROM part GROUP BY 1),
+m AS (SELECT *, ceil(f * n) AS m FROM p)
+SELECT p_brand, round(n / sum(n) OVER (), 9) AS original, round(m / sum(m) OVER (), 9) AS exact, TRUE AS near FROM m
+""")
 def q_sample_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Each stratum's share of the original and of the exact sample, and whether
+    its share of the approximate sample lies within five standard deviations."""
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     fr = brand_fractions(spark, sf)
     approx = A.sample_by_key(part, "p_brand", fr, True, ["p_partkey"], seed=42)
     exact = A.sample_by_key_exact(part, "p_brand", fr, ["p_partkey"], True, seed=42)
-    return A.sample_report(part, approx, exact, "p_brand")
+    r = A.sample_report(part, approx, exact, "p_brand")
+    n = approx.agg(F.count(F.lit(1)).alias("n"))
+    near = F.abs(F.col("approx") - F.col("exact")) <= 5 * F.sqrt(F.col("exact") / F.col("n")) + 5 / F.col("n")
+    return r.crossJoin(F.broadcast(n)).select("p_brand", F.round("original", 9).alias("original"), F.round("exact", 9).alias("exact"), near.alias("near"))
 
 
-@register("split_hash")
+@register("split_hash", sql="""
+SELECT count(*) AS n, TRUE AS two_parts, TRUE AS near_share, CAST(0 AS BIGINT) AS moved FROM lineitem
+""")
 def q_split_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """An 80/20 split by row hash: all rows fall into two parts, the first near
+    its share, and rows with equal keys into the same part."""
     li = table(spark, sf, "lineitem").select(*LINE_ID)
-    return A.hash_split(li, [0.8, 0.2], LINE_ID, seed=42)
+    s = A.hash_split(li, [0.8, 0.2], LINE_ID, seed=42)
+    keys = s.groupBy(*LINE_ID).agg(F.count_distinct("split").alias("parts"))
+    share = F.avg((F.col("split") == 0).cast("double"))
+    facts = s.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("split").isin(0, 1)).alias("two_parts"),
+                  (F.abs(share - 0.8) <= 5 * F.sqrt(F.lit(0.16) / F.count(F.lit(1)))).alias("near_share"))
+    return facts.crossJoin(keys.agg(F.sum((F.col("parts") > 1).cast("long")).alias("moved")))     # one-row sides
 
 
 @register("split_mod", sql="""

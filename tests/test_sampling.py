@@ -3,6 +3,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from tessera.operators import sampling as A
 
 
@@ -77,10 +79,29 @@ def test_approx_stratified(spark):
 
 
 def test_poisson_mean(spark):
-    u = spark.range(50000).select(F.rand(3).alias("u"))
-    df = u.select(A.poisson_count(F.lit(0.7), F.col("u")).alias("k"))
-    r = df.agg(F.avg("k").alias("m"), F.variance("k").alias("v")).first()
-    assert abs(r.m - 0.7) < 0.02 and abs(r.v - 0.7) < 0.03
+    def uniform(i):
+        return F.pmod(F.xxhash64(F.col("id"), i), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    for mean in (0.7, 60.0):
+        df = spark.range(20000).select(A.poisson_count(F.lit(mean), uniform).alias("k"))
+        r = df.agg(F.avg("k").alias("m"), F.variance("k").alias("v"), F.max("k").alias("x")).first()
+        assert abs(r.m - mean) < 5 * math.sqrt(mean / 20000) and abs(r.v - mean) < 0.06 * mean
+        assert mean < 1 or r.x > 80
+
+
+def test_fractions_outside_the_unit_interval_raise(spark):
+    df = part(spark, n=100)
+    for f in (1.5, -0.1):
+        with pytest.raises(ValueError):
+            A.sample_by_key_exact(df, "k", {"a": f}, ["id"])
+    assert A.sample_by_key_exact(df, "k", {}, ["id"]).count() == 0
+
+
+def test_null_stratum_is_sampled(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(400)], "id long, k string")
+    for wr in (False, True):
+        got = Counter(r.k for r in A.sample_by_key_exact(df, "k", {None: 0.25, "a": 0.5}, ["id"], with_replacement=wr).collect())
+        assert got == {None: 50, "a": 100}
+    assert Counter(r.k for r in A.sample_by_key_exact(df, "k", {None: 1.0}, ["id"]).collect()) == {None: 200}
 
 
 def test_hash_split_disjoint_complete(spark):
