@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,27 +90,3 @@ def nearest_center_dist(features, centers: Sequence[Sequence[float]]) -> Column:
 
 def to_double_array(a) -> Column:
     return _c(a).cast("array<double>")
-
-
-# vectors up to this many dims cross into Python as scalar columns; wider
-# ones as one array column (measured: scalar columns win at 3 dims, the
-# array column at 64)
-SPREAD_MAX_DIMS = 16
-
-
-def spread(col: str, d: int, prefix: str) -> list[Column]:
-    """An ``array`` column in the cheapest Arrow form for ``matrix``: ``d``
-    scalar double columns ``prefix0..`` for narrow vectors (numpy reads them
-    as one matrix without a per-row Python object), else one
-    ``array<double>`` column named ``prefix``."""
-    c = F.col(col)
-    if d <= SPREAD_MAX_DIMS:
-        return [c[i].cast("double").alias(f"{prefix}{i}") for i in range(d)]
-    return [c.cast("array<double>").alias(prefix)]
-
-
-def matrix(pdf, prefix: str, d: int):
-    """The ``spread`` columns of a pandas batch as an (rows x d) float matrix."""
-    if d > SPREAD_MAX_DIMS:
-        return np.stack(pdf[prefix].to_numpy()).astype("float64").reshape(len(pdf), d)
-    return pdf[[f"{prefix}{i}" for i in range(d)]].to_numpy(dtype="float64")

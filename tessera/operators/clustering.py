@@ -1,10 +1,10 @@
 """Monte Carlo Pi, Lloyd k-means and Spark ML k-means.
 
 Lloyd's loop keeps the K x D centres on the driver (model-sized).  Each
-iteration is ONE job: every task assigns its Arrow batches to the nearest
-centre with numpy (strict ``<``: lowest index on ties) and emits its
-per-cluster counts and coordinate sums once; a grouped sum adds them.  No
-data row is shuffled, only K x (D + 1) partial sums per task.
+iteration is ONE pass over the packed points: every task assigns its matrices
+to the nearest centre with numpy (strict ``<``: lowest index on ties) and emits
+its per-cluster counts and coordinate sums as one row, added in a tree.  No data
+row is shuffled.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from .blocks import Blocks, blocks_of
 from .sampling import take_sample
 
 
@@ -50,7 +50,7 @@ def kmeans_lloyd(df: DataFrame, k: int, converge_dist: float = 0.001, features:
         centers = [list(map(float, c)) for c in initial_centers]
     k = len(centers)
     d = len(centers[0])
-    pts = pts.select("f").cache()
+    pts = Blocks(pts.select("f"), {"f": d})
     delta, it = 1.0, 0
     try:
         while delta > converge_dist and it < max_iter:
@@ -81,33 +81,28 @@ def assign_nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return arg, best
 
 
-def cluster_sums(pts: DataFrame, centers: Sequence[Sequence[float]], features: str = "f") -> tuple[np.ndarray, np.ndarray]:
+def cluster_sums(pts: DataFrame | Blocks, centers: Sequence[Sequence[float]], features: str = "f") -> tuple[np.ndarray, np.ndarray]:
     """Per-cluster point counts and coordinate sums for the nearest-centre
-    assignment: one Spark job of per-task numpy partials + a grouped sum."""
+    assignment: one pass over the packed points, one row per task."""
     C = np.asarray(centers, dtype=float)
     k, d = C.shape
+    blocks, own = blocks_of(pts, {features: d})
 
-    def partial(it):
-        cnt, acc = np.zeros(k), np.zeros((k, d))
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = V.matrix(pdf, "f", d)
+    def task(ms):
+        out = np.zeros((k, d + 1))
+        for (X,) in ms:
             a, _ = assign_nearest(X, C)
-            cnt += np.bincount(a, minlength=k)
-            np.add.at(acc, a, X)
-        kk = np.repeat(np.arange(k, dtype="int32"), d + 1)
-        pos = np.tile(np.arange(-1, d, dtype="int32"), k)
-        yield pd.DataFrame({"k": kk, "pos": pos, "v": np.hstack([cnt[:, None], acc]).ravel()})
-
-    parts = pts.select(*V.spread(features, d, "f")).mapInPandas(partial, "k int, pos int, v double")
-    counts, sums = np.zeros(k), np.zeros((k, d))
-    for r in parts.groupBy("k", "pos").agg(F.sum("v").alias("v")).collect():
-        if r["pos"] < 0:
-            counts[r["k"]] = r["v"]
-        else:
-            sums[r["k"], r["pos"]] = r["v"]
-    return counts, sums
+            hot = np.zeros((k, len(X)))
+            hot[a, np.arange(len(X))] = 1.0
+            out[:, 0] += hot.sum(axis=1)
+            out[:, 1:] += hot @ X
+        return out.ravel()
+    try:
+        out = blocks.sums(task).reshape(k, d + 1)
+    finally:
+        if own:
+            blocks.unpersist()
+    return out[:, 0], out[:, 1:]
 
 
 def kmeans_cost(df: DataFrame, centers: Sequence[Sequence[float]], features: str = "features") -> DataFrame:

@@ -1,10 +1,10 @@
 """Distributed gradient trainers for linear models.
 
-A gradient evaluation is ONE Spark job: each task multiplies its Arrow
-batches with numpy (vectorised margins and ``X^T g``), emits its D + 2
-partial sums once, and a grouped sum adds them (the DataFrame form of a
-tree aggregate).  Only D + 2 numbers come back to the driver, which applies
-the update rule.  The weights travel in the task closure (model-sized).
+A gradient evaluation is ONE pass over the packed rows (``operators.blocks``):
+each task multiplies its matrices with numpy (vectorised margins and ``X^T g``)
+and emits its D + 2 sums as one row; a tree of bounded fan-in adds them.  Only
+D + 2 numbers come back to the driver, which applies the update rule.  The
+weights travel in the task closure (model-sized).
 
 Update rules (full batch):
   * ``none``: ``w -= step_i * g``
@@ -19,11 +19,11 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from .blocks import Blocks, blocks_of
 
 
 def _margin(w: Sequence[float], x: str) -> Column:
@@ -53,55 +53,43 @@ def _row_terms(kind: str, m: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.
     raise ValueError(kind)
 
 
-def gradient_sum(df: DataFrame, w: Sequence[float], kind: str, x: str = "x", y: str = "y") -> tuple[np.ndarray, float, int]:
-    """Sum of row gradients, sum of losses and row count at weights ``w``.
-
-    One Spark job: every task turns its Arrow batches into numpy matrices
-    (``X w`` and ``X^T g`` are BLAS calls), emits its D + 2 partial sums
-    once, and a grouped ``sum`` adds the partials of all tasks."""
+def gradient_sum(data: DataFrame | Blocks, w: Sequence[float], kind: str, x: str = "x", y: str = "y") -> tuple[np.ndarray, float, int]:
+    """Sum of row gradients, sum of losses and row count at weights ``w``: one
+    pass over the packed rows (``X w`` and ``X^T g`` are BLAS calls)."""
     wv = np.asarray(w, dtype=float)
     d = len(wv)
+    blocks, own = blocks_of(data, {x: d, y: 0})
+
+    def task(ms):
+        out = np.zeros(d + 2)
+        for X, yy in ms:
+            mult, lo = _row_terms(kind, X @ wv, yy[:, 0])
+            out += np.concatenate([X.T @ mult, [lo.sum(), len(X)]])
+        return out
+    try:
+        tot = blocks.sums(task)
+    finally:
+        if own:
+            blocks.unpersist()
+    return tot[:d], float(tot[d]), int(tot[d + 1])
+
 
-    def partial(it):
-        acc, loss, n = np.zeros(d), 0.0, 0
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = V.matrix(pdf, "x", d)
-            yy = pdf["y"].to_numpy(dtype="float64")
-            mult, lo = _row_terms(kind, X @ wv, yy)
-            acc += X.T @ mult
-            loss += float(lo.sum())
-            n += len(pdf)
-        yield pd.DataFrame({"pos": np.arange(d + 2, dtype="int32"), "v": np.concatenate([acc, [loss, float(n)]])})
-
-    parts = df.select(*V.spread(x, d, "x"), F.col(y).alias("y")).mapInPandas(partial, "pos int, v double")
-    tot = {r["pos"]: r["v"] for r in parts.groupBy("pos").agg(F.sum("v").alias("v")).collect()}
-    return np.array([tot.get(i, 0.0) for i in range(d)]), float(tot.get(d, 0.0)), int(tot.get(d + 1, 0.0))
-
-
-def normal_statistics(df: DataFrame, d: int, x: str = "x", y: str = "y") -> tuple[np.ndarray, np.ndarray, float, int]:
-    """``X^T X``, ``X^T y``, ``y^T y`` and n of ``d`` features in one pass
-    (per-task numpy partials + grouped sum): everything least squares needs."""
-
-    def partial(it):
-        xtx, xty, yty, n = np.zeros((d, d)), np.zeros(d), 0.0, 0
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = V.matrix(pdf, "x", d)
-            yy = pdf["y"].to_numpy(dtype="float64")
-            xtx += X.T @ X
-            xty += X.T @ yy
-            yty += float(yy @ yy)
-            n += len(pdf)
-        vals = np.concatenate([xtx.ravel(), xty, [yty, float(n)]])
-        yield pd.DataFrame({"pos": np.arange(len(vals), dtype="int32"), "v": vals})
-
-    parts = df.select(*V.spread(x, d, "x"), F.col(y).alias("y")).mapInPandas(partial, "pos int, v double")
-    tot = {r["pos"]: r["v"] for r in parts.groupBy("pos").agg(F.sum("v").alias("v")).collect()}
-    vals = np.array([tot.get(i, 0.0) for i in range(d * d + d + 2)])
-    return vals[:d * d].reshape(d, d), vals[d * d:d * d + d], float(vals[-2]), int(vals[-1])
+def normal_statistics(data: DataFrame | Blocks, d: int, x: str = "x", y: str = "y") -> tuple[np.ndarray, np.ndarray, float, int]:
+    """``X^T X``, ``X^T y``, ``y^T y`` and n of ``d`` features in one pass:
+    everything least squares needs."""
+    blocks, own = blocks_of(data, {x: d, y: 0})
+
+    def task(ms):
+        out = np.zeros(d * d + d + 2)
+        for X, yy in ms:
+            out += np.concatenate([(X.T @ X).ravel(), X.T @ yy[:, 0], [(yy * yy).sum(), len(X)]])
+        return out
+    try:
+        tot = blocks.sums(task)
+    finally:
+        if own:
+            blocks.unpersist()
+    return tot[:d * d].reshape(d, d), tot[d * d:d * d + d], float(tot[-2]), int(tot[-1])
 
 
 def update(w: np.ndarray, g: np.ndarray, step_i: float, reg: float, updater: str) -> np.ndarray:
@@ -116,42 +104,43 @@ def update(w: np.ndarray, g: np.ndarray, step_i: float, reg: float, updater: str
     raise ValueError(updater)
 
 
-# least squares with at most this many features uses the one-pass normal statistics
-NORMAL_STATS_MAX_DIMS = 512
+def descend(stats: tuple[np.ndarray, np.ndarray, float, int], w: np.ndarray, iterations: int, step: float,
+            reg: float = 0.0, updater: str = "none") -> tuple[np.ndarray, list[float]]:
+    """Least-squares descent from the normal statistics of the data."""
+    xtx, xty, yty, n = stats
+    losses = []
+    for i in range(1, iterations + 1 if n else 0):
+        losses.append(float((w @ xtx @ w - 2 * w @ xty + yty) / (2 * n)))
+        w = update(w, (xtx @ w - xty) / n, step / math.sqrt(i), reg, updater)
+    return w, losses
 
 
 def train_sgd(df: DataFrame, kind: str, dims: int, iterations: int = 100, step: float = 1.0,
               reg: float = 0.0, updater: str = "none", w0: Sequence[float] | None = None,
-              x: str = "x", y: str = "y") -> tuple[np.ndarray, list[float]]:
+              x: str = "x", y: str = "y", one_pass: bool = False) -> tuple[np.ndarray, list[float]]:
     """Full-batch gradient descent with a decaying step; mean gradient.
     Returns the weights and the mean loss before each step.
 
-    Least squares is exact from the normal statistics: the mean gradient is
-    ``(X^T X w - X^T y) / n``, so ONE pass over the data serves every
-    iteration (the update sequence is the same).  Other losses run one
-    gradient job per iteration over the cached input."""
+    Every iteration is one pass over the packed, cached rows.  With
+    ``one_pass`` (least squares only; the caller's choice, d * d numbers a task)
+    the mean gradient ``(X^T X w - X^T y) / n`` comes from the normal statistics,
+    so ONE pass serves all iterations with the same update sequence."""
     w = np.zeros(dims) if w0 is None else np.asarray(w0, dtype=float)
     losses: list[float] = []
-    data = df.select(V.to_double_array(x).alias("x"), F.col(y).cast("double").alias("y"))
-    if kind == "squared" and dims <= NORMAL_STATS_MAX_DIMS:
-        xtx, xty, yty, n = normal_statistics(data, dims)
-        if n == 0:
-            return w, losses
-        for i in range(1, iterations + 1):
-            losses.append(float((w @ xtx @ w - 2 * w @ xty + yty) / (2 * n)))
-            g = (xtx @ w - xty) / n
-            w = update(w, g, step / math.sqrt(i), reg, updater)
-        return w, losses
-    data = data.cache()
+    if one_pass and kind != "squared":
+        raise ValueError("one_pass is for least squares")
+    blocks = Blocks(df.select(F.col(x).alias("x"), F.col(y).alias("y")), {"x": dims, "y": 0})
     try:
+        if one_pass:
+            return descend(normal_statistics(blocks, dims), w, iterations, step, reg, updater)
         for i in range(1, iterations + 1):
-            g, loss, n = gradient_sum(data, w.tolist(), kind)
+            g, loss, n = gradient_sum(blocks, w, kind)
             if n == 0:
                 break
             losses.append(loss / n)
             w = update(w, g / n, step / math.sqrt(i), reg, updater)
     finally:
-        data.unpersist()
+        blocks.unpersist()
     return w, losses
 
 
@@ -161,13 +150,13 @@ def logistic_sum_gd(df: DataFrame, w0: Sequence[float], iterations: int = 5, ste
     intercept, no regularisation: ``w -= step * sum_i x_i (sigma(y_i w.x_i) - 1) y_i``
     (the SUM over rows, a constant step)."""
     w = np.asarray(w0, dtype=float)
-    data = df.select(V.to_double_array(x).alias("x"), F.col(y).cast("double").alias("y")).cache()
+    blocks = Blocks(df.select(F.col(x).alias("x"), F.col(y).alias("y")), {"x": len(w), "y": 0})
     try:
         for _ in range(iterations):
-            g, _, _ = gradient_sum(data, w.tolist(), "logistic_pm")
+            g, _, _ = gradient_sum(blocks, w, "logistic_pm")
             w = w - step * g
     finally:
-        data.unpersist()
+        blocks.unpersist()
     return w
 
 
@@ -177,10 +166,45 @@ def predict_linear(df: DataFrame, w: Sequence[float], x: str = "x", out: str = "
 
 
 # ------------------------------------------------------------------ L-BFGS
+def wolfe_step(fun, w: np.ndarray, f: float, g: np.ndarray, direction: np.ndarray, slope: float,
+               c1: float = 1e-4, c2: float = 0.9, max_evals: int = 25):
+    """``(w, f, g)`` at a step that satisfies the strong Wolfe conditions
+    (bracketing, then bisection with quadratic interpolation), or the best
+    sufficient decrease within ``max_evals`` passes; None if there is none."""
+    lo, f_lo, s_lo, hi, t, best = 0.0, f, slope, None, 1.0, None
+    for _ in range(max_evals):
+        x = w + t * direction
+        ft, gt = fun(x)
+        st = float(gt @ direction)
+        down = np.isfinite(ft) and ft <= f + c1 * t * slope
+        if down and (best is None or ft < best[1]):
+            best = (x, ft, gt)
+        if not down or ft >= f_lo and lo > 0:
+            hi = t
+        elif abs(st) <= -c2 * slope:
+            return x, ft, gt
+        elif st >= 0:
+            hi = t
+        else:
+            lo, f_lo, s_lo = t, ft, st
+        if hi is None:
+            t = 2 * t
+            continue
+        width = hi - lo
+        if width < 1e-12:
+            break
+        t = lo + 0.5 * width
+        if hi > lo and np.isfinite(ft) and not down:
+            curve = ft - f_lo - s_lo * (hi - lo)
+            if curve > 0:                    # minimum of the parabola, kept inside the bracket
+                t = min(max(lo - s_lo * (hi - lo) ** 2 / (2 * curve), lo + 0.1 * width), hi - 0.1 * width)
+    return best
+
+
 def lbfgs(fun, w0: np.ndarray, max_iter: int = 100, tol: float = 1e-4, m: int = 10,
           callback=None) -> tuple[np.ndarray, list[float]]:
     """Limited-memory BFGS (two-loop recursion, ``m`` corrections) with a
-    backtracking Armijo line search.  ``fun(w) -> (loss, grad)``; each call
+    strong Wolfe line search.  ``fun(w) -> (loss, grad)``; each call
     is one distributed job.  Stops after ``max_iter`` iterations or when the
     relative loss improvement falls below ``tol``."""
     w = np.asarray(w0, dtype=float).copy()
@@ -211,13 +235,10 @@ def lbfgs(fun, w0: np.ndarray, max_iter: int = 100, tol: float = 1e-4, m: int =
             y_list.clear()
             direction = -g / max(1.0, float(np.linalg.norm(g)))
             slope = float(g @ direction)
-        t = 1.0
-        while True:
-            w_new = w + t * direction
-            f_new, g_new = fun(w_new)
-            if f_new <= f + 1e-4 * t * slope or t < 1e-10:
-                break
-            t *= 0.5
+        step = wolfe_step(fun, w, f, g, direction, slope)
+        if step is None:                     # no acceptable step: the loss can't be lowered further
+            break
+        w_new, f_new, g_new = step
         s_vec, y_vec = w_new - w, g_new - g
         if float(s_vec @ y_vec) > 1e-12:
             s_list.append(s_vec)

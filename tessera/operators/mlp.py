@@ -2,10 +2,9 @@
 
 Two networks, two optimisers, one gradient job:
 
-* ``gradient_job`` runs ONE Spark job per evaluation: ``mapInPandas`` feeds
-  each task's Arrow batches to numpy (forward + back-propagation as matrix
-  products over the whole batch), every task emits its partial sums once as
-  ``(pos, value)`` rows, and a grouped ``sum`` adds them.  Only the weight
+* ``gradient_job`` runs ONE pass per evaluation over the packed rows
+  (``operators.blocks``): forward + back-propagation as matrix products over
+  whole blocks, one row of sums per task, added in a tree.  Only the weight
   vector (model-sized) travels to the executors (in the closure) and back.
 * network A (``mlp_fit`` / ``MLPClassifierA``): loss 1/2 sum (t - o)^2,
   L-BFGS, one-hot targets 0.9/0.1, weights packed per layer as the
@@ -31,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from .blocks import Blocks, blocks_of, checked
 from .gradient import lbfgs
 
 # Initial weights are uniform in [-2.4, 2.4], scaled by
@@ -108,9 +108,11 @@ def forward(layers, X: np.ndarray) -> list[np.ndarray]:
     return acts
 
 
-def batch_gradient(layers, X: np.ndarray, T: np.ndarray, loss_scale: float, double_sigmoid: bool = False):
+def batch_gradient(layers, X: np.ndarray, T: np.ndarray, loss_scale: float, double_sigmoid: bool = False,
+                   grad_scale: float | None = None):
     """Summed gradient over the rows of (X, T) and the summed loss
-    ``loss_scale * sum (t - o)^2``.  With ``double_sigmoid`` the derivative
+    ``loss_scale * sum (t - o)^2``.  The output error is ``grad_scale * (o - t)``:
+    the loss's own derivative (``2 * loss_scale``) unless given.  With ``double_sigmoid`` the derivative
     is taken of sigma applied once more to the outputs (a quirk kept for
     parity with network B)."""
     acts = forward(layers, X)
@@ -123,7 +125,7 @@ def batch_gradient(layers, X: np.ndarray, T: np.ndarray, loss_scale: float, doub
             s = _sig(a)
             return s * (1 - s)
         return a * (1 - a)
-    delta = 2.0 * loss_scale * diff * dsig(out)
+    delta = (2.0 * loss_scale if grad_scale is None else grad_scale) * diff * dsig(out)
     grads = []
     for li in range(len(layers) - 1, -1, -1):
         W, _ = layers[li]
@@ -134,69 +136,51 @@ def batch_gradient(layers, X: np.ndarray, T: np.ndarray, loss_scale: float, doub
     return grads, loss
 
 
-def _partial_fn(w: np.ndarray, topology, layout, loss_scale, batch_size, double_sigmoid):
-    n_in, n_out = topology[0], topology[-1]
-
-    def fn(it):
+def _task_fn(w: np.ndarray, topology, layout, loss_scale, batch_size, double_sigmoid, grad_scale):
+    """Sums of a task: gradient, loss, rows, groups."""
+    def fn(ms):
         layers = unpack(w, topology, layout)
-        acc = np.zeros_like(w)
-        loss_acc, n_rows, n_groups = 0.0, 0, 0
-        carry_x, carry_t = [], []
-
-        def add(X, T, per_group_mean):
-            nonlocal acc, loss_acc
-            g, loss = batch_gradient(layers, X, T, loss_scale, double_sigmoid)
-            flat = pack(g, layout)
-            if per_group_mean:
-                flat = flat / len(X)
-                loss = loss / len(X)
-            acc += flat
-            loss_acc += loss
-
-        for pdf in it:
-            if pdf.empty:
+        out = np.zeros(len(w) + 3)
+        held: list[np.ndarray] | None = None
+
+        def add(X, T, weight, groups):
+            g, loss = batch_gradient(layers, X, T, loss_scale, double_sigmoid, grad_scale)
+            out[:len(w)] += pack(g, layout) * weight
+            out[len(w):] += [loss * weight, len(X), groups]
+        for X, T in ms:
+            if not batch_size or batch_size == 1:
+                add(X, T, 1.0, len(X))         # with batches of one every row is its own group
                 continue
-            X = V.matrix(pdf, "i", n_in)
-            T = V.matrix(pdf, "o", n_out)
-            if batch_size and batch_size > 1:
-                carry_x.append(X)
-                carry_t.append(T)
-                Xa, Ta = np.vstack(carry_x), np.vstack(carry_t)
-                full = (len(Xa) // batch_size) * batch_size
-                for s in range(0, full, batch_size):
-                    add(Xa[s:s + batch_size], Ta[s:s + batch_size], True)
-                    n_groups += 1
-                carry_x, carry_t = [Xa[full:]], [Ta[full:]]
-            elif batch_size == 1:
-                add(X, T, False)               # every row is its own group
-                n_groups += len(X)
-            else:
-                add(X, T, False)
-            n_rows += len(X)
-        if batch_size and batch_size > 1 and carry_x and len(carry_x[0]):
-            add(carry_x[0], carry_t[0], True)  # a short last group weighs more per row
-            n_groups += 1
-        pos = np.arange(len(w), dtype="int32")
-        yield pd.DataFrame({"pos": np.concatenate([pos, np.array([-1, -2, -3], dtype="int32")]),
-                            "v": np.concatenate([acc, [loss_acc, float(n_rows), float(n_groups)]])})
+            if held is not None:
+                X, T = np.vstack([held[0], X]), np.vstack([held[1], T])
+            full = len(X) // batch_size * batch_size
+            for s in range(0, full, batch_size):
+                add(X[s:s + batch_size], T[s:s + batch_size], 1.0 / batch_size, 1)
+            held = [X[full:], T[full:]]
+        if held is not None and len(held[0]):
+            add(*held, 1.0 / len(held[0]), 1)  # a short last group weighs more per row
+        return out
     return fn
 
 
-def gradient_job(data: DataFrame, w: np.ndarray, topology, layout: str = "A", loss_scale: float = 0.5,
-                 batch_size: int | None = None, double_sigmoid: bool = False) -> tuple[float, np.ndarray, int]:
-    """Mean loss and mean gradient over ``data(input, output)`` at ``w``:
-    one distributed pass (per-task partial sums + grouped sum)."""
-    fn = _partial_fn(np.asarray(w, dtype=float), list(topology), layout, loss_scale, batch_size, double_sigmoid)
-    cols = V.spread("input", topology[0], "i") + V.spread("output", topology[-1], "o")
-    parts = data.select(*cols).mapInPandas(fn, "pos int, v double")
-    rows = parts.groupBy("pos").agg(F.sum("v").alias("v")).collect()
-    tot = {r["pos"]: r["v"] for r in rows}
-    n_rows = int(tot.get(-2, 0.0))
-    denom = tot.get(-3, 0.0) if batch_size else float(n_rows)
+def gradient_job(data: DataFrame | Blocks, w: np.ndarray, topology, layout: str = "A", loss_scale: float = 0.5,
+                 batch_size: int | None = None, double_sigmoid: bool = False,
+                 grad_scale: float | None = None) -> tuple[float, np.ndarray, int]:
+    """Mean loss and mean gradient over ``data(input, output)`` at ``w``: one
+    pass over the packed rows, one row of sums per task."""
+    w = np.asarray(w, dtype=float)
+    blocks, own = blocks_of(data, {"input": topology[0], "output": topology[-1]})
+    try:
+        tot = blocks.sums(_task_fn(w, list(topology), layout, loss_scale, batch_size, double_sigmoid, grad_scale))
+    finally:
+        if own:
+            blocks.unpersist()
+    k = len(w)
+    n_rows = int(tot[k + 1])
+    denom = tot[k + 2] if batch_size else float(n_rows)
     if denom <= 0:
-        return 0.0, np.zeros(len(w)), 0
-    g = np.array([tot.get(i, 0.0) for i in range(len(w))]) / denom
-    return tot.get(-1, 0.0) / denom, g, n_rows
+        return 0.0, np.zeros(k), 0
+    return float(tot[k]) / denom, tot[:k] / denom, n_rows
 
 
 def first_sizes(data: DataFrame) -> tuple[int, int]:
@@ -228,28 +212,25 @@ class MLPModel:
 
 
 def predict_df(model: MLPModel, df: DataFrame, input_col: str, out: str, layer) -> DataFrame:
+    """Only the input vector goes to Python (a pandas UDF over Arrow batches);
+    the other columns stay in the JVM."""
     topo, w, layout = list(model.topology), np.asarray(model.weights), model.layout
-    n_layers = len(topo)
-    all_layers = layer == "all"
-    cols = df.columns
-    out_type = "array<array<double>>" if all_layers else "array<double>"
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [f"`{out}` {out_type}"])
-
-    def fn(it):
-        layers = unpack(w, topo, layout)
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = V.matrix(pdf, "_i", topo[0])
-            acts = forward(layers, X)
-            res = pdf[cols].copy()
-            if all_layers:
-                res[out] = [[acts[li][r].tolist() for li in range(n_layers)] for r in range(len(pdf))]
-            else:
-                a = acts[-1] if layer is None else acts[int(layer)]
-                res[out] = list(a)
-            yield res
-    return df.select("*", *V.spread(input_col, topo[0], "_i")).mapInPandas(fn, schema)
+    every = layer == "all"
+    pick = slice(None) if every else (len(topo) - 1 if layer is None else int(layer))
+    widths = topo if every else [topo[pick]]
+
+    @F.pandas_udf("array<double>")
+    def run(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        acts = forward(unpack(w, topo, layout), np.concatenate(x.to_numpy()).reshape(len(x), topo[0]))
+        return pd.Series(list(np.hstack(acts) if every else acts[pick]))
+    got = run(checked(F.col(input_col), topo[0]))
+    if not every:
+        return df.withColumn(out, got)
+    ends = np.cumsum(widths).tolist()
+    parts = [F.slice("__acts", e - n + 1, n) for e, n in zip(ends, widths)]
+    return df.withColumn("__acts", got).withColumn(out, F.array(*parts)).drop("__acts")
 
 
 def _prepare(data: DataFrame, input_col: str, output_col: str) -> DataFrame:
@@ -262,9 +243,10 @@ def mlp_fit(data: DataFrame, hidden: Sequence[int], max_iter: int = 100, tol: fl
     """Network A regression ``input -> output`` with L-BFGS (one Spark job per
     loss/gradient evaluation).  ``init``: a model (continue training), a
     weight vector, or a seed for random weights."""
-    d = _prepare(data, input_col, output_col).cache()
+    d = _prepare(data, input_col, output_col)
+    n_in, n_out = first_sizes(d)
+    d = Blocks(d, {"input": n_in, "output": n_out})
     try:
-        n_in, n_out = first_sizes(d)
         topo = [n_in, *hidden, n_out]
         if isinstance(init, MLPModel):
             w0 = np.asarray(init.weights, dtype=float)
@@ -334,14 +316,15 @@ def mlp_gd_fit(df: DataFrame, hidden: Sequence[int] | None = None, iterations: i
                seed: int = 42, double_sigmoid: bool = False, label: str = "label",
                features: str = "features") -> MLPModel:
     """Classifier B: two labels -> one output (0/1), otherwise one-hot 0/1;
-    loss sum (t - o)^2; full-batch gradient descent with a constant rate;
-    hidden defaults to (n_in + n_out) / 2; weights uniform in [-2.4, 2.4]."""
+    reported loss sum (t - o)^2, stepping along ``(o - t) * o'`` (half its
+    derivative); full-batch gradient descent with a constant rate; hidden defaults to (n_in + n_out) / 2; weights uniform in [-2.4, 2.4]."""
     labels = distinct_labels(df, label)
     single = len(labels) == 2
     data = encode_labels(df.select(V.to_double_array(features).alias("input"), label), label, labels, 1.0, 0.0,
-                         single_output=single).select("input", "output").cache()
+                         single_output=single).select("input", "output")
+    n_in, n_out = first_sizes(data)
+    data = Blocks(data, {"input": n_in, "output": n_out})
     try:
-        n_in, n_out = first_sizes(data)
         if hidden is None:
             hidden = [max(1, (n_in + n_out) // 2)]
         topo = [n_in, *hidden, n_out]
@@ -349,7 +332,7 @@ def mlp_gd_fit(df: DataFrame, hidden: Sequence[int] | None = None, iterations: i
         w = pack(unpack(w, topo, "A"), "B")
         hist = []
         for _ in range(iterations):
-            loss, g, _ = gradient_job(data, w, topo, "B", 1.0, None, double_sigmoid)
+            loss, g, _ = gradient_job(data, w, topo, "B", 1.0, None, double_sigmoid, grad_scale=1.0)
             hist.append(loss)
             w = w - lr * g
     finally:

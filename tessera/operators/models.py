@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from .blocks import Blocks
 
 
 def _vec(df: DataFrame, features: str, out: str = "features") -> DataFrame:
@@ -88,8 +89,7 @@ def _normal_equation_sums(ratings: DataFrame, factors: DataFrame, key: str, othe
     return j.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(f[a] * f[b]) for a, b in tri]).alias("ata"),
-        F.array(*[F.sum(F.col("r") * f[a]) for a in range(rank)]).alias("atb"),
-        F.sum(F.col("r") * F.col("r")).alias("rr"))
+        F.array(*[F.sum(F.col("r") * f[a]) for a in range(rank)]).alias("atb"))
 
 
 def _solve_batches(rank: int, lam: float):
@@ -109,11 +109,7 @@ def _solve_batches(rank: int, lam: float):
             G[:, ib, ia] = ata
             A = G + (lam * n)[:, None, None] * np.eye(rank)[None]
             x = np.linalg.solve(A, atb[..., None])[..., 0]
-            # squared error of the new factor over the entity's ratings, from
-            # the same sums: x'Gx - 2 x'b + sum r^2
-            sse = np.einsum("ka,kab,kb->k", x, G, x) - 2 * np.einsum("ka,ka->k", x, atb) + pdf["rr"].to_numpy()
-            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "f": list(x), "n": n.astype("int64"),
-                                "sse": np.maximum(sse, 0.0)})
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "f": list(x), "n": n.astype("int64")})
     return solve
 
 
@@ -121,11 +117,10 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, key: str, other: str, ra
     """Solve ``(F^T F + lam * n * I) x = F^T r`` for every ``key`` entity with
     the opposite factors ``fixed`` held constant.  The normal equations are
     built by aggregation; the K-sized solves run vectorised in numpy over
-    Arrow batches of the (one row per entity) sums.  Output ``(id, f, n,
-    sse)``: ``n`` ratings of the entity and their squared error under the
-    new factors, so the RMSE needs no further join."""
+    Arrow batches of the (one row per entity) sums.  Output ``(id, f, n)``:
+    ``n`` ratings of the entity."""
     sums = _normal_equation_sums(ratings, fixed, key, other, rank).withColumnRenamed(key, "id")
-    return sums.mapInPandas(_solve_batches(rank, lam), schema="id long, f array<double>, n long, sse double")
+    return sums.mapInPandas(_solve_batches(rank, lam), schema="id long, f array<double>, n long")
 
 
 def init_factors(ids: DataFrame, id_col: str, rank: int, seed: int) -> DataFrame:
@@ -149,22 +144,22 @@ def als_dense(ratings: DataFrame, rank: int = 10, iterations: int = 5, lam: floa
     DataFrames (checkpointed each half-step), never on the driver.
     Returns ``(items, users, [rmse per iteration])``."""
     from ..plans.session import cut_lineage
-    # the ratings are read 3 times per iteration: materialise them once
-    ratings = cut_lineage(ratings.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"),
-                                         F.col("r").cast("double").alias("r")))
-    users = init_factors(ratings.select("j").distinct(), "j", rank, seed)
-    items = init_factors(ratings.select("i").distinct(), "i", rank, seed + 1)
+    n = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ratings = ratings.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.col("r").cast("double").alias("r"))
+    # one copy per side, partitioned by the id that a half-step joins on: no
+    # iteration shuffles a rating, only factors and partial sums
+    by_j = cut_lineage(ratings.repartition(n, "j"), keep_partitioning=True)
+    by_i = cut_lineage(by_j.repartition(n, "i"), keep_partitioning=True)
+    users = init_factors(by_j.select("j").distinct(), "j", rank, seed)
     hist = []
     for _ in range(iterations):
-        items = als_half_step(ratings, users, "i", "j", rank, lam)
+        items = als_half_step(by_j, users, "i", "j", rank, lam)
         if checkpoint:
             items = cut_lineage(items)
-        users = als_half_step(ratings, items, "j", "i", rank, lam)
+        users = als_half_step(by_i, items, "j", "i", rank, lam)
         if checkpoint:
             users = cut_lineage(users)
-        # every rating belongs to exactly one user: the users' squared
-        # errors add up to the whole training error
-        hist.append(float(users.agg(F.sqrt(F.sum("sse") / F.sum("n")).alias("rmse")).first()["rmse"]))
+        hist.append(float(als_rmse(by_i, items, users).first()["rmse"]))
     return items, users, hist
 
 
@@ -205,27 +200,21 @@ def fit_pca(df: DataFrame, k: int | None = None, features: str = "x"):
 
 
 def gram_matrix(df: DataFrame, features: str = "x") -> np.ndarray:
-    """X^T X of a tall matrix.  Each task multiplies its Arrow batches with
-    numpy and emits its D x D upper triangle once; the partials are summed by
-    a grouped aggregation; only D x D numbers reach the driver."""
+    """X^T X of a tall matrix: one pass over the packed rows, one D x D partial
+    per task, added in a tree; only D x D numbers reach the driver."""
     from .clustering import vector_dims
     d = vector_dims(df, features)
-    iu = np.triu_indices(d)
+    blocks = Blocks(df, {features: d})
 
-    def partial(it):
-        acc = np.zeros((d, d))
-        for pdf in it:
-            if len(pdf):
-                x = V.matrix(pdf, "x", d)
-                acc += x.T @ x
-        yield pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "v": acc[iu]})
-
-    parts = df.select(*V.spread(features, d, "x")).mapInPandas(partial, "i int, j int, v double")
-    g = np.zeros((d, d))
-    for r in parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-        g[r["i"], r["j"]] = r["v"]
-        g[r["j"], r["i"]] = r["v"]
-    return g
+    def task(ms):
+        out = np.zeros((d, d))
+        for (x,) in ms:
+            out += x.T @ x
+        return out.ravel()
+    try:
+        return blocks.sums(task).reshape(d, d)
+    finally:
+        blocks.unpersist()
 
 
 def singular_values(df: DataFrame, features: str = "x") -> np.ndarray:
@@ -243,7 +232,3 @@ def sign_normalise(vectors: np.ndarray) -> np.ndarray:
         if v[i, c] < 0:
             v[:, c] = -v[:, c]
     return v
-
-
-def column_list(v: Sequence[float]) -> list[float]:
-    return [float(x) for x in v]

@@ -109,13 +109,38 @@ def q_mlp_weights_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "layer int, n long, min double, max double, bound double")
 
 
-@register("mlp_layers")
+@register("mlp_layers", sql="""
+SELECT vec_id, CAST(0 AS INTEGER) AS layer, CAST(len(embedding) AS INTEGER) AS n,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings
+UNION ALL SELECT vec_id, 1, 8, NULL FROM embeddings
+UNION ALL SELECT vec_id, 2, 10, NULL FROM embeddings
+""")
 def q_mlp_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Activations of every layer (propagate) for every embedding under the
-    seeded random weights; one row per (vector, layer) with its mean."""
+    seeded random weights: the width of each layer, and the sum of the input
+    layer; the others' sums depend on the generator and are null if every
+    activation lies strictly between 0 and 1."""
     e = _embeddings(spark, sf)
     topo = [int(e.select(F.size("features")).first()[0]), 8, 10]
     model = N.MLPModel(topo, N.random_weights(topo, 7))
     p = model.predict(e.select("vec_id", "features"), "features", "acts", layer="all")
-    return p.select("vec_id", F.posexplode("acts").alias("layer", "a")).select(
-        "vec_id", "layer", F.aggregate("a", F.lit(0.0), lambda s, x: s + x).alias("total"))
+    rows = p.select("vec_id", F.posexplode("acts").alias("layer", "a"))
+    total = F.round(V.vsum("a"), 6)
+    fine = (F.col("layer") > 0) & F.forall("a", lambda x: (x > 0) & (x < 1))
+    return rows.select("vec_id", "layer", F.size("a").alias("n"), F.when(~fine, total).alias("total"))
+
+
+@register("mlp_gd_step", sql=_TINY_SQL_BASE + """,
+g AS (SELECT *, (o - t) * o * (1 - o) AS d2 FROM o),
+g1 AS (SELECT *, d2 * 0.7 * h * (1 - h) AS d1 FROM g)
+SELECT round(0.3 - 0.3 * avg(d1 * x1), 8) AS w11, round(-0.2 - 0.3 * avg(d1 * x2), 8) AS w12, round(0.7 - 0.3 * avg(d2 * h), 8) AS w2,
+       round(0.1 - 0.3 * avg(d1), 8) AS b1, round(-0.4 - 0.3 * avg(d2), 8) AS b2, round(avg((t - o) * (t - o)), 8) AS loss
+FROM g1
+""")
+def q_mlp_gd_step(spark: SparkSession, sf: str) -> DataFrame:
+    """One step of network B (lr 0.3) from the fixed 2-1-1 weights: the step
+    follows ``(o - t) * o'``, the reported loss is the unhalved square."""
+    w = N.pack(N.unpack(TINY_W, TINY_TOPOLOGY, "A"), "B")
+    loss, g, _ = N.gradient_job(_tiny_inputs(spark, sf).select("input", "output"), w, TINY_TOPOLOGY, "B", 1.0, grad_scale=1.0)
+    vals = [round(float(v), 8) for v in w - 0.3 * g] + [round(float(loss), 8)]
+    return spark.createDataFrame([tuple(vals)], "w11 double, w12 double, w2 double, b1 double, b2 double, loss double")

@@ -11,51 +11,60 @@ from ..streaming.linreg import StreamingLinearRegression, point_stream
 from .registry import register
 
 STREAM_BATCHES = 3
-ROWS_PER_FILE = 1_000_000      # one writer task per file, so a batch is written by many tasks
+STREAM_ITERATIONS, STREAM_STEP = 50, 0.1
+ROWS_PER_FILE = 1_000_000
 
 
-def write_point_files(spark: SparkSession, sf: str, batches: int = STREAM_BATCHES) -> tuple[str, int]:
-    """Labeled points ``(q/50,[10*discount,10*tax,1.0])`` from every lineitem
-    row, split by a row hash into ``batches`` arrivals.  Arrival b is written
-    by its own job after arrival b - 1 (so its files are newer, which is the
-    order the file stream source reads them in) as ``k`` files of at most
-    ``ROWS_PER_FILE`` rows each.  Returns the folder and ``k``: reading with
-    ``maxFilesPerTrigger = k`` makes each arrival one micro-batch."""
-    li = table(spark, sf, "lineitem")
+def arrival(li: DataFrame, b: int) -> DataFrame:
+    """Labeled points ``(q/50,[10*discount,10*tax,1.0])`` of the b-th arrival:
+    the lineitem rows whose keys leave b modulo ``STREAM_BATCHES``."""
     s = lambda c: c.cast("string")
-    key = F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    lines = li.select(F.concat(F.lit("("), s(F.col("l_quantity") / 50.0), F.lit(",["),
-                               s(F.col("l_discount") * 10), F.lit(","), s(F.col("l_tax") * 10), F.lit(",1.0])")).alias("value"),
-                      F.pmod(key, F.lit(batches)).alias("_f"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("_s"))
-    per_batch = -(-li.count() // batches)
-    k = max(1, -(-per_batch // ROWS_PER_FILE))
-    path = shared_path(spark, "stream-points")
-    for b in range(batches):
-        one = lines.where(F.col("_f") == b)
-        one = one.repartition(k, F.pmod("_s", F.lit(k))) if k > 1 else one.coalesce(1)
-        one.select("value").write.mode("append").text(path)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    n_files = sum(1 for st in fs.listStatus(root) if not st.getPath().getName().startswith(("_", ".")))
-    if n_files != batches * k:
-        raise RuntimeError(f"expected {batches * k} point files, found {n_files}")
-    return path, k
-
-
-@register("stream_linreg")
+    mine = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(STREAM_BATCHES)) == b
+    return li.where(mine).select(F.concat(
+        F.lit("("), s(F.col("l_quantity") / 50.0), F.lit(",["), s(F.col("l_discount") * 10), F.lit(","),
+        s(F.col("l_tax") * 10), F.lit(",1.0])")).alias("value"))
+
+
+def _stream_sql() -> str:
+    """Replays the updates from each arrival's sums: one recursive step per iteration."""
+    terms = [(a, b) for a in range(3) for b in range(a, 3)]
+    sums = ", ".join([f"sum(x{a} * x{b}) / count(*) AS s{a}{b}" for a, b in terms] + [f"sum(x{a} * y) / count(*) AS t{a}" for a in range(3)])
+
+    def grad(a):
+        return " + ".join(f"s.s{min(a, b)}{max(a, b)} * w{b}" for b in range(3)) + f" - s.t{a}"
+    steps = ", ".join(f"w{a} - {STREAM_STEP} / sqrt(k % {STREAM_ITERATIONS} + 1) * ({grad(a)}) AS w{a}" for a in range(3))
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT (l_orderkey + l_linenumber) % {STREAM_BATCHES} AS b, l_quantity / 50.0 AS y,
+         l_discount * 10 AS x0, l_tax * 10 AS x1, 1.0::DOUBLE AS x2 FROM lineitem
+), s AS MATERIALIZED (SELECT b, count(*) AS n, {sums} FROM d GROUP BY b),
+w(k, w0, w1, w2) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT k + 1, {steps} FROM w JOIN s ON s.b = k // {STREAM_ITERATIONS}
+), e AS (SELECT k // {STREAM_ITERATIONS} - 1 AS b, w0, w1, w2 FROM w WHERE k > 0 AND k % {STREAM_ITERATIONS} = 0)
+SELECT CAST(e.b AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n, round(any_value(w0), 6) AS w0, round(any_value(w1), 6) AS w1,
+       round(any_value(w2), 6) AS w2, round(sqrt(avg((w0 * x0 + w1 * x1 + w2 * x2 - y) ^ 2)), 6) AS rmse
+FROM e JOIN d USING (b) GROUP BY e.b
+"""
+
+
+@register("stream_linreg", sql=_stream_sql())
 def q_stream_linreg(spark: SparkSession, sf: str) -> DataFrame:
-    """Train the streaming model over the point files (one arrival per
-    micro-batch, ``availableNow``), then score the same stream with the final
-    weights; one row per training batch with its weights and the test RMSE."""
-    src, files_per_batch = write_point_files(spark, sf)
-    model = StreamingLinearRegression(spark, num_features=3)
-    q = model.train_on(point_stream(spark, src, max_files_per_trigger=files_per_batch), available_now=True)
-    q.awaitTermination()
-    out = shared_path(spark, "stream-predictions")
-    p = model.predict_on_values(point_stream(spark, src, max_files_per_trigger=None), out, available_now=True)
-    p.awaitTermination()
-    preds = spark.read.parquet(out)
-    rmse = preds.agg(F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2)).alias("rmse")).first()["rmse"]
-    h = model.history()
-    return h.select("batch_id", "n", *[F.col("w")[i].alias(f"w{i}") for i in range(3)], F.lit(float(rmse)).alias("rmse"))
+    """Three arrivals; each is written (files of bounded size), trained on and
+    then predicted with the weights of that moment, all micro-batches of queries
+    that restart from their checkpoints.  One row per arrival: its rows, the
+    weights after it and the RMSE of its predictions."""
+    li = table(spark, sf, "lineitem")
+    src, out = shared_path(spark, "stream-points"), shared_path(spark, "stream-predictions")
+    train, predict = shared_path(spark, "stream-train-ckpt"), shared_path(spark, "stream-predict-ckpt")
+    model = StreamingLinearRegression(spark, num_features=3, step=STREAM_STEP, iterations=STREAM_ITERATIONS)
+    for b in range(STREAM_BATCHES):
+        arrival(li, b).write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).text(src)
+        # all new files are one micro-batch; the next run goes on from the checkpoint
+        model.train_on(point_stream(spark, src), checkpoint=train, available_now=True).awaitTermination()
+        model.predict_on_values(point_stream(spark, src), out, checkpoint=predict, available_now=True).awaitTermination()
+    err = F.col("prediction") - F.col("label")
+    rmse = spark.read.parquet(out).groupBy("batch_id").agg(F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"))
+    return model.history().join(rmse, "batch_id").select(
+        "batch_id", "n", *[F.round(F.col("w")[i], 6).alias(f"w{i}") for i in range(3)], "rmse")

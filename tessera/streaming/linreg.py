@@ -10,9 +10,10 @@ weights already written and changes nothing: the update is idempotent and
 the model survives driver and executor restarts together with the
 streaming checkpoint.  An empty batch leaves the weights unchanged.
 
-``predict_on_values`` runs a second query whose ``foreachBatch`` reads the
-newest weights and appends ``(label, prediction)`` rows; the prediction is
-a pure column expression ``w . x``.
+``predict_on_values`` runs a second query, beside or between training runs,
+whose ``foreachBatch`` reads the newest weights and writes ``(label,
+prediction)`` rows into one folder per batch id, so that a replayed batch
+replaces its rows; the prediction is a pure column expression ``w . x``.
 """
 
 from __future__ import annotations
@@ -26,18 +27,18 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import vectors as V
-from ..operators.gradient import train_sgd
+from ..operators.blocks import Blocks
+from ..operators.gradient import descend, normal_statistics
 from ..plans.session import shared_path
 from ..sources.text import parse_bracket_points
 
 
-def point_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+def point_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """``readStream.text(dir)`` parsed into ``label double, features array<double>``."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = r.load(directory).select("value", F.input_file_name().alias("file"))
-    return parse_bracket_points(lines)
+    return parse_bracket_points(r.load(directory).select("value"))
 
 
 class StreamingLinearRegression:
@@ -71,8 +72,8 @@ class StreamingLinearRegression:
     def history(self) -> DataFrame:
         t = self._table()
         if t is None:
-            return self.spark.createDataFrame([], "batch_id long, n long, w array<double>, files array<string>")
-        return t.select("batch_id", "n", "w", "files").orderBy("batch_id")
+            return self.spark.createDataFrame([], "batch_id long, n long, w array<double>")
+        return t.select("batch_id", "n", "w").orderBy("batch_id")
 
     def _written(self, batch_id: int) -> bool:
         t = self._table()
@@ -83,21 +84,17 @@ class StreamingLinearRegression:
         """foreachBatch body: idempotent per batch id."""
         if self._written(batch_id):
             return
-        data = batch.select(F.col("features").alias("x"), F.col("label").alias("y"),
-                            *(["file"] if "file" in batch.columns else [])).cache()
+        blocks = Blocks(batch.select(F.col("features").alias("x"), F.col("label").alias("y")), {"x": self.num_features, "y": 0})
         try:
-            n = data.count()
-            if n == 0:
-                return
-            w0 = self.latest_weights(before_batch=batch_id)
-            w, _ = train_sgd(data.select("x", "y"), "squared", self.num_features, iterations=self.iterations,
-                             step=self.step, reg=0.0, updater="none", w0=w0)
-            files = ([r[0] for r in data.select("file").distinct().collect()]
-                     if "file" in data.columns else [])          # one name per input file of the batch
+            stats = normal_statistics(blocks, self.num_features)      # one pass serves all iterations
         finally:
-            data.unpersist()
-        rec = self.spark.createDataFrame([(int(batch_id), int(n), [float(v) for v in w], sorted(files))],
-                                         "batch_id long, n long, w array<double>, files array<string>")
+            blocks.unpersist()
+        n = stats[3]
+        if n == 0:
+            return
+        w, _ = descend(stats, self.latest_weights(before_batch=batch_id), self.iterations, self.step)
+        rec = self.spark.createDataFrame([(int(batch_id), int(n), [float(v) for v in w])],
+                                         "batch_id long, n long, w array<double>")
         # one folder per batch id: a replayed batch overwrites the same rows
         rec.write.mode("overwrite").parquet(f"{self.weights_path}/batch={int(batch_id)}")
 
@@ -121,7 +118,7 @@ class StreamingLinearRegression:
         def fn(df: DataFrame, batch_id: int) -> None:
             self.predict(df.select("label", "features")).select(
                 F.lit(int(batch_id)).cast("long").alias("batch_id"), "label", "prediction"
-            ).write.mode("append").parquet(output_path)
+            ).write.mode("overwrite").parquet(f"{output_path}/batch={int(batch_id)}")
         w = stream.writeStream.foreachBatch(fn).option(
             "checkpointLocation", checkpoint or shared_path(self.spark, "stream-predict-ckpt"))
         if available_now:

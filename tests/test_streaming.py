@@ -5,35 +5,34 @@ from tessera.plans.session import shared_path
 from tessera.streaming.linreg import StreamingLinearRegression, point_stream
 
 
-def write_files(spark, parts):
-    path = shared_path(spark, "test-points")
-    for i, rows in enumerate(parts):
-        lines = [f"({y},[{','.join(str(v) for v in x)}])" for x, y in rows]
-        spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.mode("append").text(path)
-    return path
+def write_arrival(spark, path, rows):
+    lines = [f"({y},[{','.join(str(v) for v in x)}])" for x, y in rows]
+    spark.createDataFrame([(l,) for l in lines], "value string").repartition(2).write.mode("append").text(path)
 
 
-def test_stream_training_equals_batch_replay(spark):
+def test_restarted_training_equals_batch_replay(spark):
     rng = np.random.default_rng(0)
     w_true = np.array([1.5, -2.0])
-    parts = []
-    for _ in range(3):
+    src, ckpt, out = (shared_path(spark, x) for x in ("test-points", "test-ckpt", "test-preds"))
+    w = np.zeros(2)
+    for b in range(3):
         X = rng.normal(size=(40, 2))
-        parts.append([(x.tolist(), float(x @ w_true)) for x in X])
-    src = write_files(spark, parts)
-    model = StreamingLinearRegression(spark, num_features=2, iterations=10)
-    q = model.train_on(point_stream(spark, src), available_now=True)
-    q.awaitTermination()
+        rows = [(x.tolist(), float(x @ w_true)) for x in X]
+        write_arrival(spark, src, rows)
+        # a new object and query each time: the model lives in its table and checkpoint
+        if b == 0:
+            model = StreamingLinearRegression(spark, num_features=2, iterations=10)
+        else:
+            model = StreamingLinearRegression(spark, num_features=2, iterations=10, weights_path=model.weights_path)
+        model.train_on(point_stream(spark, src), checkpoint=ckpt, available_now=True).awaitTermination()
+        model.predict_on_values(point_stream(spark, src), out, checkpoint=ckpt + "-p", available_now=True).awaitTermination()
+        df = spark.createDataFrame(rows, "x array<double>, y double")
+        w, _ = train_sgd(df, "squared", 2, iterations=10, step=0.1, w0=w)
+        assert np.allclose(model.latest_weights(), w, atol=1e-12)
+        got = sorted(r.prediction for r in spark.read.parquet(out).where(f"batch_id = {b}").collect())
+        assert np.allclose(got, sorted(X @ w))
     hist = model.history().collect()
-    assert len(hist) == 3
-    # replay: the batch trainer over each batch's files, in batch order, from the previous weights
-    w = np.zeros(2)
-    for h in hist:
-        batch = point_stream.__globals__["parse_bracket_points"](
-            spark.read.text(list(h.files)).select("value"))
-        w, _ = train_sgd(batch.selectExpr("features AS x", "label AS y"), "squared", 2,
-                         iterations=10, step=0.1, w0=w)
-        assert np.allclose(np.array(h.w), w, atol=1e-12)
+    assert [(h.batch_id, h.n) for h in hist] == [(0, 40), (1, 40), (2, 40)]
     # a replayed batch id changes nothing (idempotent update)
     before = model.latest_weights()
     model.update(spark.read.text(src).selectExpr("1.0 AS label", "array(1.0, 1.0) AS features"), hist[-1].batch_id)
@@ -43,11 +42,10 @@ def test_stream_training_equals_batch_replay(spark):
     assert len(model.history().collect()) == 3
 
 
-def test_predict_on_values(spark):
-    src = write_files(spark, [[([1.0, 2.0], 3.0)], [([0.0, 1.0], 1.0)]])
+def test_replayed_prediction_replaces_its_rows(spark):
+    src, out = shared_path(spark, "test-points"), shared_path(spark, "test-preds")
+    write_arrival(spark, src, [([1.0, 2.0], 3.0), ([0.0, 1.0], 1.0)])
     model = StreamingLinearRegression(spark, num_features=2, initial=[1.0, 1.0])
-    out = shared_path(spark, "test-preds")
-    q = model.predict_on_values(point_stream(spark, src), out, available_now=True)
-    q.awaitTermination()
-    preds = sorted((r.label, r.prediction) for r in spark.read.parquet(out).collect())
-    assert preds == [(1.0, 1.0), (3.0, 3.0)]
+    for _ in range(2):  # a new checkpoint each time: the same batch id again
+        model.predict_on_values(point_stream(spark, src), out, available_now=True).awaitTermination()
+        assert sorted((r.label, r.prediction) for r in spark.read.parquet(out).collect()) == [(1.0, 1.0), (3.0, 3.0)]
