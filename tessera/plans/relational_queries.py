@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
@@ -11,6 +11,7 @@ from ..operators import relational as R
 from ..operators.stats import group_mean_vectors
 from ..sources import text as T
 from ..sources.tables import table
+from .session import cut_lineage
 from .registry import register
 from .text_queries import ratings_lines
 
@@ -99,17 +100,29 @@ def q_reindex_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- J3 / M2 / M3
-def baseline_predictions(ratings: DataFrame) -> DataFrame:
+def rating_counts(ratings: DataFrame) -> DataFrame:
+    """The parsed ratings reduced once to ``(user, item, rating, n)``, and
+    checkpointed: everything below is derived from this table."""
+    return cut_lineage(ratings.groupBy("user", "item", "rating").agg(F.count(F.lit(1)).alias("n")))
+
+
+def baseline_predictions(counts: DataFrame) -> DataFrame:
     """A fixed predictor keyed by (user, item): user mean + item mean - global
     mean, for every observed pair.  The global mean is a one-row table."""
-    g = ratings.agg(F.avg("rating").alias("g"))
-    u = ratings.groupBy("user").agg(F.avg("rating").alias("bu"))
-    i = ratings.groupBy("item").agg(F.avg("rating").alias("bi"))
-    pairs = ratings.select("user", "item").distinct()
+    mean = F.sum(F.col("rating") * F.col("n")) / F.sum("n")
+    g = counts.agg(mean.alias("g"))
+    u = counts.groupBy("user").agg(mean.alias("bu"))
+    i = counts.groupBy("item").agg(mean.alias("bi"))
+    pairs = counts.select("user", "item").distinct()
     return (pairs.join(u, "user").join(i, "item").crossJoin(F.broadcast(g))
             .select("user", "item", (F.col("bu") + F.col("bi") - F.col("g")).alias("prediction")))
 
 
+def weighted_rmse(rows: DataFrame, err: Column) -> DataFrame:
+    """RMSE of rows that stand for ``n`` ratings each."""
+    return rows.agg(F.sum("n").alias("n"), F.round(F.sqrt(F.sum(F.col("n") * err * err) / F.sum("n")), 6).alias("rmse"))
+
+
 _BASELINE_SQL = """
 WITH r AS (
   SELECT CAST(l_suppkey AS INTEGER) AS u, CAST(l_partkey AS INTEGER) AS i, CAST(ceil(l_quantity / 10) AS DOUBLE) AS rating
@@ -127,11 +140,9 @@ SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((p.prediction - r.rating) ^
 FROM r JOIN p ON r.u = p.u AND r.i = p.i
 """)
 def q_rmse_join(spark: SparkSession, sf: str) -> DataFrame:
-    ratings = T.parse_ratings(ratings_lines(table(spark, sf, "lineitem")))
-    preds = baseline_predictions(ratings)
-    j = ratings.join(preds, ["user", "item"])          # composite-key join, duplicates multiply
-    err = F.col("prediction") - F.col("rating")
-    return j.agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"))
+    counts = rating_counts(T.parse_ratings(ratings_lines(table(spark, sf, "lineitem"))))
+    j = counts.join(baseline_predictions(counts), ["user", "item"])          # composite-key join
+    return weighted_rmse(j, F.col("prediction") - F.col("rating"))
 
 
 @register("rmse_implicit", sql=_BASELINE_SQL + """
@@ -141,14 +152,12 @@ SELECT CAST(count(*) AS BIGINT) AS n,
 FROM r JOIN p ON r.u = p.u AND r.i = p.i
 """)
 def q_rmse_implicit(spark: SparkSession, sf: str) -> DataFrame:
-    """Implicit-feedback evaluation: test labels are 1 when the shifted
-    rating is positive, predictions are clamped to [0, 1]."""
-    ratings = T.parse_ratings(ratings_lines(table(spark, sf, "lineitem")))
-    preds = baseline_predictions(ratings)
-    j = ratings.join(preds, ["user", "item"])
-    p = F.greatest(F.least(F.col("prediction") / 5.0, F.lit(1.0)), F.lit(0.0))
-    y = F.when(F.col("rating") - 2.5 > 0, 1.0).otherwise(0.0)
-    return j.agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg((p - y) * (p - y))), 6).alias("rmse"))
+    """Implicit-feedback evaluation: ratings are parsed shifted, test labels are
+    1 when the shifted rating is positive, predictions are clamped to [0, 1]."""
+    counts = rating_counts(T.parse_ratings(ratings_lines(table(spark, sf, "lineitem")), implicit=True))
+    j = counts.join(baseline_predictions(counts), ["user", "item"])
+    p = F.greatest(F.least((F.col("prediction") + 2.5) / 5.0, F.lit(1.0)), F.lit(0.0))
+    return weighted_rmse(j, p - F.when(F.col("rating") > 0, 1.0).otherwise(0.0))
 
 
 # ---------------------------------------------------------------- F6 / F8 / F9 / T3 / T4
@@ -196,6 +205,20 @@ def q_vector_concat(spark: SparkSession, sf: str) -> DataFrame:
                     F.round(V.vsum(c), 6).alias("total"))
 
 
+@register("vector_arithmetic", sql="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings)
+SELECT vec_id, round(list_sum(list_transform(x, lambda a: 0.5 * a + (a + 2.0 * a))), 6) AS linear,
+       round(list_sum(list_transform(x, lambda a: 1.0 / (1.0 + exp(-a)))), 6) AS squashed
+FROM v
+""")
+def q_vector_arithmetic(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of ``0.5 x + (x + 2 x)`` and of the logistic function of x."""
+    x = V.to_double_array("embedding")
+    return table(spark, sf, "embeddings").select(
+        "vec_id", F.round(V.vsum(V.axpy(0.5, x, V.vadd(x, V.vscale(x, 2.0)))), 6).alias("linear"),
+        F.round(V.vsum(F.transform(x, V.sigmoid)), 6).alias("squashed"))
+
+
 @register("label_encode", sql="""
 WITH l AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT label FROM embeddings)),
 k AS (SELECT count(*) AS k FROM l),

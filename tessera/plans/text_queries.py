@@ -24,6 +24,18 @@ def q_line_lengths(spark: SparkSession, sf: str) -> DataFrame:
     return T.line_lengths(lines).select("doc_id", F.col("line_no").cast("int").alias("line_no"), "len")
 
 
+@register("line_scan", sql=r"""
+SELECT CAST(length(line) AS INTEGER) AS len, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest(string_split(replace(text, chr(13), ' '), chr(10))) AS line FROM documents) GROUP BY 1
+""")
+def q_line_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as text files, scanned line by line: lines of each length."""
+    path = shared_path(spark, "document-lines")
+    table(spark, sf, "documents").select(F.translate("text", "\r", " ").alias("value")).where("value IS NOT NULL").write.text(path)
+    lines = T.line_lengths(T.read_lines(spark, path, min_partitions=2))
+    return lines.groupBy(F.col("len").cast("int").alias("len")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def format_vector(col: str) -> F.Column:
     """array<float|double> -> "x1 x2 ..." (exact double text, so parsing
     gives back the stored value)."""

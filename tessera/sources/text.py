@@ -36,8 +36,7 @@ def explode_lines(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
 
 
 def _require(cond: Column, msg: str, value: Column) -> Column:
-    """Raise at run time (like the reference's positional parsers) when
-    ``cond`` is false, else return ``value``."""
+    """Raise at run time when ``cond`` is false, else return ``value``."""
     return F.when(cond, value).otherwise(F.raise_error(F.lit(msg)))
 
 
