@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from . import chunks
+from . import segments
 from .textbatch import map_batches
 
 WIDE = 64
@@ -58,7 +58,7 @@ class ByteBPE:
         self.pairs = pairs
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_rank = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
-        self.memo = chunks.Memo(self.encode_strings)
+        self.memory = segments.Memory(lambda texts: [np.frombuffer(x, "<u4") for x in self.encode_strings(texts)])
 
     # -- merging -----------------------------------------------------------
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -186,10 +186,6 @@ class ByteBPE:
         known = self.encode_pretokens([p for ps in pre for p in ps])
         return [b"".join([known[p] for p in ps]) for ps in pre]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """``encode_strings`` through the worker's memory of pieces."""
-        return self.memo.ids(texts)
-
     def decode(self, ids: bytes) -> bytes:
         i = np.frombuffer(ids, "<u4").astype(np.int64)
         if len(i) == 0:
@@ -214,14 +210,13 @@ def encode_decode(df: DataFrame, path: str, pattern: str, keep: bool = False) ->
     with ``keep`` also the ids (little-endian uint32) and the decoded text."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         e = encoder(path, pattern)
-        texts = ["" if t is None else t for t in b.column(1).to_pylist()]
         cols: list[list] = [[], [], [], [], []]
-        for a in range(0, len(texts), 128):
-            for ids in e.encode(texts[a:a + 128]):
-                back = e.decode(ids)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest())
-                for c, v in zip(cols, row + ((ids, back.decode("utf-8", "replace")) if keep else ())):
-                    c.append(v)
+        for x in segments.encoded(e.memory, b.column(1)):
+            ids = x.astype("<u4").tobytes()
+            back = e.decode(ids)
+            row = (len(x), hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest())
+            for c, v in zip(cols, row + ((ids, back.decode("utf-8", "replace")) if keep else ())):
+                c.append(v)
         kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()][:5 if keep else 3]
         names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(kinds)]
         return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", *names])

@@ -25,12 +25,13 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.session import shared_path
-from . import chunks
+from . import segments
 from .textbatch import map_batches
 
 BLOCK = 1024
@@ -122,7 +123,7 @@ _STATE: dict[str, "LibraryEncoder"] = {}
 
 
 class LibraryEncoder:
-    """The tokenizers library behind a memory of pieces; special strings in a
+    """The tokenizers library behind a memory of segments; special strings in a
     text are handled as the library does by default."""
 
     def __init__(self, path: str):
@@ -131,44 +132,48 @@ class LibraryEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
         self.tk = Tokenizer.from_file(path)
         self.special = [a.content for a in self.tk.get_added_tokens_decoder().values()]
-        # a byte-level piece has one character for each byte
-        self.lens = np.zeros(self.tk.get_vocab_size(with_added_tokens=True), np.int64)
-        for token, i in self.tk.get_vocab(with_added_tokens=False).items():
-            self.lens[i] = len(token)
-        self.byte_level = set("".join(self.tk.get_vocab(with_added_tokens=False))) <= set(pre_tokenizers.ByteLevel.alphabet())
-        self.memo = chunks.Memo(self.pieces)
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def pieces(self, texts: list[str]) -> list[bytes]:
-        """ids of pieces that begin with a space or newline and another character: many
-        go through the library as one text, and the bytes that each id stands
-        for tell where a piece ends."""
-        if not (self.byte_level and len(texts) > 8 and all(len(t) > 1 and t[0] in " \n" and not t[1].isspace() and not t[-1].isspace() for t in texts)):
-            return self.plain(texts)
-        ids = np.array(self.tk.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
-        want = np.cumsum([len(t.encode()) for t in texts])
-        ends = np.cumsum(self.lens[ids])
-        cut = np.searchsorted(ends, want) + 1
-        if ends[-1] != want[-1] or not np.array_equal(ends[cut - 1], want):
-            return self.plain(texts)
-        raw, cut = ids.tobytes(), (cut * 4).tolist()
-        return [raw[a:b] for a, b in zip([0, *cut[:-1]], cut)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        odd = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        held = set(odd)
-        out = self.memo.ids(["" if i in held else t for i, t in enumerate(texts)] if odd else texts)
-        for i in odd:  # a special string may stand anywhere in the text
-            out[i] = self.plain([texts[i]])[0]
+        # a byte-level vocabulary writes each byte as one character: the first 256
+        # characters by the library's own table
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.written = {b: level.pre_tokenize_str(chr(b))[0][0][-1] for b in range(0x20, 0x7F)}
+        for b in range(0x80, 0x100):  # as the last byte of a two- or three-byte character, or the first of one
+            text = bytes([0xC3, b]).decode() if b < 0xC0 else chr((b & 0x1F) << 6 | 0x80) if 0xC2 <= b < 0xE0 else ""
+            if text:
+                self.written[b] = level.pre_tokenize_str(text)[0][0][-1 if b < 0xC0 else 0]
+        self.memory = segments.Memory(self.encode)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """ids of segments.  One of Latin letters, after a space or not, is a single
+        pre-token and goes to the library's model directly."""
+        out: list = [None] * len(texts)
+        rest, tokenize, written = [], self.tk.model.tokenize, self.written
+        for i, t in enumerate(texts):
+            if (t[1:] if t[0] == " " else t).isalpha() and max(t) < "\u0250":
+                out[i] = [x.id for x in tokenize(t.encode().decode("latin-1").translate(written))]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.tk.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
         return out
 
-
-def encode_texts(path: str, texts: list[str]) -> list[bytes]:
+    def column(self, col: pa.Array):
+        """ids of each text of a column; a special string may stand anywhere in a
+        text, and such texts are encoded whole."""
+        odd = pa.array(np.zeros(len(col), bool))
+        for s in self.special:
+            odd = pc.or_(odd, pc.fill_null(pc.match_substring(col, s), False))
+        if pc.any(odd).as_py():
+            plain = segments.encoded(self.memory, pc.if_else(odd, "", col))
+            for t, o, ids in zip(col, odd, plain):
+                yield np.array(self.tk.encode(t.as_py(), add_special_tokens=False).ids, np.uint32) if o.as_py() else ids
+        else:
+            yield from segments.encoded(self.memory, col)
+
+
+def library_encoder(path: str) -> LibraryEncoder:
     if path not in _STATE:
         _STATE[path] = LibraryEncoder(path)
-    return _STATE[path].encode(texts)
+    return _STATE[path]
 
 
 # -- files -------------------------------------------------------------------
@@ -187,23 +192,23 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None
         from pyspark import TaskContext
         shard, first = TaskContext.get().partitionId(), 0
         docs, parts, held = [], [], 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
+        enc = library_encoder(tokenizer)
 
         def flush():
             nonlocal first, docs, parts, held
-            row = [shard], [first], [held], [docs], [[len(p) // 4 for p in parts]], [pack_ids(np.frombuffer(b"".join(parts), "<u4"))]
+            lens = [len(p) + 1 for p in parts]
+            row = [shard], [first], [held], [docs], [lens], [pack_ids(np.concatenate([x for p in parts for x in (p, end)]))]
             first, docs, parts, held = first + held, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, (
                 pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))], SEGMENTS.names)
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a in range(0, len(ids), 256):
-                for d, t in zip(ids[a:a + 256], encode_texts(tokenizer, ["" if t is None else t for t in texts[a:a + 256]])):
-                    docs.append(d)
-                    parts.append(t + end)
-                    held += len(t) // 4 + 1
-                    if held >= SEGMENT_IDS:
-                        yield flush()
+            for d, ids in zip(b.column(0).to_pylist(), enc.column(b.column(1))):
+                docs.append(d)
+                parts.append(ids)
+                held += len(ids) + 1
+                if held >= SEGMENT_IDS:
+                    yield flush()
         if docs:
             yield flush()
     (df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

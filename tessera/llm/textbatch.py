@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: separators of `[^\x20\x09-\x0D]+`
 SPACE = np.zeros(256, bool)
@@ -26,6 +26,7 @@ LOWER[65:91] += 32
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) ^ np.uint64(0x2545F4914F6CDD1D)
 _BASE = np.uint64(0x5851F42D4C957F2D)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,6 +36,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_TABLES = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the base of the hashes and of its inverse modulo
+    2^64; kept for the life of the process and grown to the longest slice."""
+    if len(_TABLES[0]) < n:
+        size = 1 << n.bit_length()
+        _TABLES[:] = [powers(_BASE, size), powers(_INVERSE, size)]
+    return _TABLES[0], _TABLES[1]
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.empty(n, np.uint64)
     out[0] = 1
@@ -83,23 +96,26 @@ def words(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE, heads: tu
     if n == 0:
         return empty
     inside = ~sep[data]
-    first = inside.copy()
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     starts_of_text = offs[:-1][offs[:-1] < n]
     first[starts_of_text] = inside[starts_of_text]
-    pos = np.flatnonzero(inside)
-    head = np.flatnonzero(first[pos])  # index into pos of each word's first byte
-    if len(head) == 0:
+    before = starts_of_text[starts_of_text > 0] - 1
+    last[before] = inside[before]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    if not len(start):
         return empty
-    lens = np.diff(np.append(head, len(pos)))
-    start = pos[head]
-    k = np.arange(len(pos)) - np.repeat(head, lens)
-    v = _BYTE[data[pos]] * powers(_BASE, int(lens.max()))[k]
+    power, inverse = tables(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
+    back, low = inverse[start], total[start]
     text = np.searchsorted(offs, start, side="right") - 1
-    out = [mix(np.add.reduceat(v, head) ^ (lens.astype(np.uint64) * _GOLDEN))]
-    for m in heads:
-        out.append(mix(np.add.reduceat(np.where(k < m, v, np.uint64(0)), head) ^ (np.minimum(lens, m).astype(np.uint64) * _GOLDEN)))
-    return text, start, start + lens, *out
+    out = []
+    for m in (n, *heads):
+        stop = np.minimum(end, start + m)
+        out.append(mix((total[stop] - low) * back ^ ((stop - start).astype(np.uint64) * _GOLDEN)))
+    return text, start, end, *out
 
 
 def shingles(text: np.ndarray, h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +128,9 @@ def shingles(text: np.ndarray, h: np.ndarray, width: int) -> tuple[np.ndarray, n
     if n >= width:
         acc = h[:n - width + 1].copy()
         for j in range(1, width):
-            acc = mix(acc * _BASE + h[j:n - width + 1 + j])
+            acc *= _BASE
+            acc += h[j:n - width + 1 + j]
+        acc = mix(acc)
         ok = text[:n - width + 1] == text[width - 1:]
         out_t.append(text[:n - width + 1][ok])
         out_h.append(acc[ok])
@@ -120,7 +138,7 @@ def shingles(text: np.ndarray, h: np.ndarray, width: int) -> tuple[np.ndarray, n
     for i, a, c in zip(*(x[cnt < width] for x in (ids, at, cnt))):
         acc = h[a:a + 1].copy()
         for j in range(1, c):
-            acc = mix(acc * _BASE + h[a + j:a + j + 1])
+            acc = acc * _BASE + h[a + j:a + j + 1]
         out_t.append(np.array([i]))
         out_h.append(mix(acc + np.uint64(c)))
     t, s = np.concatenate(out_t), np.concatenate(out_h)
