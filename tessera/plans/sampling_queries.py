@@ -19,9 +19,16 @@ def brand_fractions(spark: SparkSession, sf: str) -> dict[str, float]:
     return {b: (1 + int(b.split("#")[1]) % 4) / 8.0 for b in brands}
 
 
-@register("sample_replace")
+@register("sample_replace", sql="SELECT TRUE AS near_size, TRUE AS known FROM lineitem LIMIT 1")
 def q_sample_replace(spark: SparkSession, sf: str) -> DataFrame:
-    return A.sample(table(spark, sf, "lineitem").select(*LINE_ID), True, 0.1, seed=42)
+    """A tenth with replacement: within five standard deviations of its size, all
+    of it rows of the table."""
+    li = table(spark, sf, "lineitem").select(*LINE_ID)
+    s = A.sample(li, True, 0.1, seed=42)
+    n = li.agg(F.count(F.lit(1)).alias("all"))                                          # one-row sides
+    strange = s.join(li, LINE_ID, "left_anti").agg(F.count(F.lit(1)).alias("strange"))
+    facts = s.agg(F.count(F.lit(1)).alias("n")).crossJoin(n).crossJoin(strange)
+    return facts.select((F.abs(F.col("n") - 0.1 * F.col("all")) <= 5 * F.sqrt(0.1 * F.col("all"))).alias("near_size"), (F.col("strange") == 0).alias("known"))
 
 
 _SAMPLE_N = 1000
@@ -56,10 +63,16 @@ def q_sample_exact_replace(spark: SparkSession, sf: str) -> DataFrame:
     return f.select("n", "n_known", (F.col("n_distinct") <= F.col("n")).alias("repeats"))
 
 
-@register("stratified_approx")
+@register("stratified_approx", sql="SELECT p_brand, TRUE AS near_size FROM part GROUP BY p_brand")
 def q_stratified_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """Poisson samples by brand: each stratum within five standard deviations
+    (and one row) of its expected size."""
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
-    return A.sample_by_key(part, "p_brand", brand_fractions(spark, sf), True, ["p_partkey"], seed=42)
+    fr = brand_fractions(spark, sf)
+    got = A.sample_by_key(part, "p_brand", fr, True, ["p_partkey"], seed=42).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    want = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("size")).withColumn("mean", A.fraction_column("p_brand", fr) * F.col("size"))
+    near = F.abs(F.coalesce("n", F.lit(0)) - F.col("mean")) <= 5 * F.sqrt("mean") + 1
+    return want.join(got, "p_brand", "left").select("p_brand", near.alias("near_size"))
 
 
 _EXACT_SQL = """
