@@ -11,9 +11,13 @@ sets' similarity, more concentrated than independent hashes.  ``BANDS`` bands of
 bands miss with probability 3e-6), and pairs are confirmed on the full sets.
 
 Only components are asked for, so a bucket's pairs aren't all made: members are
-confirmed against its smallest, then its largest id, and after each step only
-pairs whose members are still in different components remain; a last step
-confirms all of those.  Hot buckets thus cost one pair for each member and hub.
+confirmed against its smallest id, then, where a bucket still holds several
+components, those of other components against ``HUBS`` members drawn by hash.
+What then remains are pairs of different components in a common bucket, compared by
+blocks of members inside tasks: sketches first, with all ``COORDS`` coordinates, where
+pairs within ``SIGMAS`` standard deviations of the threshold go on (a pair at the
+threshold is lost with probability 4e-6); then, for the members of such pairs, the
+full sets, once for each pair.  Only links leave a task.
 
 Cases: null, empty or wordless texts have no shingles and link with nothing;
 fewer words than a shingle make one shingle; equal texts link through their
@@ -32,7 +36,11 @@ from pyspark.sql import functions as F
 from .textbatch import LOWER, SPACE, map_batches, mix, shingles, slices, text_bytes, words
 from .written import components, written
 
-COORDS, BANDS, ROWS = 160, 32, 5
+COORDS, BANDS, ROWS = 512, 32, 5
+HUBS = 4
+SIGMAS = 4.5
+#: members of a bucket that are compared with each other at once
+BLOCK = 2048
 _FULL = np.uint64(np.iinfo(np.uint64).max)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -86,11 +94,12 @@ def band_hashes(table: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.n
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n (set size), s0, s1 (128 bits of the set), bands."""
+    """doc_id, n (set size), s0, s1 (128 bits of the set), bands, and the last byte
+    of each coordinate."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         data, offs = text_bytes(b.column(1))
         size, keys = np.zeros(b.num_rows, np.int64), np.zeros((2, b.num_rows), np.uint64)
-        bands = np.zeros((b.num_rows, BANDS), np.int64)
+        bands, last = np.zeros((b.num_rows, BANDS), np.int64), [b""] * b.num_rows
         for a, z in slices(offs):
             o = offs[a:z + 1]
             t, h = shingle_sets(data[o[0]:o[-1]], o - o[0], width)
@@ -99,12 +108,14 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 at = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
                 for k in (0, 1):
                     keys[k, a + t[at]] = np.add.reduceat(mix(h + np.uint64(k * 7 + 1)), at)
-            bands[a:z] = band_hashes(sketch(t, h, z - a))
+            table = sketch(t, h, z - a)
+            bands[a:z] = band_hashes(table)
+            last[a:z] = [x.tobytes() for x in table.astype(np.uint8)]
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.ravel()))
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists],
-                                          ["doc_id", "n", "s0", "s1", "bands"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists, pa.array(last, pa.binary())],
+                                          ["doc_id", "n", "s0", "s1", "bands", "sketch"])
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                       "doc_id long, n long, s0 long, s1 long, bands array<long>")
+                       "doc_id long, n long, s0 long, s1 long, bands array<long>, sketch binary")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -131,14 +142,112 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b"))
 
 
+KEYS = ["bucket", "i", "j"]
+
+
+def groups(batches):
+    """Tables of whole groups from batches sorted by ``KEYS``, with the groups'
+    first rows and the end."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(t):
+        k = np.stack([t.column(x).to_numpy() for x in KEYS], axis=1)
+        return k, np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1)))
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([*held, b])
+        k, at = cut(t)
+        last = int(at[-1])
+        held = t.slice(last).combine_chunks().to_batches()
+        if last:
+            yield t.slice(0, last).combine_chunks(), k[:last], at  # the last start is the end
+    if held:
+        t = pa.Table.from_batches(held).combine_chunks()
+        k, at = cut(t)
+        yield t, k, np.append(at, len(k))
+
+
+def likely(own, rep, n, c, sk, i, j, percent: int):
+    """Index pairs of two components in one group whose sketches make the
+    similarity likely, a few thousand at a time."""
+    share = percent / 100
+    least = COORDS * (share - SIGMAS * (share * (1 - share) / COORDS) ** 0.5)
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    for u in range(0, len(left), 256):
+        x = left[u:u + 256]
+        fit = (c[x][:, None] != c[right]) & (100 * np.minimum(n[x][:, None], n[right]) >= percent * np.maximum(n[x][:, None], n[right]))
+        if i == j:
+            fit &= rep[x][:, None] < rep[right]
+        p, q = np.nonzero(fit)
+        for v in range(0, len(p), 8192):  # 4 MB of coordinates at a time
+            l, r = x[p[v:v + 8192]], right[q[v:v + 8192]]
+            ok = (sk[l] == sk[r]).sum(axis=1) >= least
+            if ok.any():
+                yield l[ok], r[ok]
+
+
+def remaining_links(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) linked members (bucket, rep, n, c, size) of one bucket and different
+    components.  A bucket's members are dealt into blocks, and each pair of blocks
+    is a group."""
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    dealt = (members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "c"))
+    cols = ["own", "rep", "n", "c"]
+
+    def arrays(t: pa.Table):
+        return (*(t.column(x).to_numpy() for x in cols), np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(t), COORDS))
+
+    def screen(batches):
+        for t, k, at in groups(batches):
+            own, rep, n, c, sk = arrays(t)
+            keep = np.zeros(len(k), bool)
+            for a, z in zip(at[:-1], at[1:]):
+                for l, r in likely(own[a:z], rep[a:z], n[a:z], c[a:z], sk[a:z], k[a, 1], k[a, 2], percent):
+                    keep[a + l] = keep[a + r] = True
+            if keep.any():
+                yield from t.select([*KEYS, *cols]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+    def check(batches):
+        for t, k, at in groups(batches):
+            own, rep, n, c, sk = arrays(t)
+            bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(k), BANDS)
+            full = t.column("set").combine_chunks()
+            off, val = full.offsets.to_numpy(), full.values.to_numpy()
+            out = [], []
+            for a, z in zip(at[:-1], at[1:]):
+                for l, r in likely(own[a:z], rep[a:z], n[a:z], c[a:z], sk[a:z], k[a, 1], k[a, 2], percent):
+                    l, r = a + l, a + r
+                    # a pair is checked in the first band that it shares
+                    first = (bands[l] == bands[r]).argmax(axis=1)
+                    once = bands[l, first] == k[a, 0]
+                    for x, y in zip(l[once], r[once]):
+                        both = len(np.intersect1d(val[off[x]:off[x + 1]], val[off[y]:off[y + 1]], assume_unique=True))
+                        if 100 * both >= percent * (n[x] + n[y] - both):
+                            out[0].append(min(rep[x], rep[y]))
+                            out[1].append(max(rep[x], rep[y]))
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], ["a", "b"])
+
+    def sorted_groups(df: DataFrame) -> DataFrame:
+        return df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
+    some = sorted_groups(dealt.join(reps.select("rep", "sketch"), "rep").select(*KEYS, *cols, "sketch"))
+    some = written(some.mapInArrow(screen, "bucket long, i int, j int, own int, rep long, n long, c long"), "likely-members")
+    full = some.join(reps.select("rep", "sketch", "bands"), "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
+    return sorted_groups(full.select(*KEYS, *cols, "sketch", "bands", "set")).mapInArrow(check, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     rows = written(sketches(docs, width), "sketches")
     reps = (rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s0", "s1")
-            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     reps = written(reps, "representatives")
-    members = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
+    members = reps.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("rep", "n", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").drop("hi")
     members = written(members.join(shared, "bucket"), "buckets")  # only buckets with two classes or more
     ids = members.select("rep").distinct()
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -149,26 +258,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     def fits(n, m):
         return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    for step in ("lo", "hi", "rest"):
+    for step in ("smallest", "hubs", "rest"):
         own = members.join(comp.select(F.col("id").alias("rep"), F.col("component").alias("c")), "rep")
-        if step == "rest":
-            l, r = (own.select("bucket", *(F.col(c).alias(f"{c}{s}") for c in ("rep", "n", "c"))) for s in ("1", "2"))
-            many = own.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c9")).filter("c0 < c9").select("bucket")
-            pairs = (l.join(many, "bucket").join(r, "bucket").filter("rep1 < rep2 AND c1 <> c2").filter(fits(F.col("n1"), F.col("n2")))
-                     .select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct())
+        drawn = [F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(k)).alias("h"), "rep", "n", "c")).alias(f"h{k}") for k in range(HUBS)]
+        many = own.groupBy("bucket").agg(F.count("*").alias("size"), F.min("c").alias("c0"), F.max("c").alias("c9"), *drawn).filter("c0 < c9")
+        if step == "smallest":
+            size = reps.select(F.col("rep").alias("lo"), F.col("n").alias("hn"))
+            pairs = own.filter("rep <> lo").select("rep", "lo", "n").distinct().join(size, "lo").filter(fits(F.col("n"), F.col("hn"))).select(F.col("lo").alias("a"), F.col("rep").alias("b"))
+        elif step == "hubs":
+            if not HUBS:
+                continue
+            hubs = many.select("bucket", F.explode(F.array_distinct(F.array(*(F.col(f"h{k}") for k in range(HUBS))))).alias("h"))
+            hubs = hubs.select(F.col("bucket").alias("bucket2"), *(F.col(f"h.{x}").alias(f"{x}2") for x in ("rep", "n", "c")))
+            met = (F.col("bucket") == F.col("bucket2")) & (F.col("c") != F.col("c2")) & fits(F.col("n"), F.col("n2"))
+            pairs = own.join(hubs, met).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         else:
-            hub = comp.select(F.col("id").alias(step), F.col("component").alias("hc"))
-            size = reps.select(F.col("rep").alias(step), F.col("n").alias("hn"))
-            cand = own.filter(F.col("rep") != F.col(step)).select("rep", step, "n", "c").distinct()
-            pairs = (cand.join(hub, step).filter("c <> hc").join(size, step).filter(fits(F.col("n"), F.col("hn")))
-                     .select(F.least("rep", step).alias("a"), F.greatest("rep", step).alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if not pairs.limit(1).count():
-            continue
-        found = written(confirm(pairs, sets, percent), "links")
-        tested = pairs if tested is None else tested.union(pairs)
+            pairs = None
+            found = written(remaining_links(own.join(many.select("bucket", "size"), "bucket"), reps, sets, percent), "links")
+        if pairs is not None:
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = written(pairs, "pairs")
+            if not pairs.limit(1).count():
+                continue
+            found = written(confirm(pairs, sets, percent), "links")
+            tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
         if found.limit(1).count():
             lab = components(links, "near-components")

@@ -51,8 +51,10 @@ def corpus(seed, big=40):
                    (8, rows[9][1]), (9, rows[9][1]), (10, " ".join(vocab * 100))]
 
 
-@pytest.mark.parametrize("seed,width", [(1, 2), (2, 5), (3, 2)])
-def test_matches_brute_force(spark, seed, width):
+@pytest.mark.parametrize("seed,width,hubs,block", [(1, 2, 4, 2048), (2, 5, 4, 2048), (3, 2, 1, 4), (5, 2, 0, 8)])
+def test_matches_brute_force(spark, monkeypatch, seed, width, hubs, block):
+    monkeypatch.setattr(N, "HUBS", hubs)
+    monkeypatch.setattr(N, "BLOCK", block)
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, 5, "b", 1) for d, t in rows], "doc_id long, text string, n int, bucket string, rep int").repartition(6)
     got = sorted((tuple(x) for x in N.near_duplicates(df, width).collect()), key=repr)
