@@ -39,13 +39,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .spool import Spool
-from .textbatch import _BYTE, map_batches, mix, powers, slices, text_bytes
+from .textbatch import _BYTE, map_batches, mix, slices, tables, text_bytes
 from .written import written
 
 LENGTH, GRAM = 400, 150
-HOT = 20_000
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+HOT = 2_000
 _POS = 28  # bits of a position inside a slice
 
 
@@ -59,9 +57,9 @@ class Hashes:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        power, self.back = tables(n + 1)
         self.sum = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * powers(BASE, max(n, 1))[:n], out=self.sum[1:])
-        self.back = powers(INVERSE, n + 1)
+        np.cumsum(_BYTE[data] * power[:n], out=self.sum[1:])
 
     def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((self.sum[b] - self.sum[a]) * self.back[a])
