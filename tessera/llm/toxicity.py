@@ -4,9 +4,9 @@ Two models, one of toxic and one of ordinary texts, give each word a
 probability: its own discounted count, and the discounted mass spread by a
 back-off to the word's head (its first ``HEAD`` bytes), whose weight is the
 number of distinct words it begins (Kneser-Ney continuation), again discounted
-and backed off to counts shared by both classes.  A rare form such as an
-inflected insult is so judged by what both classes know of its head.  Discounts
-are in proportion to the size of a class, so that neither class wins by size.
+and backed off to counts shared by both classes; a head's weight is shared evenly
+by the words that it begins in either class.  A rare form such as an inflected
+insult is so judged by what both classes know of its head.
 
 A text's evidence is the sum over its distinct words of the log-likelihood
 ratio beyond ``MARGIN``, divided by the square root of their number; the mean
@@ -42,7 +42,7 @@ from .textbatch import LOWER, mix, shingles, slices, text_bytes, words
 HEAD = 4
 WORD_BITS, HEAD_BITS = 22, 18
 WORD_DISCOUNT = HEAD_DISCOUNT = 2.0
-MARGIN = 3.0
+MARGIN = 2.0
 TIE_WEIGHT = 0.02
 CURVE_ROWS = 20_000
 THRESHOLD = 0.7
@@ -150,30 +150,28 @@ def fit_ratios(counts: DataFrame) -> Model:
     if not tot.a or not tot.b:
         return model
     total = np.array([tot.a, tot.b], float)
-    disc = WORD_DISCOUNT * total / total.min()
-    kept = [F.greatest(F.col(f"n{c}") - F.lit(float(disc[c])), F.lit(0.0)) for c in (0, 1)]
+    kept = [F.greatest(F.col(f"n{c}") - F.lit(WORD_DISCOUNT), F.lit(0.0)) for c in (0, 1)]
     mass = counts.agg(*(F.sum(kept[c]).alias(f"m{c}") for c in (0, 1))).first()
     lam = 1 - np.array([mass.m0, mass.m1]) / total
     heads = counts.groupBy("head").agg(*(F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (0, 1)),
-                                       F.sum(F.col("n0") + F.col("n1")).alias("pool")).toPandas()
+                                       F.count("*").alias("both")).toPandas()
     own = counts.filter((kept[0] > 0) | (kept[1] > 0)).toPandas()
     n = 1 << HEAD_BITS
     types = np.zeros((2, n))
-    pool = np.ones(n)
+    both = np.ones(n)
     for c in (0, 1):
         types[c, heads["head"]] = heads[f"t{c}"]
-    pool[heads["head"]] += heads["pool"]
+    both[heads["head"]] += heads["both"]
     shared = (types.sum(axis=0) + 0.5) / (types.sum() + 0.5 * n)
     size = types.sum(axis=1)
     q = []
     for c in (0, 1):
-        k = np.maximum(types[c] - HEAD_DISCOUNT * size[c] / size.min(), 0)
+        k = np.maximum(types[c] - HEAD_DISCOUNT, 0)
         q.append(k / size[c] + (1 - k.sum() / size[c]) * shared)
     tiny = 1e-300
     model.head[:] = np.log((lam[1] * q[1] + tiny) / (lam[0] * q[0] + tiny))
     h = own["head"].to_numpy()
-    part = (own["n0"].to_numpy() + own["n1"].to_numpy() + 0.5) / pool[h]
-    p = [np.maximum(own[f"n{c}"].to_numpy() - disc[c], 0) / total[c] + lam[c] * q[c][h] * part for c in (0, 1)]
+    p = [np.maximum(own[f"n{c}"].to_numpy() - WORD_DISCOUNT, 0) / total[c] + lam[c] * q[c][h] / both[h] for c in (0, 1)]
     model.word[own["slot"].to_numpy()] = np.log((p[1] + tiny) / (p[0] + tiny))
     return model
 
