@@ -11,10 +11,13 @@ small.  Alike lines share a token of their prefixes, the shorter one's index
 prefix and the longer one's probe prefix.  Tasks pack prefix entries into one
 binary block for each target partition, so that few large rows are shuffled.  A
 target sorts its entries by token and proposes earlier lines that pass the length
-and positional filters, earliest first.  ``PROPOSE`` proposals a token go to
-verification on full sets at first, which settles lines with many alike ones
-(hot groups make no pairs beyond that); lines that stay unsettled though there
-were more get all their proposals, as a query set in blocks of ``QUERY_LINES``.
+and positional filters, earliest first; a 64-bit parity of each set, whose bits
+differ in at most as many places as the sets differ in tokens, drops most others.
+A line's first ``FIRST`` proposals of each token are verified on full sets, which
+settles most lines.  The others go on with their next proposals, of which a token
+keeps ``PROPOSE``; where it had more, its group is written too, in chunks of
+``CHUNK`` entries, and meets the lines that are still unsettled.  Hot groups thus
+make few pairs, and none is dropped.
 
 Cases: null text has no lines; blank lines hold no tokens and stay; the parts
 between newlines are the lines, so a last empty one counts; rows that share a
@@ -35,8 +38,8 @@ from .written import written
 
 WIDTH, PERCENT = 5, 80
 SLOTS = 1 << 16
-PROPOSE = 3
-QUERY_LINES = 500_000
+FIRST, PROPOSE = 2, 16
+CHUNK = 4096
 SEPARATOR = SPACE
 
 
@@ -94,50 +97,78 @@ def need(percent: int, n: np.ndarray) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def propose(tok, doc, line, n, pos, percent: int, limit: int | None, only=None):
-    """Pairs (later entry, earlier entry) of entries with equal tokens that pass
-    the filters, at most ``limit`` an entry, and a mark on those cut short."""
-    o = np.lexsort((line, doc, tok))
-    tok, doc, line, n, pos = (x[o] for x in (tok, doc, line, n, pos))
-    first = np.append(True, tok[1:] != tok[:-1])
-    start = np.flatnonzero(first)
+def fits(x: dict, y: dict, percent: int) -> np.ndarray:
+    """Whether entries x and y of one token pass the filters: lengths, prefixes,
+    positions (common tokens still possible) and parities."""
+    n, m = x["n"], y["n"]
+    both = n + m
+    least = -(-percent * both // (100 + percent))  # tokens that alike sets share
+    short = np.minimum(n, m)
+    index = short - -(-2 * percent * short // (100 + percent)) + 1
+    ok = 100 * short >= percent * np.maximum(n, m)
+    ok &= np.where(n <= m, x["pos"], y["pos"]) < index
+    ok &= (x["pos"] <= n - need(percent, n)) & (y["pos"] <= m - need(percent, m))
+    ok &= np.minimum(x["pos"], y["pos"]) + np.minimum(n - x["pos"], m - y["pos"]) >= least
+    # alike sets differ in at most both - 2 * least tokens
+    ok &= np.bitwise_count(x["parity"] ^ y["parity"]) <= both - 2 * least
+    return ok & ((x["doc"] != y["doc"]) | (x["line"] != y["line"]))
+
+
+def propose(e: dict, percent: int, limit: int):
+    """For entries sorted by (token, doc, line): the entries with proposals, whether
+    there were more than ``limit``, and offsets into the proposed earlier entries."""
+    tok = e["tok"]
+    start = np.flatnonzero(np.append(True, tok[1:] != tok[:-1])[:len(tok)])
     at = np.repeat(start, np.diff(np.append(start, len(tok))))
     rank = np.arange(len(tok)) - at
-    probe, index = n - need(percent, n) + 1, n - -(-2 * percent * n // (100 + percent)) + 1
     live = np.flatnonzero(rank > 0)
-    if only is not None:
-        live = live[only(doc[live], line[live])]
-    got = np.zeros(len(tok), np.int64)
-    xs, ys, d = [], [], 0
-    cut = np.zeros(len(tok), bool)
+    got, cut = np.zeros(len(tok), np.int64), np.zeros(len(tok), bool)
+    xs, ys, d = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     while len(live):
-        x, y = live, at[live] + d
-        short = np.where(n[x] <= n[y], pos[x] < index[x], pos[y] < index[y])
-        near = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-        most = np.minimum(pos[x], pos[y]) + 1 + np.minimum(n[x] - pos[x], n[y] - pos[y]) - 1
-        ok = short & near & (most * (100 + percent) >= percent * (n[x] + n[y]))
-        ok &= (pos[x] < probe[x]) & (pos[y] < probe[y]) & ((doc[x] != doc[y]) | (line[x] != line[y]))
-        xs.append(x[ok])
+        y = at[live] + d
+        ok = fits({k: v[live] for k, v in e.items()}, {k: v[y] for k, v in e.items()}, percent)
+        xs.append(live[ok])
         ys.append(y[ok])
-        got[x[ok]] += 1
+        got[live[ok]] += 1
         d += 1
         on = rank[live] > d
-        if limit is not None:
-            full = got[live] >= limit
-            cut[live[full & on]] = True
-            on &= ~full
-        live = live[on]
-    x = np.concatenate(xs) if xs else np.zeros(0, np.int64)
-    y = np.concatenate(ys) if ys else x
-    return doc[x], line[x], doc[y], line[y], cut[x]
+        full = got[live] >= limit
+        cut[live[full & on]] = True
+        live = live[on & ~full]
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    o = np.argsort(x, kind="stable")  # an entry's proposals side by side, earliest first
+    x, y = x[o], y[o]
+    head = np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+    return x[head], cut[x[head]], np.append(head, len(x)), y
 
 
-ENTRY = (("tok", np.uint64), ("doc", np.int64), ("line", np.int32), ("n", np.int32), ("pos", np.int32))
+ENTRY = (("tok", np.uint64), ("doc", np.int64), ("line", np.int32), ("n", np.int32), ("pos", np.int32), ("parity", np.uint64))
+ENTRY_BYTES = sum(np.dtype(k).itemsize for _, k in ENTRY)
 
 
-def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int, limit: int | None, only=None) -> DataFrame:
-    """(doc_id, line, doc0, line0, more): proposed earlier line doc0/line0, or
-    null for a line that equals an earlier one of its task."""
+def pack(e: dict, s: slice) -> bytes:
+    return b"".join(e[k][s].astype(t).tobytes() for k, t in ENTRY)
+
+
+def unpack(blocks: list[bytes]) -> dict:
+    """Entries of several blocks; numbers as 64-bit ones, so that sums don't wrap."""
+    cols: dict[str, list] = {k: [] for k, _ in ENTRY}
+    for x in blocks:
+        n, at = len(x) // ENTRY_BYTES, 0
+        for k, t in ENTRY:
+            cols[k].append(np.frombuffer(x, t, n, at))
+            at += cols[k][-1].nbytes
+    return {k: np.concatenate(v).astype(np.uint64 if k in ("tok", "parity") else np.int64) for k, v in cols.items()}
+
+
+FOUND = ("doc_id long, line int, first array<struct<doc0: long, line0: int>>, rest array<struct<doc0: long, line0: int>>, more boolean, "
+         "tok long, n int, pos int, parity long, chunk binary")
+
+
+def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> DataFrame:
+    """``FOUND`` rows: the proposed earlier lines of a line by one token (null for a
+    line that equals an earlier one of its task) with its entry, or, without a
+    line, a chunk of the entries of a token that had more to propose."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranks = spark.sparkContext.broadcast(rank)
@@ -180,106 +211,120 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int, limit
                 pos = np.arange(len(line)) - np.repeat(head, n)
                 nn = np.repeat(n, n)
                 take = np.repeat(keep, n) & (pos <= nn - need(percent, nn))
-                for c, v in zip(out, (h[take], doc[line[take]], number[line[take]], nn[take], pos[take])):
+                parity = np.repeat(np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), head), n)
+                for c, v in zip(out, (h[take], doc[line[take]], number[line[take]], nn[take], pos[take], parity[take])):
                     c.append(v)
             rows = []
             if out[0]:
-                cols = [np.concatenate(c).astype(k) for c, (_, k) in zip(out, ENTRY)]
-                to = (cols[0] % np.uint64(parts)).astype(np.int64)
+                e = {k: np.concatenate(c) for c, (k, _) in zip(out, ENTRY)}
+                to = (e["tok"] % np.uint64(parts)).astype(np.int64)
                 o = np.argsort(to, kind="stable")
-                cols, to = [c[o] for c in cols], to[o]
+                e, to = {k: v[o] for k, v in e.items()}, to[o]
                 at = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-                for s, e in zip(at, np.append(at[1:], len(to))):
-                    rows.append((int(to[s]), b"".join(c[s:e].tobytes() for c in cols)))
+                rows = [(int(to[a]), pack(e, slice(a, z))) for a, z in zip(at, np.append(at[1:], len(to)))]
                 g = np.concatenate(gone_d), np.concatenate(gone_l).astype(np.int32)
                 if len(g[0]):
                     rows.append((-1 - int(g[0][0]) % parts, g[0].tobytes() + g[1].tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "block"])
 
+    kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.struct([("doc0", pa.int64()), ("line0", pa.int32())]))] * 2, pa.bool_(),
+             pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    names = ["doc_id", "line", "first", "rest", "more", "tok", "n", "pos", "parity", "chunk"]
+
+    def found(size: int, **cols) -> pa.RecordBatch:
+        """A batch of ``size`` rows; columns that aren't given are null."""
+        return pa.RecordBatch.from_arrays([pa.array(cols[c], k) if c in cols and not isinstance(cols[c], pa.Array) else cols.get(c, pa.nulls(size, k))
+                                           for c, k in zip(names, kinds)], names)
+
+    def lists(start, size, y, e):
+        ends = np.cumsum(size)
+        at = y[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)]
+        pairs = pa.StructArray.from_arrays([pa.array(e["doc"][at]), pa.array(e["line"][at].astype(np.int32))], ["doc0", "line0"])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pairs)
+
     def match(batches):
-        size = sum(np.dtype(k).itemsize for _, k in ENTRY)
         held: dict[int, list[bytes]] = {}
-
-        def rows(doc, line, doc0, line0, more):
-            return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(line, pa.int32()), doc0, line0, pa.array(more, pa.bool_())],
-                                              ["doc_id", "line", "doc0", "line0", "more"])
         for b in batches:
             for part, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if part >= 0:
                     held.setdefault(part, []).append(block)
                 else:
                     k = len(block) // 12
-                    d, l = np.frombuffer(block, np.int64, k), np.frombuffer(block, np.int32, k, 8 * k)
-                    yield rows(d, l, pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), np.zeros(k, bool))
-        test = None
-        if only is not None:
-            keys = only.value
-
-            def test(doc, line):
-                k = np.empty(len(doc), keys.dtype)
-                k["doc"], k["line"] = doc, line
-                i = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                return keys[i] == k
+                    yield found(k, doc_id=np.frombuffer(block, np.int64, k), line=np.frombuffer(block, np.int32, k, 8 * k))
         while held:
-            _, blocks = held.popitem()
-            cols = [[] for _ in ENTRY]
-            for x in blocks:
-                k, at = len(x) // size, 0
-                for c, (_, kind) in zip(cols, ENTRY):
-                    c.append(np.frombuffer(x, kind, k, at))
-                    at += c[-1].nbytes
-            cols = [np.concatenate(c) for c in cols]
+            e = unpack(held.popitem()[1])
             # entries whose token is alone here can't be alike by it
-            o = np.argsort(cols[0])
-            t = cols[0][o]
+            o = np.argsort(e["tok"])
+            t = e["tok"][o]
             alone = np.append(True, t[1:] != t[:-1]) & np.append(t[1:] != t[:-1], True)
-            cols = [c[o[~alone]] for c in cols]
-            d, l, d0, l0, cut = propose(cols[0], cols[1], *(c.astype(np.int64) for c in cols[2:]), percent, limit, test)
-            if len(d):
-                yield rows(d, l.astype(np.int32), pa.array(d0), pa.array(l0.astype(np.int32)), cut)
+            e = {k: v[o[~alone]] for k, v in e.items()}
+            o = np.lexsort((e["line"], e["doc"], e["tok"]))
+            e = {k: v[o] for k, v in e.items()}
+            x, more, at, y = propose(e, percent, PROPOSE)
+            for a in range(0, len(x), 50_000):
+                h, start, many = x[a:a + 50_000], at[:-1][a:a + 50_000], np.diff(at)[a:a + 50_000]
+                few = np.minimum(many, FIRST)
+                yield found(len(h), doc_id=e["doc"][h], line=e["line"][h], first=lists(start, few, y, e), rest=lists(start + few, many - few, y, e),
+                            more=more[a:a + 50_000], tok=e["tok"][h].view(np.int64), n=e["n"][h], pos=e["pos"][h], parity=e["parity"][h].view(np.int64))
+            for t in np.unique(e["tok"][x[more]]):
+                a, z = np.searchsorted(e["tok"], t, side="left"), np.searchsorted(e["tok"], t, side="right")
+                chunks = [pack(e, slice(c, min(z, c + CHUNK))) for c in range(a, z, CHUNK)]
+                yield found(len(chunks), tok=np.full(len(chunks), t).view(np.int64), chunk=chunks)
     sent = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
             .mapInArrow(entries, "part int, block binary").repartition(parts, "part"))
-    return sent.mapInArrow(match, "doc_id long, line int, doc0 long, line0 int, more boolean")
+    return sent.mapInArrow(match, FOUND)
+
+
+def further(left: DataFrame, chunks: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line, doc0, line0): all proposals for the entries ``left`` from the
+    chunks of their tokens."""
+    def run(batches):
+        for b in batches:
+            tok, doc, line, n, pos = (b.column(i).to_numpy().astype(np.int64) for i in range(5))
+            parity = b.column(5).to_numpy().view(np.uint64)
+            out = [[], [], [], []]
+            for i, block in enumerate(b.column(6).to_pylist()):
+                y = unpack([block])
+                k = len(y["doc"])
+                x = {"doc": np.full(k, doc[i]), "line": np.full(k, line[i]), "n": np.full(k, n[i]), "pos": np.full(k, pos[i]), "parity": np.full(k, parity[i])}
+                ok = fits(x, y, percent) & ((y["doc"] < doc[i]) | ((y["doc"] == doc[i]) & (y["line"] < line[i])))
+                for c, v in zip(out, (x["doc"], x["line"], y["doc"], y["line"])):
+                    c.append(v[ok])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
+                                             ["doc_id", "line", "doc0", "line0"]) if b.num_rows else b
+    cols = ["tok", "doc_id", "line", "n", "pos", "parity", "chunk"]
+    return left.join(chunks, "tok").select(*cols).mapInArrow(run, "doc_id long, line int, doc0 long, line0 int")
 
 
 def line_sets(docs: DataFrame, lines: DataFrame, width: int) -> DataFrame:
-    """(doc_id, line, set) of the wanted lines (doc_id, line)."""
-    want = lines.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    """(doc_id, line, set) of the wanted lines (doc_id, line); only these lines
+    of a document go to Python."""
+    want = lines.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, "doc_id")
+    rows = rows.select("doc_id", F.split("text", "\n").alias("t"), "lines")
+    rows = rows.select("doc_id", F.explode(F.transform("lines", lambda i: F.struct(i.alias("line"), F.get("t", i).alias("text")))).alias("l")).select("doc_id", "l.line", "l.text")
 
     def run(batches):
         for b in batches:
-            ids, want = b.column(0).to_numpy(), b.column(2).to_pylist()
-            data, offs = text_bytes(b.column(1))
+            data, offs = text_bytes(b.column(2))
+            count, parts = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)]
             for a, z in slices(offs):
                 o = offs[a:z + 1]
-                text, _, line, h = line_tokens(data[o[0]:o[-1]], o - o[0], width)
-                number = line_numbers(text)
-                mask = np.zeros(len(text), bool)
-                first = np.searchsorted(text, np.arange(z - a))
-                for i in range(z - a):
-                    mask[first[i] + np.array(want[a + i])] = True
-                k = mask[line]
-                line, h = line[k], h[k]
-                if not len(h):
-                    continue
-                s = np.lexsort((h, line))
-                line, h = line[s], h[s]
-                new = np.append(True, (line[1:] != line[:-1]) | (h[1:] != h[:-1]))
-                line, h = line[new], h[new]
-                head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
-                sets = pa.ListArray.from_arrays(pa.array(np.append(head, len(line)), pa.int32()), pa.array(h.view(np.int64)))
-                w = line[head]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a + text[w]]), pa.array(number[w].astype(np.int32)), sets], ["doc_id", "line", "set"])
-    return rows.select("doc_id", "text", "lines").mapInArrow(run, "doc_id long, line int, set array<long>").dropDuplicates(["doc_id", "line"])
-
-
-def verify(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, line) of the later lines of pairs that are alike."""
-    pairs = pairs.select("doc_id", "line", "doc0", "line0").distinct()
-    lines = pairs.select("doc_id", "line").union(pairs.select("doc0", "line0")).distinct()
-    sets = written(line_sets(docs, lines, width), "line-sets")
+                t, _, _, h = words(LOWER[data[o[0]:o[-1]]], o - o[0], SEPARATOR)
+                t, h = shingles(t, h, width)
+                s = np.lexsort((h, t))
+                t, h = t[s], h[s]
+                new = np.append(True, (t[1:] != t[:-1]) | (h[1:] != h[:-1]))[:len(t)]
+                count.append(np.bincount(t[new], minlength=z - a))
+                parts.append(h[new].view(np.int64))
+            sets = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(count)), pa.int32()), pa.array(np.concatenate(parts)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), sets], ["doc_id", "line", "set"])
+    return rows.mapInArrow(run, "doc_id long, line int, set array<long>").dropDuplicates(["doc_id", "line"])
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, line) of the lines of pairs that are alike."""
     both = (pairs.join(sets.select("doc_id", "line", F.col("set").alias("a")), ["doc_id", "line"])
             .join(sets.select(F.col("doc_id").alias("doc0"), F.col("line").alias("line0"), F.col("set").alias("b")), ["doc0", "line0"]))
     common, total = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
@@ -289,21 +334,26 @@ def verify(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
 
 def removed_lines(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, line), lines from 0, of all lines like an earlier one."""
-    rank = rarity(docs, width)
-    found = written(proposals(docs, rank, width, percent, PROPOSE), "line-proposals")
-    copies = found.filter("doc0 IS NULL").select("doc_id", "line")
-    pairs = found.filter("doc0 IS NOT NULL")
-    gone = written(verify(docs, pairs, width, percent).union(copies).distinct(), "removed-lines")
-    left = pairs.filter("more").select("doc_id", "line").distinct().join(gone, ["doc_id", "line"], "left_anti")
-    left = written(left, "unsettled-lines")
-    blocks = -(-left.count() // QUERY_LINES)
-    for k in range(blocks):
-        some = left.filter(F.pmod(F.xxhash64("doc_id", "line"), F.lit(blocks)) == k).toPandas()
-        keys = np.empty(len(some), [("doc", np.int64), ("line", np.int64)])
-        keys["doc"], keys["line"] = some["doc_id"], some["line"]
-        only = docs.sparkSession.sparkContext.broadcast(np.sort(keys, order=("doc", "line")))
-        more = written(proposals(docs, rank, width, percent, None, only).filter("doc0 IS NOT NULL"), "line-proposals")
-        gone = written(gone.union(verify(docs, more, width, percent)).distinct(), "removed-lines")
+    key = ["doc_id", "line"]
+    found = written(proposals(docs, rarity(docs, width), width, percent), "line-proposals")
+
+    def pairs(rows, column):
+        return rows.select(*key, F.explode(column).alias("p")).select(*key, "p.doc0", "p.line0")
+
+    def earlier(rows):
+        return rows.select(F.col("doc0").alias("doc_id"), F.col("line0").alias("line"))
+    # the sets of all lines that have or are a proposal, so that texts are joined once
+    lines = found.filter("first IS NOT NULL").select(*key).union(earlier(pairs(found, F.concat("first", "rest")))).distinct()
+    sets = written(line_sets(docs, written(lines, "proposed-lines"), width), "line-sets")
+    gone = verify(written(pairs(found, "first").distinct(), "line-pairs"), sets, percent)
+    gone = written(gone.union(found.filter("first IS NULL AND doc_id IS NOT NULL").select(*key)).distinct(), "removed-lines")
+    left = written(found.filter("size(rest) > 0 OR more").join(gone, key, "left_anti"), "unsettled-lines")
+    if left.limit(1).count():
+        more = written(further(left.filter("more").drop("chunk"), found.filter("chunk IS NOT NULL").select("tok", "chunk"), percent).distinct(), "further-pairs")
+        new = written(earlier(more).distinct().join(sets.select(*key), key, "left_anti"), "further-lines")
+        if new.limit(1).count():
+            sets = sets.union(written(line_sets(docs, new, width), "line-sets"))
+        gone = written(gone.union(verify(written(pairs(left, "rest").union(more).distinct(), "line-pairs"), sets, percent)).distinct(), "removed-lines")
     return gone
 
 

@@ -39,10 +39,11 @@ def corpus(seed, words=40):
     return rows + [(200, None), (201, ""), (202, "\n\n"), (None, rows[1][1]), (203, rows[2][1]), (204, " ".join(vocab * 200) + "\n")]
 
 
-@pytest.mark.parametrize("seed,width,propose,query", [(1, 5, 3, 500), (2, 1, 1, 10), (3, 2, 1, 500), (4, 5, 1, 500)])
-def test_matches_brute_force(spark, monkeypatch, seed, width, propose, query):
+@pytest.mark.parametrize("seed,width,first,propose,chunk", [(1, 5, 2, 64, 4096), (2, 1, 1, 1, 3), (3, 2, 1, 2, 5), (4, 5, 1, 3, 4096)])
+def test_matches_brute_force(spark, monkeypatch, seed, width, first, propose, chunk):
+    monkeypatch.setattr(L, "FIRST", first)
     monkeypatch.setattr(L, "PROPOSE", propose)
-    monkeypatch.setattr(L, "QUERY_LINES", query)
+    monkeypatch.setattr(L, "CHUNK", chunk)
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, 1, "s") for d, t in rows], "doc_id long, text string, line int, part string").repartition(5)
     got = {tuple(r) for r in L.removed_lines(df, width, 80).collect()}
