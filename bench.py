@@ -1,6 +1,6 @@
 """Benchmark: wall seconds per registered query.
 
-Runs every query of ``__spark_entry__.queries()`` (or the comma-separated
+Runs every query of the registry (or the comma-separated
 ``BENCH_QUERIES``) on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` and prints ONE JSON line.  Each query is executed in
 full through the ``noop`` sink (every row produced, nothing collected).

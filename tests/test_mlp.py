@@ -119,3 +119,45 @@ def test_regression_fit_and_layers(spark):
     assert [len(a) for a in p.acts] == [1, 5, 3, 1]
     one = m.predict(data, "input", "h", layer=1).select(F.size("h")).first()[0]
     assert one == 5
+
+
+@pytest.mark.parametrize("double", [False, True])
+def test_network_b_steps_along_error_times_slope(spark, double):
+    """One example at a time: delta = (o - t) * o', hidden delta = (delta W) * h',
+    without the factor 2 of the reported squared loss."""
+    rng = np.random.default_rng(5)
+    X, T = rng.normal(size=(9, 3)), rng.uniform(size=(9, 2))
+    df = spark.createDataFrame([(x.tolist(), t.tolist()) for x, t in zip(X, T)], "input array<double>, output array<double>")
+    topo = [3, 4, 2]
+    w = N.random_weights(topo, 11, scale_by_fan_in=False)
+    (W1, b1), (W2, b2) = N.unpack(w, topo, "B")
+    sig = lambda z: 1 / (1 + np.exp(-z))
+    slope = (lambda a: sig(a) * (1 - sig(a))) if double else (lambda a: a * (1 - a))
+    g1, c1, g2, c2, loss = np.zeros_like(W1), np.zeros_like(b1), np.zeros_like(W2), np.zeros_like(b2), 0.0
+    for x, t in zip(X, T):
+        h = sig(W1 @ x + b1)
+        o = sig(W2 @ h + b2)
+        d2 = (o - t) * slope(o)
+        d1 = (W2.T @ d2) * slope(h)
+        g2 += np.outer(d2, h)
+        c2 += d2
+        g1 += np.outer(d1, x)
+        c1 += d1
+        loss += ((o - t) ** 2).sum()
+    got_loss, g, n = N.gradient_job(df, w, topo, "B", 1.0, None, double, grad_scale=1.0)
+    assert n == 9 and abs(got_loss - loss / 9) < 1e-12
+    assert np.allclose(g, N.pack([(g1, c1), (g2, c2)], "B") / 9, atol=1e-12)
+
+
+def test_network_b_on_four_points(spark):
+    m = N.mlp_gd_fit(labeled(spark, FOUR), hidden=[5], iterations=100, lr=0.3)
+    assert len(m.history) == 100 and all(b <= a for a, b in zip(m.history, m.history[1:])) and m.topology == [2, 5, 4]
+
+
+def test_rows_of_another_length_raise(spark):
+    from tessera.operators.gradient import gradient_sum
+    for d in (2, 64):
+        for wrong in (d - 1, d + 1):
+            df = spark.createDataFrame([([1.0] * d, 1.0), ([1.0] * wrong, 0.0)], "x array<double>, y double")
+            with pytest.raises(Exception, match=f"vector of {d} elements expected, found {wrong}"):
+                gradient_sum(df, [0.0] * d, "logistic")
