@@ -24,13 +24,17 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .written import written
+
 WIDTH = 10
 #: windows of test items up to which their hash set is broadcast (about 100 bytes each)
 BROADCAST_WINDOWS = 1_000_000
 #: bits of the screening table for each window, and its least and largest size
 BITS_PER_WINDOW, MIN_BITS, MAX_BITS = 64, 1 << 16, 1 << 24
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same in a text that isn't lower-cased
+RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def lower_ascii(text: Column) -> Column:
@@ -121,18 +125,22 @@ def report(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def remove(docs: DataFrame, items: DataFrame, width: int = WIDTH, spans: bool = False) -> DataFrame:
     """``docs`` without its contaminated rows; with ``spans`` all rows, their
-    hit words (and the separators after them) cut from the text.  Columns stay."""
-    cols = docs.columns
-    held = docs.select("doc_id", "text", F.struct(*cols).alias("__row"))
-    out = find(held, items, width, keep=("__row",))
+    hit words (and the separators after them) cut from the text.  Columns stay.
+
+    What is hit depends on the text alone, so the hits are found for keys of 128
+    bits of hash of the text and joined back; texts are shuffled only if the
+    contaminated keys are too many to be broadcast."""
+    keys = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"), F.xxhash64(F.lit("text"), F.coalesce("text", F.lit(""))).alias("__g")]
+    found = find(docs.select("doc_id", "text", *keys), items, width, keep=("__h", "__g")).filter(F.size("hit") > 0)
+    hits = written(found.groupBy("__h", "__g").agg(F.first("hit").alias("__hit")), "contaminated")
+    keyed = docs.select("*", *keys)
     if not spans:
-        return out.filter(F.size("hit") == 0).select(*(F.col("__row")[c].alias(c) for c in cols))
-    text = F.coalesce(F.col("__row")["text"], F.lit(""))
-    raw = F.array_remove(F.split(text, SEPARATORS), "")
-    gaps = F.split(text, WORDS)  # one more than the words: before, between, after
-    kept = F.transform(raw, lambda w, i: F.when(F.array_contains("hit", i + 1), F.lit("")).otherwise(F.concat(w, F.get(gaps, i + 1))))
-    cut = F.when(F.size("hit") > 0, F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))).otherwise(F.col("__row")["text"])
-    return out.select(*((cut if c == "text" else F.col("__row")[c]).alias(c) for c in cols))
+        return keyed.join(hits, ["__h", "__g"], "left_anti").select(*docs.columns)
+    raw = F.array_remove(F.split("text", RAW_SEPARATORS), "")
+    gaps = F.split("text", RAW_WORDS)  # one more than the words: before, between, after
+    kept = F.transform(raw, lambda w, i: F.when(F.array_contains("__hit", i + 1), F.lit("")).otherwise(F.concat(w, F.get(gaps, i + 1))))
+    cut = F.when(F.col("__hit").isNotNull(), F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))).otherwise(F.col("text"))
+    return keyed.join(hits, ["__h", "__g"], "left").select(*((cut if c == "text" else F.col(c)).alias(c) for c in docs.columns))
 
 
 ORACLE_SQL = r"""
