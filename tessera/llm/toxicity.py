@@ -13,9 +13,9 @@ ratio beyond ``MARGIN``, divided by the square root of their number; the mean
 ratio breaks ties.  A logistic curve fitted to training texts turns it into a
 score.
 
-All labelled training texts are counted, once for each group of texts that
-share their smallest three-word shingle (near copies would otherwise vote many
-times).  Counts live in ``WORD_BITS`` / ``HEAD_BITS`` hashed slots, which
+All labelled training texts are counted; texts with the same label and the same
+set of three-word shingles, so the same words, count once (copies would otherwise
+vote many times).  Counts live in ``WORD_BITS`` / ``HEAD_BITS`` hashed slots, which
 bounds the model that is broadcast (about 18 MB) however large the corpus is.
 The curve alone is fitted on at most ``CURVE_ROWS`` training texts, those with
 the smallest hash.
@@ -72,28 +72,30 @@ def _cut(h: np.ndarray, bits: int) -> np.ndarray:
 
 # -- training ----------------------------------------------------------------
 def copy_keys(docs: DataFrame) -> DataFrame:
-    """doc_id and two keys that near copies mostly share: the smallest hash of
-    its three-word shingles under two hash functions."""
+    """doc_id and 128 bits of hash of the set of its three-word shingles, which
+    equal sets share and others don't: two sums over the distinct shingles."""
     def run(batches):
         for b in batches:
-            keys = np.full((b.num_rows, 2), np.iinfo(np.int64).max, np.int64)
+            keys = np.zeros((b.num_rows, 2), np.uint64)
             for a, n, t, h, _ in _slots(b.column(1)):
                 st, sh = shingles(t, h, 3)
+                o = np.lexsort((sh, st))
+                st, sh = st[o], sh[o]
+                new = np.ones(len(st), bool)
+                new[1:] = (st[1:] != st[:-1]) | (sh[1:] != sh[:-1])
                 for k in (0, 1):
-                    np.minimum.at(keys[:, k], st + a, mix(sh + np.uint64(k * 0x9E37)).view(np.int64))
+                    np.add.at(keys[:, k], st[new] + a, mix(sh[new] + np.uint64(k * 0x9E37)))
+            keys = keys.view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["doc_id", "k0", "k1"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, k0 long, k1 long")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic) of the labelled training texts, one for each copy key."""
+    """(doc_id, toxic) of the labelled training texts, one for each set of shingles and label."""
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     rows = copy_keys(docs.filter(~held_out(F.col("doc_id")))).join(lab, "doc_id")
-    for k, other in (("k0", "k1"), ("k1", None)):
-        one = F.min(F.struct("doc_id", "toxic", *([other] if other else []))).alias("r")
-        rows = rows.groupBy(k).agg(one).select("r.*")
-    return rows.select("doc_id", "toxic").distinct()
+    return rows.groupBy("k0", "k1", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic").distinct()
 
 
 def count_slots(rows: DataFrame) -> DataFrame:

@@ -73,3 +73,17 @@ def test_without_both_classes_or_rows(spark):
     assert {r.score for r in T.score(d, lab.filter("toxic = 0")).collect()} == {0.0}
     assert {r.score for r in T.score(d, lab.limit(0)).collect()} == {0.0}
     assert T.score(d.limit(0), lab).collect() == [] and T.score(d, lab).count() == len(docs)
+
+
+def test_only_equal_texts_of_one_label_are_merged(spark):
+    r = random.Random(5)
+    # unrelated texts around one common passage, whose shingles are the smallest of many texts
+    passage = " ".join(f"licence{i}" for i in range(300))
+    docs = [(i, passage + " " + " ".join(f"own{i}x{r.randrange(10**6)}" for _ in range(20)), None, None) for i in range(120)]
+    docs += [(1000 + i, "the very same words " * 5, None, None) for i in range(30)]
+    labels = [(d[0], int(d[0] % 2)) for d in docs]
+    got = {(x.doc_id, x.toxic) for x in T.training_rows(*frames(spark, docs, labels)).collect()}
+    train = [d for d, _ in labels if zlib.crc32(str(d).encode()) % 3 != 1]
+    assert {d for d, _ in got if d < 1000} == {d for d in train if d < 1000}
+    copies = [d for d in train if d >= 1000]
+    assert {x for x in got if x[0] >= 1000} == {(min(d for d in copies if d % 2 == y), y) for y in (0, 1)}
