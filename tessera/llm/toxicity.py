@@ -15,10 +15,12 @@ score.
 
 All labelled training texts are counted; texts with the same label and the same
 set of three-word shingles, so the same words, count once (copies would otherwise
-vote many times).  Counts live in ``WORD_BITS`` / ``HEAD_BITS`` hashed slots, which
-bounds the model that is broadcast (about 18 MB) however large the corpus is.
-The curve alone is fitted on at most ``CURVE_ROWS`` training texts, those with
-the smallest hash.
+vote many times).  Words and heads are told apart by 64-bit hashes; their counts and
+ratios are written tables that grow with the input, and none is collected.  Texts
+are packed into blocks of ``BLOCK_BYTES``; each block's distinct words and heads
+are joined to the ratios (a frequent word is one row a block, not one a text) and
+come back to the block by its number.  The curve alone is fitted on at most
+``CURVE_ROWS`` training texts, those with the smallest hash.
 
 Cases: null or empty text has no evidence and gets the lowest-evidence score;
 null labels and ids train nothing; of repeated labels of one id the highest
@@ -28,19 +30,21 @@ the share of toxic labels (0 without labels); empty tables give empty results.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.session import cut_lineage
 from .textbatch import LOWER, mix, shingles, slices, text_bytes, words
+from .written import discard, written
 
 HEAD = 4
-WORD_BITS, HEAD_BITS = 22, 18
+#: text bytes whose words are looked up together
+BLOCK_BYTES = 16 << 20
+RATIOS = "is_head boolean, key long, ratio double"
 WORD_DISCOUNT = HEAD_DISCOUNT = 2.0
 MARGIN = 2.0
 TIE_WEIGHT = 0.02
@@ -57,7 +61,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _slots(col: pa.Array):
+def _words(col: pa.Array):
     """Yield (first text, number of texts, text index, word hash, head hash) by slice."""
     data, offs = text_bytes(col)
     for a, b in slices(offs):
@@ -66,10 +70,6 @@ def _slots(col: pa.Array):
         yield a, b - a, t, h, head
 
 
-def _cut(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
-
-
 # -- training ----------------------------------------------------------------
 def copy_keys(docs: DataFrame) -> DataFrame:
     """doc_id and 128 bits of hash of the set of its three-word shingles, which
@@ -77,7 +77,7 @@ def copy_keys(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             keys = np.zeros((b.num_rows, 2), np.uint64)
-            for a, n, t, h, _ in _slots(b.column(1)):
+            for a, n, t, h, _ in _words(b.column(1)):
                 st, sh = shingles(t, h, 3)
                 o = np.lexsort((sh, st))
                 st, sh = st[o], sh[o]
@@ -98,31 +98,27 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.groupBy("k0", "k1", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic").distinct()
 
 
-def count_slots(rows: DataFrame) -> DataFrame:
-    """(slot, head, n0, n1): texts of each class that hold a word of the slot."""
+def count_words(rows: DataFrame) -> DataFrame:
+    """(word, head, n0, n1): texts of each class that hold a word, by 64-bit hash."""
     def run(batches):
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def merged():
-            k, c = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-            return k, np.bincount(c, weights=np.concatenate([x[1] for x in held]), minlength=len(k)).astype(np.int64)
+            h, head, n0, n1 = (np.concatenate(x) for x in zip(*held))
+            k, at, c = np.unique(h, return_index=True, return_inverse=True)
+            return k, head[at], *(np.bincount(c, weights=n, minlength=len(k)).astype(np.int64) for n in (n0, n1))
 
         def out(part):
-            k, n = part
-            tox = (k & 1).astype(bool)
-            zero = np.zeros(len(k), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array((k >> (HEAD_BITS + 1)).astype(np.int32)), pa.array(((k >> 1) & ((1 << HEAD_BITS) - 1)).astype(np.int32)),
-                                               pa.array(np.where(tox, zero, n)), pa.array(np.where(tox, n, zero))], ["slot", "head", "n0", "n1"])
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in part], ["word", "head", "n0", "n1"])
         for b in batches:
             y = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, n, t, h, head in _slots(b.column(0)):
-                key = (_cut(h, WORD_BITS) << (HEAD_BITS + 1)) | (_cut(head, HEAD_BITS) << 1) | y[t + a]
-                o = np.lexsort((key, t))
-                t, key = t[o], key[o]
+            for a, n, t, h, head in _words(b.column(0)):
+                o = np.lexsort((h, t))
+                t, h, head = t[o], h[o], head[o]
                 new = np.ones(len(t), bool)
-                new[1:] = (t[1:] != t[:-1]) | (key[1:] != key[:-1])
-                k, c = np.unique(key[new], return_counts=True)
-                held.append((k, c))
+                new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
+                n1 = y[t[new] + a]
+                held.append((h[new], head[new], 1 - n1, n1))
                 if sum(len(x[0]) for x in held) > 2_000_000:
                     part = merged()
                     held[:] = [part]
@@ -131,69 +127,133 @@ def count_slots(rows: DataFrame) -> DataFrame:
                         held.clear()
         if held:
             yield out(merged())
-    return (rows.select("text", "toxic").mapInArrow(run, "slot int, head int, n0 long, n1 long")
-            .groupBy("slot").agg(F.min("head").alias("head"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-
-
-@dataclass
-class Model:
-    word: np.ndarray  # log ratio of each word slot with evidence of its own, else nan
-    head: np.ndarray  # log ratio of a word known only by its head
-    slope: float = 0.0
-    offset: float = 0.0
-    prior: float = 0.0
-
-
-def fit_ratios(counts: DataFrame) -> Model:
-    """Log-likelihood ratios from ``count_slots``; everything collected is at
-    most one row for each of the hashed slots."""
-    model = Model(np.full(1 << WORD_BITS, np.nan, np.float32), np.zeros(1 << HEAD_BITS, np.float32))
-    tot = counts.agg(F.sum("n0").alias("a"), F.sum("n1").alias("b")).first()
-    if not tot.a or not tot.b:
-        return model
-    total = np.array([tot.a, tot.b], float)
+    return (rows.select("text", "toxic").mapInArrow(run, "word long, head long, n0 long, n1 long")
+            .groupBy("word").agg(F.min("head").alias("head"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+
+
+def fit_ratios(counts: DataFrame) -> tuple[DataFrame, float]:
+    """Log-likelihood ratios from ``count_words``: a table (is_head, key, ratio) of
+    the words with evidence of their own and of all heads, and the ratio of a word
+    whose head no training text holds."""
     kept = [F.greatest(F.col(f"n{c}") - F.lit(WORD_DISCOUNT), F.lit(0.0)) for c in (0, 1)]
-    mass = counts.agg(*(F.sum(kept[c]).alias(f"m{c}") for c in (0, 1))).first()
-    lam = 1 - np.array([mass.m0, mass.m1]) / total
-    heads = counts.groupBy("head").agg(*(F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (0, 1)),
-                                       F.count("*").alias("both")).toPandas()
-    own = counts.filter((kept[0] > 0) | (kept[1] > 0)).toPandas()
-    n = 1 << HEAD_BITS
-    types = np.zeros((2, n))
-    both = np.ones(n)
-    for c in (0, 1):
-        types[c, heads["head"]] = heads[f"t{c}"]
-    both[heads["head"]] += heads["both"]
-    shared = (types.sum(axis=0) + 0.5) / (types.sum() + 0.5 * n)
-    size = types.sum(axis=1)
-    q = []
-    for c in (0, 1):
-        k = np.maximum(types[c] - HEAD_DISCOUNT, 0)
-        q.append(k / size[c] + (1 - k.sum() / size[c]) * shared)
-    tiny = 1e-300
-    model.head[:] = np.log((lam[1] * q[1] + tiny) / (lam[0] * q[0] + tiny))
-    h = own["head"].to_numpy()
-    p = [np.maximum(own[f"n{c}"].to_numpy() - WORD_DISCOUNT, 0) / total[c] + lam[c] * q[c][h] / both[h] for c in (0, 1)]
-    model.word[own["slot"].to_numpy()] = np.log((p[1] + tiny) / (p[0] + tiny))
-    return model
-
-
-def evidence(model: Model, col: pa.Array) -> np.ndarray:
-    """Length-normalised evidence of each text."""
-    out = np.zeros(len(col))
-    for a, n, t, h, head in _slots(col):
-        key = (t << WORD_BITS) | _cut(h, WORD_BITS)
-        key, at = np.unique(key, return_index=True)
-        v = model.word[key & ((1 << WORD_BITS) - 1)].astype(float)
-        v = np.where(np.isnan(v), model.head[_cut(head[at], HEAD_BITS)], v)
-        text = key >> WORD_BITS
-        k = np.maximum(np.bincount(text, minlength=n), 1)
-        strong = np.bincount(text, weights=np.maximum(v - MARGIN, 0), minlength=n) / np.sqrt(k)
-        mean = np.bincount(text, weights=v, minlength=n) / k
-        out[a:a + n] = strong + TIE_WEIGHT * np.tanh(mean)
+    tot = counts.agg(*(F.sum(f"n{c}").alias(f"n{c}") for c in (0, 1)), *(F.sum(kept[c]).alias(f"m{c}") for c in (0, 1))).first()
+    if not tot.n0 or not tot.n1:
+        return counts.sparkSession.createDataFrame([], RATIOS), 0.0
+    total = tot.n0, tot.n1
+    lam = 1 - tot.m0 / tot.n0, 1 - tot.m1 / tot.n1
+    types = counts.groupBy("head").agg(*(F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (0, 1)), F.count("*").alias("both"))
+    k = [F.greatest(F.col(f"t{c}") - F.lit(HEAD_DISCOUNT), F.lit(0.0)) for c in (0, 1)]
+    sums = types.agg(F.count("*").alias("n"), *(F.sum(f"t{c}").alias(f"t{c}") for c in (0, 1)), *(F.sum(k[c]).alias(f"k{c}") for c in (0, 1))).first()
+    size = sums.t0, sums.t1
+    rest = 1 - sums.k0 / sums.t0, 1 - sums.k1 / sums.t1
+    # one share more than there are heads, for all those unseen
+    shared = (F.col("t0") + F.col("t1") + 0.5) / (sums.t0 + sums.t1 + 0.5 * (sums.n + 1))
+    heads = types.select("head", "both", *((lam[c] * (k[c] / size[c] + rest[c] * shared)).alias(f"q{c}") for c in (0, 1)))
+    p = [kept[c] / total[c] + F.col(f"q{c}") / (F.col("both") + 1) for c in (0, 1)]
+    own = counts.filter(" or ".join(f"n{c} > {WORD_DISCOUNT}" for c in (0, 1))).join(heads, "head")
+    ratios = (own.select(F.lit(False).alias("is_head"), F.col("word").alias("key"), F.log(p[1] / p[0]).alias("ratio"))
+              .union(heads.select(F.lit(True), "head", F.log(F.col("q1") / F.col("q0")))))
+    return ratios, float(np.log(lam[1] * rest[1] / (lam[0] * rest[0])))
+
+
+# -- evidence ----------------------------------------------------------------
+def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
+    """One row for each run of texts of about ``BLOCK_BYTES`` within a task: the
+    texts' keys, their numbers of distinct words, these words as ranks (planes of
+    bytes), and the hashes of the block's words and heads."""
+    src = docs.select(F.struct(*keys).alias("key"), "text")
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("keys", T.ArrayType(src.schema["key"].dataType)),
+                           *(T.StructField(c, T.BinaryType()) for c in ("sizes", "ranks", "words", "head_of", "heads"))])
+
+    def run(batches):
+        block = TaskContext.get().partitionId() << 32
+        held, size = [], 0
+
+        def out():
+            n = np.cumsum([0] + [len(x[0]) for x in held])
+            t, h, head = (np.concatenate(x) for x in zip(*((x[1] + a, x[2], x[3]) for x, a in zip(held, n))))
+            w, at, rank = np.unique(h, return_index=True, return_inverse=True)
+            by = np.argsort(-np.bincount(rank, minlength=len(w)), kind="stable")  # frequent words get small ranks
+            to = np.empty(len(w), np.int64)
+            to[by] = np.arange(len(w))
+            pair = np.unique((t << 32) | to[rank])
+            sizes = np.bincount(pair >> 32, minlength=n[-1]).astype(np.int32)
+            ranks = np.ascontiguousarray((pair & 0xFFFFFFFF).astype(np.int32).view(np.uint8).reshape(-1, 4).T)
+            heads, of = np.unique(head[at][by], return_inverse=True)
+            keys = pa.concat_arrays([x[0] for x in held])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in (sizes, ranks, w[by], of.astype(np.int32), heads))], schema.names)
+        for b in batches:
+            col = b.column(1)
+            _, offs = text_bytes(col)
+            for a, n, t, h, head in _words(col):
+                held.append((b.column(0).slice(a, n), t, h, head))
+                size += int(offs[a + n] - offs[a])
+                if size >= BLOCK_BYTES:
+                    yield out()
+                    block, size = block + 1, 0
+                    held.clear()
+        if held:
+            yield out()
+    return src.mapInArrow(run, schema)
+
+
+def block_entries(blocks: DataFrame) -> DataFrame:
+    """(is_head, key, block): each word and head once for each block that holds it."""
+    def run(batches):
+        for b in batches:
+            for block, *lists in zip(*(c.to_pylist() for c in b.columns)):
+                for is_head, raw in enumerate(lists):
+                    key = np.frombuffer(raw, np.int64)
+                    for i in range(0, len(key), 100_000):
+                        part = key[i:i + 100_000]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), bool(is_head))), pa.array(part), pa.array(np.full(len(part), block))],
+                                                         ["is_head", "key", "block"])
+    return blocks.select("block", "words", "heads").mapInArrow(run, "is_head boolean, key long, block long")
+
+
+def block_evidence(row: dict, texts: int, ratios: pa.Table, unseen: float) -> np.ndarray:
+    """Length-normalised evidence of each text of a block."""
+    is_head, key, ratio = (ratios.column(c).to_numpy() for c in ("is_head", "key", "ratio"))
+
+    def known(raw: bytes, which: np.ndarray, default: np.ndarray | float) -> np.ndarray:
+        want = np.frombuffer(raw, np.int64)
+        if not which.any():
+            return np.zeros(len(want)) + default
+        o = np.argsort(key[which])
+        k, v = key[which][o], ratio[which][o]
+        at = np.minimum(np.searchsorted(k, want), len(k) - 1)
+        return np.where(k[at] == want, v[at], default)
+    head = known(row["heads"], is_head, unseen)
+    word = known(row["words"], ~is_head, head[np.frombuffer(row["head_of"], np.int32)])
+    sizes = np.frombuffer(row["sizes"], np.int32)
+    v = word[np.ascontiguousarray(np.frombuffer(row["ranks"], np.uint8).reshape(4, -1).T).view(np.int32).ravel()]
+    text = np.repeat(np.arange(texts), sizes)
+    k = np.maximum(sizes, 1)
+    strong = np.bincount(text, weights=np.maximum(v - MARGIN, 0), minlength=texts) / np.sqrt(k)
+    mean = np.bincount(text, weights=v, minlength=texts) / k
+    return strong + TIE_WEIGHT * np.tanh(mean)
+
+
+def evidence(docs: DataFrame, keys: list[Column], ratios: DataFrame, unseen: float) -> DataFrame:
+    """The keys and the evidence ``x`` of every text, written."""
+    blocks = written(pack(docs, keys), "toxicity-blocks")
+    key_type = blocks.schema["keys"].dataType.elementType
+    found = block_entries(blocks).join(ratios, ["is_head", "key"]).select("block", "is_head", "key", "ratio")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        key = left.column("keys").combine_chunks().flatten()
+        row = left.select(["sizes", "ranks", "words", "head_of", "heads"]).to_pylist()[0]
+        x = block_evidence(row, len(key), right, unseen)
+        return pa.Table.from_arrays([*key.flatten(), pa.array(x)], [*key_type.names, "x"])
+    out = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, T.StructType([*key_type.fields, T.StructField("x", T.DoubleType())]))
+    out = written(out, "toxicity-evidence")
+    discard(docs.sparkSession, [blocks.written_to])
     return out
 
 
+# -- scoring -----------------------------------------------------------------
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve, with a light penalty on the slope."""
     w = np.zeros(2)
@@ -209,52 +269,35 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model of all labelled training texts of ``docs``."""
+def scored(docs: DataFrame, labels: DataFrame, keys: list[Column]) -> DataFrame:
+    """doc_id, the other keys and the score of every row of ``docs``."""
     spark = docs.sparkSession
     rows = cut_lineage(training_rows(docs, labels))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    trained = text.filter(~held_out(F.col("doc_id"))).join(rows, "doc_id")
-    model = fit_ratios(cut_lineage(count_slots(trained)))
+    counts = written(count_words(text.filter(~held_out(F.col("doc_id"))).join(rows, "doc_id")), "toxicity-counts")
+    ratios, unseen = fit_ratios(counts)
+    ratios = written(ratios, "toxicity-ratios")
+    x = evidence(docs, [F.col("doc_id"), *keys], ratios, unseen)
+    discard(spark, [counts.written_to, ratios.written_to])
     some = rows.orderBy(F.xxhash64("doc_id")).limit(CURVE_ROWS)
-    bc = spark.sparkContext.broadcast(model)
-
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(evidence(bc.value, b.column(0))), b.column(1)], ["x", "toxic"])
-    pdf = text.join(F.broadcast(some), "doc_id").select("text", "toxic").mapInArrow(run, "x double, toxic int").toPandas()
-    bc.unpersist()
-    if len(pdf):
-        model.prior = float(pdf["toxic"].mean())
-        if 0 < model.prior < 1:
-            model.slope, model.offset = fit_curve(pdf["x"].to_numpy(), pdf["toxic"].to_numpy().astype(float))
-    return model
-
-
-# -- scoring -----------------------------------------------------------------
-def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """``docs`` with a further column of scores in 0 to 1."""
-    bc = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
-
-    def run(batches):
-        m = bc.value
-        for b in batches:
-            if m.slope or m.offset:
-                s = 1 / (1 + np.exp(-np.clip(m.slope * evidence(m, b.column(at)) + m.offset, -700, 700)))
-            else:
-                s = np.full(b.num_rows, m.prior)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, name])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    pdf = x.select(F.col("doc_id").cast("long").alias("doc_id"), "x").join(F.broadcast(some), "doc_id").select("x", "toxic").toPandas()
+    prior = float(pdf["toxic"].mean()) if len(pdf) else 0.0
+    out = F.lit(prior)
+    if 0 < prior < 1:
+        slope, offset = fit_curve(pdf["x"].to_numpy(), pdf["toxic"].to_numpy().astype(float))
+        out = 1 / (1 + F.exp(-F.greatest(F.least(slope * F.col("x") + offset, F.lit(700.0)), F.lit(-700.0))))
+    return x.withColumn("score", out).drop("x")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    out = with_score(docs.select("doc_id", "text"), fit(docs, labels))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored(docs, labels, []).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                           (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows scored as toxic; columns stay."""
-    name = "__toxicity"
-    return with_score(docs, fit(docs, labels), name).filter(F.col(name) < THRESHOLD).drop(name)
+    """``docs`` without the rows scored as toxic; columns stay.  The score depends on
+    the text alone, so toxic texts are joined back by 128 bits of hash."""
+    keys = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"), F.xxhash64(F.lit("text"), F.coalesce("text", F.lit(""))).alias("__g")]
+    toxic = scored(docs, labels, keys).filter(F.col("score") >= THRESHOLD).select("__h", "__g").distinct()
+    return docs.select("*", *keys).join(toxic, ["__h", "__g"], "left_anti").select(*docs.columns)

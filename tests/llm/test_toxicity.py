@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 
 from tessera.llm import toxicity as T
+from tessera.llm.textbatch import words
 
 SCHEMA = "doc_id long, text string, score double, toxic int"
 
@@ -87,3 +88,25 @@ def test_only_equal_texts_of_one_label_are_merged(spark):
     assert {d for d, _ in got if d < 1000} == {d for d in train if d < 1000}
     copies = [d for d in train if d >= 1000]
     assert {x for x in got if x[0] >= 1000} == {(min(d for d in copies if d % 2 == y), y) for y in (0, 1)}
+
+
+def test_words_that_agree_in_22_bits_of_hash_stay_apart(spark):
+    names = [f"w{i}q" for i in range(12_000)]
+    h = words(np.frombuffer(" ".join(names).encode(), np.uint8), np.array([0, len(" ".join(names))]))[3] >> np.uint64(42)
+    seen, pairs = {}, []
+    for name, k in zip(names, h.tolist()):
+        if k in seen:
+            pairs.append((seen.pop(k), name))
+        else:
+            seen[k] = name
+    insults, plain = zip(*pairs[:8])
+    assert len(plain) == 8
+    r = random.Random(6)
+    docs, labels = [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        w = list(plain) + [f"x{r.randrange(400)}y" for _ in range(20)]
+        docs.append((i, " ".join(w + [r.choice(insults)] * toxic), None, None))
+        labels.append((i, int(toxic)))
+    got = {x.doc_id: x.predicted for x in T.score(*frames(spark, docs, labels)).collect() if x.held_out}
+    assert len(got) > 100 and got == {i: y for i, y in labels if i in got}
