@@ -7,7 +7,10 @@ deviations (about 48 of 65,536); they are list-decoded from the scores of the
 halves, without the first codewords that no second one can lift over the
 threshold.  Vectors that share a filter are compared in double precision.  Pairs
 at cosine 0.9 share a filter with probability 0.94 (recall on
-the tables: README); more codewords or a lower ``LIFT`` raise it.
+the tables: README); more codewords or a lower ``LIFT`` raise it.  In fewer than 64
+dimensions scores reach less far, and the lift is chosen so that a vector has 48
+filters on average (0.95 or more of pairs at cosine 0.9 then share one); vectors of
+fewer than ``SHORT`` components share one filter, so all their pairs are compared.
 
 Equal vectors are one class, compared once.  A filter's members are dealt into
 blocks of about ``BLOCK`` vectors and each pair of blocks is a task's group, so no
@@ -37,6 +40,8 @@ CODES = 256
 LIFT = 3.1
 BLOCK = 1024
 SEED = 20
+#: below so many components, all pairs are compared
+SHORT = 16
 
 
 @lru_cache(maxsize=8)
@@ -60,11 +65,28 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def decode(x: np.ndarray, lift: float = LIFT) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) of all filters that the unit rows of ``x`` exceed, in order."""
+@lru_cache(maxsize=64)
+def lift_of(dim: int) -> float:
+    """The lift that leaves 48 filters a vector on average, found on random
+    directions; ``LIFT`` does so from 64 dimensions on."""
+    if dim >= 64:
+        return LIFT
+    rot, books = code(dim)
+    x = unit(np.random.default_rng([SEED, dim, 1]).standard_normal((100, dim))) @ rot
+    s = [x[:, cols] @ b.T for cols, b in books]
+    s = (s[0][:, :, None] + s[1][:, None, :]).ravel()
+    k = len(s) - 48 * len(x)
+    return min(LIFT, float(np.partition(s, k)[k] * np.sqrt(dim)))
+
+
+def decode(x: np.ndarray, lift: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) of all filters that the unit rows of ``x`` exceed, in order;
+    filter 0 for every short row."""
     dim = x.shape[1]
+    if dim < SHORT:
+        return np.arange(len(x)), np.zeros(len(x), np.int64)
     rot, books = code(dim)
-    x, floor = x @ rot, lift / np.sqrt(dim)
+    x, floor = x @ rot, (lift_of(dim) if lift is None else lift) / np.sqrt(dim)
     s = [x[:, cols] @ b.T for cols, b in books]
     row, a = np.nonzero(s[0] >= (floor - s[1].max(axis=1))[:, None])
     k, b = np.nonzero(s[0][row, a][:, None] + s[1][row] >= floor)

@@ -76,3 +76,27 @@ def test_decoding_is_complete():
 
 def test_empty_table(spark):
     assert C.near_vectors(frame(spark, [], [])).collect() == []
+
+
+def test_short_vectors_link_exactly(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    vecs = [[1.0, 2.0], [2.0, 4.0], [3.0], [5.0], [-1.0]]
+    vecs += [list(map(float, v.astype(np.float32))) for dim in (3, 9, 15) for v in rng.standard_normal((60, dim)).repeat(2, axis=0) + rng.standard_normal((120, dim)) * .2]
+    ids = list(range(len(vecs)))
+    want, _ = brute(ids, vecs)
+    got = {r.vec_id: r for r in C.near_vectors(frame(spark, ids, vecs).repartition(3)).collect()}
+    assert (got[0].n_links, got[1].n_links, got[1].component_id) == (1, 1, 0)
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == want
+
+
+def test_recall_in_few_dimensions():
+    rng = np.random.default_rng(8)
+    for dim in (16, 24, 32, 48):
+        a = C.unit(rng.standard_normal((1000, dim)))
+        b = rng.standard_normal((1000, dim))
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        b = .9 * a + np.sqrt(1 - .81) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        (ra, fa), (rb, fb) = C.decode(a), C.decode(b)
+        sa, sb = set(zip(ra.tolist(), fa.tolist())), set(zip(rb.tolist(), fb.tolist()))
+        assert len({r for r, _ in sa & sb}) >= .92 * 1000 and len(ra) < 100 * 1000
