@@ -137,7 +137,7 @@ class LibraryEncoder:
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.written = {b: level.pre_tokenize_str(chr(b))[0][0][-1] for b in range(0x20, 0x7F)}
         for b in range(0x80, 0x100):  # as the last byte of a two- or three-byte character, or the first of one
-            text = bytes([0xC3, b]).decode() if b < 0xC0 else chr((b & 0x1F) << 6 | 0x80) if 0xC2 <= b < 0xE0 else ""
+            text = bytes([0xC3, b]).decode() if b < 0xC0 else chr((b & 0x1F) << 6) if 0xC2 <= b < 0xE0 else ""
             if text:
                 self.written[b] = level.pre_tokenize_str(text)[0][0][-1 if b < 0xC0 else 0]
         self.memory = segments.Memory(self.encode)

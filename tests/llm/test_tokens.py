@@ -139,6 +139,20 @@ def test_files_round_trip(spark, rows, monkeypatch):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_letters_beyond_latin_1(spark):
+    """Every code point up to U+024F alone, after a space and inside a word; words of eight alphabets."""
+    r, words = random.Random(9), []
+    for letters in ("ąćęłńóśźż", "áčďéěíňóřšťúůýž", "çğıöşü", "ăâîșț", "āčēģīķļņšūž", "ąčęėįšųūž", "őűáéíóúö", "ćčđšžǆǉǌ"):
+        words += ["".join(r.choice(letters + letters.upper() + "aeinrst") for _ in range(r.randint(1, 12))) for _ in range(200)]
+    texts = [t for c in map(chr, range(1, 0x250)) for t in (c, " " + c, f"ab{c}de", f"x {c}{c}y")] + words + ["Český Gdańsk łódź " + " ".join(words[:40])]
+    rows = list(enumerate(texts))
+    tk = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = {x.doc_id: (x.n_tokens, x.ids_crc32) for x in id_blocks.ids_round_trip(frame(spark, rows), P.path("byte_bpe_50k.json")).collect()}
+    for d, t in rows:
+        ids = tk.encode(t, add_special_tokens=False).ids + [0]
+        assert got[d] == (len(ids), zlib.crc32(u32(ids))), repr(t)
+
+
 def test_empty_tables(spark):
     none = frame(spark, [(1, "a")]).limit(0)
     assert token_counts.count_tokens(none, P.path("piece_bpe_32k.model")).collect() == []
