@@ -61,6 +61,8 @@ def sketch(text: np.ndarray, h: np.ndarray, n: int, coords: int = COORDS) -> np.
     texts without elements stay unfilled."""
     table = np.full((n, coords), _FULL, np.uint64)
     flat = table.reshape(-1)
+    low = np.uint64((2 * coords - 1).bit_length())
+    high = np.uint64(64) - low
     t, x = text, h
     for i in range(2 * coords):
         if not len(t):
@@ -71,8 +73,9 @@ def sketch(text: np.ndarray, h: np.ndarray, n: int, coords: int = COORDS) -> np.
             where = ((v >> np.uint64(40)) * np.uint64(coords)) >> np.uint64(24)
         else:
             where = np.full(len(v), i - coords, np.uint64)
-        # an earlier round has the smaller value, so a full bin stays as it is
-        np.minimum.at(flat, t * coords + where.astype(np.int64), (np.uint64(i) << np.uint64(55)) | (mix(v) >> np.uint64(9)))
+        # an earlier round has the smaller value, so a full bin stays as it is; the
+        # round's number takes the bits of 2 * coords - 1
+        np.minimum.at(flat, t * coords + where.astype(np.int64), (np.uint64(i) << high) | (mix(v) >> low))
         live = np.unique(t)
         open_ = np.zeros(n, bool)
         open_[live] = (table[live] == _FULL).any(axis=1)

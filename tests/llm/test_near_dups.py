@@ -87,5 +87,30 @@ def test_sketch_estimates_similarity():
     assert (one != N._FULL).all()
 
 
+@pytest.mark.parametrize("n,m", [(4, 5), (5, 6), (8, 10), (12, 15), (20, 25), (40, 50)])
+def test_small_sets_share_a_band_and_pass_the_screen(n, m):
+    """Sets of n and m elements, the smaller within the larger, at similarity 0.8 or a little more."""
+    rng, pairs = np.random.default_rng(n), 4000
+    x = np.sort(rng.integers(0, 1 << 63, (pairs, m)).astype(np.uint64), axis=1)
+    y = np.sort(np.array([rng.permutation(r)[:n] for r in x]), axis=1)
+    a = N.sketch(np.repeat(np.arange(pairs), m), x.ravel(), pairs)
+    b = N.sketch(np.repeat(np.arange(pairs), n), y.ravel(), pairs)
+    assert (a != N._FULL).all() and (b != N._FULL).all()
+    assert abs((a == b).mean() - n / m) < .005
+    assert (N.band_hashes(a) == N.band_hashes(b)).any(axis=1).mean() >= .9995
+    agree = (a.astype(np.uint8) == b.astype(np.uint8)).sum(axis=1)
+    assert (agree >= N.COORDS * (.8 - N.SIGMAS * (.16 / N.COORDS) ** .5)).mean() >= .9995
+
+
+def test_short_texts_link(spark):
+    rows = []
+    for i in range(300):  # six and seven words, five of six shingles in common
+        w = [f"w{i}x{k}" for k in range(7)]
+        rows += [(2 * i, " ".join(w[:6])), (2 * i + 1, " ".join(w))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(df, 2).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
+
+
 def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
