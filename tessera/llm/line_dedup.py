@@ -40,6 +40,8 @@ WIDTH, PERCENT = 5, 80
 SLOTS = 1 << 16
 FIRST, PROPOSE = 2, 16
 CHUNK = 4096
+#: lines that one sort key tells apart
+RUN = 1 << 24
 SEPARATOR = SPACE
 
 
@@ -187,9 +189,10 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
                     continue
                 doc, number = ids[a + text], line_numbers(text)
                 r = rank[(h >> np.uint64(48)).astype(np.int64)]
-                # one sortable key: line, rank of the slot, bits of the hash
+                # one sortable key in each run of 2^24 lines: line, rank of the slot, bits of the hash
                 key = (line.astype(np.uint64) << np.uint64(40)) | (r << np.uint64(24)) | (h & np.uint64(0xFFFFFF))
-                o = np.argsort(key)
+                runs = np.append(np.searchsorted(line, np.arange(0, line[-1] + 1, RUN)), len(line))
+                o = np.concatenate([a2 + np.argsort(key[a2:z2]) for a2, z2 in zip(runs[:-1], runs[1:])])
                 line, h = line[o], h[o]
                 new = np.append(True, (line[1:] != line[:-1]) | (h[1:] != h[:-1]))
                 line, h = line[new], h[new]

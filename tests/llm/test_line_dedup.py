@@ -39,8 +39,9 @@ def corpus(seed, words=40):
     return rows + [(200, None), (201, ""), (202, "\n\n"), (None, rows[1][1]), (203, rows[2][1]), (204, " ".join(vocab * 200) + "\n")]
 
 
-@pytest.mark.parametrize("seed,width,first,propose,chunk", [(1, 5, 2, 64, 4096), (2, 1, 1, 1, 3), (3, 2, 1, 2, 5), (4, 5, 1, 3, 4096)])
-def test_matches_brute_force(spark, monkeypatch, seed, width, first, propose, chunk):
+@pytest.mark.parametrize("seed,width,first,propose,chunk,run", [(1, 5, 2, 64, 4096, 1 << 24), (2, 1, 1, 1, 3, 4), (3, 2, 1, 2, 5, 1), (4, 5, 1, 3, 4096, 32)])
+def test_matches_brute_force(spark, monkeypatch, seed, width, first, propose, chunk, run):
+    monkeypatch.setattr(L, "RUN", run)
     monkeypatch.setattr(L, "FIRST", first)
     monkeypatch.setattr(L, "PROPOSE", propose)
     monkeypatch.setattr(L, "CHUNK", chunk)
@@ -63,5 +64,11 @@ def test_report_and_texts(spark):
     assert out == want and L.drop_lines(df).columns == df.columns
 
 
+def test_text_of_more_than_2_to_the_24_lines(spark):
+    """Lines 2^24 apart keep their tokens apart; the last line repeats the first."""
+    df = spark.createDataFrame([(7, "first line of a text" + "\n" * (1 << 24) + "quite another one\nfirst line of a text")], "doc_id long, text string")
+    assert [tuple(r) for r in L.removed_lines(df, 2, 80).collect()] == [(7, (1 << 24) + 1)]
+
+
 def test_empty_table(spark):
     assert L.dedup_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
