@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.session import ship_package
 from ..sources.tables import table
-from . import (byte_bpe, cap_filters, decontaminate, id_blocks, line_dedup, near_dups, suffix_dedup, token_counts, toxicity,
-               url_filter)
+from . import (byte_bpe, cap_filters, decontaminate, id_blocks, line_dedup, merkle, near_dups, suffix_dedup, token_counts,
+               toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -85,3 +85,11 @@ def op10_decontamination(spark, sf):
 
 
 ORACLE_SQL["op10_decontamination"] = decontaminate.ORACLE_SQL
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    return merkle.manifest(table(spark, sf, "documents"))
+
+
+ORACLE_SQL["op12_merkle_manifest"] = merkle.ORACLE_SQL
