@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..plans.session import ship_package
 from ..sources.tables import table
 from . import (byte_bpe, cap_filters, decontaminate, id_blocks, line_dedup, merkle, near_dups, suffix_dedup, token_counts,
-               toxicity, url_filter)
+               toxicity, trie, url_filter, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -87,9 +87,25 @@ def op10_decontamination(spark, sf):
 ORACLE_SQL["op10_decontamination"] = decontaminate.ORACLE_SQL
 
 
+@query
+def op11_prefix_trie(spark, sf):
+    return trie.prefix_trie(table(spark, sf, "conversations"), rebuild=True)
+
+
+ORACLE_SQL["op11_prefix_trie"] = trie.ORACLE_SQL
+
+
 @query
 def op12_merkle_manifest(spark, sf):
     return merkle.manifest(table(spark, sf, "documents"))
 
 
 ORACLE_SQL["op12_merkle_manifest"] = merkle.ORACLE_SQL
+
+
+@query
+def op13_warc(spark, sf):
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
+ORACLE_SQL["op13_warc"] = warc.ORACLE_SQL

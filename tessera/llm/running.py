@@ -1,4 +1,4 @@
-"""Running sums within groups, over one range partitioning.
+"""Running sums within groups over one range partitioning, and joins with large keys.
 
 Rows are range-partitioned by (group, order), so a group of any size is spread over
 tasks in order; each task sums its own part, and what a group's earlier parts hold
@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,3 +95,37 @@ def running_sums(df: DataFrame, group: str, order: list[str], values: list[str],
                     cols[i] = pa.array(x)
         return pa.RecordBatch.from_arrays(cols[:len(names)], names)
     return map_batches(rows, add, df.schema)
+
+
+def whole_groups(batches, key: int):
+    """Tables of whole groups, one after another, from batches sorted by column ``key``."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        new = np.flatnonzero(_changes(b.column(key)))
+        joins = bool(held) and held[-1].column(key)[-1].as_py() == b.column(key)[0].as_py()
+        if held and not joins:
+            yield pa.Table.from_batches(held)
+            held = []
+        cut = int(new[-1])  # the last group may go on
+        if cut:
+            yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def lookup(left: DataFrame, on: str, right: DataFrame, key: str, value: str, large: Column) -> DataFrame:
+    """``left`` with ``value`` of the row of ``right`` whose ``key`` (binary, unique) equals
+    ``on``, else null.  ``large`` picks the rows of ``right`` that so many rows of ``left``
+    ask for that there are fewer of them than partitions: they are broadcast, and their
+    rows of ``left`` are spread over the other join under keys of their own."""
+    large = F.coalesce(large, F.lit(False))
+    near = right.filter(large).select(F.col(key).alias("_near"), F.col(value).alias("_value"))
+    far = right.filter(~large).select(F.col(key).alias("_far"), F.col(value))
+    spread = F.encode(F.xxhash64(F.monotonically_increasing_id()).cast("string"), "UTF-8")
+    out = left.join(F.broadcast(near), F.col(on) == F.col("_near"), "left")
+    out = out.withColumn("_key", F.when(F.col("_near").isNull(), F.col(on)).otherwise(spread))
+    return out.join(far, F.col("_key") == F.col("_far"), "left").select(*left.columns, F.coalesce("_value", value).alias(value))
