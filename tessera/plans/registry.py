@@ -39,7 +39,7 @@ def register(name: str, sql: str | None = None, note: str = ""):
 
 def load_all() -> dict[str, Query]:
     # importing the modules fills REGISTRY
-    from . import (text_queries, relational_queries, graph_queries,  # noqa: F401
+    from . import (text_queries, relational_queries, graph_queries, sparse_queries,  # noqa: F401
                    stats_queries, sampling_queries, ml_queries, mlp_queries,
                    stream_queries)
     return REGISTRY

@@ -86,6 +86,41 @@ def parse_bracket_points(df: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
+def parse_libsvm(df: DataFrame, num_features: int = -1, col: str = "value") -> DataFrame:
+    """``"label i:x j:y ..."`` -> ``label double, size int, indices array<int>, values
+    array<double>``; indices are 1-based and ascending in the text, 0-based in the result.
+    Blank lines and lines that start with ``#`` are skipped, a bad token throws.
+
+    ``num_features`` of -1 infers the dimension: a job takes the largest index of the
+    scan, one number.  A given dimension is checked against each row instead."""
+    others = [c for c in df.columns if c != col]
+    line = F.trim(F.col(col))
+    tok = F.filter(F.split(line, r"\s+"), lambda t: t != "")
+    pairs = F.transform(F.slice(tok, 2, F.size(tok)), lambda t: F.split(t, ":"))
+    rows = df.where((line != "") & ~line.startswith("#")).select(*others, tok[0].cast("double").alias("label"), pairs.alias("p"))
+    raw = rows.select(*others, "label", F.transform("p", lambda x: _require(F.size(x) == 2, "entry is not index:value", x[0]).cast("int") - 1).alias("indices"),
+                      F.transform("p", lambda x: x[1].cast("double")).alias("values"))
+    first, last = F.get("indices", F.lit(0)), F.get("indices", F.size("indices") - 1)
+    if num_features < 0:
+        top = raw.agg(F.max(last)).first()[0]
+        num_features = 0 if top is None else top + 1
+    empty = F.size("indices") == 0
+    ok = empty | ((first >= 0) & (last < num_features) & (F.array_sort(F.array_distinct("indices")) == F.col("indices")))
+    return raw.select(*others, "label", F.lit(num_features).alias("size"),
+                      _require(ok, "indices must ascend from 1 and stay within the dimension", F.col("indices")).alias("indices"), "values")
+
+
+def read_libsvm(spark: SparkSession, path: str, num_features: int = -1, min_partitions: int | None = None) -> DataFrame:
+    """``loadLibSVMFile(path[, numFeatures[, minPartitions]])`` as sparse rows."""
+    return parse_libsvm(read_lines(spark, path, min_partitions), num_features)
+
+
+def to_libsvm(df: DataFrame) -> DataFrame:
+    """The text lines (``value``) of sparse rows."""
+    pair = F.transform(F.arrays_zip("indices", "values"), lambda e: F.concat((e["indices"] + 1).cast("string"), F.lit(":"), e["values"].cast("string")))
+    return df.select(F.concat_ws(" ", F.col("label").cast("string"), F.array_join(pair, " ")).alias("value"))
+
+
 def parse_edges(df: DataFrame, col: str = "value") -> DataFrame:
     """Edge list ``"a b"`` split on any whitespace; tokens 0 and 1 are used,
     extra tokens are ignored, a single token throws."""
