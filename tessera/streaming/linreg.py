@@ -10,15 +10,21 @@ weights already written and changes nothing: the update is idempotent and
 the model survives driver and executor restarts together with the
 streaming checkpoint.  An empty batch leaves the weights unchanged.
 
-``predict_on_values`` runs a second query, beside or between training runs,
-whose ``foreachBatch`` reads the newest weights and writes ``(label,
-prediction)`` rows into one folder per batch id, so that a replayed batch
-replaces its rows; the prediction is a pure column expression ``w . x``.
+``predict_on_values`` runs a second query beside the training one; its
+``foreachBatch`` reads the newest weights once and writes ``(batch_id, version,
+label, features, prediction)`` rows into one folder per batch id, so that a
+replayed batch replaces its rows.  ``version`` is the training batch that the
+weights came from (-1: the initial ones), the prediction a pure column expression
+``w . x``.  ``live`` runs both until the caller is done and stops them cleanly.
+
+``print_batches`` prints the first rows of every micro-batch, as a console does,
+and keeps them in a memory table of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +40,9 @@ from ..sources.text import parse_bracket_points
 
 
 def point_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``readStream.text(dir)`` parsed into ``label double, features array<double>``."""
-    r = spark.readStream.format("text")
+    """``readStream.text(dir)`` parsed into ``label double, features array<double>``; files
+    may also arrive in folders of their own."""
+    r = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return parse_bracket_points(r.load(directory).select("value"))
@@ -60,14 +67,18 @@ class StreamingLinearRegression:
         except AnalysisException:
             return None
 
-    def latest_weights(self, before_batch: int | None = None) -> np.ndarray:
+    def current(self, before_batch: int | None = None) -> tuple[int, np.ndarray]:
+        """The newest version (the training batch it came from; -1: none) and its weights."""
         t = self._table()
         if t is None:
-            return self.initial.copy()
+            return -1, self.initial.copy()
         if before_batch is not None:
             t = t.where(F.col("batch_id") < before_batch)
-        row = t.orderBy(F.col("batch_id").desc()).select("w").first()
-        return self.initial.copy() if row is None else np.asarray(row["w"], dtype=float)
+        row = t.orderBy(F.col("batch_id").desc()).select("batch_id", "w").first()
+        return (-1, self.initial.copy()) if row is None else (row["batch_id"], np.asarray(row["w"], dtype=float))
+
+    def latest_weights(self, before_batch: int | None = None) -> np.ndarray:
+        return self.current(before_batch)[1]
 
     def history(self) -> DataFrame:
         t = self._table()
@@ -100,29 +111,67 @@ class StreamingLinearRegression:
 
     def train_on(self, stream: DataFrame, checkpoint: str | None = None, processing_time: str | None = None,
                  available_now: bool = False) -> StreamingQuery:
-        w = stream.writeStream.foreachBatch(lambda df, bid: self.update(df, bid)).option(
-            "checkpointLocation", checkpoint or shared_path(self.spark, "stream-train-ckpt"))
-        if available_now:
-            w = w.trigger(availableNow=True)
-        elif processing_time:
-            w = w.trigger(processingTime=processing_time)
-        return w.start()
+        return start(self.spark, stream, self.update, checkpoint or shared_path(self.spark, "stream-train-ckpt"), processing_time, available_now)
 
     # ------------------------------------------------------------ prediction
     def predict(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
         w = self.latest_weights()
         return df.withColumn(out, V.dot(features, V.lit_vector(w.tolist())))
 
-    def predict_on_values(self, stream: DataFrame, output_path: str, checkpoint: str | None = None,
-                          processing_time: str | None = None, available_now: bool = False) -> StreamingQuery:
+    def predict_on_values(self, stream: DataFrame, output_path: str, checkpoint: str | None = None, processing_time: str | None = None,
+                          available_now: bool = False, also: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+        """``also`` gets what was written of each batch, for instance ``print_batches``."""
         def fn(df: DataFrame, batch_id: int) -> None:
-            self.predict(df.select("label", "features")).select(
-                F.lit(int(batch_id)).cast("long").alias("batch_id"), "label", "prediction"
-            ).write.mode("overwrite").parquet(f"{output_path}/batch={int(batch_id)}")
-        w = stream.writeStream.foreachBatch(fn).option(
-            "checkpointLocation", checkpoint or shared_path(self.spark, "stream-predict-ckpt"))
-        if available_now:
-            w = w.trigger(availableNow=True)
-        elif processing_time:
-            w = w.trigger(processingTime=processing_time)
-        return w.start()
+            version, w = self.current()
+            folder = f"{output_path}/batch={int(batch_id)}"
+            df.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(int(version)).cast("long").alias("version"), "label", "features",
+                      V.dot("features", V.lit_vector(w.tolist())).alias("prediction")).write.mode("overwrite").parquet(folder)
+            if also is not None:
+                also(self.spark.read.parquet(folder), batch_id)
+        return start(self.spark, stream, fn, checkpoint or shared_path(self.spark, "stream-predict-ckpt"), processing_time, available_now)
+
+    @contextmanager
+    def live(self, training: DataFrame, test: DataFrame, output_path: str, interval: str = "1 second",
+             also: Callable[[DataFrame, int], None] | None = None) -> Iterator[tuple[StreamingQuery, StreamingQuery]]:
+        """Training and prediction running together, a micro-batch every ``interval``; both
+        finish the batch they are in and stop when the block ends."""
+        queries = self.train_on(training, processing_time=interval), self.predict_on_values(test, output_path, processing_time=interval, also=also)
+        try:
+            yield queries
+        finally:
+            for q in queries:
+                q.stop()
+
+
+def start(spark: SparkSession, stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, processing_time: str | None = None,
+          available_now: bool = False) -> StreamingQuery:
+    """``fn`` for every micro-batch: all that is there and then an end (``available_now``),
+    one every ``processing_time``, or one after another."""
+    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def print_batches(spark: SparkSession, table: str, rows: int = 10, keep: int = 100, out: Callable[[str], None] = print) -> Callable[[DataFrame, int], None]:
+    """A sink that prints the first ``rows`` rows of each micro-batch under its number and
+    keeps those of the last ``keep`` batches in the temporary view ``table`` (batch_id,
+    then the batch's columns): at most ``rows * keep`` rows, whatever the stream holds.
+    A replayed batch replaces its rows; an empty one prints its number alone."""
+    held: dict[int, DataFrame] = {}
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        first = batch.limit(rows)
+        got = first.collect()  # ``rows`` rows at most
+        out("\n".join([f"--- batch {batch_id}", *map(str, got)]) + (" ..." if len(got) == rows else ""))
+        mine = spark.createDataFrame(got, batch.schema).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        held[batch_id] = mine.select("batch_id", *(c for c in batch.columns if c != "batch_id"))
+        for old in sorted(held)[:-keep]:
+            del held[old]
+        view = None
+        for b in sorted(held):
+            view = held[b] if view is None else view.unionByName(held[b])
+        view.createOrReplaceTempView(table)
+    return fn
