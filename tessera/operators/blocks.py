@@ -62,6 +62,10 @@ class Blocks:
     def sums(self, fn: Callable[[Iterator[list[np.ndarray]]], np.ndarray]) -> np.ndarray:
         """``fn`` maps a task's blocks (one matrix per column) to an array of
         sums; returns the total over all tasks."""
+        return self.merged(fn, np.add)
+
+    def merged(self, fn: Callable[[Iterator[list[np.ndarray]]], np.ndarray], merge: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+        """One array per task, two at a time merged into one of the same size."""
         widths = list(self.dims.values())
         cut = np.cumsum(widths)[:-1]
 
@@ -71,24 +75,24 @@ class Blocks:
                     for m in b.column(0):
                         yield np.split(np.frombuffer(m.as_buffer(), np.float64).reshape(-1, sum(widths)), cut, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([np.asarray(fn(blocks()), np.float64).tobytes()], pa.binary())], ["v"])
+
+        def join(batches):
+            got = None
+            for b in batches:
+                for v in b.column(0):
+                    x = np.frombuffer(v.as_buffer(), np.float64)
+                    got = x.copy() if got is None else merge(got, x)
+            if got is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([got.tobytes()], pa.binary())], ["v"])
         parts, n = self.df.mapInArrow(run, "v binary"), self.parts
         while n > FAN_IN:
             n = -(-n // FAN_IN)
-            parts = parts.repartition(n).mapInArrow(_add, "v binary")
-        total = 0.0
+            parts = parts.repartition(n).mapInArrow(join, "v binary")
+        got = None
         for r in parts.collect():  # at most FAN_IN rows
-            total = total + np.frombuffer(r["v"], np.float64)
-        return total
-
-
-def _add(batches):
-    total = None
-    for b in batches:
-        for v in b.column(0):
-            x = np.frombuffer(v.as_buffer(), np.float64)
-            total = x.copy() if total is None else total + x
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["v"])
+            x = np.frombuffer(r["v"], np.float64)
+            got = x if got is None else merge(got, x)
+        return got if got is not None else 0.0
 
 
 def blocks_of(data: DataFrame | Blocks, dims: dict[str, int]) -> tuple[Blocks, bool]:

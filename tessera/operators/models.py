@@ -137,30 +137,21 @@ def als_rmse(ratings: DataFrame, items: DataFrame, users: DataFrame) -> DataFram
     return j.agg(F.sqrt(F.avg(err * err)).alias("rmse"))
 
 
-def als_dense(ratings: DataFrame, rank: int = 10, iterations: int = 5, lam: float = 0.01, seed: int = 42,
-              checkpoint: bool = True):
+def als_dense(ratings: DataFrame, rank: int = 10, iterations: int = 5, lam: float = 0.01, seed: int = 42, blocks: int | None = None):
     """Alternating least squares on ``(i, j, r)``: items first, then users with
-    the NEW item factors; RMSE after every iteration.  Factors stay in
-    DataFrames (checkpointed each half-step), never on the driver.
+    the NEW item factors; RMSE after every iteration, from direct residuals.
+    Ratings are packed into routed blocks once and stay there; factors travel
+    as packed rows (checkpointed each half-step), never through the driver.
     Returns ``(items, users, [rmse per iteration])``."""
-    from ..plans.session import cut_lineage
-    n = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ratings = ratings.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.col("r").cast("double").alias("r"))
-    # one copy per side, partitioned by the id that a half-step joins on: no
-    # iteration shuffles a rating, only factors and partial sums
-    by_j = cut_lineage(ratings.repartition(n, "j"), keep_partitioning=True)
-    by_i = cut_lineage(by_j.repartition(n, "i"), keep_partitioning=True)
-    users = init_factors(by_j.select("j").distinct(), "j", rank, seed)
+    from . import als_blocks as B
+    of_i, of_j = B.sides(ratings, blocks)
+    users = B.pack_factors(init_factors(ratings.select("j").distinct(), "j", rank, seed), rank, of_j.n_blocks)
     hist = []
     for _ in range(iterations):
-        items = als_half_step(by_j, users, "i", "j", rank, lam)
-        if checkpoint:
-            items = cut_lineage(items)
-        users = als_half_step(by_i, items, "j", "i", rank, lam)
-        if checkpoint:
-            users = cut_lineage(users)
-        hist.append(float(als_rmse(by_i, items, users).first()["rmse"]))
-    return items, users, hist
+        items = B.half_step(of_i, users, rank, lam)
+        users = B.half_step(of_j, items, rank, lam)
+        hist.append(B.rmse(users))
+    return B.unpack_factors(items, rank), B.unpack_factors(users, rank), hist
 
 
 # ------------------------------------------------------------------ L9
@@ -217,11 +208,34 @@ def gram_matrix(df: DataFrame, features: str = "x") -> np.ndarray:
         blocks.unpersist()
 
 
+def tall_r(df: DataFrame, features: str = "x") -> np.ndarray:
+    """R of a QR factorisation of a tall matrix: a task factors its rows block by block,
+    keeping one D x D triangle, and the triangles of all tasks are stacked and factored
+    in a tree.  Unlike the Gram matrix, R keeps the condition number of the data."""
+    from .clustering import vector_dims
+    d = vector_dims(df, features)
+    blocks = Blocks(df, {features: d})
+
+    def factor(upper: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        r = np.linalg.qr(np.vstack([upper, rows]), mode="r")
+        return np.vstack([r, np.zeros((d - len(r), d))])
+
+    def task(ms):
+        r = np.zeros((d, d))
+        for (x,) in ms:
+            r = factor(r, x)
+        return r.ravel()
+    try:
+        r = blocks.merged(task, lambda a, b: factor(a.reshape(d, d), b.reshape(d, d)).ravel())
+        return np.asarray(r).reshape(d, d)
+    finally:
+        blocks.unpersist()
+
+
 def singular_values(df: DataFrame, features: str = "x") -> np.ndarray:
-    """All singular values of the tall matrix, descending (U not computed):
-    square roots of the Gram matrix eigenvalues."""
-    ev = np.linalg.eigvalsh(gram_matrix(df, features))
-    return np.sqrt(np.clip(ev[::-1], 0.0, None))
+    """All singular values of the tall matrix, descending (U not computed): those of
+    its triangle, correct relative to the largest to about rounding."""
+    return np.linalg.svd(tall_r(df, features), compute_uv=False)
 
 
 def sign_normalise(vectors: np.ndarray) -> np.ndarray:

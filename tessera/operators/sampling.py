@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 from ..plans.session import cut_lineage
 
 _TWO53 = float(2 ** 53)
+#: standard deviations between an exact sample's thresholds and its expected cut
+SIGMAS = 5.0
 
 
 def uniform_hash(cols: Sequence[str], seed: int) -> Column:
@@ -74,20 +76,10 @@ def with_row_index(df: DataFrame, out: str = "_idx") -> DataFrame:
 def take_sample(df: DataFrame, n: int, id_cols: Sequence[str], with_replacement: bool = False,
                 seed: int = 42) -> DataFrame:
     """Exactly ``min(n, N)`` rows without replacement (the ``n`` smallest row
-    hashes, found by distributed bucketing), or exactly ``n`` draws with
-    replacement (n hashed positions joined to a dense row index)."""
-    if not with_replacement:
-        one = df.withColumn("_all", F.lit(0))
-        return _smallest_hashes(one, "_all", [(0, int(n))], id_cols, seed).select(*df.columns)
-    idx = cut_lineage(with_row_index(df))
-    total = idx.agg(F.count(F.lit(1)).alias("_n"))
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(2 ** 53)).cast("double") / F.lit(_TWO53)
-    draws = (df.sparkSession.range(n).crossJoin(F.broadcast(total))        # one-row side
-             .select(F.floor(u * F.col("_n")).cast("long").alias("_idx"))
-             .groupBy("_idx").agg(F.count(F.lit(1)).alias("_times")))
-    return (idx.join(draws, "_idx")
-            .withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
-            .drop("_idx", "_times", "_rep"))
+    hashes), or exactly ``n`` draws with replacement.  ``id_cols`` identify a row."""
+    one = df.withColumn("_all", F.lit(0))
+    total = df.count()
+    return _exact(one, "_all", [(0, total, int(n) if with_replacement else min(int(n), total))], id_cols, seed, with_replacement).select(*df.columns)
 
 
 # ---------------------------------------------------------------- A3
@@ -128,17 +120,14 @@ def stratum_targets(df: DataFrame, key: str, fractions: Mapping) -> DataFrame:
 
 
 def sample_by_key_exact(df: DataFrame, key: str, fractions: Mapping, id_cols: Sequence[str],
-                        with_replacement: bool = False, seed: int = 42,
-                        buckets: int = 1 << 16, final_max: int = 1 << 20) -> DataFrame:
+                        with_replacement: bool = False, seed: int = 42, sigmas: float = SIGMAS) -> DataFrame:
     """Exact stratified sample: exactly ``ceil(f_k * n_k)`` rows of stratum k.
 
     Without replacement: the rows with the smallest hashes of each stratum.
-    With replacement: ``m_k`` uniform draws of a per-stratum dense row index."""
+    With replacement: ``m_k`` uniform draws from the stratum."""
     check_fractions(fractions, with_replacement)
-    if with_replacement:
-        return _exact_with_replacement(df, key, fractions, id_cols, seed)
     targets = stratum_targets(df, key, fractions).collect()          # one row per named stratum
-    return _smallest_hashes(df, key, [(r[key], int(r["_m"])) for r in targets], id_cols, seed, buckets, final_max)
+    return _exact(df, key, [(r[key], int(r["_n"]), int(r["_m"])) for r in targets], id_cols, seed, with_replacement, sigmas)
 
 
 def _lookup(df: DataFrame, key: str, side: DataFrame, how: str = "inner") -> DataFrame:
@@ -146,85 +135,74 @@ def _lookup(df: DataFrame, key: str, side: DataFrame, how: str = "inner") -> Dat
     return df.join(side, df[key].eqNullSafe(side["_key"]), how).drop("_key")
 
 
-def _smallest_hashes(df: DataFrame, key: str, targets: Sequence[tuple[object, int]], id_cols: Sequence[str], seed: int,
-                     buckets: int = 1 << 16, final_max: int = 1 << 20) -> DataFrame:
-    """The ``m`` rows with the smallest hashes of each stratum of ``targets``.
-
-    The m-th smallest hash is found by distributed bucketing, never by sorting a
-    stratum in one task: count rows per (stratum, hash bucket) (partial
-    aggregation), cumulate over the <= ``buckets`` buckets of each stratum, keep
-    buckets below the boundary whole and refine the boundary bucket again until
-    it holds at most ``final_max`` rows; only those are ranked.  ``targets`` is
-    the caller's list, so the broadcast state is as small."""
-    bits = int(math.log2(buckets))
-    # integer hash in [0, 2^53): bucket boundaries are exact bit shifts
-    base = df.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(2 ** 53)))
-    ktype = df.schema[key].dataType.simpleString()
-    state_rows = [(k, 0, m) for k, m in targets]                      # (key, lo, still needed)
-    span = 53                                                         # interval = [lo, lo + 2^span)
-    spark = df.sparkSession
-
-    def state_df():
-        return F.broadcast(spark.createDataFrame(state_rows, f"_key {ktype}, _lo long, _need long"))
-
-    def in_interval():
-        return (F.col("_h") >= F.col("_lo")) & (F.col("_h") < F.col("_lo") + F.lit(1 << span))
-
-    while span > 0 and state_rows:
-        shift = max(span - bits, 0)
-        cand = _lookup(base, key, state_df()).where(in_interval() & (F.col("_need") > 0))
-        cnt = (cand.withColumn("_b", F.shiftright(F.col("_h") - F.col("_lo"), shift))
-               .groupBy(key, "_need", "_b").agg(F.count(F.lit(1)).alias("_c")))
-        w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        cum = cnt.withColumn("_cum", F.sum("_c").over(w))
-        bnd = {r[key]: r["_x"] for r in cum.where(F.col("_cum") >= F.col("_need"))
-               .groupBy(key).agg(F.min(F.struct("_b", "_cum", "_c")).alias("_x")).collect()}
-        new_rows, widest = [], 0
-        for k, lo, need in state_rows:
-            x = bnd.get(k)
-            if x is None or need <= 0:         # the whole interval is needed, or none of it
-                new_rows.append((k, lo, need) if need <= 0 else (k, lo + (1 << span), 0))
-                continue
-            new_rows.append((k, lo + (x["_b"] << shift), need - (x["_cum"] - x["_c"])))
-            widest = max(widest, x["_c"])
-        state_rows, span = new_rows, shift
-        if widest <= final_max:
-            break
-    if not state_rows:
-        return df.limit(0)
-    joined = _lookup(base, key, state_df())
-    below = joined.where(F.col("_h") < F.col("_lo"))
-    edge = joined.where(in_interval() & (F.col("_need") > 0))
-    wr = Window.partitionBy(key).orderBy("_h", *id_cols)
-    edge = edge.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= F.col("_need"))
-    cols = df.columns
-    return below.select(*cols).unionByName(edge.select(*cols))
-
-
-def _exact_with_replacement(df, key, fractions, id_cols, seed):
-    m = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id()))
-    m = m.withColumn("_pid", F.shiftright("_mid", 33))
-    # partition-local rank within a stratum: each window group is one input
-    # partition's share of a stratum, bounded by the input split size
-    m = m.withColumn("_lr", F.row_number().over(Window.partitionBy(key, "_pid").orderBy("_mid")) - 1)
-    pc = m.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"))
-    wo = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = pc.select(F.col(key).alias("_key"), F.col("_pid").alias("_p"), F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    idx = (m.join(off, m[key].eqNullSafe(off["_key"]) & (m["_pid"] == off["_p"])).drop("_key", "_p")
-           .withColumn("_idx", F.col("_off") + F.col("_lr")))
-    targets = stratum_targets(df, key, fractions)
+def _exact(df: DataFrame, key: str, targets: Sequence[tuple[object, int, int]], id_cols: Sequence[str], seed: int,
+           with_replacement: bool, sigmas: float = SIGMAS) -> DataFrame:
+    """``m`` of the ``n`` rows of each stratum (key, n, m) of ``targets``, which is
+    the caller's list, so what is broadcast of it is as small."""
+    spark, ktype = df.sparkSession, df.schema[key].dataType.simpleString()
+    if not with_replacement:
+        return _smallest_hashes(df, key, targets, id_cols, seed, sigmas)[0].select(*df.columns)
+    # m draws of n rows hit d distinct ones, some more than once: draw the numbers
+    # first, then d rows without replacement and give them these multiplicities
+    strata = spark.createDataFrame([(k, n, m) for k, n, m in targets if m and n], f"_key {ktype}, _n long, _m long")
     chunk = 100_000
-    chunks = (targets.withColumn("_ch", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / chunk).cast("long"))))
-              .repartition(key, "_ch"))
-    draws = (chunks.withColumn("_j", F.explode(F.sequence(
-                F.col("_ch") * chunk, F.least(F.col("_m"), (F.col("_ch") + 1) * chunk) - 1)))
-             .withColumn("_at", F.floor(
-                 F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_j")), F.lit(2 ** 53)).cast("double")
-                 / F.lit(_TWO53) * F.col("_n")).cast("long"))
-             .groupBy(F.col(key).alias("_key"), "_at").agg(F.count(F.lit(1)).alias("_times")))
-    return (idx.join(draws, idx[key].eqNullSafe(draws["_key"]) & (idx["_idx"] == draws["_at"])).drop("_key")
-            .withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
-            .select(*df.columns))
+    at = F.floor(F.pmod(F.xxhash64(F.lit(seed), F.col("_key"), F.col("_j"), F.lit("draw")), F.lit(2 ** 53)).cast("double") / F.lit(_TWO53) * F.col("_n")).cast("long")
+    draws = (strata.withColumn("_ch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_m") - 1) / chunk).cast("long"))))
+             .repartition("_key", "_ch")
+             .withColumn("_j", F.explode(F.sequence(F.col("_ch") * chunk, F.least(F.col("_m"), (F.col("_ch") + 1) * chunk) - 1)))
+             .groupBy("_key", at.alias("_at")).agg(F.count(F.lit(1)).alias("_times")))
+    draws = cut_lineage(draws)
+    distinct = {r["_key"]: r["d"] for r in draws.groupBy("_key").agg(F.count(F.lit(1)).alias("d")).collect()}
+    rows, _ = _smallest_hashes(df, key, [(k, n, distinct[k]) for k, n, m in targets if k in distinct], id_cols, seed, sigmas)
+    numbered = _number(rows, key).alias("r")
+    often = _number(draws, "_key").select(F.col("_key"), F.col("_rank").alias("_nth"), "_times")
+    hit = numbered.join(often, numbered[key].eqNullSafe(often["_key"]) & (numbered["_rank"] == often["_nth"]))
+    return hit.withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))).select(*df.columns)
+
+
+def _number(df: DataFrame, key: str) -> DataFrame:
+    """``df`` (a sample) with a dense number ``_rank`` within its stratum: the number
+    within the stratum's rows of one task, after those of the tasks before."""
+    m = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id())).withColumn("_pid", F.shiftright("_mid", 33))
+    m = m.withColumn("_local", F.row_number().over(Window.partitionBy(key, "_pid").orderBy("_mid")) - 1)
+    per = m.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per task
+    off = per.select(F.col(key).alias("_k"), F.col("_pid").alias("_p"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    out = m.join(off, m[key].eqNullSafe(off["_k"]) & (m["_pid"] == off["_p"]))
+    return out.withColumn("_rank", F.col("_off") + F.col("_local")).select(*df.columns, "_rank")
+
+
+def _smallest_hashes(df: DataFrame, key: str, targets: Sequence[tuple[object, int, int]], id_cols: Sequence[str], seed: int,
+                     sigmas: float = SIGMAS) -> tuple[DataFrame, int]:
+    """The ``m`` rows with the smallest hashes of each stratum, and the number of scans.
+
+    The m-th smallest of n uniform hashes lies near m / n.  A scan accepts the rows
+    ``sigmas`` standard deviations below that at once, puts those up to as far above
+    on a waiting list and writes both, a sample's worth of rows.  Only the waiting
+    lists, about sqrt(m) rows a stratum, are ranked for the places that are left.  Should
+    a stratum have accepted too many rows or too few wait, the next scan is wider."""
+    spark, ktype, full = df.sparkSession, df.schema[key].dataType.simpleString(), 2 ** 53
+    base = df.withColumn("_h", F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(full)))
+    wanted, scans = [(k, n, m) for k, n, m in targets if m > 0], 0
+    if not wanted:
+        return base.limit(0), 0
+    while True:
+        scans += 1
+        state = []
+        for k, n, m in wanted:
+            slack = sigmas * (math.sqrt(m) + 1)
+            state.append((k, 0 if m < n and m <= slack else full if m >= n else int((m - slack) / n * full), full if m + slack >= n else int((m + slack) / n * full)))
+        side = F.broadcast(spark.createDataFrame(state, f"_key {ktype}, _lo long, _hi long"))
+        cand = cut_lineage(_lookup(base, key, side).where(F.col("_h") < F.col("_hi")).withColumn("_sure", F.col("_h") < F.col("_lo")).drop("_lo", "_hi"))
+        got = {r[key]: (r["_a"], r["_b"]) for r in cand.groupBy(key).agg(F.count_if("_sure").alias("_a"), F.count(F.lit(1)).alias("_b")).collect()}
+        left = [(k, m - got.get(k, (0, 0))[0], got.get(k, (0, 0))[1] - m) for k, n, m in wanted]
+        if all(a >= 0 and b >= 0 for _, a, b in left):
+            break
+        sigmas = 2 * sigmas + 1
+    places = F.broadcast(spark.createDataFrame([(k, a) for k, a, _ in left], f"_key {ktype}, _left long"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy("_h", *id_cols))
+    waiting = _lookup(cand.where(~F.col("_sure")), key, places).withColumn("_r", rank).where(F.col("_r") <= F.col("_left"))
+    return cand.where("_sure").select(*df.columns, "_h").unionByName(waiting.select(*df.columns, "_h")), scans
 
 
 # ---------------------------------------------------------------- A5

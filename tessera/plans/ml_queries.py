@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..operators import als_blocks as AB
 from ..operators import clustering as C
 from ..operators import gradient as G
 from ..operators import models as M
@@ -424,6 +425,26 @@ def q_als_step_f1(spark: SparkSession, sf: str) -> DataFrame:
     return items.select("id", F.round(F.col("f")[0] + TIE_OFFSET, 4).alias("factor"))
 
 
+@register("als_step_f2", sql=f"""
+WITH r AS (
+  SELECT l_partkey AS i, l_suppkey AS j, avg(ceil(l_quantity / 10)) AS r FROM lineitem GROUP BY 1, 2
+), u AS (SELECT j, 0.5 + (j % 10) / 20.0 AS a, 0.3 + (j % 7) / 14.0 AS b FROM (SELECT DISTINCT j FROM r)),
+s AS (
+  SELECT i, count(*) AS n, sum(a * a) + {ALS_LAMBDA} * count(*) AS aa, sum(a * b) AS ab, sum(b * b) + {ALS_LAMBDA} * count(*) AS bb,
+         sum(r * a) AS ra, sum(r * b) AS rb FROM r JOIN u USING (j) GROUP BY i)
+SELECT i AS id, n, round((bb * ra - ab * rb) / (aa * bb - ab * ab) + {TIE_OFFSET}, 4) AS f0, round((aa * rb - ab * ra) / (aa * bb - ab * ab) + {TIE_OFFSET}, 4) AS f1
+FROM s
+""")
+def q_als_step_f2(spark: SparkSession, sf: str) -> DataFrame:
+    """One item half-step with rank 2 on routed blocks."""
+    ratings = cut_lineage(_dense_ratings(table(spark, sf, "lineitem")))
+    j = F.col("j")
+    users = ratings.select("j").distinct().select(j.alias("id"), F.array(F.lit(0.5) + F.pmod(j, F.lit(10)) / 20.0, F.lit(0.3) + F.pmod(j, F.lit(7)) / 14.0).alias("f"))
+    side, _ = AB.sides(ratings)
+    items = AB.unpack_factors(AB.half_step(side, AB.pack_factors(users, 2, side.n_blocks), 2, ALS_LAMBDA), 2)
+    return items.select("id", "n", *[F.round(F.col("f")[k] + TIE_OFFSET, 4).alias(f"f{k}") for k in range(2)])
+
+
 # ================================================================ L9
 @register("tree_classify", sql="""
 SELECT i AS impurity, TRUE AS shaped, count(*) AS n_test, TRUE AS proper
@@ -575,6 +596,20 @@ def q_svd_2d(spark: SparkSession, sf: str) -> DataFrame:
     return _rows(spark, [(i, round(float(s), 4)) for i, s in enumerate(sv)], "idx int, sigma double")
 
 
+@register("svd_graded", sql="""
+WITH s AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM (SELECT CAST(l_quantity AS DOUBLE) AS a, CAST(l_linenumber AS DOUBLE) AS b FROM lineitem)),
+t AS (SELECT 2 * aa + ab / 536870912.0 + bb / 1152921504606846976.0 AS trace, (aa * bb - ab * ab) AS det FROM s)
+SELECT round(sqrt(trace / 2 + sqrt(trace * trace / 4 - det / 1152921504606846976.0)), 3) AS largest,
+       round(sqrt(det / (trace / 2 + sqrt(trace * trace / 4 - det / 1152921504606846976.0))), 1) AS smallest_scaled FROM t
+""")
+def q_svd_graded(spark: SparkSession, sf: str) -> DataFrame:
+    """Two almost parallel columns, q and q + 2^-30 l: the singular values lie nine
+    orders of magnitude apart (the smaller one times 2^30)."""
+    q, line = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double")
+    sv = M.singular_values(table(spark, sf, "lineitem").select(F.array(q, q + line * 2.0 ** -30).alias("x")))
+    return _rows(spark, [(round(float(sv[0]), 3), round(float(sv[1]) * 2.0 ** 30, 1))], "largest double, smallest_scaled double")
+
+
 @register("svd_embeddings", sql="""
 SELECT CAST(max(len(embedding)) AS INTEGER) AS n, round(sum(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 4) AS energy
 FROM embeddings

@@ -65,6 +65,37 @@ def test_als_dense_low_rank(spark):
     assert abs(hist[-1] - M.als_rmse(r, items, users).first()["rmse"]) < 1e-9
 
 
+@pytest.mark.parametrize("blocks", [1, 3, 40])
+def test_routed_blocks_match_numpy(spark, monkeypatch, blocks):
+    """Half-steps and the RMSE against dense numpy, with entities that hold more than a block's share."""
+    from tessera.operators import als_blocks as B
+    monkeypatch.setattr(B, "CHUNK", 7)
+    rng = np.random.default_rng(blocks)
+    pairs = {(int(i), int(j)) for i, j in rng.integers(-5, 25, (200, 2))} | {(3, j) for j in range(100, 260)} | {(i, 7) for i in range(100, 200)}
+    rows = [(i, j, float(rng.integers(1, 6))) for i, j in sorted(pairs)]
+    r = spark.createDataFrame(rows, "i int, j long, r double").repartition(3)
+    of_i, of_j = B.sides(r, blocks)
+    assert of_i.any_hot == (blocks > 1) and of_j.any_hot == (blocks > 3)
+    fixed = {j: rng.normal(size=3) for j in {j for _, j, _ in rows}}
+    users = B.pack_factors(spark.createDataFrame([(j, f.tolist()) for j, f in fixed.items()], "id long, f array<double>"), 3, blocks)
+    packed = B.half_step(of_i, users, 3, .2)
+    got = {x.id: (np.array(x.f), x.n) for x in B.unpack_factors(packed, 3).collect()}
+    sse = 0.0
+    for i in {i for i, _, _ in rows}:
+        f = np.array([fixed[j] for a, j, _ in rows if a == i])
+        y = np.array([v for a, _, v in rows if a == i])
+        w = np.linalg.solve(f.T @ f + .2 * len(y) * np.eye(3), f.T @ y)
+        assert np.allclose(got[i][0], w) and got[i][1] == len(y)
+        sse += ((y - f @ w) ** 2).sum()
+    assert len(got) == len({i for i, _, _ in rows})
+    assert B.rmse(packed) == pytest.approx(np.sqrt(sse / len(rows)))
+    # the next half-step takes these rows as they are
+    back = {x.id: np.array(x.f) for x in B.unpack_factors(B.half_step(of_j, packed, 3, .2), 3).collect()}
+    f = np.array([got[i][0] for i, j, _ in rows if j == 7])
+    y = np.array([v for _, j, v in rows if j == 7])
+    assert np.allclose(back[7], np.linalg.solve(f.T @ f + .2 * len(y) * np.eye(3), f.T @ y))
+
+
 def test_als_half_step_matches_numpy(spark):
     rng = np.random.default_rng(0)
     R = [(i, j, float(rng.integers(1, 6))) for i in range(6) for j in range(8) if rng.random() < 0.7]
@@ -140,3 +171,25 @@ def test_als_ml(spark):
     p = m.transform(r)
     rmse = p.agg(F.sqrt(F.avg((F.col("prediction") - F.col("rating")) ** 2))).first()[0]
     assert rmse < 0.1
+
+
+def test_singular_values_of_a_graded_matrix(spark):
+    """Nine orders of magnitude below the largest, where the Gram matrix knows nothing."""
+    rng = np.random.default_rng(4)
+    u, _ = np.linalg.qr(rng.normal(size=(500, 4)))
+    v, _ = np.linalg.qr(rng.normal(size=(4, 4)))
+    want = np.array([10.0, 1.0, 1e-5, 1e-8])
+    X = u * want @ v.T
+    df = spark.createDataFrame([(x.tolist(),) for x in X], "x array<double>").repartition(7)
+    assert np.allclose(M.singular_values(df), want, rtol=1e-6)
+    few = spark.createDataFrame([([1.0, 2.0, 3.0],), ([0.0, 1.0, 0.0],)], "x array<double>").repartition(4)  # fewer rows than columns
+    assert np.allclose(M.singular_values(few), [*np.linalg.svd(np.array([[1, 2, 3], [0, 1, 0.]]), compute_uv=False), 0.0])
+
+
+def test_triangles_are_merged_in_a_tree(spark, monkeypatch):
+    from tessera.operators import blocks
+    monkeypatch.setattr(blocks, "FAN_IN", 3)
+    X = np.random.default_rng(5).normal(size=(200, 3))
+    df = spark.createDataFrame([(x.tolist(),) for x in X], "x array<double>").repartition(20)
+    assert np.allclose(M.singular_values(df), np.linalg.svd(X, compute_uv=False))
+    assert np.allclose(M.gram_matrix(df), X.T @ X)

@@ -23,8 +23,8 @@ FR = {"s0": 0.125, "s1": 0.5, "s2": 0.3, "s3": 1.0, "s4": 0.0}
 def test_exact_stratified_counts_and_identity(spark):
     df = part(spark)
     sizes = Counter(r.k for r in df.collect())
-    # tiny buckets force several refinement rounds
-    got = A.sample_by_key_exact(df, "k", FR, ["id"], seed=3, buckets=4, final_max=8)
+    # thresholds at the expected cut itself force several scans
+    got = A.sample_by_key_exact(df, "k", FR, ["id"], seed=3, sigmas=0.0)
     rows = got.collect()
     cnt = Counter(r.k for r in rows)
     for k, f in FR.items():
@@ -52,6 +52,28 @@ def test_exact_stratified_with_replacement(spark):
     assert all(ids[r.id] == r.k for r in got)
 
 
+def test_one_scan_and_a_short_waiting_list(spark):
+    df = spark.range(200_000).withColumn("k", F.lit("a"))
+    rows, scans = A._smallest_hashes(df, "k", [("a", 200_000, 10_000)], ["id"], 1)
+    assert scans == 1 and rows.count() == 10_000
+    _, scans = A._smallest_hashes(df, "k", [("a", 200_000, 10_000)], ["id"], 1, sigmas=0.0)
+    assert scans > 1
+    edge = {m: A._smallest_hashes(df.limit(50), "k", [("a", 50, m)], ["id"], 1)[0].count() for m in (1, 2, 49, 50)}
+    assert edge == {1: 1, 2: 2, 49: 49, 50: 50}
+
+
+def test_draws_with_replacement_are_uniform(spark):
+    """How often a row is drawn: mean 1 and variance near 1 - 1/n, as for independent draws."""
+    df = spark.range(3000)
+    times = Counter(r.id for r in A.take_sample(df, 3000, ["id"], with_replacement=True, seed=4).collect())
+    c = [times.get(i, 0) for i in range(3000)]
+    mean, var = sum(c) / 3000, sum(x * x for x in c) / 3000 - 1
+    assert mean == 1 and abs(var - 1) < 5 * math.sqrt(2 / 3000)
+    assert max(c) > 3 and abs(c.count(0) / 3000 - math.exp(-1)) < .05
+    first = sum(i * x for i, x in enumerate(c)) / 3000
+    assert abs(first - 1499.5) < 5 * 866 / math.sqrt(3000)
+
+
 def test_take_sample(spark):
     df = part(spark)
     a = A.take_sample(df, 100, ["id"], seed=1).collect()
