@@ -44,6 +44,8 @@ from .written import discard, written
 HEAD = 4
 #: text bytes whose words are looked up together
 BLOCK_BYTES = 16 << 20
+#: words that a task counts before it passes them on
+MERGE = 250_000
 RATIOS = "is_head boolean, key long, ratio double"
 WORD_DISCOUNT = HEAD_DISCOUNT = 2.0
 MARGIN = 2.0
@@ -119,10 +121,10 @@ def count_words(rows: DataFrame) -> DataFrame:
                 new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
                 n1 = y[t[new] + a]
                 held.append((h[new], head[new], 1 - n1, n1))
-                if sum(len(x[0]) for x in held) > 2_000_000:
+                if sum(len(x[0]) for x in held) > 2 * MERGE:
                     part = merged()
                     held[:] = [part]
-                    if len(part[0]) > 1_000_000:
+                    if len(part[0]) > MERGE:
                         yield out(part)
                         held.clear()
         if held:
@@ -171,15 +173,19 @@ def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
 
         def out():
             n = np.cumsum([0] + [len(x[0]) for x in held])
-            t, h, head = (np.concatenate(x) for x in zip(*((x[1] + a, x[2], x[3]) for x, a in zip(held, n))))
-            w, at, rank = np.unique(h, return_index=True, return_inverse=True)
+            w, at, place = np.unique(np.concatenate([x[3] for x in held]), return_index=True, return_inverse=True)
+            first = np.cumsum([0] + [len(x[3]) for x in held])
+            rank = np.concatenate([place[a:z][x[2]] for x, a, z in zip(held, first, first[1:])])  # a text's words, as places in w
             by = np.argsort(-np.bincount(rank, minlength=len(w)), kind="stable")  # frequent words get small ranks
             to = np.empty(len(w), np.int64)
             to[by] = np.arange(len(w))
-            pair = np.unique((t << 32) | to[rank])
+            pair = np.concatenate([(x[1] + a) << 32 for x, a in zip(held, n)])
+            pair |= to[rank]
+            del rank
+            pair.sort()
             sizes = np.bincount(pair >> 32, minlength=n[-1]).astype(np.int32)
             ranks = np.ascontiguousarray((pair & 0xFFFFFFFF).astype(np.int32).view(np.uint8).reshape(-1, 4).T)
-            heads, of = np.unique(head[at][by], return_inverse=True)
+            heads, of = np.unique(np.concatenate([x[4] for x in held])[at][by], return_inverse=True)
             keys = pa.concat_arrays([x[0] for x in held])
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
@@ -188,7 +194,12 @@ def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
             col = b.column(1)
             _, offs = text_bytes(col)
             for a, n, t, h, head in _words(col):
-                held.append((b.column(0).slice(a, n), t, h, head))
+                # a slice keeps the distinct words of each text, as places in its own words
+                o = np.lexsort((h, t))
+                t, h, head = t[o], h[o], head[o]
+                new = np.append(True, (t[1:] != t[:-1]) | (h[1:] != h[:-1]))[:len(t)]
+                w, at, place = np.unique(h[new], return_index=True, return_inverse=True)
+                held.append((b.column(0).slice(a, n), t[new], place.astype(np.int32), w, head[new][at]))
                 size += int(offs[a + n] - offs[a])
                 if size >= BLOCK_BYTES:
                     yield out()
