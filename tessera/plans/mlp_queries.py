@@ -10,6 +10,7 @@ from ..functions import vectors as V
 from ..operators import mlp as N
 from ..sources.tables import table
 from .registry import register
+from .session import cut_lineage
 
 LINE_ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 # fixed weights of the 2-1-1 check network, layout A: w11, w12, b1, w2, b2
@@ -112,25 +113,79 @@ def q_mlp_weights_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "layer int, n long, bounded boolean")
 
 
-@register("mlp_layers", sql="""
-SELECT vec_id, CAST(0 AS INTEGER) AS layer, CAST(len(embedding) AS INTEGER) AS n,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings
-UNION ALL SELECT vec_id, 1, 8, NULL FROM embeddings
-UNION ALL SELECT vec_id, 2, 10, NULL FROM embeddings
-""")
+LAYER_TOPOLOGY = [64, 8, 10]
+
+
+def rule_weight(p: int) -> float:
+    """Weight at position p of the fixed check network: in [-0.25, 0.25)."""
+    return p * 7919 % 1009 / 2018.0 - 0.25
+
+
+def _layers_sql() -> str:
+    w = "((({}) * 7919) % 1009 / 2018.0 - 0.25)"
+    return f"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+l0 AS (SELECT vec_id, unnest(x) AS a, unnest(range(0, 64)) AS j FROM e),
+l1 AS (SELECT vec_id, i, 1 / (1 + exp(-(sum({w.format("j * 8 + i")} * a) + {w.format("512 + i")}))) AS a FROM l0, (SELECT unnest(range(0, 8)) AS i) GROUP BY vec_id, i),
+l2 AS (SELECT vec_id, k, 1 / (1 + exp(-(sum({w.format("520 + i * 10 + k")} * a) + {w.format("600 + k")}))) AS a FROM l1, (SELECT unnest(range(0, 10)) AS k) GROUP BY vec_id, k)
+SELECT vec_id, CAST(0 AS INTEGER) AS layer, CAST(64 AS INTEGER) AS n, round(list_sum(x), 6) AS total FROM e
+UNION ALL SELECT vec_id, 1, CAST(count(*) AS INTEGER), round(sum(a * (i + 1)), 6) FROM l1 GROUP BY vec_id
+UNION ALL SELECT vec_id, 2, CAST(count(*) AS INTEGER), round(sum(a * (k + 1)), 6) FROM l2 GROUP BY vec_id
+"""
+
+
+@register("mlp_layers", sql=_layers_sql())
 def q_mlp_layers(spark: SparkSession, sf: str) -> DataFrame:
-    """Activations of every layer (propagate) for every embedding under the
-    seeded random weights: the width of each layer, and the sum of the input
-    layer; the others' sums depend on the generator and are null if every
-    activation lies strictly between 0 and 1."""
+    """Activations of every layer (propagate) for every embedding under fixed weights:
+    the width of each layer, the sum of the input, and the sums of the others weighted
+    by the unit's number."""
     e = _embeddings(spark, sf)
-    topo = [int(e.select(F.size("features")).first()[0]), 8, 10]
-    model = N.MLPModel(topo, N.random_weights(topo, 7))
+    model = N.MLPModel(LAYER_TOPOLOGY, np.array([rule_weight(p) for p in range(N.n_weights(LAYER_TOPOLOGY))]))
     p = model.predict(e.select("vec_id", "features"), "features", "acts", layer="all")
     rows = p.select("vec_id", F.posexplode("acts").alias("layer", "a"))
-    total = F.round(V.vsum("a"), 6)
-    fine = (F.col("layer") > 0) & F.forall("a", lambda x: (x > 0) & (x < 1))
-    return rows.select("vec_id", "layer", F.size("a").alias("n"), F.when(~fine, total).alias("total"))
+    weighted = F.aggregate(F.arrays_zip("a", F.sequence(F.lit(1), F.size("a")).alias("k")), F.lit(0.0), lambda t, x: t + x["a"] * x["k"])
+    return rows.select("vec_id", "layer", F.size("a").alias("n"), F.round(F.when(F.col("layer") == 0, V.vsum("a")).otherwise(weighted), 6).alias("total"))
+
+
+GROUP, PLACES = 64, 8
+_ORDER = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_discount, l_tax, l_quantity"
+
+
+@register("mlp_minibatch", sql=_TINY_SQL_BASE.replace("l_quantity / 50.0 AS t FROM", "l_quantity / 50.0 AS t, l_discount, l_tax, l_quantity FROM") + f""",
+g AS (SELECT *, (o - t) * o * (1 - o) AS d2, (row_number() OVER (PARTITION BY l_orderkey % {PLACES} ORDER BY {_ORDER}) - 1) // {GROUP} AS grp FROM o),
+g1 AS (SELECT *, d2 * 0.7 * h * (1 - h) AS d1 FROM g),
+m AS (SELECT avg(d1 * x1) AS a, avg(d1 * x2) AS b, avg(d1) AS c, avg(d2 * h) AS d, avg(d2) AS e, avg(0.5 * (t - o) * (t - o)) AS loss
+      FROM g1 GROUP BY l_orderkey % {PLACES}, grp)
+SELECT count(*) AS n_groups, round(0.3 - 0.5 * avg(a), 8) AS w0, round(-0.2 - 0.5 * avg(b), 8) AS w1, round(0.1 - 0.5 * avg(c), 8) AS w2,
+       round(0.7 - 0.5 * avg(d), 8) AS w3, round(-0.4 - 0.5 * avg(e), 8) AS w4, round(avg(loss), 8) AS loss FROM m
+""")
+def q_mlp_minibatch(spark: SparkSession, sf: str) -> DataFrame:
+    """One step (rate 0.5) of network A from the fixed weights with the rows of each
+    partition in groups of 64: every group weighs the same, also a partition's short
+    last one.  Rows are dealt by the order key and sorted, so the groups are known."""
+    rows = _tiny_inputs(spark, sf)
+    placed = rows.repartitionById(PLACES, F.pmod("l_orderkey", F.lit(PLACES)).cast("int"))
+    placed = placed.sortWithinPartitions(*LINE_ID, F.col("input")[0], F.col("input")[1], F.col("output")[0])
+    loss, g, n = N.gradient_job(placed.select("input", "output"), TINY_W, TINY_TOPOLOGY, batch_size=GROUP)
+    sizes = rows.groupBy(F.pmod("l_orderkey", F.lit(PLACES))).agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("g")).agg(F.sum("g")).first()[0]
+    return spark.createDataFrame([(int(sizes), *[round(float(v), 8) for v in TINY_W - 0.5 * g], round(float(loss), 8))],
+                                 "n_groups long, w0 double, w1 double, w2 double, w3 double, w4 double, loss double")
+
+
+@register("mlp_continue", sql=_TINY_SQL_BASE + """
+SELECT round(avg(0.5 * (t - o) * (t - o)), 8) AS first_loss, count(*) AS n, TRUE AS falling, TRUE AS resumed, TRUE AS gained FROM o
+""")
+def q_mlp_continue(spark: SparkSession, sf: str) -> DataFrame:
+    """Network A from the fixed weights, stopped after 3 iterations and continued from
+    the model for 5 more, in groups of 64 rows: the loss before the first iteration,
+    whether it falls throughout, goes on from where it stopped, and ends lower."""
+    data = cut_lineage(_tiny_inputs(spark, sf).select("input", "output"))
+    start, _, n = N.gradient_job(data, TINY_W, TINY_TOPOLOGY)
+    a = N.mlp_fit(data, [1], max_iter=3, tol=0.0, batch_size=GROUP, init=TINY_W)
+    b = N.mlp_fit(data, [1], max_iter=5, tol=0.0, batch_size=GROUP, init=a)
+    h = a.history + b.history
+    return spark.createDataFrame([(round(float(start), 8), n, all(bool(y <= x + 1e-12) for x, y in zip(h, h[1:])), bool(abs(a.history[-1] - b.history[0]) < 1e-9), bool(b.history[-1] < a.history[0]))],
+                                 "first_loss double, n long, falling boolean, resumed boolean, gained boolean")
 
 
 @register("mlp_gd_step", sql=_TINY_SQL_BASE + """,

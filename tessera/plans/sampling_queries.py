@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,15 +54,20 @@ def q_sample_exact(spark: SparkSession, sf: str) -> DataFrame:
     return _sample_facts(A.take_sample(li, _SAMPLE_N, LINE_ID, False, seed=42), li)
 
 
-@register("sample_exact_replace", sql=f"""
-SELECT CAST({_SAMPLE_N} AS BIGINT) AS n, CAST({_SAMPLE_N} AS BIGINT) AS n_known, TRUE AS repeats FROM lineitem LIMIT 1
+@register("sample_exact_replace", sql="""
+SELECT 2 * count(*) AS n, 2 * count(*) AS n_known, TRUE AS distinct_near, TRUE AS none_often FROM part
 """)
 def q_sample_exact_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """An exact sample with replacement: its size, the rows known to the table,
-    and that no more distinct rows than draws came out."""
-    li = table(spark, sf, "lineitem").select(*LINE_ID)
-    f = _sample_facts(A.take_sample(li, _SAMPLE_N, LINE_ID, True, seed=42), li)
-    return f.select("n", "n_known", (F.col("n_distinct") <= F.col("n")).alias("repeats"))
+    """Twice as many draws with replacement as there are parts: their number, the draws
+    known to the table, whether the distinct ones are near 1 - 1/e^2 of all (five
+    standard deviations), and whether no part came up very often."""
+    part = table(spark, sf, "part").select("p_partkey")
+    n = part.count()
+    times = A.take_sample(part, 2 * n, ["p_partkey"], True, seed=42).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("t"))
+    known = times.join(part, "p_partkey", "left_semi")
+    share = 1 - math.exp(-2)
+    near = F.abs(F.count(F.lit(1)) - share * n) <= 5 * math.sqrt(share * (1 - share) * n)
+    return times.agg(F.sum("t").alias("n"), near.alias("distinct_near"), (F.max("t") < 30).alias("none_often")).crossJoin(known.agg(F.sum("t").alias("n_known")))  # one-row sides
 
 
 @register("stratified_approx", sql="SELECT p_brand, TRUE AS near_size FROM part GROUP BY p_brand")
