@@ -20,6 +20,7 @@ import base64
 import hashlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -207,11 +208,16 @@ def encoder(path: str, pattern: str) -> ByteBPE:
 
 def encode_decode(df: DataFrame, path: str, pattern: str, keep: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for rows (doc_id, text);
-    with ``keep`` also the ids (little-endian uint32) and the decoded text."""
+    with ``keep`` also the ids (little-endian uint32) and the decoded text.  Texts are
+    cut into segments where ``pattern`` is the public one, which these are proven
+    for; with another pattern each text is encoded whole."""
+    cut = pattern == public_tokenizers.PATTERN
+
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         e = encoder(path, pattern)
         cols: list[list] = [[], [], [], [], []]
-        for x in segments.encoded(e.memory, b.column(1)):
+        found = segments.encoded(e.memory, b.column(1)) if cut else (np.frombuffer(e.encode_strings([t or ""])[0], "<u4") for t in b.column(1).to_pylist())
+        for x in found:
             ids = x.astype("<u4").tobytes()
             back = e.decode(ids)
             row = (len(x), hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest())

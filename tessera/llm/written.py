@@ -35,12 +35,31 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def _modified(spark: SparkSession, path) -> int:
+    """When a folder changed last, by the file system that holds it; 0 if it's gone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(path).getModificationTime() if fs.exists(path) else 0
+
+
+def _follows(docs: DataFrame, paths: list[str]) -> bool:
+    """Whether ``docs`` is a table whose files are younger than all of ``paths``: what
+    was made with these has then been written."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if not paths or plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    roots = plan.relation().location().rootPaths()
+    young = min(_modified(docs.sparkSession, roots.apply(i).toString()) for i in range(roots.size()))
+    return young >= max(_modified(docs.sparkSession, p) for p in paths)
+
+
 @contextmanager
 def stage_tables(docs: DataFrame):
-    """Around the body of a pipeline stage: notes what it writes.  Where the input
-    is a plain table, the stage before has been written, and its notes go first."""
+    """Around the body of a pipeline stage: notes what it writes.  Where the input is a
+    table written after the tables of the stages before, these go first; a stage that
+    is called on an older table leaves them alone."""
     global _NOTES, _LAST
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+    if _follows(docs, _LAST):
         discard(docs.sparkSession, _LAST)
         _LAST = []
     _NOTES = []

@@ -4,7 +4,7 @@ import public_tokenizers as P
 import tiktoken
 
 import corpus_pipeline
-from tessera.llm import byte_bpe
+from tessera.llm import byte_bpe, written
 from tests.llm import test_decontaminate, test_line_dedup, test_near_dups
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +52,18 @@ def test_each_stage_against_brute_force(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()} == set(got)
 
 
+def test_stages_called_on_older_tables_keep_their_files(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    second = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert first.count() and second.count()
+    # a table written from the first one lets its intermediate tables go
+    first.write.parquet(str(tmp_path / "kept"))
+    before = set(written._LAST)
+    corpus_pipeline.drop_contaminated(spark, spark.read.parquet(str(tmp_path / "kept")), SF).count()
+    assert before and not before & set(written._LAST)
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -79,6 +79,16 @@ def test_byte_bpe_equals_the_library(spark, rows, bpe):
     assert got == sorted(want, key=repr)
 
 
+def test_byte_bpe_with_another_pattern(spark, bpe):
+    pattern = r"[a-z]+[ ,.]+[a-z]+|\s*\p{N}{1,2}|[\s\S]"
+    enc = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=bpe.ranks, special_tokens={})
+    rows = [*enumerate([*corpus(6)[-40:], "the cat, the dog. and the 1234", "a b"]), (999, None)]
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in byte_bpe.encode_decode(frame(spark, rows), P.path("byte_bpe_50k.tiktoken"), pattern).collect()}
+    for d, t in rows:
+        ids = enc.encode_ordinary(t or "")
+        assert got[d] == (len(ids), hashlib.sha256(u32(ids)).hexdigest())
+
+
 def test_segment_tree_in_rows_and_alone(bpe):
     r = random.Random(3)
     toks = [bytes(r.choice(b"the anouing\xc3\xa9") for _ in range(r.randint(1, 64))) for _ in range(300)] + [b"a" * 64, b"x"]

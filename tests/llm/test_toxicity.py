@@ -110,3 +110,70 @@ def test_words_that_agree_in_22_bits_of_hash_stay_apart(spark):
         labels.append((i, int(toxic)))
     got = {x.doc_id: x.predicted for x in T.score(*frames(spark, docs, labels)).collect() if x.held_out}
     assert len(got) > 100 and got == {i: y for i, y in labels if i in got}
+
+
+def split(text):
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    return bytes(b if b >= 128 or 48 <= b < 58 or 97 <= b < 123 else 32 for b in low).split()
+
+
+def brute_evidence(docs, labels):
+    """The evidence of every text, from counts by plain words instead of hashes."""
+    marked = {}
+    for d, y in labels:
+        if d is not None and y in (0, 1) and zlib.crc32(str(d).encode()) % 3 != 1:
+            marked[d] = max(y, marked.get(d, 0))
+    first = {}
+    for d, t, *_ in docs:
+        if d in marked:
+            w = split(t)
+            key = frozenset(tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))) if w else frozenset(), marked[d]
+            first[key] = min(d, first.get(key, d))
+    train = set(first.values())
+    n = {}
+    for d, t, *_ in docs:
+        if d in train:
+            for w in set(split(t)):
+                n.setdefault(w, [0, 0])[marked[d]] += 1
+    total = [sum(v[c] for v in n.values()) for c in (0, 1)]
+    keep = lambda v: max(v - T.WORD_DISCOUNT, 0)
+    lam = [1 - sum(keep(v[c]) for v in n.values()) / total[c] for c in (0, 1)]
+    types = {}
+    for w, v in n.items():
+        t = types.setdefault(w[:T.HEAD], [0, 0, 0])
+        t[0] += v[0] > 0
+        t[1] += v[1] > 0
+        t[2] += 1
+    size = [sum(t[c] for t in types.values()) for c in (0, 1)]
+    more = lambda t, c: max(t[c] - T.HEAD_DISCOUNT, 0)
+    rest = [1 - sum(more(t, c) for t in types.values()) / size[c] for c in (0, 1)]
+
+    def q(head, c):
+        t = types[head]
+        return lam[c] * (more(t, c) / size[c] + rest[c] * (t[0] + t[1] + .5) / (sum(size) + .5 * (len(types) + 1)))
+
+    def ratio(w):
+        if max(n.get(w, (0, 0))) > T.WORD_DISCOUNT:
+            return np.log((keep(n[w][1]) / total[1] + q(w[:T.HEAD], 1) / (types[w[:T.HEAD]][2] + 1))
+                          / (keep(n[w][0]) / total[0] + q(w[:T.HEAD], 0) / (types[w[:T.HEAD]][2] + 1)))
+        return np.log(q(w[:T.HEAD], 1) / q(w[:T.HEAD], 0)) if w[:T.HEAD] in types else np.log(lam[1] * rest[1] / (lam[0] * rest[0]))
+
+    def evidence(t):
+        v = np.array([ratio(w) for w in sorted(set(split(t)))])
+        k = max(len(v), 1)
+        return np.maximum(v - T.MARGIN, 0).sum() / np.sqrt(k) + T.TIE_WEIGHT * np.tanh(v.sum() / k)
+    return sorted(((d, evidence(t)) for d, t, *_ in docs), key=repr)
+
+
+def test_counts_ratios_and_evidence_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(T, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(T, "MERGE", 300)
+    docs, labels, _ = corpus(250, 8)
+    d, lab = frames(spark, docs, labels)
+    rows = T.training_rows(d, lab).cache()
+    text = d.select("doc_id", "text")
+    ratios, unseen = T.fit_ratios(T.count_words(text.filter(~T.held_out(T.F.col("doc_id"))).join(rows, "doc_id")))
+    got = sorted(((r.doc_id, r.x) for r in T.evidence(text, [T.F.col("doc_id")], ratios, unseen).collect()), key=repr)
+    want = brute_evidence(docs, labels)
+    assert [x[0] for x in got] == [x[0] for x in want]
+    assert np.allclose([x[1] for x in got], [x[1] for x in want], rtol=1e-9, atol=1e-12)
