@@ -14,9 +14,12 @@ fewer than ``SHORT`` components share one filter, so all their pairs are compare
 
 Equal vectors are one class, compared once.  A filter's members are dealt into
 blocks of about ``BLOCK`` vectors and each pair of blocks is a task's group, so no
-group grows with the data; a pair that shares several filters counts in its
-smallest.  Groups return, for each vector, the number of its links and one link
-towards the smallest id of its part, never the pairs.
+group grows with the data.  Groups are met twice: first by codes of a byte a
+component, whose distance to the vector is known, so that no pair at the asked cosine
+is missed; then those members that may have a partner, by their full vectors and
+lists of filters.  A pair that shares several filters counts in its smallest.  Groups
+return, for each vector, the number of its links and one link towards the smallest
+id of its part, never the pairs.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components
 have no links and are their own component; vectors link only with others of the
@@ -93,6 +96,53 @@ def decode(x: np.ndarray, lift: float | None = None) -> tuple[np.ndarray, np.nda
     return row[k], a[k] * CODES + b
 
 
+def encoded(x: np.ndarray) -> np.ndarray:
+    """Unit rows as bytes: scale, distance to the row that the code stands for (both
+    32-bit), and a byte a component."""
+    scale = (np.abs(x).max(axis=1, keepdims=True) / 127).astype(np.float32)
+    q = np.clip(np.rint(x / scale), -127, 127).astype(np.int8)
+    off = np.linalg.norm(x - q * scale.astype(np.float64), axis=1, keepdims=True).astype(np.float32)
+    return np.hstack([scale.view(np.uint8).reshape(len(x), 4), off.view(np.uint8).reshape(len(x), 4), q.view(np.uint8)])
+
+
+def may_link(codes: np.ndarray, left: np.ndarray, right: np.ndarray, floor: float) -> np.ndarray:
+    """Members of a group that have a partner (``left`` against ``right``) whose cosine
+    may reach ``floor``: the codes' product is off by e + f + e f at most, for members
+    that far from their codes, and by the rounding of 32-bit sums."""
+    scale, off = codes[:, :4].copy().view(np.float32), codes[:, 4:8].copy().view(np.float32)
+    x, e = codes[:, 8:].view(np.int8) * scale, float(off.max())
+    li, ri = np.flatnonzero(left), np.flatnonzero(right)
+    hit = x[li] @ x[ri].T >= floor - 2 * e - e * e - 1e-4
+    if (left & right).all():
+        np.fill_diagonal(hit, False)
+    some = np.zeros(len(codes), bool)
+    some[li] |= hit.any(axis=1)
+    some[ri] |= hit.any(axis=0)
+    return some
+
+
+KEYS = ["filter", "dim", "i", "j"]
+
+
+def groups(batches):
+    """(table, key, start, end) of groups of two rows or more, from batches sorted by ``KEYS``."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(t: pa.Table, whole: bool):
+        k = np.stack([t.column(c).to_numpy() for c in KEYS], axis=1)
+        at = np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1)))
+        end = len(k) if whole else int(at[-1])
+        return end, [(t, k[a], a, z) for a, z in zip(at, np.append(at[1:], len(k))) if z <= end and z - a > 1]
+    for b in batches:
+        if b.num_rows:
+            t = pa.Table.from_batches([*held, b]).combine_chunks()
+            end, found = cut(t, False)
+            yield found
+            held = t.slice(end).combine_chunks().to_batches()
+    if held:
+        yield cut(pa.Table.from_batches(held).combine_chunks(), True)[1]
+
+
 def group_links(x, ids, mult, filters, this, left, right, floor):
     """Links between ``left`` and ``right`` (masks; equal masks: within) in one
     group: (ids, sum of partners' multiplicities, smallest id of the part)."""
@@ -167,62 +217,63 @@ def near_vectors(vecs: DataFrame, cosine: float = 0.9) -> DataFrame:
 
     def members(batches):
         for b in batches:
-            rep, mult = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+            rep = b.column(0).to_numpy(zero_copy_only=False)
             for dim, r, x, who, f in decoded(b):
-                ends = np.cumsum(np.bincount(who, minlength=len(r)))
-                lists = [f[a:z].astype(np.int32).tobytes() for a, z in zip(np.append(0, ends[:-1]), ends)]
-                vec = [y.tobytes() for y in np.ascontiguousarray(x, raw)]
+                codes = [y.tobytes() for y in encoded(unit(x))]
                 for a in range(0, len(f), 20_000):
                     w = who[a:a + 20_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(f[a:a + 20_000].astype(np.int32)), pa.array(np.full(len(w), dim, np.int32)), pa.array(rep[r][w]), pa.array(mult[r][w]),
-                         pa.array([vec[i] for i in w], pa.binary()), pa.array([lists[i] for i in w], pa.binary())],
-                        ["filter", "dim", "rep", "mult", "vec", "filters"])
-    spread = reps.select("rep", "mult", "v").mapInArrow(members, "filter int, dim int, rep long, mult long, vec binary, filters binary")
+                        [pa.array(f[a:a + 20_000].astype(np.int32)), pa.array(np.full(len(w), dim, np.int32)), pa.array(rep[r][w]),
+                         pa.array([codes[i] for i in w], pa.binary())], ["filter", "dim", "rep", "code"])
+    spread = reps.select("rep", "v").mapInArrow(members, "filter int, dim int, rep long, code binary")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     # CODES * CODES rows of 12 bytes for each vector length
     dealt = (spread.join(F.broadcast(sizes), ["filter", "dim"]).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("filter", "dim", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "mult", "vec", "filters"))
+             .select("filter", "dim", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "code"))
     parts = int(vecs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["filter", "dim", "i", "j"]
 
-    def compare(batches):
-        held: list[pa.RecordBatch] = []
+    def sorted_groups(df: DataFrame) -> DataFrame:
+        return df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
+
+    def screen(batches):
+        for found in groups(batches):
+            for t, (_, dim, i, j), a, z in found:
+                o = t.column("own").to_numpy()[a:z]
+                if i == j or ((o == i).any() and (o == j).any()):
+                    codes = np.frombuffer(b"".join(t.column("code").slice(a, z - a).to_pylist()), np.uint8).reshape(z - a, -1)
+                    some = may_link(codes, o == i, o == j, cosine)
+                    if some.any():
+                        yield from t.select([*KEYS, "own", "rep"]).slice(a, z - a).filter(pa.array(some)).combine_chunks().to_batches()
+    likely = written(sorted_groups(dealt).mapInArrow(screen, "filter int, dim int, i int, j int, own int, rep long"), "likely-members")
 
-        def finish(t: pa.Table):
+    def describe(batches):
+        """Full vectors and filters of those that may have a partner."""
+        for b in batches:
+            rep, mult = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+            for _, r, x, who, f in decoded(b):
+                ends = np.cumsum(np.bincount(who, minlength=len(r)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rep[r]), pa.array(mult[r]), pa.array([y.tobytes() for y in np.ascontiguousarray(x, raw)], pa.binary()),
+                     pa.array([f[a:z].astype(np.int32).tobytes() for a, z in zip(np.append(0, ends[:-1]), ends)], pa.binary())], ["rep", "mult", "vec", "filters"])
+    whole = reps.join(likely.select("rep").distinct(), "rep").select("rep", "mult", "v").mapInArrow(describe, "rep long, mult long, vec binary, filters binary")
+
+    def compare(batches):
+        for found in groups(batches):
             out = [[], [], []]
-            k = np.stack([t.column(c).to_numpy() for c in keys], axis=1)
-            at = np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1)))
-            own, ids, mult = (t.column(c).to_numpy() for c in ("own", "rep", "mult"))
-            vec, filt = t.column("vec").to_pylist(), t.column("filters").to_pylist()
-            for a, z in zip(at, np.append(at[1:], len(k))):
-                if z - a < 2:
-                    continue
-                f, _, i, j = k[a]
-                x = unit(np.frombuffer(b"".join(vec[a:z]), raw).reshape(z - a, -1))
-                fs = [np.frombuffer(y, np.int32) for y in filt[a:z]]
-                o = own[a:z]
+            for t, (f, _, i, j), a, z in found:
+                g = t.slice(a, z - a)
+                x = unit(np.frombuffer(b"".join(g.column("vec").to_pylist()), raw).reshape(z - a, -1))
+                fs = [np.frombuffer(y, np.int32) for y in g.column("filters").to_pylist()]
+                o, ids, mult = (g.column(c).to_numpy() for c in ("own", "rep", "mult"))
                 if i == j or ((o == i).any() and (o == j).any()):
-                    r = group_links(x, ids[a:z], mult[a:z], fs, f, o == i, o == j, cosine)
+                    r = group_links(x, ids, mult, fs, f, o == i, o == j, cosine)
                     if r:
                         for c, y in zip(out, r):
                             c.append(y)
             if out[0]:
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["rep", "links", "low"])
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            t = pa.Table.from_batches([*held, b])
-            k = np.stack([t.column(c).to_numpy() for c in keys], axis=1)
-            last = int(np.flatnonzero((k != k[-1]).any(axis=1))[-1]) + 1 if (k != k[-1]).any() else 0
-            held = t.slice(last).combine_chunks().to_batches()
-            if last and (r := finish(t.slice(0, last))) is not None:
-                yield r
-        if held and (r := finish(pa.Table.from_batches(held))) is not None:
-            yield r
-    found = written(dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(compare, "rep long, links long, low long"), "vector-links")
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["rep", "links", "low"])
+    found = written(sorted_groups(likely.join(whole, "rep")).mapInArrow(compare, "rep long, links long, low long"), "vector-links")
     comp = components(found.filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")), "vector-components")
     total = found.groupBy("rep").agg(F.sum("links").alias("links"))
     cls = (reps.join(total, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")

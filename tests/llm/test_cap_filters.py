@@ -100,3 +100,24 @@ def test_recall_in_few_dimensions():
         (ra, fa), (rb, fb) = C.decode(a), C.decode(b)
         sa, sb = set(zip(ra.tolist(), fa.tolist())), set(zip(rb.tolist(), fb.tolist()))
         assert len({r for r, _ in sa & sb}) >= .92 * 1000 and len(ra) < 100 * 1000
+
+
+def test_codes_lose_no_pair():
+    rng = np.random.default_rng(8)
+    for dim in (3, 16, 64, 300):
+        x = rng.standard_normal((150, dim))
+        x[75:] = x[:75] + rng.standard_normal((75, dim)) * rng.uniform(.1, 1.2, (75, 1))
+        x[0] = np.eye(dim)[0] + 1e-3  # one large component
+        x = C.unit(x)
+        left = rng.random(150) < .5
+        for l, r in ((left, ~left), (np.ones(150, bool), np.ones(150, bool))):
+            exact = (x @ x.T >= .9) & l[:, None] & r[None, :]
+            if (l & r).all():
+                np.fill_diagonal(exact, False)
+            some = C.may_link(C.encoded(x), l, r, .9)
+            assert some[exact.any(axis=1) | exact.any(axis=0)].all()
+            # and few others
+            near = (x @ x.T >= .86) & (l[:, None] & r[None, :])
+            if (l & r).all():
+                np.fill_diagonal(near, False)
+            assert not some[~(near.any(axis=1) | near.any(axis=0))].any()
