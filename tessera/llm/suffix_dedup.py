@@ -44,7 +44,8 @@ from .written import written
 
 LENGTH, GRAM = 400, 150
 HOT = 2_000
-_POS = 28  # bits of a position inside a slice
+_POS = 28  # bits of a place inside a stretch of windows
+SPAN = 1 << 27
 
 
 def row_id(doc_id: Column, text: Column) -> Column:
@@ -77,7 +78,19 @@ def window_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1:w - 1 + n])
 
 
-def runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
+def anchors(grams: np.ndarray, w: int, span: int = SPAN) -> np.ndarray:
+    """Place of the smallest value of each window of w, the leftmost of equal ones; hash
+    and place share 64 bits, so places count from the start of a stretch of ``span``
+    windows, and a text may be of any length."""
+    out, mask = [], np.uint64((1 << _POS) - 1)
+    for a in range(0, len(grams) - w + 1, span):
+        g = grams[a:a + span + w - 1]
+        mark = (g >> np.uint64(_POS) << np.uint64(_POS)) | np.arange(len(g), dtype=np.uint64)
+        out.append((window_min(mark, w) & mask).astype(np.int64) + a)
+    return np.concatenate(out)
+
+
+def runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int, span: int = SPAN):
     """(text, first start, last start, anchor, anchor hash, stretch hash) of the
     runs of window starts with a common anchor; positions within ``data``."""
     n = len(data)
@@ -87,10 +100,7 @@ def runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
     h = Hashes(data)
     grams = (h.sum[gram:] - h.sum[:-gram]) * h.back[:n - gram + 1]
     grams = mix(grams)
-    mark = (grams >> np.uint64(_POS) << np.uint64(_POS)) | np.arange(len(grams), dtype=np.uint64)
-    if len(grams) >> _POS:
-        raise ValueError("a text of 256 MB or more")
-    low = window_min(mark, length - gram + 1)
+    low = anchors(grams, length - gram + 1, span)
     ok = np.zeros(len(low), bool)
     for a, b in zip(offs[:-1], offs[1:]):
         if b - a >= length:
@@ -98,7 +108,7 @@ def runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
     start = np.flatnonzero(ok)
     if not len(start):
         return z, z, z, z, z.view(np.uint64), z.view(np.uint64)
-    anchor = (low[start] & np.uint64((1 << _POS) - 1)).astype(np.int64)
+    anchor = low[start]
     new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)))
     lo, hi, at = start[new], start[np.append(new[1:], len(start)) - 1], anchor[new]
     text = np.searchsorted(offs, lo, side="right") - 1

@@ -99,3 +99,18 @@ def test_spool_sorts_over_runs():
 
 def test_empty_table(spark):
     assert S.strip_repeats(spark.createDataFrame([], "doc_id long, text string"), 40, gram=16).collect() == []
+
+
+def test_anchors_don_t_depend_on_the_stretch():
+    """What a text of more than 2^28 bytes needs, with short stretches."""
+    rng = np.random.default_rng(3)
+    data = np.frombuffer(b"".join([b"abab" * 30, rng.integers(97, 100, 300).astype(np.uint8).tobytes(), b"a" * 200, b"abab" * 30]) * 2, np.uint8)
+    offs = np.array([0, 130, 130, 700, len(data)])
+    want = S.runs(data, offs, 40, 12)
+    assert len(want[0]) > 20
+    for span in (1, 7, 64, 1000):
+        for a, b in zip(S.runs(data, offs, 40, 12, span), want):
+            assert np.array_equal(a, b)
+    grams = rng.integers(0, 3, 500).astype(np.uint64) << np.uint64(40)
+    low = S.anchors(grams, 20, 33)
+    assert all(low[i] == i + int(grams[i:i + 20].argmin()) for i in range(481))
