@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import LOWER, SPACE, shingles, slices, text_bytes, words
+from .textbatch import LOWER, SPACE, release, shingles, slices, text_bytes, words
 from .written import written
 
 WIDTH, PERCENT = 5, 80
@@ -176,6 +176,7 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
     ranks = spark.sparkContext.broadcast(rank)
 
     def entries(batches):
+        release()
         rank = ranks.value
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
@@ -247,6 +248,7 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
         return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pairs)
 
     def match(batches):
+        release()
         held: dict[int, list[bytes]] = {}
         for b in batches:
             for part, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):

@@ -7,7 +7,9 @@ longest single text and not by the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -146,9 +148,24 @@ def shingles(text: np.ndarray, h: np.ndarray, width: int) -> tuple[np.ndarray, n
     return t[o], s[o]
 
 
+@cache
+def _trim():
+    """glibc's ``malloc_trim``, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give free memory back to the system.  A Python worker serves task after task and
+    would otherwise keep the most that any of them took, beside the JVM's own peak."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch."""
     def run(batches):
+        release()
         for b in batches:
             if b.num_rows:
                 out = fn(b)

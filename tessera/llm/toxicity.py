@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.session import cut_lineage
-from .textbatch import LOWER, mix, shingles, slices, text_bytes, words
+from .textbatch import LOWER, mix, release, shingles, slices, text_bytes, words
 from .written import discard, written
 
 HEAD = 4
@@ -77,6 +77,7 @@ def copy_keys(docs: DataFrame) -> DataFrame:
     """doc_id and 128 bits of hash of the set of its three-word shingles, which
     equal sets share and others don't: two sums over the distinct shingles."""
     def run(batches):
+        release()
         for b in batches:
             keys = np.zeros((b.num_rows, 2), np.uint64)
             for a, n, t, h, _ in _words(b.column(1)):
@@ -103,6 +104,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, head, n0, n1): texts of each class that hold a word, by 64-bit hash."""
     def run(batches):
+        release()
         held: list[tuple[np.ndarray, ...]] = []
 
         def merged():
@@ -168,6 +170,7 @@ def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
                            *(T.StructField(c, T.BinaryType()) for c in ("sizes", "ranks", "words", "head_of", "heads"))])
 
     def run(batches):
+        release()
         block = TaskContext.get().partitionId() << 32
         held, size = [], 0
 
