@@ -279,8 +279,16 @@ def encode_labels(df: DataFrame, label: str, labels: Sequence[float], hi: float,
     return df.withColumn("output", V.one_hot(idx, len(labels), hi, lo))
 
 
+#: classes of a classifier: one output and one entry of the literal map each
+MAX_LABELS = 1000
+
+
 def distinct_labels(df: DataFrame, label: str) -> list[float]:
-    return sorted(float(r[0]) for r in df.select(F.col(label).cast("double")).distinct().collect())
+    """The sorted labels; a column of more than ``MAX_LABELS`` values isn't a class."""
+    rows = df.select(F.col(label).cast("double")).distinct().limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} distinct labels")
+    return sorted(float(r[0]) for r in rows)
 
 
 def mlp_classifier_fit(df: DataFrame, hidden: Sequence[int] | None = None, max_iter: int = 2000, tol: float = 1e-4,

@@ -161,3 +161,10 @@ def test_rows_of_another_length_raise(spark):
             df = spark.createDataFrame([([1.0] * d, 1.0), ([1.0] * wrong, 0.0)], "x array<double>, y double")
             with pytest.raises(Exception, match=f"vector of {d} elements expected, found {wrong}"):
                 gradient_sum(df, [0.0] * d, "logistic")
+
+
+def test_labels_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(N, "MAX_LABELS", 5)
+    assert N.distinct_labels(spark.range(5).withColumnRenamed("id", "y"), "y") == [0.0, 1.0, 2.0, 3.0, 4.0]
+    with pytest.raises(ValueError, match="distinct labels"):
+        N.distinct_labels(spark.range(6).withColumnRenamed("id", "y"), "y")
