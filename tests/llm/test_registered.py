@@ -7,16 +7,16 @@ from tessera.llm import queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     names = list(entry.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = entry.queries()[name](spark, SF)
     res = con.execute(queries.ORACLE_SQL[name])
