@@ -90,7 +90,10 @@ def _errors(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("batch_id", "version").agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"))
 
 
-_W = [F.round(F.col("w")[i], 6).alias(f"w{i}") for i in range(3)]
+def _w() -> list:
+    return [F.round(F.col("w")[i], 6).alias(f"w{i}") for i in range(3)]
+
+
 _W_SQL = ", ".join(f"round(any_value(w{i}), 6) AS w{i}" for i in range(3))
 
 
@@ -104,7 +107,7 @@ def q_stream_linreg(spark: SparkSession, sf: str) -> DataFrame:
     row per arrival: its rows, the weights after it and the RMSE of its predictions."""
     model, out = run_live(spark, sf, ask_first=False)
     rmse = _errors(spark.read.parquet(out)).select("batch_id", "rmse")
-    return model.history().join(rmse, "batch_id").select("batch_id", "n", *_W, "rmse")
+    return model.history().join(rmse, "batch_id").select("batch_id", "n", *_w(), "rmse")
 
 
 @register("stream_predict_versions", sql=f"""{_weights_sql()}
@@ -150,4 +153,4 @@ def q_stream_timed(spark: SparkSession, sf: str) -> DataFrame:
         query.processAllAvailable()
     finally:
         query.stop()
-    return model.history().select("batch_id", "n", *_W, F.lit(FILES).alias("files"))
+    return model.history().select("batch_id", "n", *_w(), F.lit(FILES).alias("files"))
