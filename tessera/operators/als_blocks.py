@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.session import cut_lineage
+from ..plans.session import cut_lineage, stored
 
 #: ratings whose outer products are held at once
 CHUNK = 1 << 15
@@ -149,20 +149,24 @@ def _solve(sums: np.ndarray, rank: int, lam: float) -> np.ndarray:
 def half_step(side: Side, fixed: DataFrame, rank: int, lam: float) -> DataFrame:
     """``FACTORS`` of one side, solved with the packed factors ``fixed`` of the other;
     ``sse`` is the sum of squared residuals of the block's ratings."""
+    n_blocks = side.n_blocks
+
     def send(routes: pd.DataFrame, factors: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, "<i8") for x in factors["ids"])])
         f = np.concatenate([np.zeros((0, rank)), *(np.frombuffer(x, "<f8").reshape(-1, rank) for x in factors["f"])])
         order = np.argsort(ids)
         at = [order[np.searchsorted(ids, np.frombuffer(x, "<i8"), sorter=order)] for x in routes["ids"]]
-        return pd.DataFrame({"block": routes["dst"].to_numpy(np.int32), "ids": list(routes["ids"]), "f": [_bytes(f[a], "<f8") for a in at]},
-                            columns=["block", "ids", "f"])
+        return pd.DataFrame({"block": routes["dst"].to_numpy(np.int32), "src": routes["src"].to_numpy(np.int32), "f": [_bytes(f[a], "<f8") for a in at]},
+                            columns=["block", "src", "f"])
 
     def solve(blocks: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
         if blocks.empty:
             return pd.DataFrame(columns=["block", "ids", "f", "n", "sse", "partial"])
         b = blocks.iloc[0]
-        ids = np.concatenate([np.frombuffer(x, "<i8") for x in came["ids"]])
-        f = np.concatenate([np.frombuffer(x, "<f8").reshape(-1, rank) for x in came["f"]])[np.argsort(ids)]  # in the order of b.other
+        need = np.frombuffer(b["other"], "<i8")
+        f = np.empty((len(need), rank))
+        # a message holds the ids that ``route`` listed, in its order: the ids needn't travel
+        f[np.argsort(block_of(need, n_blocks), kind="stable")] = np.concatenate([np.frombuffer(x, "<f8").reshape(-1, rank) for x in came.sort_values("src")["f"]])
         start, col, r = (np.frombuffer(b[c], t) for c, t in (("start", "<i8"), ("col", "<i4"), ("r", "<f8")))
         sums = _sums(f, start, col, r)
         if b["hot"]:
@@ -173,11 +177,11 @@ def half_step(side: Side, fixed: DataFrame, rank: int, lam: float) -> DataFrame:
             e = r[a:a + CHUNK] - (f[col[a:a + CHUNK]] * w[own[a:a + CHUNK]]).sum(axis=1)
             sse += float(e @ e)
         return pd.DataFrame([(int(b["block"]), b["ids"], _bytes(w, "<f8"), _bytes(n, "<i8"), sse, None)], columns=["block", "ids", "f", "n", "sse", "partial"])
-    sent = side.routes.groupBy("src").cogroup(fixed.withColumnRenamed("block", "src").groupBy("src")).applyInPandas(send, "block int, ids binary, f binary")
+    sent = side.routes.groupBy("src").cogroup(fixed.withColumnRenamed("block", "src").groupBy("src")).applyInPandas(send, "block int, src int, f binary")
     got = cut_lineage(side.blocks.groupBy("block").cogroup(sent.groupBy("block")).applyInPandas(solve, FACTORS))
     if not side.any_hot:
         return got
-    width, n_blocks = rank * (rank + 1) // 2 + rank + 2, side.n_blocks
+    width = rank * (rank + 1) // 2 + rank + 2
 
     def spread(it):
         for pdf in it:
@@ -199,7 +203,7 @@ def half_step(side: Side, fixed: DataFrame, rank: int, lam: float) -> DataFrame:
 def sides(ratings: DataFrame, blocks: int | None = None) -> tuple[Side, Side]:
     """The two sides (for i and for j) of ratings (i, j, r)."""
     parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rated = cut_lineage(ratings.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.col("r").cast("double").alias("r")))
+    rated = stored(ratings.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.col("r").cast("double").alias("r")), "ratings")
     n = rated.count()
     blocks = blocks or max(parts, -(-n // BLOCK_RATINGS))
     rated = with_blocks(rated, blocks)

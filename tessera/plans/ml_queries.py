@@ -19,7 +19,7 @@ from ..sources import generators as GEN
 from ..sources import text as T
 from ..sources.tables import table
 from .registry import register
-from .session import cut_lineage
+from .session import cut_lineage, stored
 
 LINE_ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
@@ -411,7 +411,7 @@ SELECT CAST(5 AS INTEGER) AS iterations, count(DISTINCT i) AS n_items, count(DIS
 def q_als_dense(spark: SparkSession, sf: str) -> DataFrame:
     """Hand-written ALS by normal equations (rank 10, 5 iterations, lambda 0.01):
     the RMSE falls and ends below the ratings' standard deviation."""
-    ratings = cut_lineage(_dense_ratings(table(spark, sf, "lineitem")))
+    ratings = stored(_dense_ratings(table(spark, sf, "lineitem")), "ratings")
     items, users, hist = M.als_dense(ratings, rank=10, iterations=5, lam=0.01)
     spread = ratings.agg(F.stddev_pop("r")).first()[0]
     falling = all(b <= a + 1e-3 for a, b in zip(hist, hist[1:]))

@@ -193,3 +193,20 @@ def test_triangles_are_merged_in_a_tree(spark, monkeypatch):
     df = spark.createDataFrame([(x.tolist(),) for x in X], "x array<double>").repartition(20)
     assert np.allclose(M.singular_values(df), np.linalg.svd(X, compute_uv=False))
     assert np.allclose(M.gram_matrix(df), X.T @ X)
+
+
+def test_factor_messages_carry_no_ids(spark, monkeypatch):
+    """What the routes already say doesn't travel with the factors of every half-step."""
+    from tessera.operators import als_blocks as B
+    plans, cut = [], B.cut_lineage
+
+    def watched(df, keep_partitioning=False):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, keep_partitioning)
+    r = spark.createDataFrame([(i, j, float(i + j)) for i in range(12) for j in range(9) if (i + j) % 3], "i long, j long, r double")
+    of_i, _ = B.sides(r, 4)
+    users = B.pack_factors(spark.createDataFrame([(j, [1.0 + j, 2.0]) for j in range(9)], "id long, f array<double>"), 2, 4)
+    monkeypatch.setattr(B, "cut_lineage", watched)
+    B.half_step(of_i, users, 2, .1)
+    sent = [x for x in plans[0].splitlines() if "FlatMapCoGroupsInPandas" in x and "send(" in x]
+    assert sent and all(x.rstrip().split("[")[-1].count("#") == 3 and "ids#" not in x.rstrip().split("[")[-1] for x in sent), plans[0]
