@@ -164,9 +164,9 @@ def half_step(side: Side, fixed: DataFrame, rank: int, lam: float) -> DataFrame:
             return pd.DataFrame(columns=["block", "ids", "f", "n", "sse", "partial"])
         b = blocks.iloc[0]
         need = np.frombuffer(b["other"], "<i8")
-        f = np.empty((len(need), rank))
         # a message holds the ids that ``route`` listed, in its order: the ids needn't travel
-        f[np.argsort(block_of(need, n_blocks), kind="stable")] = np.concatenate([np.frombuffer(x, "<f8").reshape(-1, rank) for x in came.sort_values("src")["f"]])
+        ids = need[np.argsort(block_of(need, n_blocks), kind="stable")]
+        f = np.concatenate([np.frombuffer(x, "<f8").reshape(-1, rank) for x in came.sort_values("src")["f"]])[np.argsort(ids)]  # in the order of b.other
         start, col, r = (np.frombuffer(b[c], t) for c, t in (("start", "<i8"), ("col", "<i4"), ("r", "<f8")))
         sums = _sums(f, start, col, r)
         if b["hot"]:
