@@ -19,7 +19,8 @@ vote many times).  Words and heads are told apart by 64-bit hashes; their counts
 ratios are written tables that grow with the input, and none is collected.  Texts
 are packed into blocks of ``BLOCK_BYTES``; each block's distinct words and heads
 are joined to the ratios (a frequent word is one row a block, not one a text) and
-come back to the block by its number.  The curve alone is fitted on at most
+come back to the block by its number and their places in its lists: the hashes stay
+behind, and the texts' words travel as compressed steps between places.  The curve alone is fitted on at most
 ``CURVE_ROWS`` training texts, those with the smallest hash.
 
 Cases: null or empty text has no evidence and gets the lowest-evidence score;
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.session import cut_lineage
-from .textbatch import LOWER, mix, release, shingles, slices, text_bytes, words
+from .textbatch import LOWER, lean, mix, release, shingles, slices, text_bytes, words
 from .written import discard, written
 
 HEAD = 4
@@ -77,7 +78,6 @@ def copy_keys(docs: DataFrame) -> DataFrame:
     """doc_id and 128 bits of hash of the set of its three-word shingles, which
     equal sets share and others don't: two sums over the distinct shingles."""
     def run(batches):
-        release()
         for b in batches:
             keys = np.zeros((b.num_rows, 2), np.uint64)
             for a, n, t, h, _ in _words(b.column(1)):
@@ -90,7 +90,7 @@ def copy_keys(docs: DataFrame) -> DataFrame:
                     np.add.at(keys[:, k], st[new] + a, mix(sh[new] + np.uint64(k * 0x9E37)))
             keys = keys.view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["doc_id", "k0", "k1"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, k0 long, k1 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, k0 long, k1 long")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -104,7 +104,6 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, head, n0, n1): texts of each class that hold a word, by 64-bit hash."""
     def run(batches):
-        release()
         held: list[tuple[np.ndarray, ...]] = []
 
         def merged():
@@ -131,7 +130,7 @@ def count_words(rows: DataFrame) -> DataFrame:
                         held.clear()
         if held:
             yield out(merged())
-    return (rows.select("text", "toxic").mapInArrow(run, "word long, head long, n0 long, n1 long")
+    return (rows.select("text", "toxic").mapInArrow(lean(run), "word long, head long, n0 long, n1 long")
             .groupBy("word").agg(F.min("head").alias("head"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
 
 
@@ -161,16 +160,26 @@ def fit_ratios(counts: DataFrame) -> tuple[DataFrame, float]:
 
 
 # -- evidence ----------------------------------------------------------------
+def packed(x: np.ndarray) -> bytes:
+    """An int32 array as compressed planes of bytes."""
+    return pa.compress(np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    """The n integers of ``packed``."""
+    planes = np.frombuffer(pa.decompress(raw, decompressed_size=4 * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+
+
 def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
     """One row for each run of texts of about ``BLOCK_BYTES`` within a task: the
-    texts' keys, their numbers of distinct words, these words as ranks (planes of
-    bytes), and the hashes of the block's words and heads."""
+    texts' keys, their numbers of distinct words, these words as ranks, the head of each
+    of the block's words (``packed`` integers), and the hashes of its words and heads."""
     src = docs.select(F.struct(*keys).alias("key"), "text")
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("keys", T.ArrayType(src.schema["key"].dataType)),
-                           *(T.StructField(c, T.BinaryType()) for c in ("sizes", "ranks", "words", "head_of", "heads"))])
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("keys", T.ArrayType(src.schema["key"].dataType)), T.StructField("n_words", T.IntegerType()),
+                           *(T.StructField(c, T.BinaryType()) for c in ("sizes", "ranks", "head_of", "words", "heads"))])
 
     def run(batches):
-        release()
         block = TaskContext.get().partitionId() << 32
         held, size = [], 0
 
@@ -187,15 +196,15 @@ def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
             del rank
             pair.sort()
             sizes = np.bincount(pair >> 32, minlength=n[-1]).astype(np.int32)
-            ranks = np.ascontiguousarray((pair & 0xFFFFFFFF).astype(np.int32).view(np.uint8).reshape(-1, 4).T)
+            ranks = (pair & 0xFFFFFFFF).astype(np.int32)
             heads, of = np.unique(np.concatenate([x[4] for x in held])[at][by], return_inverse=True)
             keys = pa.concat_arrays([x[0] for x in held])
             return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                 *(pa.array([x.tobytes()], pa.binary()) for x in (sizes, ranks, w[by], of.astype(np.int32), heads))], schema.names)
+                [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([len(w)], pa.int32()),
+                 *(pa.array([x], pa.binary()) for x in (packed(sizes), packed(np.diff(ranks, prepend=np.int32(0))), packed(of.astype(np.int32)), w[by].tobytes(), heads.tobytes()))], schema.names)
         for b in batches:
             col = b.column(1)
-            _, offs = text_bytes(col)
+            offs = text_bytes(col)[1]
             for a, n, t, h, head in _words(col):
                 # a slice keeps the distinct words of each text, as places in its own words
                 o = np.lexsort((h, t))
@@ -210,11 +219,12 @@ def pack(docs: DataFrame, keys: list[Column]) -> DataFrame:
                     held.clear()
         if held:
             yield out()
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def block_entries(blocks: DataFrame) -> DataFrame:
-    """(is_head, key, block): each word and head once for each block that holds it."""
+    """(is_head, key, block, place): each word and head once for each block that holds it;
+    the place is its rank, or -1 - the head's number."""
     def run(batches):
         for b in batches:
             for block, *lists in zip(*(c.to_pylist() for c in b.columns)):
@@ -222,27 +232,23 @@ def block_entries(blocks: DataFrame) -> DataFrame:
                     key = np.frombuffer(raw, np.int64)
                     for i in range(0, len(key), 100_000):
                         part = key[i:i + 100_000]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), bool(is_head))), pa.array(part), pa.array(np.full(len(part), block))],
-                                                         ["is_head", "key", "block"])
-    return blocks.select("block", "words", "heads").mapInArrow(run, "is_head boolean, key long, block long")
+                        place = np.arange(i, i + len(part), dtype=np.int32)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), bool(is_head))), pa.array(part), pa.array(np.full(len(part), block)),
+                                                          pa.array(~place if is_head else place)], ["is_head", "key", "block", "place"])
+    return blocks.select("block", "words", "heads").mapInArrow(lean(run), "is_head boolean, key long, block long, place int")
 
 
 def block_evidence(row: dict, texts: int, ratios: pa.Table, unseen: float) -> np.ndarray:
-    """Length-normalised evidence of each text of a block."""
-    is_head, key, ratio = (ratios.column(c).to_numpy() for c in ("is_head", "key", "ratio"))
-
-    def known(raw: bytes, which: np.ndarray, default: np.ndarray | float) -> np.ndarray:
-        want = np.frombuffer(raw, np.int64)
-        if not which.any():
-            return np.zeros(len(want)) + default
-        o = np.argsort(key[which])
-        k, v = key[which][o], ratio[which][o]
-        at = np.minimum(np.searchsorted(k, want), len(k) - 1)
-        return np.where(k[at] == want, v[at], default)
-    head = known(row["heads"], is_head, unseen)
-    word = known(row["words"], ~is_head, head[np.frombuffer(row["head_of"], np.int32)])
-    sizes = np.frombuffer(row["sizes"], np.int32)
-    v = word[np.ascontiguousarray(np.frombuffer(row["ranks"], np.uint8).reshape(4, -1).T).view(np.int32).ravel()]
+    """Length-normalised evidence of each text of a block; ``ratios`` has (place, ratio)."""
+    place, ratio = (ratios.column(c).to_numpy() for c in ("place", "ratio"))
+    sizes = unpacked(row["sizes"], texts)
+    head_of = unpacked(row["head_of"], row["n_words"])
+    is_head = place < 0
+    head = np.full(int(head_of.max(initial=-1)) + 1, unseen)
+    head[~place[is_head]] = ratio[is_head]
+    word = head[head_of]
+    word[place[~is_head]] = ratio[~is_head]
+    v = word[np.cumsum(unpacked(row["ranks"], int(sizes.sum(dtype=np.int64))), dtype=np.int32)]
     text = np.repeat(np.arange(texts), sizes)
     k = np.maximum(sizes, 1)
     strong = np.bincount(text, weights=np.maximum(v - MARGIN, 0), minlength=texts) / np.sqrt(k)
@@ -254,14 +260,16 @@ def evidence(docs: DataFrame, keys: list[Column], ratios: DataFrame, unseen: flo
     """The keys and the evidence ``x`` of every text, written."""
     blocks = written(pack(docs, keys), "toxicity-blocks")
     key_type = blocks.schema["keys"].dataType.elementType
-    found = block_entries(blocks).join(ratios, ["is_head", "key"]).select("block", "is_head", "key", "ratio")
+    found = block_entries(blocks).join(ratios, ["is_head", "key"]).select("block", "place", "ratio")
+    texts = blocks.select("block", "keys", "sizes", "ranks", "head_of", "n_words")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         key = left.column("keys").combine_chunks().flatten()
-        row = left.select(["sizes", "ranks", "words", "head_of", "heads"]).to_pylist()[0]
+        row = left.drop_columns(["block", "keys"]).to_pylist()[0]
         x = block_evidence(row, len(key), right, unseen)
         return pa.Table.from_arrays([*key.flatten(), pa.array(x)], [*key_type.names, "x"])
-    out = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, T.StructType([*key_type.fields, T.StructField("x", T.DoubleType())]))
+    out = texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, T.StructType([*key_type.fields, T.StructField("x", T.DoubleType())]))
     out = written(out, "toxicity-evidence")
     discard(docs.sparkSession, [blocks.written_to])
     return out

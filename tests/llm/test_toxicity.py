@@ -177,3 +177,26 @@ def test_counts_ratios_and_evidence_match_brute_force(spark, monkeypatch):
     want = brute_evidence(docs, labels)
     assert [x[0] for x in got] == [x[0] for x in want]
     assert np.allclose([x[1] for x in got], [x[1] for x in want], rtol=1e-9, atol=1e-12)
+
+
+def test_a_blocks_texts_travel_in_few_bytes(spark):
+    docs, labels, _ = corpus(1500, 9)
+    d, _ = frames(spark, docs, labels)
+    blocks = T.pack(d.coalesce(1), [T.F.col("doc_id")])
+    pairs = sum(len(set(split(t))) for _, t, *_ in docs)
+    row = blocks.collect()
+    assert sum(len(r.ranks) + len(r.sizes) for r in row) < 2 * pairs  # each was four bytes before
+    assert sum(int(T.unpacked(r.sizes, len(r["keys"])).sum()) for r in row) == pairs
+    # the entries know their places, so that no hashes are needed beside the texts
+    got = {(r.is_head, r.block, r.place): r.key for r in T.block_entries(blocks).collect()}
+    for r in row:
+        for is_head, raw in ((False, r.words), (True, r.heads)):
+            for i, k in enumerate(np.frombuffer(raw, np.int64).tolist()):
+                assert got.pop((is_head, r.block, ~i if is_head else i)) == k
+    assert not got
+
+
+def test_packed_integers_come_back():
+    for x in ([], [0], [5, -3, 2**31 - 1, -2**31], list(range(1000))):
+        x = np.array(x, np.int32)
+        assert (T.unpacked(T.packed(x), len(x)) == x).all()
