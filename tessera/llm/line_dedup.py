@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import LOWER, SPACE, release, shingles, slices, text_bytes, words
+from .textbatch import LOWER, SPACE, lean, shingles, slices, text_bytes, words
 from .written import written
 
 WIDTH, PERCENT = 5, 80
@@ -84,8 +84,8 @@ def rarity(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
             for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 acc[k] = acc.get(k, 0) + np.frombuffer(x, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.int32()), pa.array([x.tobytes() for x in acc.values()], pa.binary())], ["block", "counts"])
-    rows = (docs.select("text").mapInArrow(run, "block int, counts binary").repartition(SLOTS // per, "block")
-            .mapInArrow(total, "block int, counts binary").collect())
+    rows = (docs.select("text").mapInArrow(lean(run), "block int, counts binary").repartition(SLOTS // per, "block")
+            .mapInArrow(lean(total), "block int, counts binary").collect())
     counts = np.zeros(SLOTS, np.int64)
     for r in rows:
         counts[r.block * per:(r.block + 1) * per] = np.frombuffer(r.counts, np.int64)
@@ -176,7 +176,6 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
     ranks = spark.sparkContext.broadcast(rank)
 
     def entries(batches):
-        release()
         rank = ranks.value
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
@@ -248,7 +247,6 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
         return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pairs)
 
     def match(batches):
-        release()
         held: dict[int, list[bytes]] = {}
         for b in batches:
             for part, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -277,8 +275,8 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
                 chunks = [pack(e, slice(c, min(z, c + CHUNK))) for c in range(a, z, CHUNK)]
                 yield found(len(chunks), tok=np.full(len(chunks), t).view(np.int64), chunk=chunks)
     sent = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-            .mapInArrow(entries, "part int, block binary").repartition(parts, "part"))
-    return sent.mapInArrow(match, FOUND)
+            .mapInArrow(lean(entries), "part int, block binary").repartition(parts, "part"))
+    return sent.mapInArrow(lean(match), FOUND)
 
 
 def further(left: DataFrame, chunks: DataFrame, percent: int) -> DataFrame:
@@ -299,7 +297,7 @@ def further(left: DataFrame, chunks: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
                                              ["doc_id", "line", "doc0", "line0"]) if b.num_rows else b
     cols = ["tok", "doc_id", "line", "n", "pos", "parity", "chunk"]
-    return left.join(chunks, "tok").select(*cols).mapInArrow(run, "doc_id long, line int, doc0 long, line0 int")
+    return left.join(chunks, "tok").select(*cols).mapInArrow(lean(run), "doc_id long, line int, doc0 long, line0 int")
 
 
 def line_sets(docs: DataFrame, lines: DataFrame, width: int) -> DataFrame:
@@ -325,7 +323,7 @@ def line_sets(docs: DataFrame, lines: DataFrame, width: int) -> DataFrame:
                 parts.append(h[new].view(np.int64))
             sets = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(count)), pa.int32()), pa.array(np.concatenate(parts)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), sets], ["doc_id", "line", "set"])
-    return rows.mapInArrow(run, "doc_id long, line int, set array<long>").dropDuplicates(["doc_id", "line"])
+    return rows.mapInArrow(lean(run), "doc_id long, line int, set array<long>").dropDuplicates(["doc_id", "line"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import LOWER, SPACE, map_batches, mix, shingles, slices, text_bytes, words
+from .textbatch import LOWER, SPACE, lean, map_batches, mix, shingles, slices, text_bytes, words
 from .written import components, written
 
 COORDS, BANDS, ROWS = 512, 32, 5
@@ -238,9 +238,9 @@ def remaining_links(members: DataFrame, reps: DataFrame, sets: DataFrame, percen
     def sorted_groups(df: DataFrame) -> DataFrame:
         return df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
     some = sorted_groups(dealt.join(reps.select("rep", "sketch"), "rep").select(*KEYS, *cols, "sketch"))
-    some = written(some.mapInArrow(screen, "bucket long, i int, j int, own int, rep long, n long, c long"), "likely-members")
+    some = written(some.mapInArrow(lean(screen), "bucket long, i int, j int, own int, rep long, n long, c long"), "likely-members")
     full = some.join(reps.select("rep", "sketch", "bands"), "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
-    return sorted_groups(full.select(*KEYS, *cols, "sketch", "bands", "set")).mapInArrow(check, "a long, b long")
+    return sorted_groups(full.select(*KEYS, *cols, "sketch", "bands", "set")).mapInArrow(lean(check), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
