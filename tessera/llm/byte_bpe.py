@@ -25,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import segments
-from .textbatch import map_batches
+from .textbatch import held, map_batches
 
 WIDE = 64
 NONE = np.int64(1 << 60)
-_STATE: dict[tuple[str, str], "ByteBPE"] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -199,11 +198,8 @@ class ByteBPE:
 
 
 def encoder(path: str, pattern: str) -> ByteBPE:
-    """The worker's encoder, built once per process."""
-    key = (path, pattern)
-    if key not in _STATE:
-        _STATE[key] = ByteBPE(read_ranks(path), pattern)
-    return _STATE[key]
+    """The worker's encoder, built once for consecutive tasks."""
+    return held((path, pattern), lambda: ByteBPE(read_ranks(path), pattern))
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, keep: bool = False) -> DataFrame:
@@ -227,4 +223,4 @@ def encode_decode(df: DataFrame, path: str, pattern: str, keep: bool = False) ->
         names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(kinds)]
         return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", *names])
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(df.select(df.doc_id.cast("long"), "text"), run, schema + (", ids binary, decoded string" if keep else ""))
+    return map_batches(df.select(df.doc_id.cast("long"), "text"), run, schema + (", ids binary, decoded string" if keep else ""), (path, pattern))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import LOWER, SPACE, lean, shingles, slices, text_bytes, words
+from .textbatch import LOWER, SPACE, lean, map_batches, shingles, slices, text_bytes, words
 from .written import written
 
 WIDTH, PERCENT = 5, 80
@@ -175,61 +175,64 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranks = spark.sparkContext.broadcast(rank)
 
-    def entries(batches):
+    def sent(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        """The entries of a batch, a block for each target; its arrays are gone when it is sent."""
         rank = ranks.value
-        for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            data, offs = text_bytes(b.column(1))
-            out = [[] for _ in ENTRY]
-            gone_d, gone_l = [], []
-            for a, z in slices(offs):
-                o = offs[a:z + 1]
-                text, _, line, h = line_tokens(data[o[0]:o[-1]], o - o[0], width)
-                if not len(h):
-                    continue
-                doc, number = ids[a + text], line_numbers(text)
-                r = rank[(h >> np.uint64(48)).astype(np.int64)]
-                # one sortable key in each run of 2^24 lines: line, rank of the slot, bits of the hash
-                key = (line.astype(np.uint64) << np.uint64(40)) | (r << np.uint64(24)) | (h & np.uint64(0xFFFFFF))
-                runs = np.append(np.searchsorted(line, np.arange(0, line[-1] + 1, RUN)), len(line))
-                o = np.concatenate([a2 + np.argsort(key[a2:z2]) for a2, z2 in zip(runs[:-1], runs[1:])])
-                line, h = line[o], h[o]
-                new = np.append(True, (line[1:] != line[:-1]) | (h[1:] != h[:-1]))
-                line, h = line[new], h[new]
-                head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
-                n = np.diff(np.append(head, len(line)))
-                same = np.add.reduceat(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)), head)
-                # of equal sets only the earliest line here is compared
-                who = line[head]
-                order = np.lexsort((number[who], doc[who], n, same))
-                s = same[order]
-                copy = np.append(False, (s[1:] == s[:-1]) & (n[order][1:] == n[order][:-1]))
-                w = who[order]
-                prev = np.append(False, (doc[w][1:] == doc[w][:-1]) & (number[w][1:] == number[w][:-1])) & copy
-                gone = copy & ~prev
-                gone_d.append(doc[w[gone]])
-                gone_l.append(number[w[gone]])
-                keep = np.zeros(len(head), bool)
-                keep[order[~copy]] = True
-                pos = np.arange(len(line)) - np.repeat(head, n)
-                nn = np.repeat(n, n)
-                take = np.repeat(keep, n) & (pos <= nn - need(percent, nn))
-                parity = np.repeat(np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), head), n)
-                for c, v in zip(out, (h[take], doc[line[take]], number[line[take]], nn[take], pos[take], parity[take])):
-                    c.append(v)
-            rows = []
-            if out[0]:
-                e = {k: np.concatenate(c) for c, (k, _) in zip(out, ENTRY)}
-                to = (e["tok"] % np.uint64(parts)).astype(np.int64)
-                o = np.argsort(to, kind="stable")
-                e, to = {k: v[o] for k, v in e.items()}, to[o]
-                at = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-                rows = [(int(to[a]), pack(e, slice(a, z))) for a, z in zip(at, np.append(at[1:], len(to)))]
-                g = np.concatenate(gone_d), np.concatenate(gone_l).astype(np.int32)
-                if len(g[0]):
-                    rows.append((-1 - int(g[0][0]) % parts, g[0].tobytes() + g[1].tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "block"])
+        ids = b.column(0).to_numpy(zero_copy_only=False)
+        data, offs = text_bytes(b.column(1))
+        out = [[] for _ in ENTRY]
+        gone_d, gone_l = [], []
+        for a, z in slices(offs):
+            o = offs[a:z + 1]
+            text, _, line, h = line_tokens(data[o[0]:o[-1]], o - o[0], width)
+            if not len(h):
+                continue
+            doc, number = ids[a + text], line_numbers(text)
+            r = rank[(h >> np.uint64(48)).astype(np.int64)]
+            # one sortable key in each run of 2^24 lines: line, rank of the slot, bits of the hash
+            key = (line.astype(np.uint64) << np.uint64(40)) | (r << np.uint64(24)) | (h & np.uint64(0xFFFFFF))
+            runs = np.append(np.searchsorted(line, np.arange(0, line[-1] + 1, RUN)), len(line))
+            o = np.concatenate([a2 + np.argsort(key[a2:z2]) for a2, z2 in zip(runs[:-1], runs[1:])])
+            line, h = line[o], h[o]
+            new = np.append(True, (line[1:] != line[:-1]) | (h[1:] != h[:-1]))
+            line, h = line[new], h[new]
+            head = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+            n = np.diff(np.append(head, len(line)))
+            same = np.add.reduceat(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)), head)
+            # of equal sets only the earliest line here is compared
+            who = line[head]
+            order = np.lexsort((number[who], doc[who], n, same))
+            s = same[order]
+            copy = np.append(False, (s[1:] == s[:-1]) & (n[order][1:] == n[order][:-1]))
+            w = who[order]
+            prev = np.append(False, (doc[w][1:] == doc[w][:-1]) & (number[w][1:] == number[w][:-1])) & copy
+            gone = copy & ~prev
+            gone_d.append(doc[w[gone]])
+            gone_l.append(number[w[gone]])
+            keep = np.zeros(len(head), bool)
+            keep[order[~copy]] = True
+            pos = np.arange(len(line)) - np.repeat(head, n)
+            nn = np.repeat(n, n)
+            take = np.repeat(keep, n) & (pos <= nn - need(percent, nn))
+            parity = np.repeat(np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), head), n)
+            for c, v, (_, t) in zip(out, (h[take], doc[line[take]], number[line[take]], nn[take], pos[take], parity[take]), ENTRY):
+                c.append(v.astype(t, copy=False))
+        rows = []
+        if out[0]:
+            to = (np.concatenate(out[0]) % np.uint64(parts)).astype(np.int32)
+            o = np.argsort(to, kind="stable")
+            to, e = to[o], {}
+            for c, (k, _) in zip(out, ENTRY):  # column by column, so that few are there twice
+                e[k] = np.concatenate(c)[o]
+                c.clear()
+            at = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+            rows = [(int(to[a]), pack(e, slice(a, z))) for a, z in zip(at, np.append(at[1:], len(to)))]
+            g = np.concatenate(gone_d), np.concatenate(gone_l).astype(np.int32)
+            if len(g[0]):
+                rows.append((-1 - int(g[0][0]) % parts, g[0].tobytes() + g[1].tobytes()))
+        if not rows:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "block"])
 
     kinds = [pa.int64(), pa.int32(), *[pa.list_(pa.struct([("doc0", pa.int64()), ("line0", pa.int32())]))] * 2, pa.bool_(),
              pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
@@ -274,9 +277,8 @@ def proposals(docs: DataFrame, rank: np.ndarray, width: int, percent: int) -> Da
                 a, z = np.searchsorted(e["tok"], t, side="left"), np.searchsorted(e["tok"], t, side="right")
                 chunks = [pack(e, slice(c, min(z, c + CHUNK))) for c in range(a, z, CHUNK)]
                 yield found(len(chunks), tok=np.full(len(chunks), t).view(np.int64), chunk=chunks)
-    sent = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-            .mapInArrow(lean(entries), "part int, block binary").repartition(parts, "part"))
-    return sent.mapInArrow(lean(match), FOUND)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    return map_batches(rows, sent, "part int, block binary").repartition(parts, "part").mapInArrow(lean(match), FOUND)
 
 
 def further(left: DataFrame, chunks: DataFrame, percent: int) -> DataFrame:

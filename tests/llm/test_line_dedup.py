@@ -72,3 +72,28 @@ def test_text_of_more_than_2_to_the_24_lines(spark):
 
 def test_empty_table(spark):
     assert L.dedup_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_a_line_task_holds_one_copy_of_its_entries(spark, monkeypatch):
+    """Entries of a batch are kept at their own width until they are packed, and only once."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from tessera.llm import line_dedup
+    taken = []
+    monkeypatch.setattr(line_dedup, "map_batches", lambda df, fn, schema: taken.append(fn) or df.selectExpr("0 AS part", "CAST('' AS binary) AS block"))
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    line_dedup.proposals(docs, np.zeros(line_dedup.SLOTS, np.uint64), 1, 80)
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 40, 6))) + "\n" for _ in range(60_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(line_dedup, "slices", lambda offs: ((a, min(a + 500, len(offs) - 1)) for a in range(0, len(offs) - 1, 500)))
+    taken[0](batch)
+    tracemalloc.start()
+    out = taken[0](batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    size = sum(map(len, out.column(1).to_pylist()))
+    assert size == 36 * 2 * len(texts)  # prefixes of two of six tokens
+    assert peak < 4 * size, peak / size
