@@ -62,19 +62,19 @@ def binary_metrics(scored: DataFrame, score: str, label: str = "label") -> dict[
 
 
 # ------------------------------------------------------------------ L6
+def pack_als(ratings: DataFrame) -> DataFrame:
+    """(user, item, rating) rows packed for one or more ``fit_als``."""
+    from . import als_sums
+    return als_sums.pack(ratings)
+
+
 def fit_als(ratings: DataFrame, rank: int = 10, max_iter: int = 20, reg: float = 1.0, implicit: bool = False,
-            user_blocks: int = -1, item_blocks: int = -1, seed: int = 42):
-    """Spark ML ALS; -1 blocks = Spark's default parallelism; unknown users
-    or items are dropped at prediction time."""
-    from pyspark.ml.recommendation import ALS
-    kw = {}
-    if user_blocks > 0:
-        kw["numUserBlocks"] = user_blocks
-    if item_blocks > 0:
-        kw["numItemBlocks"] = item_blocks
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=implicit, userCol="user", itemCol="item",
-              ratingCol="rating", coldStartStrategy="drop", seed=seed, **kw)
-    return als.fit(ratings)
+            seed: int = 42, less: float = 0.0):
+    """ALS of (user, item, rating) rows, or of ``pack_als``, each rating lowered by
+    ``less``; unknown users or items are dropped at prediction time."""
+    from . import als_sums
+    packed = ratings if "items" in ratings.columns else pack_als(ratings)
+    return als_sums.fit(packed, rank, max_iter, reg, implicit, seed=seed, less=less)
 
 
 # ------------------------------------------------------------------ L7

@@ -378,18 +378,17 @@ FROM r, (VALUES ('explicit'), ('implicit')) v(m)
 WHERE (r.u + r.i) % 5 = 4 AND r.u IN (SELECT u FROM t) AND r.i IN (SELECT i FROM t) GROUP BY m
 """)
 def q_als_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Spark ML ALS (rank 10, 20 iterations, lambda 0.05) explicit and implicit on four
+    """ALS (rank 10, 20 iterations, lambda 0.05) explicit and implicit on four
     fifths of the pairs, rated 1 or 5 by a rule of low rank: test pairs with known user
     and item, and whether the RMSE is below half that of the mean (implicit: whether
     the area under ROC of likes against dislikes is above 0.75)."""
     held = F.pmod(F.col("user") + F.col("item"), F.lit(5)) == 4
     rule = F.when(F.pmod(F.col("user") + F.floor(F.col("item") / 5), F.lit(3)) == 0, 1.0).otherwise(5.0)
-    r = cut_lineage(pair_ratings(table(spark, sf, "lineitem")).withColumn("rating", rule))
-    train, test = r.where(~held), r.where(held)
+    r = stored(pair_ratings(table(spark, sf, "lineitem")).withColumn("rating", rule), "ratings")
+    train, test = M.pack_als(r.where(~held)), r.where(held)
     out = []
     for implicit in (False, True):
-        tr = train.withColumn("rating", F.col("rating") - 2.5) if implicit else train
-        p = M.fit_als(tr, rank=10, max_iter=20, reg=0.05, implicit=implicit).transform(test)
+        p = M.fit_als(train, rank=10, max_iter=20, reg=0.05, implicit=implicit, less=2.5 if implicit else 0.0).transform(test)
         if implicit:
             liked = p.select("prediction", (F.col("rating") > 2.5).cast("double").alias("liked"))
             out.append(("implicit", liked.count(), M.binary_metrics(liked, "prediction", "liked")["auc_roc"] > 0.75))
