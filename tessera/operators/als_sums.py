@@ -188,6 +188,8 @@ def fit(packed: DataFrame, rank: int, max_iter: int, reg: float, implicit: bool
         def unpack(it):
             for pdf in it:
                 for ids, f in zip(pdf["ids"], pdf["f"]):
+                    if not len(ids):  # a block without users
+                        continue
                     yield pd.DataFrame({"id": np.frombuffer(ids, "<i4"), "f": list(np.frombuffer(f, "<f4").reshape(-1, rank))})
         return df.select("ids", "f").mapInPandas(unpack, "id int, f array<float>")
     sent = packed.groupBy("block").applyInPandas(first, MESSAGE)
