@@ -390,7 +390,7 @@ def q_als_fit(spark: SparkSession, sf: str) -> DataFrame:
     for implicit in (False, True):
         p = M.fit_als(train, rank=10, max_iter=20, reg=0.05, implicit=implicit, less=2.5 if implicit else 0.0).transform(test)
         if implicit:
-            liked = p.select("prediction", (F.col("rating") > 2.5).cast("double").alias("liked"))
+            liked = stored(p.select("prediction", (F.col("rating") > 2.5).cast("double").alias("liked")), "predictions")  # read several times
             out.append(("implicit", liked.count(), M.binary_metrics(liked, "prediction", "liked")["auc_roc"] > 0.75))
         else:
             row = p.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg((F.col("prediction") - F.col("rating")) ** 2)).alias("rmse"), F.stddev_pop("rating").alias("spread")).first()

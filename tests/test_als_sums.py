@@ -53,3 +53,34 @@ def test_items_send_nothing_of_their_own(spark):
             A.cut_lineage = cut
         return seen[1].filter("block >= 0").selectExpr("sum(length(ids) + length(n) + length(f))").first()[0]
     assert sent(1000) < 1.5 * sent(10)
+
+
+def test_entities_with_equally_many_ratings_are_one_stack(spark, monkeypatch):
+    """Products are taken a stack at a time, not a rating or an entity at a time; sums equal
+    brute force for entities with one rating, with many and with more than a chunk."""
+    assert len([*A._stacks(np.arange(0, 3001, 3))]) == 1
+    monkeypatch.setattr(A, "CHUNK", 16)
+    rng = np.random.default_rng(8)
+    n = np.sort([*rng.integers(1, 9, 40), 50, 33, 17])
+    start, f = np.append(0, np.cumsum(n)), rng.normal(size=(30, 3))
+    col, r = rng.integers(0, 30, start[-1]), rng.normal(size=start[-1])
+    got = A._sums(f, start, col, r, lambda r: (abs(r), 2 * r, (r > 0).astype(float)))
+    for e, (a, z) in enumerate(zip(start, start[1:])):
+        x, y = f[col[a:z]], r[a:z]
+        want = [*((x.T * abs(y)) @ x)[np.triu_indices(3)], *(2 * y @ x), (y > 0).sum()]
+        assert np.allclose(got[e], want)
+    w = rng.normal(size=(len(n), 3))
+    assert A._squares(f, w, start, col, r) == pytest.approx(sum((r[k] - f[col[k]] @ w[np.searchsorted(start, k, side="right") - 1]) ** 2 for k in range(start[-1])))
+
+
+def test_no_task_gets_two_blocks(spark):
+    df = spark.createDataFrame([(i % 9, i, 1.0 + i % 5) for i in range(400)], "user int, item int, rating double")
+    packed = A.pack(df, 4).collect()
+    labels = packed[0].labels
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    at = spark.createDataFrame([(x,) for x in labels], "block int").selectExpr(f"pmod(hash(block), {parts}) AS p").distinct()
+    assert len(labels) == at.count() == 4 and {r.block for r in packed} <= set(labels)
+    # every rating lies once with its item, once with its user, all of a block's ratings of a user together
+    assert sum(r.n for r in packed if r["items"]) == sum(r.n for r in packed if not r["items"]) == 400
+    users = [(r.block, u) for r in packed if not r["items"] for u in A.Part.of(r, False).ids]
+    assert len(users) == len(set(users))
