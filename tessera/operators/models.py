@@ -140,18 +140,14 @@ def als_rmse(ratings: DataFrame, items: DataFrame, users: DataFrame) -> DataFram
 def als_dense(ratings: DataFrame, rank: int = 10, iterations: int = 5, lam: float = 0.01, seed: int = 42, blocks: int | None = None):
     """Alternating least squares on ``(i, j, r)``: items first, then users with
     the NEW item factors; RMSE after every iteration, from direct residuals.
-    Ratings are packed into routed blocks once and stay there; factors travel
-    as packed rows (checkpointed each half-step), never through the driver.
+    Ratings are packed into blocks of items once and stay there; the users' factors
+    and the sums of their normal equations travel, never through the driver.
     Returns ``(items, users, [rmse per iteration])``."""
-    from . import als_blocks as B
-    of_i, of_j = B.sides(ratings, blocks)
-    users = B.pack_factors(init_factors(ratings.select("j").distinct(), "j", rank, seed), rank, of_j.n_blocks)
-    hist = []
-    for _ in range(iterations):
-        items = B.half_step(of_i, users, rank, lam)
-        users = B.half_step(of_j, items, rank, lam)
-        hist.append(B.rmse(users))
-    return B.unpack_factors(items, rank), B.unpack_factors(users, rank), hist
+    from . import als_sums
+    users = init_factors(ratings.select("j").distinct(), "j", rank, seed)
+    rows = ratings.select(F.col("j").alias("user"), F.col("i").alias("item"), F.col("r").alias("rating"))
+    users, items, hist = als_sums.fit_exact(rows, users, rank, iterations, lam, blocks or als_sums.BLOCKS)
+    return items, users, hist
 
 
 # ------------------------------------------------------------------ L9

@@ -84,3 +84,53 @@ def test_no_task_gets_two_blocks(spark):
     assert sum(r.n for r in packed if r["items"]) == sum(r.n for r in packed if not r["items"]) == 400
     users = [(r.block, u) for r in packed if not r["items"] for u in A.Part.of(r, False).ids]
     assert len(users) == len(set(users))
+
+
+def test_als_dense_sends_sums_of_users_not_factors_of_items(spark, monkeypatch):
+    """What blocks send each other in ``als_dense`` doesn't grow with the items."""
+    from tessera.operators import models as M
+
+    def sent(n):
+        df = spark.range(n * 4).selectExpr("id DIV 4 AS i", "id % 4 AS j", "1D + id % 5 AS r")
+        seen, cut = [], A.cut_lineage
+        with monkeypatch.context() as m:
+            m.setattr(A, "cut_lineage", lambda d, **kw: seen.append(cut(d, **kw)) or seen[-1])
+            M.als_dense(df, rank=2, iterations=1, blocks=2)
+        return seen[1].filter("block >= 0 AND src >= 0").selectExpr("sum(length(ids) + length(n) + length(f))").first()[0]
+    assert sent(1000) < 1.5 * sent(10)
+
+
+def test_als_dense_matches_numpy(spark, monkeypatch):
+    """Factors, numbers of ratings and the RMSE of each iteration, with null and repeated ids, an
+    item and a user with most ratings, over more iterations than there are between checkpoints."""
+    from tessera.operators import models as M
+    for name, x in (("PIECE", 20), ("CHUNK", 7), ("CUT", 2)):
+        monkeypatch.setattr(A, name, x)
+    rng = np.random.default_rng(4)
+    rows = [(int(i) if i < 40 else None, int(j) * 2**40 if j < 25 else None, float(r)) for i, j, r in np.stack([rng.integers(0, 41, 200), rng.integers(0, 26, 200), rng.integers(1, 6, 200)], 1)]
+    rows += [(3, j, 4.0) for j in range(90)] + [(i, 7, 2.0) for i in range(50)] + [(3, 7, 1.0)]
+    df = spark.createDataFrame(rows, "i long, j long, r double").repartition(3)
+    items, users, hist = M.als_dense(df, rank=3, iterations=3, lam=.1, blocks=3)
+    begin = {r.id: r.f for r in M.init_factors(df.select("j").distinct(), "j", 3, 42).collect()}
+    its, us = ([*dict.fromkeys(r[k] for r in rows)] for k in (0, 1))
+    at = [(its.index(i), us.index(j)) for i, j, _ in rows]
+    y, U, V, want = np.array([r for *_, r in rows]), np.array([begin[j] for j in us]), np.zeros((len(its), 3)), []
+
+    def half(side, O, n):
+        out = np.zeros((n, 3))
+        for k in range(n):
+            mine = [e for e, p in enumerate(at) if p[side] == k]
+            f = O[[at[e][1 - side] for e in mine]]
+            out[k] = np.linalg.solve(f.T @ f + .1 * len(mine) * np.eye(3), f.T @ y[mine])
+        return out
+    for _ in range(3):
+        V = half(0, U, len(its))
+        U = half(1, V, len(us))
+        want.append(np.sqrt(np.mean([(y[e] - V[a] @ U[b]) ** 2 for e, (a, b) in enumerate(at)])))
+    assert hist == pytest.approx(want)
+    for got, ids, f, side in ((items, its, V, 0), (users, us, U, 1)):
+        got = {r.id: r for r in got.collect()}
+        assert len(got) == len(ids)
+        for k, x in enumerate(ids):
+            r = got[-1 << 63 if x is None else x]
+            assert np.allclose(r.f, f[k]) and r.n == sum(p[side] == k for p in at)
