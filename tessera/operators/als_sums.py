@@ -24,12 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.session import cut_lineage
 from .als_blocks import _triangle
+from .blocks import squeezed, unsqueezed
 
 #: ratings of a piece or cell, about
 PIECE = 1 << 22
@@ -54,20 +54,6 @@ def block_labels(spark: SparkSession, blocks: int, parts: int) -> list[int]:
     return sorted(found.values())[:blocks]
 
 
-def _squeezed(x: np.ndarray, kind: str) -> bytes:
-    """Numbers column by column, in planes of bytes: the first bytes of a column are alike."""
-    columns = np.ascontiguousarray(x.T, kind)
-    planes = columns.view(np.uint8).reshape(-1, columns.itemsize).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
-
-
-def _unsqueezed(data: bytes, kind: str, rows: int, columns: int | None = None) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data, size * rows * (columns or 1), codec="zstd", asbytes=True), np.uint8)
-    flat = np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
-    return flat if columns is None else flat.reshape(columns, rows).T
-
-
 def _kinds(exact: bool) -> tuple[str, str]:
     return ("<i8", "<f8") if exact else ("<i4", "<f4")
 
@@ -97,8 +83,8 @@ def pack(ratings: DataFrame, blocks: int = BLOCKS, exact: bool = False) -> DataF
         place[by] = np.arange(len(by))
         others, col = np.unique(o, return_inverse=True)
         order = np.argsort(place[at] * len(others) + col, kind="stable")
-        return pd.DataFrame([(labels[block], part, of_items, to, labels, len(ids), len(others), len(r), _squeezed(ids[by], id_kind), _squeezed(counts[by], "<i4"),
-                              _squeezed(others, id_kind), _squeezed(col[order], "<i4"), _squeezed(r[order], kind))], columns=[c.split()[0] for c in PACKED.split(", ")])
+        return pd.DataFrame([(labels[block], part, of_items, to, labels, len(ids), len(others), len(r), squeezed(ids[by], id_kind), squeezed(counts[by], "<i4"),
+                              squeezed(others, id_kind), squeezed(col[order], "<i4"), squeezed(r[order], kind))], columns=[c.split()[0] for c in PACKED.split(", ")])
     piece, cell = (F.pmod(F.xxhash64(c), F.lit(n)).cast("int") for c, n in (("i", pieces), ("u", cells)))
     by_item = rows.select(piece.alias("part"), F.col("i").alias("k"), F.col("u").alias("o"), "r")
     by_user = rows.select((F.lit(pieces) + F.pmod(piece, F.lit(blocks)) * F.lit(cells) + cell).alias("part"), F.col("u").alias("k"), F.col("i").alias("o"), "r")
@@ -118,8 +104,8 @@ class Part:
     @classmethod
     def of(cls, p, exact: bool) -> Part:
         id_kind, kind = _kinds(exact)
-        return cls(_unsqueezed(p.ids, id_kind, p.n_ids), np.append(0, np.cumsum(_unsqueezed(p.counts, "<i4", p.n_ids), dtype=np.int64)),
-                   _unsqueezed(p.others, id_kind, p.n_others), _unsqueezed(p.col, "<i4", p.n), _unsqueezed(p.r, kind, p.n))
+        return cls(unsqueezed(p.ids, id_kind, p.n_ids), np.append(0, np.cumsum(unsqueezed(p.counts, "<i4", p.n_ids), dtype=np.int64)),
+                   unsqueezed(p.others, id_kind, p.n_others), unsqueezed(p.col, "<i4", p.n), unsqueezed(p.r, kind, p.n))
 
 
 def _stacks(start: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -256,7 +242,7 @@ def _run(packed: DataFrame, rank: int, max_iter: int, reg: float, implicit: bool
 
     def first(pdf: pd.DataFrame) -> pd.DataFrame:
         own, missing = pdf["block"].iloc[0], set(pdf["labels"].iloc[0]) - set(pdf["to"]) if implicit else ()
-        rows = [message(p.to, own, _unsqueezed(p.ids, id_kind, p.n_ids)) for p in pdf.itertuples(index=False)]
+        rows = [message(p.to, own, unsqueezed(p.ids, id_kind, p.n_ids)) for p in pdf.itertuples(index=False)]
         return frame(rows + [message(d, own, np.zeros(0, id_kind)) for d in sorted(missing)])
 
     def replies(own: int, came: pd.DataFrame, ids: np.ndarray, w: np.ndarray) -> list[tuple]:
@@ -284,7 +270,7 @@ def _run(packed: DataFrame, rank: int, max_iter: int, reg: float, implicit: bool
             for x, m, f in zip(ids_of(came), came["n"], came["f"]):
                 if len(x):
                     at = np.searchsorted(ids, x)
-                    sums[at, :-1] += _unsqueezed(f, kind, len(x), width - 1)
+                    sums[at, :-1] += unsqueezed(f, kind, len(x), width - 1)
                     sums[at, -1] += np.frombuffer(m, "<i4")
             w, n = _solve(sums, gram_of(came), rank, reg).astype(kind), sums[:, -1].astype("<i8")
         else:
@@ -333,7 +319,7 @@ def _run(packed: DataFrame, rank: int, max_iter: int, reg: float, implicit: bool
         for p in cells.itertuples(index=False):
             to, p = int(p.to), Part.of(p, exact)
             s = _sums(w[np.searchsorted(names, p.others)], p.start, p.col, p.r, rating_terms)
-            sent.append(message(to, own, p.ids, s[:, -1].astype("<i4").tobytes(), _squeezed(s[:, :-1], kind), gram_left.pop(to, b"")))
+            sent.append(message(to, own, p.ids, s[:, -1].astype("<i4").tobytes(), squeezed(s[:, :-1], kind), gram_left.pop(to, b"")))
         return frame(sent + [message(d, own, np.zeros(0, id_kind), gram=g) for d, g in gram_left.items()])
 
     def errors(rows: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
