@@ -330,7 +330,7 @@ def _run(packed: DataFrame, rank: int, max_iter: int, reg: float, implicit: bool
             p = Part.of(p, exact)
             squares += _squares(f[np.searchsorted(ids, p.others)], before[at_item:at_item + len(p.ids)], p.start, p.col, p.r)
             n, at_item = n + len(p.r), at_item + len(p.ids)
-        return pd.DataFrame({"n": [n], "squares": [np.append(errors, squares).tolist()]})
+        return pd.DataFrame({"n": [n], "squares": [np.append(errors, squares).tobytes()]})
 
     def rows_of(df: DataFrame) -> DataFrame:
         def unpack(it):
@@ -360,8 +360,9 @@ def _run(packed: DataFrame, rank: int, max_iter: int, reg: float, implicit: bool
     of_users, hist = sent.filter("block >= 0").groupBy("block").applyInPandas(solved_users(True), MESSAGE), []
     if exact:
         of_users = cut_lineage(of_users)
-        got = blocks.cogroup(of_users.filter("block >= 0").groupBy("block")).applyInPandas(errors, "n long, squares array<double>").collect()  # a row a block
-        hist = np.sqrt(np.sum([r.squares for r in got], axis=0) / sum(r.n for r in got)).tolist()
+        got = blocks.cogroup(of_users.filter("block >= 0").groupBy("block")).applyInPandas(errors, "n long, squares binary").collect()  # a row a block
+        # a block with ratings that aren't numbers counts as before, without error
+        hist = np.sqrt(np.nansum([np.frombuffer(r.squares, "<f8") for r in got], axis=0) / sum(r.n for r in got)).tolist()
     return rows_of(of_users.filter("block < 0")), rows_of(sent.filter("block < 0")), hist
 
 

@@ -134,3 +134,11 @@ def test_als_dense_matches_numpy(spark, monkeypatch):
         for k, x in enumerate(ids):
             r = got[-1 << 63 if x is None else x]
             assert np.allclose(r.f, f[k]) and r.n == sum(p[side] == k for p in at)
+
+
+def test_als_dense_with_a_null_rating(spark):
+    """It spreads to all factors as before, and errors that aren't numbers add nothing."""
+    from tessera.operators import models as M
+    df = spark.createDataFrame([(i, j, None if i == j == 0 else 1.0 + i) for i in range(6) for j in range(4)], "i long, j long, r double")
+    items, users, hist = M.als_dense(df, rank=2, iterations=2, lam=.1, blocks=2)
+    assert items.count() == 6 and users.count() == 4 and len(hist) == 2 and all(x >= 0 for x in hist)
